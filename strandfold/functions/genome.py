@@ -33,36 +33,6 @@ def informative_strands(ref: Column, alt: Column) -> tuple[Column, Column]:
     return F.coalesce(pair != "CT", F.lit(True)), F.coalesce(pair != "AG", F.lit(True))
 
 
-def reference_shift(cigar: Column, offset: Column) -> Column:
-    """Bases to add to a SNP's offset to find it in the read; null if beyond.
-
-    Follows the published arithmetic: up to three matched segments, an
-    insertion moving the base right and a deletion moving it left. The end of
-    the second segment is taken as M1+M2-I or M1+M2+D, that of the third as
-    M1+M2+M3 with both gaps counted the other way round.
-    """
-    numbers = F.regexp_extract_all(cigar, F.lit(CIGAR_NUMBERS), F.lit(0))
-    letters = F.regexp_extract_all(cigar, F.lit(CIGAR_LETTERS), F.lit(0))
-
-    def number(i: int) -> Column:
-        return try_bigint(F.get(numbers, F.lit(i)))
-
-    def gap(i: int) -> Column:
-        return F.when(F.get(letters, F.lit(i)) == "I", number(i)).otherwise(-number(i))
-
-    count = F.size(numbers)
-    first_end = number(0)
-    second_end = F.when(count >= 3, number(0) + number(2) - gap(1)).otherwise(0)
-    third_end = F.when(
-        count >= 5, number(0) + number(2) + number(4) + gap(1) + gap(3)
-    ).otherwise(0)
-    return (
-        F.when(offset <= first_end, F.lit(0).cast("bigint"))
-        .when(offset <= second_end, gap(1))
-        .when(offset <= third_end, gap(1) + gap(3))
-    )
-
-
 def _cigar_steps(cigar: Column) -> Column:
     steps = F.regexp_extract_all(cigar, F.lit(CIGAR_STEP), F.lit(0))
     return F.transform(
@@ -130,9 +100,8 @@ def reference_span(cigar: Column) -> Column:
 
 
 def char_at(text: Column, index: Column) -> Column:
-    """One character; an index left of the text falls back to the first one."""
-    start = F.when(index < -F.length(text), F.lit(1)).otherwise(index)
-    return F.substring(text, start.cast("int"), 1)
+    """One character, counted from the end below zero; further left, the first one."""
+    return F.substring(text, F.greatest(index, -F.length(text)).cast("int"), 1)
 
 
 def allele_of(base: Column, ref: Column, alt: Column, ct_snp: Column, ga_snp: Column,
@@ -143,10 +112,14 @@ def allele_of(base: Column, ref: Column, alt: Column, ct_snp: Column, ga_snp: Co
     on CT reads, A for G on GA reads. REF is tried first.
     """
 
-    def shows(expected: Column) -> Column:
-        converted = ((expected == "C") & ct_read & (base == "T")) | (
-            (expected == "G") & ga_read & (base == "A")
+    both = ct_snp & ga_snp
+
+    def accepted(expected: Column) -> Column:
+        converted = F.when(both & (expected == "C") & ct_read, "T").when(
+            both & (expected == "G") & ga_read, "A"
         )
-        return (base == expected) | (ct_snp & ga_snp & converted)
+        return F.concat(expected, F.coalesce(converted, F.lit("")))
 
-    return F.when(shows(ref), "REF").when(shows(alt), "ALT")
+    return F.when(F.contains(accepted(ref), base), "REF").when(
+        F.contains(accepted(alt), base), "ALT"
+    )

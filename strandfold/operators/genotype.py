@@ -59,45 +59,56 @@ def cigar_split(pairs: DataFrame) -> DataFrame:
     }).withColumn("length_cig", F.size("a_cig_num"))
 
 
-def cigar_segments(split: DataFrame) -> DataFrame:
-    """Where the first, second and third matched segment are taken to end."""
+def _number(i: int) -> Column:
+    return genome.try_bigint(F.get("a_cig_num", F.lit(i)))
+
 
-    def number(i: int) -> Column:
-        return genome.try_bigint(F.get("a_cig_num", F.lit(i)))
+def _gap(i: int) -> Column:
+    """Bases of a gap: positive if inserted, negative if deleted."""
+    return F.when(F.get("a_cig_letters", F.lit(i)) == "I", _number(i)).otherwise(-_number(i))
 
-    def inserted(i: int) -> Column:
-        sign = F.when(F.get("a_cig_letters", F.lit(i)) == "I", 1).otherwise(-1)
-        return sign * number(i)
 
+def cigar_segments(split: DataFrame) -> DataFrame:
+    """Where the first, second and third matched segment are taken to end.
+
+    Published arithmetic: M1, then M1+M2 less the gap, then M1+M2+M3 plus both
+    gaps. The changing sign is kept.
+    """
     count = F.col("length_cig")
-    matched = number(0) + number(2)
+    matched = _number(0) + _number(2)
     return split.withColumns({
-        "first_m": number(0),
-        "second_m": F.when(count >= 3, matched - inserted(1)).otherwise(0),
-        "third_m": F.when(
-            count >= 5, matched + number(4) + inserted(1) + inserted(3)
-        ).otherwise(0),
+        "first_m": _number(0),
+        "second_m": F.when(count >= 3, matched - _gap(1)).otherwise(0),
+        "third_m": F.when(count >= 5, matched + _number(4) + _gap(1) + _gap(3)).otherwise(0),
     })
 
 
 def snp_base_at_read(pairs: DataFrame, cigar_mode: str = "reference") -> DataFrame:
-    """The base and the quality character each read shows at each SNP."""
+    """The base and the quality character each read shows at each SNP.
+
+    The base is looked up at the SNP's offset, moved by the gaps before the
+    segment it falls in; SNPs beyond the last segment are dropped.
+    """
     offset = F.col("pos") - F.col("read_start") + 1
     if cigar_mode == "reference":
-        index = offset + genome.reference_shift(F.col("cigar"), offset)
+        pairs = cigar_segments(cigar_split(pairs))
+        offset = F.col("snp_pos_in_read")
+        index = offset + (
+            F.when(offset <= F.col("first_m"), 0)
+            .when(offset <= F.col("second_m"), _gap(1))
+            .when(offset <= F.col("third_m"), _gap(1) + _gap(3))
+        )
     else:
         index = genome.exact_index(F.col("cigar"), offset)
-    return (
-        pairs.withColumn("_index", index)
-        .filter(F.col("_index").isNotNull())
-        .select(
-            genome.char_at(F.col("seq"), F.col("_index")).alias("snp_in_read"),
-            genome.char_at(
-                F.col("score_before_recal"), F.col("_index") + len(genome.SCORE_TAG)
-            ).alias("snp_score"),
-            "sample_id", "snp_id", "ref", "alt", "chr", "pos", "CT_strand", "GA_strand",
-            "seq_CT_strand", "seq_GA_strand", "read_id",
-        )
+    # Exploding keeps later filters from repeating the CIGAR work per use.
+    placed = pairs.withColumn("_index", F.explode(F.array_compact(F.array(index))))
+    return placed.select(
+        genome.char_at(F.col("seq"), F.col("_index")).alias("snp_in_read"),
+        genome.char_at(
+            F.col("score_before_recal"), F.col("_index") + len(genome.SCORE_TAG)
+        ).alias("snp_score"),
+        "sample_id", "snp_id", "ref", "alt", "chr", "pos", "CT_strand", "GA_strand",
+        "seq_CT_strand", "seq_GA_strand", "read_id",
     )
 
 

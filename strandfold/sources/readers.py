@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strandfold import schemas
 
@@ -18,25 +17,25 @@ def _fields(spark: SparkSession, paths: Paths) -> DataFrame:
     return lines.withColumn("_f", F.split("value", "\t", -1))
 
 
-def _typed(schema: T.StructType):
+def _typed(layout: schemas.Columns):
     """Columns for split fields, and whether each number parses."""
     columns, parses = [], F.lit(True)
-    for i, field in enumerate(schema):
+    for i, (name, kind) in enumerate(layout.items()):
         text = F.get("_f", F.lit(i))
-        if isinstance(field.dataType, T.StringType):
-            columns.append(text.alias(field.name))
+        if kind == "string":
+            columns.append(text.alias(name))
             continue
         text = F.nullif(F.trim(text), F.lit(""))
-        value = text.try_cast(field.dataType)
+        value = text.try_cast(kind)
         parses = parses & (text.isNull() | value.isNotNull())
-        columns.append(value.alias(field.name))
+        columns.append(value.alias(name))
     return columns, parses
 
 
 def scan_cpg_context(spark: SparkSession, paths: Paths, sample_id: str) -> DataFrame:
     """Methylation calls: tab-separated, one header line in each file."""
     return (
-        spark.read.schema(schemas.CPG_CONTEXT)
+        spark.read.schema(schemas.ddl(schemas.CPG_CONTEXT))
         .options(sep="\t", header=True, quote="", enforceSchema=True)
         .csv([paths] if isinstance(paths, str) else list(paths))
         .withColumn("sample_id", F.lit(sample_id))
@@ -87,7 +86,7 @@ def scan_common_snps(spark: SparkSession, paths: Paths, sample_id: str) -> DataF
 def scan_cpg_asm(spark: SparkSession, paths: Paths, sample_id: str) -> DataFrame:
     """CpG test results written as CSV without a header."""
     return (
-        spark.read.schema(schemas.CPG_ASM).csv([paths] if isinstance(paths, str) else list(paths))
+        spark.read.schema(schemas.ddl(schemas.CPG_ASM)).csv([paths] if isinstance(paths, str) else list(paths))
         .withColumn("sample_id", F.lit(sample_id))
     )
 
@@ -95,7 +94,7 @@ def scan_cpg_asm(spark: SparkSession, paths: Paths, sample_id: str) -> DataFrame
 def scan_region_pvalue(spark: SparkSession, paths: Paths, sample_id: str) -> DataFrame:
     """Region test results written as one JSON object per line."""
     return (
-        spark.read.schema(schemas.REGION_PVALUE)
+        spark.read.schema(schemas.ddl(schemas.REGION_PVALUE))
         .json([paths] if isinstance(paths, str) else list(paths))
         .withColumn("sample_id", F.lit(sample_id))
     )

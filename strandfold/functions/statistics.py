@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Tables at most this much more likely than the observed one still count as
@@ -15,35 +15,51 @@ FISHER_TOLERANCE = 1e-7
 # beyond mean +- sqrt(m * ln(1e18) / 2) is below 2e-18.
 _HALF_WIDTH = math.sqrt(math.log(1e18) / 2)
 
-# The series below has converged to double precision for every z it is used at.
+# Beyond it the tail is below 3e-12.
 _Z_LIMIT = 7.0
-_SERIES_TERMS = 160
 
 
-def fisher_pvalue(ref_meth: Column, ref_cov: Column, alt_meth: Column, alt_cov: Column) -> Column:
-    """Two-sided Fisher exact p-value of methylated counts on two alleles.
+def round_array(value: Column, digits: int) -> Column:
+    """Rounding of numeric arrays: scale, nearest even integer, scale back.
 
-    Weights of the possible tables are walked outward from the observed one
-    (weight 1) by the ratio of neighbouring hypergeometric terms, once up and
-    once down. The p-value is the weight of tables no likelier than the
-    observed one over the weight of all. Only the part of the support that can
-    carry mass is walked, so the work grows with the square root of the
-    coverage; an observed table outside it has p = 0 to far more than the five
-    digits kept.
+    P-values are rounded so; shares and effects by SQL's ``round``. The two
+    part ways only at ties.
     """
-    observed = ref_meth.cast("double")
-    draws = ref_cov.cast("double")
-    marked = (ref_meth + alt_meth).cast("double")
-    total = (ref_cov + alt_cov).cast("double")
-    rest = total - marked - draws
+    scale = 10.0**digits
+    return F.rint(value * scale) / scale
+
+
+def with_fisher_pvalue(tables: DataFrame, pvalue: str) -> DataFrame:
+    """Two-sided Fisher exact p-value of methylated counts on two alleles.
 
+    Reads ``ref_meth``, ``ref_cov``, ``alt_meth`` and ``alt_cov``. Weights of
+    the possible tables are walked outward from the observed one (weight 1) by
+    the ratio of neighbouring hypergeometric terms, once up and once down. The
+    p-value is the weight of tables no likelier than the observed one over the
+    weight of all. Only the part of the support that can carry mass is walked,
+    so the work grows with the square root of the coverage; an observed table
+    outside it has p = 0 to far more than the five digits kept.
+    """
+    draws, marked, rest = F.col("_draws"), F.col("_marked"), F.col("_rest")
+    low, high, at = F.col("_low"), F.col("_high"), F.col("ref_meth").cast("bigint")
+    total = F.col("_total")
     mean = draws * marked / total
     spread = F.ceil(
         _HALF_WIDTH * F.sqrt(F.least(draws, marked, total - draws, total - marked)) + 1
     )
-    low = F.greatest(F.lit(0.0), -rest, F.floor(mean) - spread).cast("bigint")
-    high = F.least(draws, marked, F.ceil(mean) + spread).cast("bigint")
-    at = ref_meth.cast("bigint")
+    # Named once per row; a lambda would work them out again at every step.
+    named = (
+        tables.withColumns({
+            "_draws": F.col("ref_cov").cast("double"),
+            "_marked": (F.col("ref_meth") + F.col("alt_meth")).cast("double"),
+            "_total": (F.col("ref_cov") + F.col("alt_cov")).cast("double"),
+        })
+        .withColumn("_rest", total - marked - draws)
+        .withColumns({
+            "_low": F.greatest(F.lit(0.0), -rest, F.floor(mean) - spread).cast("bigint"),
+            "_high": F.least(draws, marked, F.ceil(mean) + spread).cast("bigint"),
+        })
+    )
 
     def count(mass: Column, weight: Column) -> Column:
         return mass + F.when(weight <= 1 + FISHER_TOLERANCE, weight).otherwise(0.0)
@@ -56,7 +72,7 @@ def fisher_pvalue(ref_meth: Column, ref_cov: Column, alt_meth: Column, alt_cov:
             steps,
             start,
             lambda acc, x: F.struct(
-                (acc.weight * ratio(x.cast("double"))).alias("weight"),
+                (acc.weight * ratio(x)).alias("weight"),
                 count(acc.extreme, acc.weight).alias("extreme"),
                 (acc["all"] + acc.weight).alias("all"),
             ),
@@ -67,28 +83,40 @@ def fisher_pvalue(ref_meth: Column, ref_cov: Column, alt_meth: Column, alt_cov:
         )
 
     nothing = F.array().cast("array<bigint>")
-    up = walk(
-        F.when(high > at, F.sequence(at + 1, high)).otherwise(nothing),
-        lambda x: (marked - x + 1) * (draws - x + 1) / (x * (rest + x)),
+    walked = named.withColumns({
+        "_up": walk(
+            F.when(high > at, F.sequence(at + 1, high)).otherwise(nothing),
+            lambda x: (marked - x + 1) * (draws - x + 1) / (x * (rest + x)),
+        ),
+        "_down": walk(
+            F.when(low < at, F.sequence(at - 1, low, F.lit(-1).cast("bigint"))).otherwise(nothing),
+            lambda x: (x + 1) * (rest + x + 1) / ((marked - x) * (draws - x)),
+        ),
+    })
+    # Both walks count the observed table once.
+    share = (F.col("_up.extreme") + F.col("_down.extreme") - 1) / (
+        F.col("_up.all") + F.col("_down.all") - 1
     )
-    down = walk(
-        F.when(low < at, F.sequence(at - 1, low, F.lit(-1).cast("bigint"))).otherwise(nothing),
-        lambda x: (x + 1) * (rest + x + 1) / ((marked - x) * (draws - x)),
+    return walked.select(
+        *tables.columns,
+        F.when((at < low) | (at > high), F.lit(0.0))
+        .otherwise(F.least(F.lit(1.0), share)).alias(pvalue),
     )
-    # Both walks count the observed table once.
-    share = (up.extreme + down.extreme - 1) / (up["all"] + down["all"] - 1)
-    return F.when((at < low) | (at > high), F.lit(0.0)).otherwise(F.least(F.lit(1.0), share))
 
 
 def two_sided_normal(z: Column) -> Column:
-    """P(|Z| >= z) from the all-positive series of the error function."""
+    """P(|Z| >= z) from the all-positive series of the error function.
+
+    ``z`` should be a plain column: the series reads it at every term. After
+    x^2 + 9x + 25 terms (x = z / sqrt 2) the rest is below double precision.
+    """
     x = z / math.sqrt(2)
     terms = F.aggregate(
-        F.sequence(F.lit(1), F.lit(_SERIES_TERMS)),
+        F.sequence(F.lit(1), F.ceil(x * x + 9 * x + 25).cast("int")),
         F.struct(x.alias("term"), x.alias("sum")),
         lambda acc, k: F.struct(
-            (acc.term * (2 * x * x) / (2 * k + 1)).alias("term"),
-            (acc["sum"] + acc.term * (2 * x * x) / (2 * k + 1)).alias("sum"),
+            (acc.term * z * z / (2 * k + 1)).alias("term"),
+            (acc["sum"] + acc.term * z * z / (2 * k + 1)).alias("sum"),
         ),
         lambda acc: acc["sum"],
     )
@@ -96,12 +124,12 @@ def two_sided_normal(z: Column) -> Column:
     return F.when(z >= _Z_LIMIT, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), tail))
 
 
-def rank_sum_pvalue(n_ref: Column, n_alt: Column, twice_rank_sum: Column,
-                    tie_sum: Column) -> Column:
-    """Two-sided Mann-Whitney p-value, normal approximation.
+def rank_sum_score(n_ref: Column, n_alt: Column, twice_rank_sum: Column,
+                   tie_sum: Column) -> Column:
+    """Mann-Whitney |z|, tie- and continuity-corrected; null if all values agree.
 
-    Tie- and continuity-corrected. ``twice_rank_sum`` is 2 * R(ref) and
-    ``tie_sum`` the sum of t^3 - t over tied values. All values equal: p = 1.
+    ``twice_rank_sum`` is 2 * R(ref) and ``tie_sum`` the sum of t^3 - t over
+    tied values.
     """
     n1, n2 = n_ref.cast("double"), n_alt.cast("double")
     n = n1 + n2
@@ -109,5 +137,4 @@ def rank_sum_pvalue(n_ref: Column, n_alt: Column, twice_rank_sum: Column,
     u = F.greatest(u1, n1 * n2 - u1)
     ties = 1 - F.try_divide(tie_sum, n * n * n - n)
     deviation = F.sqrt(ties * n1 * n2 * (n + 1) / 12)
-    z = F.abs(F.try_divide(u - n1 * n2 / 2 - 0.5, deviation))
-    return F.when(z.isNull(), F.lit(1.0)).otherwise(two_sided_normal(z))
+    return F.abs(F.try_divide(u - n1 * n2 / 2 - 0.5, deviation))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandfold.functions.statistics import fisher_pvalue
+from strandfold.functions.statistics import round_array, with_fisher_pvalue
 from strandfold.operators.context import SITE
 from strandfold.operators.skew import HotKeys, find_hot_keys, split_join
 
@@ -93,8 +93,9 @@ def fisher_exact(counts: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Fisher p-value per row, worked out once per distinct table of counts."""
     if hot is None:
         (hot,) = find_hot_keys(counts, COUNTS)
-    p = fisher_pvalue(*[F.col(c) for c in ("ref_meth", "ref_cov", "alt_meth", "alt_cov")])
-    tables = counts.select(*COUNTS).distinct().withColumn("fisher_pvalue", F.round(p, 5))
+    tables = with_fisher_pvalue(counts.select(*COUNTS).distinct(), "_p").select(
+        *COUNTS, round_array(F.col("_p"), 5).alias("fisher_pvalue")
+    )
     return split_join(counts, tables, COUNTS, "inner", hot).select(
         *counts.columns, "fisher_pvalue"
     )

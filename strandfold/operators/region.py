@@ -205,26 +205,6 @@ def read_fraction_counts(read_fractions: DataFrame) -> DataFrame:
     )
 
 
-def region_effect(counts: DataFrame) -> DataFrame:
-    """Reads per allele and difference of their mean fractions, per SNP.
-
-    SNPs with reads on both alleles only. Sums are integers, so the result
-    does not depend on the order of the rows.
-    """
-    both = counts.groupBy(*SNP).agg(
-        F.sum("n_ref").alias("ref_reads"), F.sum("n_alt").alias("alt_reads"),
-        F.sum(F.col("fraction") * F.col("n_ref")).alias("ref_sum"),
-        F.sum(F.col("fraction") * F.col("n_alt")).alias("alt_sum"),
-    ).filter("ref_reads > 0 and alt_reads > 0")
-    return both.select(
-        *SNP, "ref_reads", "alt_reads",
-        F.round(
-            F.col("alt_sum") / F.col("alt_reads") / FRACTION_SCALE
-            - F.col("ref_sum") / F.col("ref_reads") / FRACTION_SCALE, 3
-        ).alias("asm_region_effect"),
-    )
-
-
 def read_fraction_arrays(counts: DataFrame) -> DataFrame:
     """REF and ALT read fractions as ordered arrays, for nested output.
 

@@ -5,34 +5,55 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandfold.functions.statistics import rank_sum_pvalue
-from strandfold.operators.region import SNP
+from strandfold.functions.statistics import rank_sum_score, round_array, two_sided_normal
+from strandfold.operators.region import FRACTION_SCALE, SNP
 from strandfold.operators.skew import HotKeys, find_hot_keys, split_join
 from strandfold.params import AsmParams
 
 P_SCALE = 100_000
 
 
-def mann_whitney(counts: DataFrame) -> DataFrame:
-    """Two-sided rank test of REF against ALT read fractions, per SNP.
+def region_tests(counts: DataFrame) -> DataFrame:
+    """Reads per allele, effect and two-sided rank test per SNP, in one pass.
 
-    Works on the counts per fraction: reads with the same fraction share a
-    mid-rank, so the running count of one SNP's fractions (at most 100,001)
-    gives the rank sum and the tie term.
+    Works on the counts per read fraction, for SNPs with reads on both
+    alleles. The effect is the difference of the alleles' mean fractions; its
+    sums are integers, so row order does not matter. Reads of equal fraction
+    share a mid-rank, so the running count over one SNP's fractions (at most
+    100,001) gives the rank sum and the tie term.
     """
-    tied = F.col("n_ref") + F.col("n_alt")
     ordered = Window.partitionBy(*SNP).orderBy("fraction").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    ranked = counts.withColumn("_t", tied).withColumn("_upto", F.sum("_t").over(ordered))
+    ranked = counts.withColumn("_t", F.col("n_ref") + F.col("n_alt")).withColumn(
+        "_upto", F.sum("_t").over(ordered)
+    )
     t = F.col("_t").cast("double")
     sums = ranked.groupBy(*SNP).agg(
-        F.sum("n_ref").alias("n_ref"), F.sum("n_alt").alias("n_alt"),
-        F.sum(F.col("n_ref") * (2 * F.col("_upto") - F.col("_t") + 1)).alias("twice_rank_sum"),
-        F.sum(t * t * t - t).alias("tie_sum"),
-    ).filter("n_ref > 0 and n_alt > 0")
-    p = rank_sum_pvalue(*[F.col(c) for c in ("n_ref", "n_alt", "twice_rank_sum", "tie_sum")])
-    return sums.select(*SNP, F.round(p, 5).alias("wilcoxon_pvalue"))
+        F.sum("n_ref").alias("ref_reads"), F.sum("n_alt").alias("alt_reads"),
+        F.sum(F.col("fraction") * F.col("n_ref")).alias("_ref"),
+        F.sum(F.col("fraction") * F.col("n_alt")).alias("_alt"),
+        F.sum(F.col("n_ref") * (2 * F.col("_upto") - F.col("_t") + 1)).alias("_ranks"),
+        F.sum(t * t * t - t).alias("_ties"),
+    ).filter("ref_reads > 0 and alt_reads > 0")
+    z = rank_sum_score(*[F.col(c) for c in ("ref_reads", "alt_reads", "_ranks", "_ties")])
+    p = F.when(F.col("_z").isNull(), F.lit(1.0)).otherwise(two_sided_normal(F.col("_z")))
+    return sums.withColumn("_z", z).withColumn("_p", p).select(
+        *SNP, "ref_reads", "alt_reads",
+        F.round(
+            F.col("_alt") / F.col("alt_reads") / FRACTION_SCALE
+            - F.col("_ref") / F.col("ref_reads") / FRACTION_SCALE, 3
+        ).alias("asm_region_effect"),
+        round_array(F.col("_p"), 5).alias("wilcoxon_pvalue"),
+    )
+
+
+def region_effect(counts: DataFrame) -> DataFrame:
+    return region_tests(counts).drop("wilcoxon_pvalue")
+
+
+def mann_whitney(counts: DataFrame) -> DataFrame:
+    return region_tests(counts).select(*SNP, "wilcoxon_pvalue")
 
 
 def benjamini_hochberg(tests: DataFrame, p: str = "wilcoxon_pvalue",
@@ -56,7 +77,7 @@ def benjamini_hochberg(tests: DataFrame, p: str = "wilcoxon_pvalue",
         tally.withColumn("_rank", F.sum("_n").over(upto))
         .withColumn("_total", F.sum("_n").over(group))
         .withColumn("_raw", (F.col("_p") / P_SCALE) / (F.col("_rank") / F.col("_total")))
-        .withColumn(corrected, F.round(F.least(F.lit(1.0), F.min("_raw").over(onward)), 5))
+        .withColumn(corrected, round_array(F.least(F.lit(1.0), F.min("_raw").over(onward)), 5))
         .select(*keys, corrected)
     )
     return split_join(coded, table, keys, "left", hot).select(*tests.columns, corrected)

@@ -49,11 +49,7 @@ def region_table(calls: DataFrame, summary: DataFrame, cpgs: DataFrame) -> DataF
     counts = region.read_fraction_counts(
         region.read_methylation(region.region_reads(calls, region.region_cpgs(cpgs, summary)))
     )
-    return (
-        region.region_effect(counts)
-        .join(significance.mann_whitney(counts), region.SNP)
-        .join(summary, region.SNP)
-    )
+    return significance.region_tests(counts).join(summary, region.SNP)
 
 
 def call_asm(context_ob: DataFrame, context_ot: DataFrame, sam: DataFrame, vcf: DataFrame,

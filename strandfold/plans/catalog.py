@@ -310,7 +310,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         *region.SNP, *[F.array_join(F.transform(a, lambda r: F.round(
             r.methyl_perc * region.FRACTION_SCALE).cast("bigint").cast("string")), ",").alias(a)
             for a in ("ref", "alt")]),
-    "attach_region_effect": lambda t: region.region_effect(t.fraction_counts).join(
+    "attach_region_effect": lambda t: significance.region_effect(t.fraction_counts).join(
         t.summary, region.SNP).select(
             *region.SNP, "snp_pos", "chr", "asm_region_inf", "asm_region_sup", "asm_region_effect",
             "ref_reads", "alt_reads", "nb_cpg", "nb_sig_cpg", "pos_sig_cpg", "neg_sig_cpg"),
@@ -325,7 +325,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         F.min("snp_pos").alias("snp_pos"), F.min("chr").alias("chr")),
     "read_methylation": lambda t: region.read_methylation(t.in_region),
     "collect_read_fractions": lambda t: region.read_fraction_counts(t.fractions),
-    "region_effect": lambda t: region.region_effect(t.fraction_counts),
+    "region_effect": lambda t: significance.region_effect(t.fraction_counts),
     "snp_cpg_counts": lambda t: region.snp_summary(t.cpg_asm, PARAMS.p_value).select(
         *region.SNP, "snp_pos", "chr", "nb_cpg", "nb_sig_cpg", "pos_sig_cpg", "neg_sig_cpg", *_BOUNDS),
     # set operations and order

@@ -113,11 +113,12 @@ STEPS: dict[str, str] = {
     "context_filtered": """
         SELECT c.sample_id, c.chr, c.pos, meth, cov, read_id FROM both_context c JOIN clean_sites s
         ON c.sample_id = s.sample_id AND c.chr = s.chr AND c.pos = s.pos""",
+    "usable": """
+        SELECT c.* FROM context_filtered c
+        JOIN covered v ON c.sample_id = v.sample_id AND c.chr = v.chr AND c.pos = v.pos_start""",
     "cpg_read_genotype": """
-        SELECT DISTINCT c.sample_id, c.chr, c.pos, meth, c.cov, snp_id, g.pos AS snp_pos, allele, c.read_id
-        FROM context_filtered c
-        JOIN covered v ON c.sample_id = v.sample_id AND c.chr = v.chr AND c.pos = v.pos_start
-        JOIN genotype g ON c.sample_id = g.sample_id AND c.read_id = g.read_id""",
+        SELECT DISTINCT c.sample_id, chr, c.pos, meth, cov, snp_id, g.pos AS snp_pos, allele, c.read_id
+        FROM usable c JOIN genotype g ON c.sample_id = g.sample_id AND c.read_id = g.read_id""",
     "ref_side": """
         SELECT sample_id, chr, pos, snp_id, snp_pos, cast(sum(cov) AS bigint) AS ref_cov,
           cast(sum(meth) AS bigint) AS ref_meth
@@ -138,9 +139,9 @@ STEPS: dict[str, str] = {
                                     cast(least(draws, marked) AS bigint) + 1)) AS double) AS x
         FROM margins""",
     "fisher": f"""
-        SELECT ref_cov, ref_meth, alt_cov, alt_meth, round(least(1.0, sum(
+        SELECT ref_cov, ref_meth, alt_cov, alt_meth, round_even(100000 * least(1.0, sum(
           CASE WHEN {_ln_table('x')} <= {_ln_table('cast(ref_meth AS double)')} + ln(1 + 1e-7)
-               THEN exp({_ln_table('x')}) ELSE 0 END)), 5) AS fisher_pvalue
+               THEN exp({_ln_table('x')}) ELSE 0 END)), 0) / 100000 AS fisher_pvalue
         FROM supports GROUP BY ref_cov, ref_meth, alt_cov, alt_meth""",
     "cpg_asm": f"""
         SELECT *, {_FLAT_CPG} AS effect FROM cpg_genotype
@@ -197,15 +198,15 @@ STEPS: dict[str, str] = {
               FROM rank_sums WHERE n1 > 0 AND n2 > 0) s""",
     # erf(x) = 2/sqrt(pi) * exp(-x^2) * sum of 2^k x^(2k+1) / (2k+1)!!
     "mann_whitney": """
-        SELECT sample_id, snp_id, round(CASE WHEN z IS NULL THEN 1.0 WHEN z >= 7 THEN 0.0 WHEN z = 0 THEN 1.0
+        SELECT sample_id, snp_id, round_even(100000 * CASE WHEN z IS NULL THEN 1.0 WHEN z >= 7 THEN 0.0 WHEN z = 0 THEN 1.0
           ELSE greatest(0.0, 1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 160), lambda k:
             exp(-z * z / 2 + k * ln(2) + (2 * k + 1) * ln(z / sqrt(2))
-                - (lgamma(k + 1.5) + (k + 1) * ln(2) - ln(pi()) / 2))))) END, 5) AS wilcoxon_pvalue
+                - (lgamma(k + 1.5) + (k + 1) * ln(2) - ln(pi()) / 2))))) END, 0) / 100000 AS wilcoxon_pvalue
         FROM scores""",
     "corrected": """
-        SELECT sample_id, snp_id, wilcoxon_pvalue, round(least(1.0, min(raw) OVER (
+        SELECT sample_id, snp_id, wilcoxon_pvalue, round_even(100000 * least(1.0, min(raw) OVER (
             PARTITION BY sample_id ORDER BY wilcoxon_pvalue DESC, snp_id DESC
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), 5) AS wilcoxon_corr_pvalue
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), 0) / 100000 AS wilcoxon_corr_pvalue
         FROM (SELECT *, wilcoxon_pvalue / (cast(row_number() OVER (
                   PARTITION BY sample_id ORDER BY wilcoxon_pvalue, snp_id) AS double)
                 / count(*) OVER (PARTITION BY sample_id)) AS raw FROM mann_whitney) r""",
@@ -272,6 +273,11 @@ STEPS: dict[str, str] = {
           FROM fragment_scores) f WHERE nth = 1""",
 }
 
+# Kept as written, so that join orders cannot mix across these steps.
+_FIXED = {"usable", "genotype", "tagged", "cpg_read_genotype", "cpg_genotype", "cpg_asm", "kept_snps",
+          "well_covered", "region_reads", "coded", "effects", "corrected", "streaks", "kept_bases",
+          "clean_sites", "covered"}
+
 _RAW_CONTEXT = "SELECT sample_id, read_id, meth_state, chr, pos, meth_call"
 _BASES = """SELECT snp_in_read, snp_score, sample_id, snp_id, ref, alt, chr, pos, CT_strand, GA_strand,
     seq_CT_strand, seq_GA_strand, read_id FROM bases"""
@@ -396,5 +402,6 @@ FINAL: dict[str, str] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    steps = ",\n".join([derived.duckdb_ctes(), *[f"{n} AS ({sql})" for n, sql in STEPS.items()]])
+    steps = ",\n".join([derived.duckdb_ctes(), *[
+        f"{n} AS {'MATERIALIZED ' if n in _FIXED else ''}({sql})" for n, sql in STEPS.items()]])
     return {name: f"WITH {steps}\n{final}" for name, final in FINAL.items()}

@@ -33,7 +33,8 @@ def informative_strands(ref: Column, alt: Column) -> tuple[Column, Column]:
     return F.coalesce(pair != "CT", F.lit(True)), F.coalesce(pair != "AG", F.lit(True))
 
 
-def _cigar_steps(cigar: Column) -> Column:
+def cigar_steps(cigar: Column) -> Column:
+    """The CIGAR as an array of operations and lengths."""
     steps = F.regexp_extract_all(cigar, F.lit(CIGAR_STEP), F.lit(0))
     return F.transform(
         steps,
@@ -65,11 +66,14 @@ def exact_index(cigar: Column, offset: Column) -> Column:
         F.lit(0).cast("bigint").alias("read"),
         F.lit(None).cast("bigint").alias("found"),
     )
-    return F.aggregate(_cigar_steps(cigar), start, walk, lambda acc: acc.found)
+    return F.aggregate(cigar_steps(cigar), start, walk, lambda acc: acc.found)
 
 
-def exact_offset(cigar: Column, index: Column) -> Column:
-    """Reference offset (1-based) of a read index; null in insertions and clips."""
+def exact_offset(steps: Column, index: Column) -> Column:
+    """Reference offset (1-based) of a read index; null in insertions and clips.
+
+    Takes ``cigar_steps`` as a column, since it is asked for many bases of a read.
+    """
 
     def walk(acc: Column, step: Column) -> Column:
         on_ref = step.op.isin("M", "=", "X", "D", "N")
@@ -86,13 +90,16 @@ def exact_offset(cigar: Column, index: Column) -> Column:
         F.lit(0).cast("bigint").alias("read"),
         F.lit(None).cast("bigint").alias("found"),
     )
-    return F.aggregate(_cigar_steps(cigar), start, walk, lambda acc: acc.found)
+    ungapped = (F.size(steps) == 1) & (F.get(steps, F.lit(0)).op == "M")
+    return F.when(ungapped & (index <= F.get(steps, F.lit(0)).n), index).otherwise(
+        F.aggregate(steps, start, walk, lambda acc: acc.found)
+    )
 
 
 def reference_span(cigar: Column) -> Column:
     """Reference bases an alignment covers."""
     return F.aggregate(
-        _cigar_steps(cigar),
+        cigar_steps(cigar),
         F.lit(0).cast("bigint"),
         lambda acc, step: acc
         + F.when(step.op.isin("M", "=", "X", "D", "N"), step.n).otherwise(0),

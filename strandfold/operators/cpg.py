@@ -42,24 +42,29 @@ def exclude_snp_cpgs(context: DataFrame, exclusion: DataFrame,
     ).select("sample_id", "chr", "pos", "meth", "cov", "read_id")
 
 
-def cpg_read_genotype(context: DataFrame, genotype: DataFrame,
-                      hot: HotKeys | None = None) -> DataFrame:
-    """Distinct combinations of a read's calls with the alleles it carries.
-
-    The genotype side is made distinct first. Without a hot read the join
-    leaves each read in one place, so the final distinct needs no shuffle.
-    """
+def link_alleles(context: DataFrame, genotype: DataFrame,
+                 hot: HotKeys | None = None) -> DataFrame:
+    """A read's calls with the alleles it carries, repeated calls kept."""
     keys = ["sample_id", "read_id"]
     if hot is None:
         (hot,) = find_hot_keys(context, keys)
     alleles = genotype.select(
         "sample_id", "read_id", "snp_id", F.col("pos").alias("snp_pos"), "allele"
     ).dropDuplicates()
-    joined = split_join(
+    return split_join(
         context.select("sample_id", "read_id", "chr", "pos", "meth", "cov"),
         alleles, keys, "inner", hot,
-    )
-    return joined.select(*READ_COLUMNS).dropDuplicates()
+    ).select(*READ_COLUMNS)
+
+
+def cpg_read_genotype(context: DataFrame, genotype: DataFrame,
+                      hot: HotKeys | None = None) -> DataFrame:
+    """Distinct combinations of a read's calls with the alleles it carries.
+
+    Without a hot read the join leaves each read in one place, so the
+    distinct needs no shuffle of its own.
+    """
+    return link_alleles(context, genotype, hot).dropDuplicates()
 
 
 def cpg_genotype(reads: DataFrame) -> DataFrame:

@@ -36,12 +36,16 @@ def allele_calls(context: DataFrame, genotypes: DataFrame, exclusion: DataFrame,
     Nine tenths of all calls lie on reads without a SNP, so those go first and
     the full context is shuffled by read only; the CpG filters then act on
     what is left. Filters and join commute, so the rows are those of the
-    step-by-step order.
+    step-by-step order. The last join leaves each CpG in one place, where
+    repeated calls are dropped without another shuffle.
     """
     by_read, by_site = find_hot_keys(context, ["sample_id", "read_id"], ctx.SITE)
-    linked = cpg.cpg_read_genotype(context, genotypes, by_read)
+    linked = cpg.link_alleles(context, genotypes, by_read)
     usable = usable_cpgs(context, exclusion, params.pooled_cov)
-    return split_join(linked, usable, ctx.SITE, "left_semi", by_site)
+    return (
+        split_join(linked, usable, ctx.SITE, "left_semi", by_site)
+        .select(*cpg.READ_COLUMNS).dropDuplicates()
+    )
 
 
 def region_table(calls: DataFrame, summary: DataFrame, cpgs: DataFrame) -> DataFrame:

@@ -70,18 +70,23 @@ class Stages:
         return f"{self.root}/{stage}"
 
     def finished(self, stage: str) -> bool:
-        # The marker is written after the table, so a broken write has none.
+        """Whether the stage's marker, written after the table, holds a row."""
         try:
-            self.spark.read.parquet(self.path(stage) + ".finished")
-            return True
+            return not self.spark.read.parquet(self.path(stage) + ".finished").isEmpty()
         except AnalysisException:
             return False
 
+    def _mark(self, stage: str, rows: int) -> None:
+        self.spark.range(rows).write.mode("overwrite").parquet(self.path(stage) + ".finished")
+
     def write(self, stage: str, build: Callable[[], DataFrame]) -> DataFrame:
         """Write a stage, or take the finished one, and return it as a scan."""
-        if not (self.reuse and self.finished(stage)):
+        finished = self.finished(stage)
+        if not (self.reuse and finished):
+            if finished:  # a broken rewrite must not pass for the old table
+                self._mark(stage, 0)
             build().write.mode("overwrite").parquet(self.path(stage))
-            self.spark.range(1).write.mode("overwrite").parquet(self.path(stage) + ".finished")
+            self._mark(stage, 1)
         return self.read(stage)
 
     def read(self, stage: str) -> DataFrame:

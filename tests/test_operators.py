@@ -229,6 +229,18 @@ def test_stage_restart(spark):
     assert not stages.finished("y")
 
 
+def test_broken_rewrite_is_not_finished(spark):
+    stages = writers.Stages(spark)
+    stages.write("x", lambda: spark.range(5))
+
+    def broken():
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        stages.write("x", broken)
+    assert not stages.finished("x")
+
+
 SAM_DDL = ("sample_id string, read_id string, flag bigint, chr string, read_start bigint, mate_read_start bigint, "
            "cigar string, genome_strand string, meth string, score string, read_strand string")
 

@@ -28,8 +28,6 @@ WORDS, WORD_CHARS, DOCS = 1_000_000, 64, 256
 
 #: In such texts the tokenizer's normaliser only lower-cases, and no token crosses a blank.
 _PLAIN = re.compile("[\\t\\n\\r\\x20-;=-~¡-įı-ſ]*")
-#: Without two such marks in a row, commas and full stops are tokens of their own: fewer distinct words.
-_RUN = re.compile(r"[^\w\s][,.]|[,.][^\w\s]")
 #: The tokenizer's own pattern for what gets ids apart, fixed by its file.
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -67,7 +65,7 @@ class Encoder:
             if not _PLAIN.fullmatch(text):
                 rows.append(([self.ids([text])[0].tobytes()], [], []))
                 continue
-            words = (text if _RUN.search(text) else text.replace(",", " , ").replace(".", " . ")).lower().split()
+            words = text.lower().split()
             ids = list(map(self.known.get, words))
             missing = [i for i, x in enumerate(ids) if x is None]
             rows.append((ids, missing, [words[i] for i in missing]))

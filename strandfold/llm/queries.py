@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandfold.llm import exact, packing, simhash
+from strandfold.llm import credentials, decontaminate, exact, licenses, packing, pii, quality, simhash
 
 #: The tokenizer that packing counts tokens with.
 VOCABULARY = "word_bpe_49k.json"
@@ -32,12 +32,33 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.with_checksum(packing.packed(_read(spark, folder, "documents"), tokenizer_path()))
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.scores(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+
+
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contained(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", F.col("n_shingles").cast("long"), F.col("n_shared").cast("long"), "containment")
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.duplicates(_read(spark, folder, "documents")).drop("text_key")
 
 
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return credentials.digest(credentials.find(_read(spark, folder, "documents")))
+
+
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(pii.find(_read(spark, folder, "documents")))
+
+
+def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.digest(licenses.scan(_read(spark, folder, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_simhash, op2_packing, op5_exact_dedup)
+    found = (op1_simhash, op2_packing, op4_quality, op5_exact_dedup, op6_decontamination, op7_secrets, op8_pii, op10_licenses)
     return {f.__name__: f for f in found}
 
 
@@ -49,5 +70,18 @@ FROM d JOIN g USING (t)
 """
 
 
+OP6_SQL = """
+WITH words AS (
+         SELECT 'd' AS side, doc_id AS id, [x for x in regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') if x <> ''] AS w FROM documents
+         UNION ALL
+         SELECT 'i', item_id, [x for x in regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') if x <> ''] FROM benchmark),
+     s AS (SELECT DISTINCT side, id, unnest([array_to_string(w[i + 1:i + 5], ' ') for i in range(greatest(len(w) - 4, 1))]) AS shingle FROM words WHERE len(w) > 0),
+     n AS (SELECT id, count(*) AS n_shingles FROM s WHERE side = 'i' GROUP BY id)
+SELECT d.id AS doc_id, i.id AS item_id, n_shingles, count(*) AS n_shared, count(*) / n_shingles AS containment
+FROM s d JOIN s i ON d.shingle = i.shingle AND d.side = 'd' AND i.side = 'i' JOIN n ON n.id = i.id
+GROUP BY d.id, i.id, n_shingles HAVING count(*) >= ceil(0.8 * n_shingles - 1e-9)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5_SQL}
+    return {"op5_exact_dedup": OP5_SQL, "op6_decontamination": OP6_SQL}

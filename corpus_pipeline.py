@@ -4,11 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandfold.llm import exact, packing, simhash
+from strandfold.llm import decontaminate, exact, packing, quality, simhash
 from strandfold.llm.common import stored
 from strandfold.llm.queries import tokenizer_path
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality classifier does not reject."""
+    return quality.keep(docs, _table(spark, sf_dir, "labels"))
+
+
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     return exact.keep_one(docs)
@@ -19,14 +28,21 @@ def near_deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return simhash.keep_one(docs)
 
 
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no benchmark item."""
+    return decontaminate.clean(docs, _table(spark, sf_dir, "benchmark"))
+
+
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document went."""
     return packing.with_checksum(packing.packed(docs, tokenizer_path()))
 
 
 STAGES = [
+    ("quality", good),
     ("exact_dedup", deduplicated),
     ("near_dedup", near_deduplicated),
+    ("decontamination", decontaminated),
     ("packing", sequences),
 ]
 
@@ -35,7 +51,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

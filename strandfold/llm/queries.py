@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandfold.llm import credentials, decontaminate, exact, licenses, packing, pii, quality, simhash
+from strandfold.llm import chat, credentials, decontaminate, exact, licenses, packing, pii, quality, simhash, warc
+from strandfold.llm.common import new_folder
 
 #: The tokenizer that packing counts tokens with.
 VOCABULARY = "word_bpe_49k.json"
@@ -32,6 +33,11 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.with_checksum(packing.packed(_read(spark, folder, "documents"), tokenizer_path()))
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    index = warc.archive(_read(spark, folder, "pages"), new_folder(spark, "warc"))
+    return warc.digest(warc.read(index))
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.scores(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
 
@@ -53,12 +59,16 @@ def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(pii.find(_read(spark, folder, "documents")))
 
 
+def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.digest(chat.perspectives(_read(spark, folder, "conversations")))
+
+
 def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.digest(licenses.scan(_read(spark, folder, "documents")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_simhash, op2_packing, op4_quality, op5_exact_dedup, op6_decontamination, op7_secrets, op8_pii, op10_licenses)
+    found = (op1_simhash, op2_packing, op3_warc, op4_quality, op5_exact_dedup, op6_decontamination, op7_secrets, op8_pii, op9_chat, op10_licenses)
     return {f.__name__: f for f in found}
 
 
@@ -83,5 +93,29 @@ GROUP BY d.id, i.id, n_shingles HAVING count(*) >= ceil(0.8 * n_shingles - 1e-9)
 """
 
 
+OP3_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+     f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_id IS NOT NULL AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id IS NOT NULL AND page_id <> first_id THEN first_id END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+OP9_SQL = """
+WITH t AS (
+         SELECT conv_id, CAST(floor(turn / 64) AS BIGINT) AS part, turn, role,
+                replace(replace(coalesce(text, ''), '<|', '< |'), '|>', '| >') AS said FROM conversations),
+     w AS (SELECT DISTINCT conv_id, role AS perspective FROM t),
+     r AS (SELECT t.*, perspective, role = perspective AS own,
+                  CASE WHEN role = perspective THEN '<|assistant|>' ELSE '<|user name=' || role || '|>' END || chr(10) AS head,
+                  said || '<|end|>' || chr(10) AS tail FROM t JOIN w USING (conv_id)),
+     o AS (SELECT *, sum(length(head) + length(tail)) OVER (PARTITION BY conv_id, part, perspective ORDER BY turn, role, said) AS reached FROM r)
+SELECT conv_id, part, 0 AS piece, perspective, count(*) AS n_turns, string_agg(head || tail, '' ORDER BY turn, role, said) AS text,
+       coalesce(string_agg(CASE WHEN own THEN CAST(reached - length(tail) AS BIGINT) || ':' || CAST(reached AS BIGINT) END, ',' ORDER BY turn, role, said), '') AS mask
+FROM o GROUP BY conv_id, part, perspective
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5_SQL, "op6_decontamination": OP6_SQL}
+    return {"op3_warc": OP3_SQL, "op9_chat": OP9_SQL, "op5_exact_dedup": OP5_SQL, "op6_decontamination": OP6_SQL}

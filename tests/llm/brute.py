@@ -1,0 +1,91 @@
+"""Plain versions of the operators, straight from their definitions, for small tables."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import xxhash
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or "")) if w]
+    parts = [" ".join(words[i:i + shingle]) for i in range(len(words) - shingle + 1)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64(p.encode(), seed=42).intdigest() for p in parts]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def groups(nodes: list, linked) -> list:
+    """The smallest position that each node reaches."""
+    root = list(range(len(nodes)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(nodes)):
+        for j in range(i):
+            if linked(nodes[i], nodes[j]):
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    return [top(i) for i in range(len(nodes))]
+
+
+def join_spans(spans: list[tuple[str, int, int]]) -> str:
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+
+
+def sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def luhn(digits: str) -> bool:
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (2 if i % 2 else 1)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def personal(text: str | None) -> list[tuple[str, int, int]]:
+    text = text or ""
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    rules = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(p) <= 255 for p in s.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda s: 12 <= len(digits(s)) <= 19 and luhn(digits(s))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 9 <= len(digits(s)) <= 15),
+    ]
+    found = [(m.start(), i, m.end(), kind) for i, (kind, pattern, passes) in enumerate(rules) for m in re.finditer(pattern, text) if passes(m.group())]
+    return [(kind, start, end) for start, _, end, kind in sorted(found)]
+
+
+def secrets(text: str | None) -> list[tuple[str, int, int]]:
+    text = text or ""
+    rules = [
+        ("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m.group(2)) >= 12),
+        ("access", r"AKIA[A-Z0-9]+", lambda m: len(m.group()) >= 18),
+        ("hex", r"[0-9a-f]+", lambda m: len(m.group()) >= 16),
+    ]
+    found = [(m.start(), i, m.end(), kind) for i, (kind, pattern, passes) in enumerate(rules) for m in re.finditer(pattern, text) if passes(m)]
+    return [(kind, start, end) for start, _, end, kind in sorted(found)]
+
+
+def phrases(text: str | None) -> tuple[int, int, int | None, int | None, str]:
+    """n_words, n_base, first_word, last_word, base_labels."""
+    lower = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+    places, labels = [], set()
+    for phrase, label in (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")):
+        parts = phrase.split()
+        at = [i for i in range(len(words)) if words[i:i + len(parts)] == parts]
+        places += at
+        labels |= {label} if at else set()
+    return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+def shingles(text: str | None, shingle: int = 5) -> set[tuple[str, ...]]:
+    words = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", words) if w]
+    return {tuple(words[i:i + shingle]) for i in range(max(len(words) - shingle + 1, 1))} if words else set()

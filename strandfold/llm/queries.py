@@ -25,7 +25,7 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
-    groups = simhash.near_duplicates(_read(spark, folder, "documents"), shingle=3, distance=2, segments=7)
+    groups = simhash.fingerprint_groups(_read(spark, folder, "documents"), shingle=3, distance=2, segments=7)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

@@ -27,7 +27,9 @@ SEED = 42
 #: Shingles hashed at a time, so that very long texts need no more memory than others.
 BLOCK = 1 << 15
 #: Rows of one key that a task compares; a key with more is cut into pairs of tiles.
-TILE = 4096
+TILE = 1024
+#: Shingle sets that are verified against one at a time.
+SETS = 256
 
 
 def hashes(data: bytes | None, shingle: int) -> Iterator[np.ndarray]:
@@ -95,34 +97,58 @@ def close(one: np.uint64, many: np.ndarray, distance: int, segments: int) -> np.
     return left[np.bitwise_count(diff[left]) <= distance]
 
 
-def forest(fps: np.ndarray, distance: int, segments: int) -> Iterator[tuple[int, int]]:
-    """(member, root) for the groups among fingerprints of one key: a link less than members."""
-    rest = fps
+def similar(one: np.ndarray, many: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Which of several sets of shingles have at least that Jaccard similarity with one; sets are sorted arrays."""
+    sizes = np.array([len(x) for x in many])
+    shared = np.zeros(len(many), dtype=np.int64)
+    every = np.concatenate(many)
+    if len(every) and len(one):
+        at = np.minimum(np.searchsorted(one, every), len(one) - 1)
+        owner = np.repeat(np.arange(len(many)), sizes)
+        shared = np.bincount(owner[one[at] == every], minlength=len(many))
+    either = sizes + len(one) - shared
+    return (either == 0) | (shared >= similarity * either - 1e-9)
+
+
+def forest(nodes: np.ndarray, fps: np.ndarray, distance: int, segments: int, sets: list[np.ndarray] | None = None, similarity: float = 0.0) -> Iterator[tuple[int, int]]:
+    """(member, root) for the groups among the nodes of one key: a link less than members.
+
+    With ``sets`` a pair within the distance is linked only if its shingle sets are similar enough.
+    """
+    rest = np.arange(len(nodes))
     while len(rest) > 1:
         root, rest, queue = rest[0], rest[1:], [rest[0]]
         while queue and len(rest):
-            hits = close(queue.pop(), rest, distance, segments)
+            node = queue.pop()
+            hits = close(fps[node], fps[rest], distance, segments)
+            if sets is not None and len(hits):
+                hits = hits[np.concatenate([similar(sets[node], [sets[i] for i in rest[hits[k:k + SETS]]], similarity) for k in range(0, len(hits), SETS)])]
             if len(hits):
-                for member in rest[hits]:
-                    yield int(member), int(root)
+                yield from ((int(nodes[i]), int(nodes[root])) for i in rest[hits])
                 queue.extend(rest[hits])
                 rest = np.delete(rest, hits)
 
 
-def links(keyed: DataFrame, distance: int, segments: int) -> DataFrame:
-    """Links (a, b) between the distinct fingerprints (slot, key, fp) that share a key.
+def shared_keys(keyed: DataFrame) -> DataFrame:
+    """(slot, key, node, fp, lo, hi) of keys with more than one node: what a task is to compare.
 
-    Keys with one fingerprint go at once. A key with more than TILE is cut into tiles,
-    and every pair of tiles becomes a task's work of its own, so that no group lands in one
-    task, whatever its size; each task writes a spanning forest, never all pairs.
+    A key with more than TILE nodes is cut into tiles, and every pair of tiles becomes a task's work of its
+    own, so that no group lands in one task, whatever its size.
     """
     counts = stored(keyed.groupBy("slot", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "keys")
     tiles = F.ceil(F.col("n") / TILE).cast("int")
-    own = F.pmod(F.xxhash64("fp", F.lit(7)), tiles).cast("int")
+    own = F.pmod(F.xxhash64("node", F.lit(7)), tiles).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), tiles - 1), lambda j: F.struct(F.least(own, j).alias("lo"), F.greatest(own, j).alias("hi")))
-    dealt = keyed.join(counts, ["slot", "key"]).select("slot", "key", "fp", F.explode(pairs).alias("tile"))
-    dealt = dealt.select("slot", "key", F.col("tile.lo").alias("lo"), F.col("tile.hi").alias("hi"), "fp")
+    return keyed.join(counts, ["slot", "key"]).select("slot", "key", "node", "fp", F.inline(pairs))
+
+
+def links(dealt: DataFrame, distance: int, segments: int, similarity: float = 0.0) -> DataFrame:
+    """Links (a, b) between the nodes that share a key; each task writes spanning forests, never all pairs.
+
+    A column ``shingles``, if there is one, has each node's sorted 64-bit shingle hashes as bytes.
+    """
     names = ["slot", "key", "lo", "hi"]
+    verified = "shingles" in dealt.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -131,58 +157,88 @@ def links(keyed: DataFrame, distance: int, segments: int) -> DataFrame:
             marks = pdf[names].to_numpy()
             starts = np.flatnonzero(np.r_[True, (marks[1:] != marks[:-1]).any(axis=1)])
             held = pdf.iloc[starts[-1]:]
-            yield grouped(pdf["fp"].to_numpy(), starts)
+            yield grouped(pdf, starts)
         if held is not None:
-            yield grouped(held["fp"].to_numpy(), np.array([0, len(held)]))
+            yield grouped(held, np.array([0, len(held)]))
 
-    def grouped(fps: np.ndarray, starts: np.ndarray) -> pd.DataFrame:
-        fps = fps.view(np.uint64)
-        found = [x for lo, hi in zip(starts[:-1], starts[1:]) for x in forest(fps[lo:hi], distance, segments)]
-        return pd.DataFrame({"a": np.array([a for a, _ in found], dtype=np.uint64).view(np.int64), "b": np.array([b for _, b in found], dtype=np.uint64).view(np.int64)})
+    def grouped(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        nodes, fps, found = pdf["node"].to_numpy(), pdf["fp"].to_numpy().view(np.uint64), []
+        for lo, hi in zip(starts[:-1], starts[1:]):
+            sets = [np.frombuffer(x, dtype=np.uint64) for x in pdf["shingles"].iloc[lo:hi]] if verified else None
+            found += forest(nodes[lo:hi], fps[lo:hi], distance, segments, sets, similarity)
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
-    return dealt.repartition(*names).sortWithinPartitions(*names, "fp").mapInPandas(run, "a long, b long").distinct()
+    return dealt.repartition(*names).sortWithinPartitions(*names, "node").mapInPandas(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, segments: int = 7, sketch: int = 0) -> DataFrame:
-    """(doc_id, text_key, fp, component_id): groups of rows whose fingerprints are linked.
+def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, shingles) of (node, text)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            sets = [np.unique(np.concatenate([np.empty(0, dtype=np.uint64), *hashes(data, shingle)])).tobytes() for data in pdf["data"]]
+            yield pd.DataFrame({"node": pdf["node"], "shingles": sets})
 
-    ``sketch`` = 0: the keys are the equal segments that every linked pair must share
-    somewhere on the ring, so no link is missed. At a wide distance those segments are too
-    short to tell texts apart; then ``sketch`` > 0 takes each text's smallest shingle hashes as
-    keys (a pair with Jaccard similarity J shares none with a chance of about (1 - J) ** sketch), and
-    the ring prunes the pairs that share one.
+    return texts.select("node", F.col("text").cast("binary").alias("data")).mapInPandas(run, "node long, shingles binary")
 
+
+def fingerprint_groups(docs: DataFrame, shingle: int = 3, distance: int = 2, segments: int = 7) -> DataFrame:
+    """(doc_id, text_key, fp, component_id): groups of rows whose fingerprints are linked.
+
+    Every pair within the distance has its key in common somewhere on the ring, so no link is missed.
     component_id is the smallest doc_id in the group. Null texts count as empty; texts without
     words have fingerprint zero and link like any other. Rows that repeat a doc_id or a text each get
     their row. A null doc_id never becomes a component_id unless the group has no other. An
     empty table gives an empty result; extra columns are ignored.
     """
     exact = (segments - 1) // distance if distance else segments
-    if not sketch and exact < 1:
+    if exact < 1:
         raise ValueError("more segments than differing bits are needed")
+    prints = stored(fingerprints(docs, shingle).drop("sketch"), "fingerprints")
+    signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in ring_masks(segments, exact)]
+    slots = F.array(*(F.struct(F.lit(i).alias("slot"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed)))
+    keyed = prints.select("fp").distinct().select(F.col("fp").alias("node"), "fp", F.inline(slots))
+    return _named(prints, "fp", links(shared_keys(keyed), distance, segments))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, sketch: int = 6) -> DataFrame:
+    """(doc_id, text_key, fp, component_id): groups of rows linked by their shingles' Jaccard similarity.
+
+    At 0.8, fingerprints of 64 bits differ in about ten: segments that such a pair must share are too short to
+    tell texts apart. The join keys are therefore each text's ``sketch`` smallest shingle hashes (a pair with
+    similarity J shares none of them with a chance of about (1 - J) ** sketch). Among texts that share one, the ring
+    and the Hamming check prune at twice the expected number of differing bits, and what is left is
+    verified on the shingles. Cases as for fingerprint_groups; all texts without words are one group. Texts
+    are told apart by a hash of 64 bits.
+    """
+    expected = BITS * np.arccos(min(1.0, 2 * similarity / (1 + similarity))) / np.pi
+    distance = int(np.ceil(2 * expected))
     prints = stored(fingerprints(docs, shingle, sketch), "fingerprints")
-    if sketch:
-        keyed = prints.select("fp", F.explode("sketch").alias("key")).distinct().withColumn("slot", F.lit(0))
-    else:
-        signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in ring_masks(segments, exact)]
-        slots = F.array(*(F.struct(F.lit(i).alias("slot"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed)))
-        keyed = prints.select("fp").distinct().select("fp", F.inline(slots))
-    roots = components(stored(links(keyed, distance, segments), "links"), "a", "b")
-    first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    rooted = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    rooted = stored(rooted, "roots")
+    texts = stored(prints.groupBy(F.col("text_key").alias("node")).agg(F.min("doc_id").alias("first_id"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch")), "texts")
+    keys = F.when(F.size("sketch") > 0, F.col("sketch")).otherwise(F.array(F.lit(0).cast("long")))
+    dealt = stored(shared_keys(texts.select("node", "fp", F.lit(0).alias("slot"), F.explode(keys).alias("key"))), "shared")
+    needed = texts.join(dealt.select("node").distinct(), "node", "left_semi").select("node", "first_id")
+    found = docs.select(F.col("doc_id").alias("_id"), text_key("text").alias("_node"), "text").join(needed, (F.col("_node") == F.col("node")) & F.col("_id").eqNullSafe(F.col("first_id")))
+    sets = stored(shingle_sets(found.select("node", "text"), shingle).dropDuplicates(["node"]), "shingles")
+    return _named(prints, "text_key", links(dealt.join(sets, "node"), distance, 4, similarity)).drop("sketch")
+
+
+def _named(prints: DataFrame, node: str, found: DataFrame) -> DataFrame:
+    """The rows with the smallest doc_id of what their node is linked to."""
+    roots = components(stored(found, "links"), "a", "b")
+    first = prints.groupBy(F.col(node).alias("node")).agg(F.min("doc_id").alias("first_id"))
+    rooted = stored(first.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root")), "roots")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = stored(rooted.join(least, "root").select("fp", "component_id"), "components")
-    return prints.join(named, "fp").select("doc_id", "text_key", "fp", "component_id")
+    named = stored(rooted.join(least, "root").select(F.col("node").alias(node), "component_id"), "components")
+    return prints.join(named, node).select("doc_id", "text_key", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, sketch: int = 6) -> DataFrame:
     """The rows of ``docs``, one of each group of near duplicates: that with the smallest doc_id.
 
-    ``similarity`` is the share of equal fingerprint bits. Rows that repeat the
-    smallest doc_id, or have no doc_id in a group without any, all stay.
+    Rows that repeat the smallest doc_id, or have no doc_id in a group without any, all stay.
     """
-    groups = near_duplicates(docs, shingle, int(BITS * (1 - similarity) + 1e-9), 4, sketch)
+    groups = near_duplicates(docs, shingle, similarity, sketch)
     gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
     gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (text_key("text") == F.col("_gone_key"))

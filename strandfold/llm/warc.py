@@ -41,7 +41,7 @@ class Inflated(io.RawIOBase):
 
     def __init__(self, source: BinaryIO, name: str):
         self.source, self.name, self.pending = source, name, b""
-        self.stream = zlib.decompressobj(31)
+        self.stream, self.begun = zlib.decompressobj(31), False
 
     def readable(self) -> bool:
         return True
@@ -55,6 +55,7 @@ class Inflated(io.RawIOBase):
                     return 0
                 self.stream = zlib.decompressobj(31)
             data = self.pending or self.source.read(CHUNK)
+            self.begun = self.begun or bool(data)
             try:
                 out = self.stream.decompress(data, len(target))
             except zlib.error as problem:
@@ -66,6 +67,8 @@ class Inflated(io.RawIOBase):
             if not data:
                 if self.stream.eof:
                     continue
+                if not self.begun:
+                    return 0
                 raise ValueError(f"{self.name}: the gzip stream ends too early")
 
 

@@ -10,12 +10,11 @@ import random
 import re
 import zlib
 
+import brute
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from brute import prose, texts
 
-from tests.llm import brute
-from tests.llm.conftest import prose, texts
 from strandfold.llm import chat, credentials, decontaminate, exact, licenses, packing, pii, quality, queries, simhash, warc
 from strandfold.llm.common import new_folder
 from strandfold.llm.graph import components

@@ -33,6 +33,11 @@ def informative_strands(ref: Column, alt: Column) -> tuple[Column, Column]:
     return F.coalesce(pair != "CT", F.lit(True)), F.coalesce(pair != "AG", F.lit(True))
 
 
+def bare_chr(name: Column) -> Column:
+    """A chromosome name without its ``chr`` prefix, for tables that write it differently."""
+    return F.regexp_replace(name, "^chr", "")
+
+
 def cigar_steps(cigar: Column) -> Column:
     """The CIGAR as an array of operations and lengths."""
     steps = F.regexp_extract_all(cigar, F.lit(CIGAR_STEP), F.lit(0))

@@ -15,14 +15,24 @@ VCF_READS = ["sample_id", "chr", "snp_id", "pos", "ref", "alt", "CT_strand", "GA
 SNP_COLUMNS = ["sample_id", "chr", "snp_id", "pos", "ref", "alt", "CT_strand", "GA_strand"]
 
 
+BARE = "_bare_chr"
+
+
+def _by_bare_name(df: DataFrame) -> DataFrame:
+    return df.withColumn(BARE, genome.bare_chr(F.col("chr")))
+
+
 def reads_overlap_snp(reads: DataFrame, snps: DataFrame,
                       hot: HotKeys | None = None) -> DataFrame:
-    """Each read with each SNP between its first and last base."""
+    """Each read with each SNP between its first and last base.
+
+    Chromosomes meet with or without the ``chr`` prefix; the reads' spelling stays.
+    """
     renamed = reads.withColumnsRenamed(
         {"CT_strand": "seq_CT_strand", "GA_strand": "seq_GA_strand"}
     )
     return point_interval_join(
-        renamed, snps.select(*SNP_COLUMNS), ["sample_id", "chr"],
+        _by_bare_name(renamed), _by_bare_name(snps.select(*SNP_COLUMNS)).drop("chr"), ["sample_id", BARE],
         "read_start", "read_end", "pos", hot=hot,
     ).select(*VCF_READS)
 
@@ -31,9 +41,9 @@ def overlap_pairs(reads: DataFrame, snps: DataFrame, hot: HotKeys | None = None)
     """The overlap on read keys alone, for joining the wide columns back later."""
     narrow = reads.select("sample_id", "chr", "read_id", "r_strand", "read_start", "read_end")
     return point_interval_join(
-        narrow, snps.select(*SNP_COLUMNS), ["sample_id", "chr"],
+        _by_bare_name(narrow), _by_bare_name(snps.select(*SNP_COLUMNS)).drop("chr"), ["sample_id", BARE],
         "read_start", "read_end", "pos", hot=hot,
-    ).drop("read_start", "read_end")
+    ).drop("read_start", "read_end", BARE)
 
 
 def overlap_rejoin(reads: DataFrame, pairs: DataFrame, hot: HotKeys | None = None) -> DataFrame:

@@ -67,9 +67,11 @@ def _context_raw(d: str) -> str:
 
 
 def _sam_raw(d: str) -> str:
+    # Some mates lie on the next chromosome, some are missing, and some first mates are aligned twice.
     return f"""
-    SELECT sample_id, read_id, CASE WHEN mate = 1 THEN cast(99 as bigint) ELSE cast(147 as bigint) END AS flag,
-      chr, start_at AS read_start, 20 + p % 40 AS mapq, cigar, '=' AS rnext,
+    SELECT sample_id, read_id, cast(CASE mate WHEN 1 THEN 99 WHEN 2 THEN 147 ELSE 2147 END as bigint) AS flag,
+      CASE WHEN mate = 2 THEN mate_chr ELSE chr END AS chr, start_at AS read_start, 20 + p % 40 AS mapq, cigar,
+      CASE WHEN mate_chr = chr THEN '=' WHEN mate = 2 THEN chr ELSE mate_chr END AS rnext,
       mate_start AS mate_read_start, 100 + shift AS insert_length,
       CASE WHEN off < 1 THEN repeat('N', 100)
            ELSE concat(repeat('N', cast(idx - 1 as int)), base, repeat('N', cast(100 - idx as int))) END AS seq,
@@ -80,7 +82,7 @@ def _sam_raw(d: str) -> str:
       concat('OQ:Z:', CASE WHEN p % 17 = 0 AND off >= 1
                            THEN concat(repeat('I', cast(idx - 1 as int)), '!', repeat('I', cast(100 - idx as int)))
                            ELSE repeat('I', 100) END) AS score_before_recal,
-      CASE WHEN mate = 1 THEN 'XR:Z:CT' ELSE 'XR:Z:GA' END AS read_strand
+      CASE WHEN mate = 2 THEN 'XR:Z:GA' ELSE 'XR:Z:CT' END AS read_strand
     FROM (SELECT *, CASE WHEN o % 29 = 0 THEN 'N'
                          WHEN b0 = 'C' AND genome_strand = 'XG:Z:CT' AND p % 2 = 0 THEN 'T'
                          WHEN b0 = 'G' AND genome_strand = 'XG:Z:GA' AND p % 2 = 0 THEN 'A' ELSE b0 END AS base,
@@ -91,19 +93,23 @@ def _sam_raw(d: str) -> str:
       FROM (SELECT *, snp_at - start_at + 1 AS off,
               CASE WHEN (CASE WHEN mate = 2 AND o % 26 = 0 THEN 1 - is_alt ELSE is_alt END) = 1
                    THEN {_ALT} ELSE {_REF} END AS b0
-        FROM (SELECT *, CASE WHEN mate = 1 THEN read_start ELSE read_start + shift END AS start_at,
-                CASE WHEN mate = 1 THEN read_start + shift ELSE read_start END AS mate_start,
+        FROM (SELECT *, CASE mate WHEN 1 THEN read_start WHEN 2 THEN read_start + shift ELSE read_start + 2000 END AS start_at,
+                CASE WHEN mate = 2 THEN read_start ELSE read_start + shift END AS mate_start,
+                concat('chr', {_text('1 + (k + CASE WHEN o % 23 = 0 THEN 1 ELSE 0 END) % 3')}) AS mate_chr,
                 CASE o % 10 WHEN 7 THEN '30M1I30M1D39M' WHEN 8 THEN '20M2D80M'
                             WHEN 9 THEN '20M1I79M' ELSE '100M' END AS cigar,
                 CASE WHEN ln % 2 = 1 THEN 'XG:Z:CT' ELSE 'XG:Z:GA' END AS genome_strand
-          FROM (SELECT *, (p % 3) * 30 AS shift, {_series(d, '1', '2')} AS mate FROM placed) m) a) b) c"""
+          FROM (SELECT *, CASE WHEN o % 31 = 0 THEN 500 ELSE (p % 3) * 30 END AS shift, {_series(d, '1', '3')} AS mate
+                FROM placed) m
+          WHERE mate = 1 OR (mate = 2 AND o % 19 <> 0) OR (mate = 3 AND o % 31 = 0)) a) b) c"""
 
 
 def _vcf_raw(d: str) -> str:
     # Five sites per supplier and sample, and one row cleaning has to deal with:
     # a repeat, an indel, an id of "." or of another kind, or a bad position.
+    # The second sample's chromosomes are written without the prefix its reads have.
     return f"""
-    SELECT sample_id, concat('chr', {_text('1 + k % 3')}) AS chr,
+    SELECT sample_id, concat(CASE WHEN sample_id = 's2' THEN '' ELSE 'chr' END, {_text('1 + k % 3')}) AS chr,
       CASE WHEN odd = 4 THEN 'NA' ELSE {_text(f"1000 + 200 * {_div('k', 3)}")} END AS pos,
       CASE WHEN odd = 2 THEN '.' WHEN odd = 3 THEN concat('ss', {_text('k')})
            ELSE concat('rs', {_text('k')}) END AS snp_id,

@@ -75,8 +75,8 @@ STEPS: dict[str, str] = {
         SELECT r.sample_id, r.chr, snp_id, pos, ref, alt, v.CT_strand, v.GA_strand,
           r.CT_strand AS seq_CT_strand, r.GA_strand AS seq_GA_strand,
           read_start, read_end, cigar, read_id, seq, score_before_recal
-        FROM clean_sam r JOIN clean_vcf v ON r.sample_id = v.sample_id AND r.chr = v.chr
-          AND v.pos BETWEEN r.read_start AND r.read_end""",
+        FROM clean_sam r JOIN clean_vcf v ON r.sample_id = v.sample_id
+          AND replace(r.chr, 'chr', '') = replace(v.chr, 'chr', '') AND v.pos BETWEEN r.read_start AND r.read_end""",
     "split": """
         SELECT *, regexp_extract_all(cigar, '[MDI]') AS letters,
           list_transform(regexp_extract_all(cigar, '[0-9]+'), lambda x: cast(x AS bigint)) AS numbers,
@@ -259,18 +259,23 @@ STEPS: dict[str, str] = {
             AND i > (CASE WHEN flag & 16 > 0 THEN {P.ignore_3prime_r2} ELSE {P.ignore_r2} END)
             AND i <= 100 - (CASE WHEN flag & 16 > 0 THEN {P.ignore_r2} ELSE {P.ignore_3prime_r2} END)))""",
     "first_spans": """
-        SELECT sample_id, read_id, chr, min(read_start) AS span_from,
-          max(read_start + CASE cigar WHEN '20M2D80M' THEN 102 WHEN '20M1I79M' THEN 99 ELSE 100 END - 1) AS span_to
-        FROM sam_raw WHERE read_strand LIKE '%CT%' GROUP BY sample_id, read_id, chr""",
+        SELECT sample_id, read_id, chr, read_start AS span_from,
+          read_start + CASE cigar WHEN '20M2D80M' THEN 102 WHEN '20M1I79M' THEN 99 ELSE 100 END - 1 AS span_to
+        FROM sam_raw WHERE read_strand LIKE '%CT%'""",
+    "ends": """
+        SELECT sample_id, read_id, concat(chr, ' ', lpad(cast(read_start AS varchar), 12, '0'), ' ', flag & 16 > 0) AS e FROM sam_raw
+        UNION ALL
+        SELECT sample_id, read_id, concat(CASE WHEN rnext = '=' THEN chr ELSE rnext END, ' ',
+          lpad(cast(mate_read_start AS varchar), 12, '0'), ' ', flag & 32 > 0) FROM sam_raw WHERE rnext <> '*'""",
+    "both_ends": "SELECT sample_id, read_id, min(e) AS lo, max(e) AS hi FROM ends GROUP BY sample_id, read_id",
     "fragment_scores": """
-        SELECT sample_id, chr, read_id, min(read_start) AS lo, max(read_start) AS hi,
-          min(genome_strand) AS strand,
+        SELECT sample_id, read_id, count(*) AS n, min(genome_strand) AS strand,
           sum(list_sum(list_transform(string_split(score_before_recal, ''), lambda c: ascii(c) - 33))) AS q
-        FROM sam_raw GROUP BY sample_id, chr, read_id""",
+        FROM sam_raw GROUP BY sample_id, read_id""",
     "best_fragments": """
-        SELECT sample_id, chr, read_id FROM (SELECT *, row_number() OVER (
-            PARTITION BY sample_id, chr, lo, hi, strand ORDER BY q DESC, read_id) AS nth
-          FROM fragment_scores) f WHERE nth = 1""",
+        SELECT sample_id, read_id FROM (SELECT f.*, row_number() OVER (
+            PARTITION BY f.sample_id, lo, hi, n, strand ORDER BY q DESC, f.read_id) AS nth
+          FROM fragment_scores f JOIN both_ends USING (sample_id, read_id)) x WHERE nth = 1""",
 }
 
 # Kept as written, so that join orders cannot mix across these steps.
@@ -298,7 +303,7 @@ FINAL: dict[str, str] = {
     "scan_common_snps": "SELECT * FROM common_raw",
     "scan_cpg_asm": f"SELECT {_CPG9}, fisher_pvalue FROM cpg_asm",
     "scan_region_pvalue": _NESTED,
-    "append_chromosomes": "SELECT * FROM clean_vcf WHERE chr IN ('chr1', 'chr2', 'chr3')",
+    "append_chromosomes": "SELECT * FROM clean_vcf WHERE chr IN ('chr1', 'chr2', 'chr3', '1', '2', '3')",
     "write_bedgraph": "SELECT sample_id, chr, pos_start, pos_end, cov, meth_perc FROM covered",
     "write_csv": f"SELECT {_CPG9} FROM paired",
     "write_csv_noheader": f"SELECT {_CPG9}, fisher_pvalue FROM cpg_asm",
@@ -337,8 +342,8 @@ FINAL: dict[str, str] = {
           read_start, read_end, cigar, r.read_id, seq, score_before_recal
         FROM clean_sam r JOIN (
           SELECT s.sample_id, s.chr, s.read_id, s.r_strand, snp_id, pos, ref, alt, v.CT_strand, v.GA_strand
-          FROM clean_sam s JOIN clean_vcf v ON s.sample_id = v.sample_id AND s.chr = v.chr
-            AND v.pos >= s.read_start AND v.pos <= s.read_end) p
+          FROM clean_sam s JOIN clean_vcf v ON s.sample_id = v.sample_id
+            AND replace(s.chr, 'chr', '') = replace(v.chr, 'chr', '') AND v.pos >= s.read_start AND v.pos <= s.read_end) p
         ON r.sample_id = p.sample_id AND r.chr = p.chr AND r.read_id = p.read_id AND r.r_strand = p.r_strand""",
     "exclude_snp_cpgs": "SELECT * FROM context_filtered",
     "cpg_read_genotype": "SELECT * FROM cpg_read_genotype",
@@ -385,19 +390,19 @@ FINAL: dict[str, str] = {
     "extract_methylation": """
         SELECT b.sample_id, b.read_id, CASE WHEN meth_call = 'Z' THEN '+' ELSE '-' END AS meth_state, b.chr,
           pos, meth_call, CASE WHEN genome_strand LIKE '%CT%' THEN 'OT' ELSE 'OB' END AS strand
-        FROM kept_bases b LEFT JOIN first_spans s ON b.sample_id = s.sample_id AND b.read_id = s.read_id
-          AND b.chr = s.chr AND b.read_strand NOT LIKE '%CT%'
-        WHERE s.read_id IS NULL OR pos NOT BETWEEN span_from AND span_to""",
+        FROM kept_bases b WHERE b.read_strand LIKE '%CT%' OR NOT EXISTS (
+          SELECT 1 FROM first_spans s WHERE b.sample_id = s.sample_id AND b.read_id = s.read_id
+            AND b.chr = s.chr AND b.pos BETWEEN span_from AND span_to)""",
     "remove_duplicates": """
         SELECT r.sample_id, r.chr, r.read_id, flag, read_start, mate_read_start, cigar
         FROM sam_raw r JOIN best_fragments b
-        ON r.sample_id = b.sample_id AND r.chr = b.chr AND r.read_id = b.read_id""",
+        ON r.sample_id = b.sample_id AND r.read_id = b.read_id""",
     "layout_by_chromosome": "SELECT sample_id, chr, read_id, flag, read_start, cigar FROM sam_raw",
     "variant_depth_cap": f"""
         SELECT sample_id, chr, snp_id, pos, ref, alt, CT_strand, GA_strand FROM clean_vcf v
         WHERE NOT EXISTS (SELECT 1 FROM (SELECT sample_id, chr, pos, snp_id FROM vcf_reads
             GROUP BY sample_id, chr, pos, snp_id HAVING count(*) > {SHALLOW_DEPTH}) d
-          WHERE d.sample_id = v.sample_id AND d.chr = v.chr AND d.pos = v.pos AND d.snp_id = v.snp_id)""",
+          WHERE d.sample_id = v.sample_id AND replace(d.chr, 'chr', '') = replace(v.chr, 'chr', '') AND d.pos = v.pos AND d.snp_id = v.snp_id)""",
 }
 
 

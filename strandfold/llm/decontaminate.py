@@ -25,8 +25,12 @@ def _starts(found: Column, shingle: int) -> Column:
     return F.when(F.size(found) > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
 
-def shingles(text: Column, shingle: int) -> Column:
-    found = words(lower_ascii(F.coalesce(text, F.lit(""))))
+def with_words(rows: DataFrame) -> DataFrame:
+    """Adds ``words``, a column of its own: a lambda would split the text again for every element."""
+    return rows.withColumn("words", words(lower_ascii(F.coalesce("text", F.lit("")))))
+
+
+def shingles(found: Column, shingle: int) -> Column:
     return F.array_distinct(F.transform(_starts(found, shingle), lambda i: F.array_join(F.slice(found, i + 1, shingle), " ")))
 
 
@@ -41,7 +45,7 @@ def sketches(items: DataFrame, shingle: int, threshold: float) -> DataFrame:
     size_class is the power of two that the item's number of shingles reaches; all documents a
     partition can match have at least ``threshold`` times its smallest size.
     """
-    found = items.select("item_id", text_key("text").alias("item_key"), words(lower_ascii(F.coalesce("text", F.lit("")))).alias("words"))
+    found = with_words(items.select("item_id", "text")).select("item_id", text_key("text").alias("item_key"), "words")
     found = found.select("item_id", "item_key", F.array_sort(F.array_distinct(hashed(F.col("words"), shingle))).alias("hashes"))
     n = F.size("hashes")
     length = n - F.ceil(F.lit(threshold) * n - 1e-9).cast("int") + 1
@@ -62,15 +66,15 @@ def contained(docs: DataFrame, items: DataFrame, shingle: int = 5, threshold: fl
     probes = stored(probes, "probes")
     if probes.count() <= BROADCAST_ROWS:
         probes = F.broadcast(probes)
-    found = docs.select("doc_id", text_key("text").alias("text_key"), words(lower_ascii(F.coalesce("text", F.lit("")))).alias("words"))
+    found = with_words(docs.select("doc_id", "text")).select("doc_id", text_key("text").alias("text_key"), "words")
     found = found.select("doc_id", "text_key", F.size("words").alias("n_words"), F.explode(hashed(F.col("words"), shingle)).alias("hash"))
     pairs = found.join(probes, "hash").where("n_words >= least - 1e-9").select("doc_id", "text_key", "item_id", "item_key").distinct()
     pairs = stored(pairs, "candidates")
 
     texts = docs.select(F.col("doc_id").alias("_id"), text_key("text").alias("_key"), "text")
     near = texts.join(pairs.select("doc_id", "text_key").distinct(), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
-    near = near.select("doc_id", "text_key", shingles(F.col("text"), shingle).alias("doc_shingles")).dropDuplicates(["doc_id", "text_key"])
-    tested = items.select(F.col("item_id").alias("_item"), text_key("text").alias("_item_key"), shingles(F.col("text"), shingle).alias("item_shingles")).dropDuplicates(["_item", "_item_key"])
+    near = with_words(near).select("doc_id", "text_key", shingles(F.col("words"), shingle).alias("doc_shingles")).dropDuplicates(["doc_id", "text_key"])
+    tested = with_words(items.select("item_id", "text")).select(F.col("item_id").alias("_item"), text_key("text").alias("_item_key"), shingles(F.col("words"), shingle).alias("item_shingles")).dropDuplicates(["_item", "_item_key"])
     with_item = pairs.join(tested, F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("item_key") == F.col("_item_key")))
     met = with_item.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_doc_key"), "item_id", "item_shingles").join(
         near, F.col("_doc").eqNullSafe(F.col("doc_id")) & (F.col("_doc_key") == F.col("text_key"))

@@ -24,28 +24,33 @@ EVIDENCE = 12.0
 FEATURES = ("log_words", "distinct", "repeats", "marks", "pipes", "capitals", "word_length", "ends", "digits", "doubled", "short")
 
 
-def features(text: Column) -> list[Column]:
-    """Figures of a text, all between about 0 and a few units; a text without words has zeros."""
-    text = F.coalesce(text, F.lit(""))
-    chars = F.greatest(F.char_length(text), F.lit(1)).cast("double")
-    found = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    n = F.greatest(F.size(found), F.lit(1)).cast("double")
-    without = lambda chars_: F.char_length(F.translate(text, chars_, ""))
-    count = lambda chars_: (F.char_length(text) - without(chars_)).cast("double")
-    pairs = F.size(F.filter(F.arrays_zip(found.alias("w"), F.slice(found, F.lit(2), F.greatest(F.size(found) - 1, F.lit(0))).alias("v")), lambda p: p["w"] == p["v"])).cast("double")
-    return [
-        F.log1p(F.size(found).cast("double")),
-        F.size(F.array_distinct(found)).cast("double") / n,
+def with_figures(rows: DataFrame) -> DataFrame:
+    """Adds ``_x``, the figures of ``_text``, all between about 0 and a few units; a text without words has zeros.
+
+    Words, and what is left of a text without its small letters, are columns that all figures share.
+    """
+    rows = rows.withColumns({
+        "_words": F.filter(F.split("_text", "[\\x20\\x09-\\x0D]+"), lambda w: w != ""),
+        "_rest": F.regexp_replace("_text", "[a-z\u00DF-\u00FF\\x20\\n,]+", ""),
+    })
+    chars = F.greatest(F.char_length("_text"), F.lit(1)).cast("double")
+    n = F.greatest(F.size("_words"), F.lit(1)).cast("double")
+    count = lambda which: (F.char_length("_rest") - F.char_length(F.translate("_rest", which, ""))).cast("double")
+    following = F.slice("_words", F.lit(2), F.greatest(F.size("_words") - 1, F.lit(0)))
+    pairs = F.size(F.filter(F.arrays_zip(F.col("_words").alias("w"), following.alias("v")), lambda p: p["w"] == p["v"])).cast("double")
+    return rows.withColumn("_x", F.array(
+        F.log1p(F.size("_words").cast("double")),
+        F.size(F.array_distinct("_words")).cast("double") / n,
         pairs / n,
         count("!@#$%^&*~=<>{}[]") / n,
         count("|") / n,
         count("ABCDEFGHIJKLMNOPQRSTUVWXYZÄÖÜÉÈÀÇÑÍÓ") / chars * 4,
-        F.char_length(text).cast("double") / n / 10,
+        F.char_length("_text").cast("double") / n / 10,
         count(".?") / n,
         count("0123456789") / n,
         count("!") / n,
-        (F.size(found) < 5).cast("double"),
-    ]
+        (F.size("_words") < 5).cast("double"),
+    ))
 
 
 def fit(rows: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -76,15 +81,16 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> tuple[n
     """The classifier, from at most SAMPLE labelled documents, which is all that comes to the driver."""
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", F.array(*features(F.col("text"))).alias("x")).limit(2 * SAMPLE).collect()
-    return fit(np.array([r.x for r in rows], dtype=float), np.array([r.label for r in rows], dtype=float))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text")).join(F.broadcast(chosen), "doc_id")
+    rows = with_figures(rows).select("label", "_x").limit(2 * SAMPLE).collect()
+    return fit(np.array([r["_x"] for r in rows], dtype=float), np.array([r.label for r in rows], dtype=float))
 
 
-def log_odds(text: Column, model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Column:
-    """What the classifier makes of a text, within the bounds of EVIDENCE."""
+def log_odds(x: Column, model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Column:
+    """What the classifier makes of a text's figures, within the bounds of EVIDENCE."""
     weights, centre, scale = model
     total = F.aggregate(
-        F.arrays_zip(F.array(*features(text)).alias("x"), F.array(*(F.lit(float(w / s)) for w, s in zip(weights, scale))).alias("w"), F.array(*(F.lit(float(c)) for c in centre)).alias("c")),
+        F.arrays_zip(x.alias("x"), F.array(*(F.lit(float(w / s)) for w, s in zip(weights, scale))).alias("w"), F.array(*(F.lit(float(c)) for c in centre)).alias("c")),
         F.lit(float(weights[-1])), lambda acc, f: acc + (f["x"] - f["c"]) * f["w"],
     )
     return F.greatest(F.least(total, F.lit(EVIDENCE)), F.lit(-EVIDENCE))
@@ -107,18 +113,18 @@ def site_rates(judged: DataFrame) -> tuple[DataFrame, float]:
     return stored(both.select("host", "path", "host_rate", "path_rate"), "rates"), prior
 
 
-def judged_rows(docs: DataFrame, labels: DataFrame, host: str, path: str, label: str) -> DataFrame:
-    """(row, host, path, p_text, host_rate, path_rate, p_quality): ``row`` has the columns of ``docs``.
-
-    The text is scored where it is read, once for the sums and once for the result: the few sites are joined
-    to it, it is not shuffled.
-    """
+def judged(docs: DataFrame, labels: DataFrame, host: str, path: str, label: str) -> DataFrame:
+    """(row, host, path, p_text): ``row`` has the columns of ``docs``, p_text is what the text alone says."""
     model = train(docs, labels, label)
-    found = docs.select(
+    found = with_figures(docs.select(
         F.struct("*").alias("row"), F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"),
-        (1 / (1 + F.exp(-log_odds(F.col("text"), model)))).alias("p_text"),
-    )
-    rates, prior = site_rates(found.select("host", "path", "p_text"))
+        F.coalesce("text", F.lit("")).alias("_text"),
+    ))
+    return found.select("row", "host", "path", (1 / (1 + F.exp(-log_odds(F.col("_x"), model)))).alias("p_text"))
+
+
+def with_sites(found: DataFrame, rates: DataFrame, prior: float) -> DataFrame:
+    """Adds the rates of host and path and p_quality. The sites are few next to the rows that they are joined to."""
     rates = rates.select(F.col("host").alias("_host"), F.col("path").alias("_path"), "host_rate", "path_rate")
     met = found.join(rates, F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path"))).drop("_host", "_path")
     odds = lambda p: F.log(p / (1 - p))
@@ -134,13 +140,20 @@ def scores(docs: DataFrame, labels: DataFrame, host: str = "source", path: str =
     Without usable labels every document has the same evidence and is kept. An empty
     table gives an empty result; extra columns are ignored.
     """
-    found = judged_rows(docs.select("doc_id", "text", host, path), labels, host, path, label)
-    return found.select(F.col("row.doc_id").alias("doc_id"), "host", "path", "p_text", "host_rate", "path_rate", "p_quality", (F.col("p_quality") >= 0.5).alias("keep"))
+    found = judged(docs.select("doc_id", "text", host, path), labels, host, path, label)
+    found = stored(found.select(F.col("row.doc_id").alias("doc_id"), "host", "path", "p_text"), "judged")
+    met = with_sites(found, *site_rates(found))
+    return met.select("doc_id", "host", "path", "p_text", "host_rate", "path_rate", "p_quality", (F.col("p_quality") >= 0.5).alias("keep"))
 
 
 def keep(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", label: str = "quality") -> DataFrame:
-    """The rows of ``docs`` that are not rejected, with their columns."""
-    return judged_rows(docs, labels, host, path, label).where("p_quality >= 0.5").select("row.*")
+    """The rows of ``docs`` that are not rejected, with their columns.
+
+    Texts are scored where they are read, once for the sums and once for the result, and never shuffled.
+    """
+    found = judged(docs, labels, host, path, label)
+    met = with_sites(found, *site_rates(found.select("host", "path", "p_text")))
+    return met.where("p_quality >= 0.5").select("row.*")
 
 
 def _pull(sites: DataFrame) -> float:

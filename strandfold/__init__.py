@@ -2,4 +2,6 @@
 
 from strandfold.params import AsmParams
 
+__version__ = "0.2.0"
+
 __all__ = ["AsmParams"]

@@ -11,18 +11,21 @@ from pyspark.sql import functions as F
 
 # Rows of one key a single task should join.
 ROWS_PER_SPLIT = 4_000_000
-# Keys below the 128 most frequent hold less than 1/128 of the rows each.
-MAX_HOT_KEYS = 128
-# Tasks one key is spread over at most.
-MAX_SPLITS = 1024
-_SKETCH_ITEMS = 8192
+# Keys and counters that Spark's frequent-items sketch allows.
+MAX_HOT_KEYS = 100_000
+MAX_ITEMS = 1_000_000
+LEAST_KEYS, LEAST_ITEMS = 128, 8192
+# Rows up to which the sketch tells a key of ROWS_PER_SPLIT rows for certain.
+MOST_ROWS = 10**12
+# More keys than these are looked up in a table rather than in the expression.
+LITERAL_KEYS = 128
 
 SALT = "_salt"
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Splits per hash of a frequent key; at most ``MAX_HOT_KEYS`` entries."""
+    """Splits per hash of a frequent key; at most ``MAX_HOT_KEYS`` entries of 12 bytes."""
 
     splits: dict[int, int] = field(default_factory=dict)
 
@@ -35,6 +38,14 @@ class HotKeys:
         )
         return F.coalesce(F.try_element_at(table, F.xxhash64(*keys)), F.lit(1))
 
+    def attach(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The table with the splits of each row's key as a column ``_splits``."""
+        if len(self.splits) <= LITERAL_KEYS:
+            return df.withColumn("_splits", self.splits_of([F.col(k) for k in keys]))
+        table = df.sparkSession.createDataFrame(list(self.splits.items()), "_hash bigint, _splits int")
+        found = df.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(table), "_hash", "left")
+        return found.withColumn("_splits", F.coalesce("_splits", F.lit(1))).drop("_hash")
+
 
 def find_hot_keys(df: DataFrame, *key_sets: Sequence[str | Column],
                   rows_per_split: int = ROWS_PER_SPLIT) -> list[HotKeys]:
@@ -49,16 +60,19 @@ def profile(df: DataFrame, key_sets: Sequence[Sequence[str | Column]], *facts: C
     Each task keeps a frequent-items sketch of bounded size over the hashed
     keys and only the sketches are merged, so neither the keys nor the rows
     are shuffled. The choice decides how work is spread, never what is joined.
+    The sketch is sized by the table: up to ``MOST_ROWS`` rows it finds every key
+    with more than ``rows_per_split`` rows and more than a ``MAX_HOT_KEYS``-th of the table.
     """
+    number, items, rows_per_split = _sizes(df, rows_per_split)
     hashed = df.withColumns({f"_h{i}": F.xxhash64(*keys) for i, keys in enumerate(key_sets)})
     row = hashed.agg(*[
-        F.expr(f"approx_top_k(_h{i}, {MAX_HOT_KEYS}, {_SKETCH_ITEMS})")
+        F.expr(f"approx_top_k(_h{i}, {number}, {items})")
         for i in range(len(key_sets))
     ], *facts).first()
     sketches, found = row[: len(key_sets)], row[len(key_sets):]
     return [
         HotKeys({
-            r["item"]: min(MAX_SPLITS, math.ceil(r["count"] / rows_per_split))
+            r["item"]: math.ceil(r["count"] / rows_per_split)
             for r in (sketch or [])
             if r["item"] is not None and r["count"] > rows_per_split
         })
@@ -66,6 +80,19 @@ def profile(df: DataFrame, key_sets: Sequence[Sequence[str | Column]], *facts: C
     ], tuple(found)
 
 
+def _sizes(df: DataFrame, rows_per_split: int) -> tuple[int, int, int]:
+    """Keys to report, counters to keep, and rows per split, from the plan's size in bytes.
+
+    A row has at least a byte, so the size bounds the rows without a job.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    rows = min(max(size, 1), MOST_ROWS)
+    rows_per_split = max(rows_per_split, math.ceil(rows / MAX_HOT_KEYS))
+    most = math.ceil(rows / rows_per_split)
+    number = min(max(most, LEAST_KEYS), MAX_HOT_KEYS)
+    return number, min(max(8 * most, LEAST_ITEMS), MAX_ITEMS), rows_per_split
+
+
 def split_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
                hot: HotKeys) -> DataFrame:
     """Equi-join in which each hot key of ``left`` is spread over several tasks.
@@ -79,9 +106,9 @@ def split_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
         raise ValueError(f"cannot split a {how} join")
     if not hot:
         return left.join(right, list(keys), how)
-    splits = hot.splits_of([F.col(k) for k in keys])
-    left = left.withColumn(
+    splits = F.col("_splits")
+    left = hot.attach(left, keys).withColumn(
         SALT, F.when(splits > 1, F.pmod(F.spark_partition_id(), splits)).otherwise(0)
-    )
-    right = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), splits - 1)))
+    ).drop("_splits")
+    right = hot.attach(right, keys).withColumn(SALT, F.explode(F.sequence(F.lit(0), splits - 1))).drop("_splits")
     return left.join(right, [*keys, SALT], how).drop(SALT)

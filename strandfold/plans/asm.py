@@ -8,7 +8,8 @@ from strandfold.operators import context as ctx
 from strandfold.operators import cpg, genotype, reads, region, significance, variants
 from strandfold.operators.skew import find_hot_keys, split_join
 from strandfold.params import AsmParams
-from strandfold.sources.writers import Stages
+from strandfold.session import configure
+from strandfold.sources.writers import Stages, inputs_key
 
 
 def genotype_reads(sam: DataFrame, vcf: DataFrame, params: AsmParams) -> DataFrame:
@@ -62,10 +63,13 @@ def call_asm(context_ob: DataFrame, context_ot: DataFrame, sam: DataFrame, vcf:
     """One row per tested SNP and sample, with its methylation call.
 
     ``exclusion`` comes from ``common_snp_exclusion`` or ``vcf_exclusion``.
-    Tables used twice are written to the run's stage folder in between.
+    Tables used twice are written to the run's stage folder in between; a run that
+    takes up earlier stages does so only for the same parameters and input files.
     """
     params = params or AsmParams()
-    stages = stages or Stages(context_ob.sparkSession)
+    spark = configure(context_ob.sparkSession)
+    stages = stages or Stages(spark)
+    stages.key = stages.key or inputs_key(params, context_ob, context_ot, sam, vcf, exclusion)
     context = ctx.normalise_context(context_ob, context_ot)
 
     calls = stages.write(

@@ -162,6 +162,35 @@ def _scan_sam(t: Tables) -> DataFrame:
     return t.per_sample(t.lines("sam", t.raw("sam_raw"), junk), readers.scan_sam)
 
 
+def _rejected(t: Tables) -> DataFrame:
+    """Lines that no reader takes, among good ones, counted by layout."""
+    odd = t.raw("vcf_raw")
+    short = odd.select("sample_id", F.concat_ws("\t", "snp_id", "chr", "pos").alias("value"))
+    text = {"sam": "sam_raw", "vcf": "vcf_raw", "common_snps": "common_raw"}
+    paths = {layout: t.lines(f"odd_{layout}", t.raw(name), short) for layout, name in text.items()}
+
+    def as_text(df: DataFrame, names) -> DataFrame:
+        return df.select("sample_id", *[F.col(c).cast("string").alias(c) for c in names])
+
+    for layout, df, names, options in (
+        ("cpg_context", t.raw("context_raw"), schemas.CPG_CONTEXT, {"sep": "\t", "header": True}),
+        ("cpg_asm", t.cpg_asm, schemas.CPG_ASM, {"header": False}),
+    ):
+        junk = odd.select("sample_id", *[F.lit("oops" if c in ("pos", "ref_cov") else "1").alias(c) for c in names])
+        paths[layout] = t.stages.path(f"text_odd_{layout}")
+        as_text(df, names).unionByName(junk).write.mode("overwrite").partitionBy("sample_id").csv(paths[layout], **options)
+    paths["region_pvalue"] = t.stages.path("text_odd_region_pvalue")
+    lines = _nested_regions(t).select("sample_id", F.to_json(F.struct(*schemas.REGION_PVALUE)).alias("value"))
+    lines.unionByName(odd.select("sample_id", F.concat(F.lit("{"), "snp_id").alias("value"))).write.mode(
+        "overwrite").partitionBy("sample_id").text(paths["region_pvalue"])
+    counts = [
+        readers.rejected_lines(t.spark, [f"{path}/sample_id={s}" for s in SAMPLES], layout)
+        .groupBy(F.lit(layout).alias("layout")).agg(F.count(F.lit(1)).alias("rejected"))
+        for layout, path in paths.items()
+    ]
+    return readers.append_chromosomes(*counts)
+
+
 def _scan_vcf(t: Tables, name: str) -> DataFrame:
     head = t.headers("##fileformat=VCFv4.1", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tx")
     return t.per_sample(t.lines(name, t.raw(name), head), readers.scan_vcf)
@@ -264,6 +293,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "scan_cpg_asm": _scan_cpg_asm,
     "scan_region_pvalue": _scan_region,
     "append_chromosomes": _append,
+    "rejected_lines": _rejected,
     # sinks
     "write_bedgraph": _bedgraph,
     "write_csv": lambda t: _write_csv(t, True),

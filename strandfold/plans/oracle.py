@@ -304,6 +304,10 @@ FINAL: dict[str, str] = {
     "scan_cpg_asm": f"SELECT {_CPG9}, fisher_pvalue FROM cpg_asm",
     "scan_region_pvalue": _NESTED,
     "append_chromosomes": "SELECT * FROM clean_vcf WHERE chr IN ('chr1', 'chr2', 'chr3', '1', '2', '3')",
+    "rejected_lines": """
+        SELECT layout, count(*) AS rejected FROM vcf_raw
+        CROSS JOIN (VALUES ('sam'), ('vcf'), ('common_snps'), ('cpg_context'), ('cpg_asm'), ('region_pvalue')) x(layout)
+        GROUP BY layout""",
     "write_bedgraph": "SELECT sample_id, chr, pos_start, pos_end, cov, meth_perc FROM covered",
     "write_csv": f"SELECT {_CPG9} FROM paired",
     "write_csv_noheader": f"SELECT {_CPG9}, fisher_pvalue FROM cpg_asm",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandfold import schemas
@@ -12,11 +12,23 @@ from strandfold import schemas
 Paths = str | Sequence[str]
 
 
+def _list(paths: Paths) -> list[str]:
+    return [paths] if isinstance(paths, str) else list(paths)
+
+
 def _fields(spark: SparkSession, paths: Paths) -> DataFrame:
-    lines = spark.read.text([paths] if isinstance(paths, str) else list(paths))
+    lines = spark.read.text(_list(paths)).withColumn("_file", F.col("_metadata.file_path"))
     return lines.withColumn("_f", F.split("value", "\t", -1))
 
 
+def _only(lines: DataFrame, good: Column, strict: bool) -> DataFrame:
+    """The good lines; any other is an error that names its file, or left out unless ``strict``."""
+    if not strict:
+        return lines.filter(good)
+    told = F.concat(F.lit("malformed line in "), "_file", F.lit(": "), F.left("value", F.lit(200)))
+    return lines.filter(F.when(good, True).otherwise(F.raise_error(told).cast("boolean")))
+
+
 def _typed(layout: schemas.Columns):
     """Columns for split fields, and whether each number parses."""
     columns, parses = [], F.lit(True)
@@ -32,74 +44,98 @@ def _typed(layout: schemas.Columns):
     return columns, parses
 
 
-def scan_cpg_context(spark: SparkSession, paths: Paths, sample_id: str) -> DataFrame:
+def _mode(strict: bool) -> str:
+    return "FAILFAST" if strict else "DROPMALFORMED"
+
+
+def _context_options() -> dict[str, object]:
+    return {"sep": "\t", "header": True, "quote": "", "enforceSchema": True}
+
+
+def scan_cpg_context(spark: SparkSession, paths: Paths, sample_id: str, strict: bool = True) -> DataFrame:
     """Methylation calls: tab-separated, one header line in each file."""
     return (
         spark.read.schema(schemas.ddl(schemas.CPG_CONTEXT))
-        .options(sep="\t", header=True, quote="", enforceSchema=True)
-        .csv([paths] if isinstance(paths, str) else list(paths))
+        .options(mode=_mode(strict), **_context_options())
+        .csv(_list(paths))
         .withColumn("sample_id", F.lit(sample_id))
     )
 
 
-def scan_sam(spark: SparkSession, paths: Paths, sample_id: str) -> DataFrame:
-    """Aligned reads: the rows with all 19 fields and parsable numbers.
+def _good_sam() -> Column:
+    return (F.size("_f") == len(schemas.SAM)) & _typed(schemas.SAM)[1]
 
-    Split as text, since quality strings may hold quote characters.
-    """
-    columns, parses = _typed(schemas.SAM)
-    return (
-        _fields(spark, paths)
-        .filter((F.size("_f") == len(schemas.SAM)) & parses)
-        .select(F.lit(sample_id).alias("sample_id"), *columns)
-    )
+
+def _good_vcf() -> Column:
+    """Any number of samples may follow the first; that one's column is read. A quality of ``.`` is null."""
+    return F.col("value").startswith("#") | (F.size("_f") >= len(schemas.VCF))
 
 
-def rejected_sam_lines(spark: SparkSession, paths: Paths) -> DataFrame:
-    """The lines ``scan_sam`` leaves out, for counting or inspection."""
-    _, parses = _typed(schemas.SAM)
-    return _fields(spark, paths).filter(
-        (F.size("_f") != len(schemas.SAM)) | ~parses
-    ).select("value")
+def _good_common_snps() -> Column:
+    return (F.size("_f") == len(schemas.COMMON_SNPS)) & _typed(schemas.COMMON_SNPS)[1]
 
 
-def scan_vcf(spark: SparkSession, paths: Paths, sample_id: str) -> DataFrame:
+def scan_sam(spark: SparkSession, paths: Paths, sample_id: str, strict: bool = False) -> DataFrame:
+    """Aligned reads: the rows with all 19 fields and parsable numbers.
+
+    Split as text, since quality strings may hold quote characters. Other lines
+    are left out, as in the published load; ``rejected_lines`` has them.
+    """
+    columns, _ = _typed(schemas.SAM)
+    lines = _only(_fields(spark, paths), _good_sam(), strict)
+    return lines.select(F.lit(sample_id).alias("sample_id"), *columns)
+
+
+def scan_vcf(spark: SparkSession, paths: Paths, sample_id: str, strict: bool = True) -> DataFrame:
     """Variant calls; header lines are told by their first character in every file."""
     columns, _ = _typed(schemas.VCF)
-    return (
-        _fields(spark, paths)
-        .filter(~F.col("value").startswith("#") & (F.size("_f") == len(schemas.VCF)))
-        .select(F.lit(sample_id).alias("sample_id"), *columns)
-    )
+    lines = _only(_fields(spark, paths), _good_vcf(), strict).filter(~F.col("value").startswith("#"))
+    return lines.select(F.lit(sample_id).alias("sample_id"), *columns)
 
 
-def scan_common_snps(spark: SparkSession, paths: Paths, sample_id: str) -> DataFrame:
+def scan_common_snps(spark: SparkSession, paths: Paths, sample_id: str, strict: bool = True) -> DataFrame:
     """The 26-column common-variant dump."""
     columns, _ = _typed(schemas.COMMON_SNPS)
-    return (
-        _fields(spark, paths)
-        .filter(F.size("_f") == len(schemas.COMMON_SNPS))
-        .select(F.lit(sample_id).alias("sample_id"), *columns)
-    )
+    lines = _only(_fields(spark, paths), _good_common_snps(), strict)
+    return lines.select(F.lit(sample_id).alias("sample_id"), *columns)
 
 
-def scan_cpg_asm(spark: SparkSession, paths: Paths, sample_id: str) -> DataFrame:
+def scan_cpg_asm(spark: SparkSession, paths: Paths, sample_id: str, strict: bool = True) -> DataFrame:
     """CpG test results written as CSV without a header."""
     return (
-        spark.read.schema(schemas.ddl(schemas.CPG_ASM)).csv([paths] if isinstance(paths, str) else list(paths))
+        spark.read.schema(schemas.ddl(schemas.CPG_ASM)).option("mode", _mode(strict)).csv(_list(paths))
         .withColumn("sample_id", F.lit(sample_id))
     )
 
 
-def scan_region_pvalue(spark: SparkSession, paths: Paths, sample_id: str) -> DataFrame:
+def scan_region_pvalue(spark: SparkSession, paths: Paths, sample_id: str, strict: bool = True) -> DataFrame:
     """Region test results written as one JSON object per line."""
     return (
-        spark.read.schema(schemas.ddl(schemas.REGION_PVALUE))
-        .json([paths] if isinstance(paths, str) else list(paths))
+        spark.read.schema(schemas.ddl(schemas.REGION_PVALUE)).option("mode", _mode(strict))
+        .json(_list(paths))
         .withColumn("sample_id", F.lit(sample_id))
     )
 
 
+def rejected_lines(spark: SparkSession, paths: Paths, layout: str) -> DataFrame:
+    """(file, value) of the lines that the reader of a layout would not read.
+
+    Layouts: cpg_context, sam, vcf, common_snps, cpg_asm, region_pvalue.
+    """
+    split = {"sam": _good_sam, "vcf": _good_vcf, "common_snps": _good_common_snps}
+    if layout in split:
+        return _fields(spark, paths).filter(~split[layout]()).select(F.col("_file").alias("file"), "value")
+    table = {"cpg_context": schemas.CPG_CONTEXT, "cpg_asm": schemas.CPG_ASM, "region_pvalue": schemas.REGION_PVALUE}[layout]
+    reader = spark.read.schema(f"{schemas.ddl(table)}, _bad string").option("columnNameOfCorruptRecord", "_bad")
+    if layout == "region_pvalue":
+        rows = reader.json(_list(paths))
+    else:
+        rows = reader.options(**(_context_options() if layout == "cpg_context" else {})).csv(_list(paths))
+    # Spark parses the columns that a query needs: a condition that always holds makes it all of them.
+    rows = rows.select("*", F.col("_metadata.file_path").alias("file"))
+    return rows.filter(F.col("_bad").isNotNull() & (F.xxhash64(*rows.columns) >= -(1 << 63))).select("file", F.col("_bad").alias("value"))
+
+
 def append_chromosomes(first: DataFrame, *more: DataFrame) -> DataFrame:
     """Per-chromosome or per-sample tables as one, matched by column name."""
     for df in more:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 
@@ -9,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandfold import __version__
 from strandfold.session import shared_folder
 
 
@@ -53,41 +55,73 @@ def write_partitioned(df: DataFrame, path: str, replace: bool = True) -> str:
     return path
 
 
+def inputs_key(params: object, *inputs: DataFrame) -> str:
+    """What tells a run from another: parameters, and the inputs' files with sizes and times."""
+    seen = [repr(params)]
+    for df in inputs:
+        spark, files = df.sparkSession, set(df.inputFiles())
+        for folder in sorted({f.rpartition("/")[0] for f in files}):
+            where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            for f in where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where):
+                seen.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+        seen.append(f"{len(files)} files, {df.schema.simpleString()}")
+    return hashlib.sha256("\n".join(seen).encode()).hexdigest()
+
+
 class Stages:
     """Named tables between the steps of a run, in the shared folder.
 
     A written table cuts the lineage: losing executors later costs no more
     than re-reading it. ``reuse`` takes up a finished stage of an earlier run
-    under the same ``name``.
+    under the same ``name``, if that was written with the same ``key`` after the same stages;
+    the first that differs is built anew, and so are all that follow it.
     """
 
-    def __init__(self, spark: SparkSession, name: str | None = None, reuse: bool = False):
+    def __init__(self, spark: SparkSession, name: str | None = None, reuse: bool = False, key: str = ""):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/strandfold/{name or uuid.uuid4().hex}"
         self.reuse = reuse
+        self.key = key
+        self._written: list[str] = []
 
     def path(self, stage: str) -> str:
         return f"{self.root}/{stage}"
 
+    def fingerprint(self, stage: str) -> str:
+        """Of the code's version, the run's key, the stages so far and this one."""
+        before = [s for s in self._written if s != stage]
+        return hashlib.sha256("\n".join([__version__, self.key, *before, stage]).encode()).hexdigest()
+
     def finished(self, stage: str) -> bool:
         """Whether the stage's marker, written after the table, holds a row."""
+        return self._marked(stage) is not None
+
+    def _marked(self, stage: str) -> str | None:
         try:
-            return not self.spark.read.parquet(self.path(stage) + ".finished").isEmpty()
+            row = self.spark.read.schema("mark string").parquet(self.path(stage) + ".finished").first()
         except AnalysisException:
-            return False
+            return None
+        return row and row.mark
 
-    def _mark(self, stage: str, rows: int) -> None:
-        self.spark.range(rows).write.mode("overwrite").parquet(self.path(stage) + ".finished")
+    def _mark(self, stage: str, *marks: str) -> None:
+        rows = self.spark.range(len(marks)).select(F.lit(marks[0] if marks else "").alias("mark"))
+        rows.write.mode("overwrite").parquet(self.path(stage) + ".finished")
 
     def write(self, stage: str, build: Callable[[], DataFrame]) -> DataFrame:
         """Write a stage, or take the finished one, and return it as a scan."""
-        finished = self.finished(stage)
-        if not (self.reuse and finished):
-            if finished:  # a broken rewrite must not pass for the old table
-                self._mark(stage, 0)
+        wanted, found = self.fingerprint(stage), self._marked(stage)
+        if not (self.reuse and found == wanted):
+            if found is not None:  # a broken rewrite must not pass for the old table
+                self._mark(stage)
             build().write.mode("overwrite").parquet(self.path(stage))
-            self._mark(stage, 1)
+            self._mark(stage, wanted)
+        self._written.append(stage)
         return self.read(stage)
 
     def read(self, stage: str) -> DataFrame:
         return self.spark.read.parquet(self.path(stage))
+
+    def delete(self) -> None:
+        """Remove the tables of a run whose results have been taken elsewhere."""
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -212,7 +212,7 @@ def test_text_scans(spark, tmp_path):
     (tmp_path / "a.sam").write_text("\n".join(lines) + "\n")
     out = readers.scan_sam(spark, str(tmp_path / "a.sam"), "s").collect()
     assert [(r.read_id, r.score, r.read_start) for r in out] == [("r1", quality, 100)]
-    assert readers.rejected_sam_lines(spark, str(tmp_path / "a.sam")).count() == 2
+    assert readers.rejected_lines(spark, str(tmp_path / "a.sam"), "sam").count() == 2
     cleaned = reads.clean_sam(readers.scan_sam(spark, str(tmp_path / "a.sam"), "s")).collect()[0]
     assert (cleaned.read_end, cleaned.CT_strand, cleaned.GA_strand, cleaned.r_strand) == (199, True, False, "R2")
     for i in (1, 2):
@@ -221,6 +221,57 @@ def test_text_scans(spark, tmp_path):
     assert sorted(r.read_id for r in out) == ["r1", "r2"]
 
 
+def test_strict_readers_name_the_file(spark, tmp_path):
+    vcf = "chr1\t5\trs1\tA\tC\t.\tPASS\tx\tGT\t0/1"
+    (tmp_path / "two.vcf").write_text(f"#head\n{vcf}\t1/1\n")
+    assert [r.snp_id for r in readers.scan_vcf(spark, str(tmp_path / "two.vcf"), "s").collect()] == ["rs1"]
+    (tmp_path / "short.vcf").write_text(f"{vcf}\nchr1\t5\trs1\n")
+    with pytest.raises(Exception, match="short.vcf"):
+        readers.scan_vcf(spark, str(tmp_path / "short.vcf"), "s").collect()
+    assert readers.scan_vcf(spark, str(tmp_path / "short.vcf"), "s", strict=False).count() == 1
+    bad = readers.rejected_lines(spark, str(tmp_path / "short.vcf"), "vcf").collect()
+    assert [r.value for r in bad] == ["chr1\t5\trs1"] and bad[0].file.endswith("short.vcf")
+    (tmp_path / "c.txt").write_text("head\nr1\t+\t1\t10\tZ\nr2\t+\t1\toops\tZ\n")
+    with pytest.raises(Exception, match="c.txt"):
+        readers.scan_cpg_context(spark, str(tmp_path / "c.txt"), "s").collect()
+    assert [r.read_id for r in readers.scan_cpg_context(spark, str(tmp_path / "c.txt"), "s", strict=False).collect()] == ["r1"]
+    assert readers.rejected_lines(spark, str(tmp_path / "c.txt"), "cpg_context").count() == 1
+
+
+def test_reads_and_snps_of_different_naming(spark):
+    pair = spark.createDataFrame([("s", "1", "r", 5, 20), ("s", "chr1", "q", 5, 20)], "sample_id string, chr string, read_id string, read_start bigint, read_end bigint")
+    wide = pair.withColumns({c: F.lit(True) for c in ("CT_strand", "GA_strand")}).withColumns(
+        {c: F.lit("x") for c in ("cigar", "seq", "score_before_recal", "r_strand")})
+    snps = spark.createDataFrame([("s", "chr1", "rs1", 10, "A", "C", True, True), ("s", "1", "rs2", 11, "A", "C", True, True)],
+                                 "sample_id string, chr string, snp_id string, pos bigint, ref string, alt string, CT_strand boolean, GA_strand boolean")
+    out = genotype.reads_overlap_snp(wide, snps, NONE).collect()
+    assert sorted((r.chr, r.read_id, r.snp_id) for r in out) == [("1", "r", "rs1"), ("1", "r", "rs2"), ("chr1", "q", "rs1"), ("chr1", "q", "rs2")]
+    assert genotype.overlap_pairs(wide, snps, NONE).count() == 4
+    assert alignment.variant_depth_cap(wide, snps, 1, NONE).count() == 0
+    assert alignment.variant_depth_cap(wide, snps, 2, NONE).count() == 2
+
+
+def test_changed_parameters_rebuild_stages(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "in"))
+    table = spark.read.parquet(str(tmp_path / "in"))
+    runs = []
+
+    def run(key):
+        stages = writers.Stages(spark, "restart-test", reuse=True, key=key)
+        stages.write("a", lambda: runs.append("a") or spark.range(1))
+        stages.write("b", lambda: runs.append("b") or spark.range(2))
+        return stages
+
+    one, other = writers.inputs_key(AsmParams(), table), writers.inputs_key(AsmParams(snp_score=40), table)
+    assert one == writers.inputs_key(AsmParams(), spark.read.parquet(str(tmp_path / "in"))) != other
+    run(one), run(one)
+    assert runs == ["a", "b"]
+    stages = run(other)
+    assert runs == ["a", "b", "a", "b"]
+    stages.delete()
+    assert not stages.finished("a")
+
+
 def test_stage_restart(spark):
     stages = writers.Stages(spark, reuse=True)
     first = stages.write("x", lambda: spark.range(5))
@@ -241,27 +292,45 @@ def test_broken_rewrite_is_not_finished(spark):
     assert not stages.finished("x")
 
 
-SAM_DDL = ("sample_id string, read_id string, flag bigint, chr string, read_start bigint, mate_read_start bigint, "
+SAM_DDL = ("sample_id string, read_id string, flag bigint, chr string, read_start bigint, rnext string, mate_read_start bigint, "
            "cigar string, genome_strand string, meth string, score string, read_strand string")
 
 
 def test_methylation_extraction(spark):
     calls = "".join("Z" if i in (1, 4, 8) else "." for i in range(1, 11))
-    rows = [("s", "r1", 99, "1", 100, 105, "10M", "XG:Z:CT", "XM:Z:" + calls, "I" * 10, "XR:Z:CT"),
-            ("s", "r1", 147, "1", 105, 100, "10M", "XG:Z:CT", "XM:Z:..z....z..", "I" * 10, "XR:Z:GA"),
-            ("s", "r2", 99, "1", 100, 0, "4M2D6M", "XG:Z:GA", "XM:Z:...z.z....", "I" * 10, "XR:Z:CT")]
+    rows = [("s", "r1", 99, "1", 100, "=", 105, "10M", "XG:Z:CT", "XM:Z:" + calls, "I" * 10, "XR:Z:CT"),
+            ("s", "r1", 147, "1", 105, "=", 100, "10M", "XG:Z:CT", "XM:Z:..z....z..", "I" * 10, "XR:Z:GA"),
+            ("s", "r2", 99, "1", 100, "*", 0, "4M2D6M", "XG:Z:GA", "XM:Z:...z.z....", "I" * 10, "XR:Z:CT")]
     out = alignment.extract_methylation(spark.createDataFrame(rows, SAM_DDL), AsmParams(
-        ignore_r1=3, ignore_3prime_r1=3, ignore_r2=1, ignore_3prime_r2=2), NONE).collect()
+        ignore_r1=3, ignore_3prime_r1=3, ignore_r2=1, ignore_3prime_r2=2)).collect()
     assert sorted((r.read_id, r.pos, r.meth_call, r.strand) for r in out) == [
         ("r1", 103, "Z", "OT"), ("r1", 112, "z", "OT"), ("r2", 103, "z", "OB"), ("r2", 107, "z", "OB")]
 
 
 def test_duplicates(spark):
     def mates(read, start, score, strand="XG:Z:CT", sample="s"):
-        return [(sample, read, 99, "1", start, start + 50, "10M", strand, "m", score, "XR:Z:CT"),
-                (sample, read, 147, "1", start + 50, start, "10M", strand, "m", score, "XR:Z:GA")]
+        return [(sample, read, 99, "1", start, "=", start + 50, "10M", strand, "m", score, "XR:Z:CT"),
+                (sample, read, 147, "1", start + 50, "=", start, "10M", strand, "m", score, "XR:Z:GA")]
     rows = [*mates("a", 1, "III"), *mates("b", 1, "JJJ"), *mates("c", 1, "JJJ"), *mates("d", 1, "I", "XG:Z:GA"),
             *mates("e", 2, "I"), *mates("a", 1, "III", sample="t")]
     kept = alignment.remove_duplicates(spark.createDataFrame(rows, SAM_DDL), hot=NONE).collect()
     assert sorted((r.sample_id, r.read_id) for r in kept) == sorted(
         [("s", x) for x in "bde" for _ in "12"] + [("t", "a")] * 2)
+
+
+def test_fragments_over_two_chromosomes_stay_or_go_whole(spark):
+    def pair(read, mate_chr, mate_start, score="I"):
+        return [("s", read, 97, "1", 100, mate_chr, mate_start, "10M", "XG:Z:CT", "m", score, "XR:Z:CT"),
+                ("s", read, 145, mate_chr, mate_start, "1", 100, "10M", "XG:Z:CT", "m", score, "XR:Z:GA")]
+    single = lambda read, start: ("s", read, 97, "1", 100, "2", start, "10M", "XG:Z:CT", "m", "J", "XR:Z:CT")
+    rows = [*pair("a", "2", 500, "J"), *pair("b", "3", 900), *pair("c", "2", 500), single("d", 500), single("e", 700), single("f", 700)]
+    kept = alignment.remove_duplicates(spark.createDataFrame(rows, SAM_DDL)).collect()
+    assert sorted(r.read_id for r in kept) == ["a", "a", "b", "b", "d", "e"]
+
+
+def test_second_mate_between_two_alignments_of_the_first(spark):
+    rows = [("s", "r", 99, "1", 100, "=", 5000, "10M", "XG:Z:CT", "XM:Z:" + "." * 10, "I", "XR:Z:CT"),
+            ("s", "r", 2147, "1", 9000, "=", 5000, "10M", "XG:Z:CT", "XM:Z:" + "." * 10, "I", "XR:Z:CT"),
+            ("s", "r", 147, "1", 5000, "=", 100, "10M", "XG:Z:CT", "XM:Z:....Z.....", "I", "XR:Z:GA")]
+    out = alignment.extract_methylation(spark.createDataFrame(rows, SAM_DDL), AsmParams()).collect()
+    assert [r.pos for r in out] == [5004]

@@ -42,6 +42,25 @@ def test_split_rows_spread_over_tasks(spark, left):
     assert used.count() == 6
 
 
+def test_a_thousand_hot_keys_are_all_split(spark):
+    left = spark.range(40_000, numPartitions=8).select((F.col("id") % 1000).alias("k"), (F.col("id") % 7).alias("v"))
+    (hot,) = skew.find_hot_keys(left, ["k"], rows_per_split=15)
+    assert len(hot.splits) == 1000 and set(hot.splits.values()) == {3}
+    right = spark.range(0, 2000, 2).select(F.col("id").alias("k"), (F.col("id") * 3).alias("w"))
+    for how in ("inner", "left_anti"):
+        split = skew.split_join(left, right if how == "inner" else right.drop("w"), ["k"], how, hot)
+        plain = left.join(right if how == "inner" else right.drop("w"), ["k"], how)
+        assert sorted(split.collect()) == sorted(plain.collect())
+
+
+def test_sketch_grows_with_the_table(spark, monkeypatch):
+    small = spark.range(1000)
+    assert skew._sizes(small, 4_000_000) == (128, 8192, 4_000_000)
+    assert skew._sizes(small, 10)[0] == 800
+    keys, items, per_split = skew._sizes(small.crossJoin(small).crossJoin(small).crossJoin(small), 4_000_000)
+    assert keys == skew.MAX_HOT_KEYS and items > 500_000 and per_split == 10_000_000
+
+
 def test_right_joins_cannot_be_split(spark, left):
     with pytest.raises(ValueError):
         skew.split_join(left, left, ["k"], "right", skew.HotKeys({1: 2}))

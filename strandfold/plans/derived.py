@@ -106,11 +106,11 @@ def _sam_raw(d: str) -> str:
 
 def _vcf_raw(d: str) -> str:
     # Five sites per supplier and sample, and one row cleaning has to deal with:
-    # a repeat, an indel, an id of "." or of another kind, or a bad position.
+    # a repeat, or the same id at another position, an indel, an id of "." or of another kind, or a bad position.
     # The second sample's chromosomes are written without the prefix its reads have.
     return f"""
     SELECT sample_id, concat(CASE WHEN sample_id = 's2' THEN '' ELSE 'chr' END, {_text('1 + k % 3')}) AS chr,
-      CASE WHEN odd = 4 THEN 'NA' ELSE {_text(f"1000 + 200 * {_div('k', 3)}")} END AS pos,
+      CASE WHEN odd = 4 THEN 'NA' ELSE {_text(f"1000 + 200 * {_div('k', 3)} + CASE WHEN odd = 0 AND k % 2 = 0 THEN 40 ELSE 0 END")} END AS pos,
       CASE WHEN odd = 2 THEN '.' WHEN odd = 3 THEN concat('ss', {_text('k')})
            ELSE concat('rs', {_text('k')}) END AS snp_id,
       CASE WHEN odd = 1 THEN 'AT' ELSE {_REF} END AS ref, {_ALT} AS alt,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandfold.functions import genome
@@ -162,14 +162,12 @@ def drop_conflicting_reads(tagged: DataFrame, hot: HotKeys | None = None) -> Dat
 
 
 def distinct_genotypes(tagged: DataFrame) -> DataFrame:
-    """``drop_conflicting_reads`` without repeated rows, in one pass.
+    """``drop_conflicting_reads`` without repeated rows, in one aggregate.
 
-    Repeats are collapsed before the shuffle, so what is left per read and SNP
-    id is at most two alleles at each of the id's positions under the read.
+    Per read and SNP id that is whether its alleles agree, and the few positions
+    of the id under the read; repeats collapse before the shuffle.
     """
-    rows = tagged.select("sample_id", "snp_id", "pos", "allele", "read_id").dropDuplicates()
-    read = Window.partitionBy("sample_id", "snp_id", "read_id")
-    return (
-        rows.withColumn("_one", F.min("allele").over(read) == F.max("allele").over(read))
-        .filter("_one").drop("_one")
-    )
+    reads = tagged.groupBy("sample_id", "snp_id", "read_id").agg(
+        F.min("allele").alias("allele"), F.max("allele").alias("_last"), F.collect_set("pos").alias("_pos")
+    ).filter(F.col("allele") == F.col("_last"))
+    return reads.select("sample_id", "snp_id", F.explode("_pos").alias("pos"), "allele", "read_id")

@@ -232,7 +232,8 @@ def _scan_region(t: Tables) -> DataFrame:
 
 
 def _bedgraph(t: Tables) -> DataFrame:
-    meth, cov = writers.write_bedgraph(t.covered, t.stages.path("bedgraph"))
+    covered = t.stages.write("covered", lambda: t.covered)  # two tracks, one aggregate
+    meth, cov = writers.write_bedgraph(covered, t.stages.path("bedgraph"))
     key = "sample_id string, chr string, pos_start bigint, pos_end bigint"
     read = lambda p, c: t.spark.read.schema(
         key.replace("sample_id string, ", "") + f", {c}, sample_id string").csv(p, sep="\t")
@@ -260,7 +261,8 @@ def _stage_checkpoint(t: Tables) -> DataFrame:
 
 
 def _append(t: Tables) -> DataFrame:
-    chromosomes = [variants.chromosome_filter(t.snps, c) for c in ("1", "2", "3")]
+    snps = t.stages.write("snps", lambda: t.snps)  # cleaned once, not per chromosome
+    chromosomes = [variants.chromosome_filter(snps, c) for c in ("1", "2", "3")]
     path = t.stages.path("snps_by_chr")
     writers.write_partitioned(readers.append_chromosomes(*chromosomes), path)
     return t.spark.read.parquet(path).select(*t.snps.columns)

@@ -86,3 +86,8 @@ def test_join_by_read_needs_no_shuffle_for_the_distinct(tables):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     top = text[: text.index("SortMergeJoin")]
     assert "Exchange" not in top
+
+
+def test_distinct_genotypes_take_one_shuffle(tables):
+    text = plan_of(genotype.distinct_genotypes(tables.tagged))
+    assert len(re.findall(r"\+- (?:\* )?Exchange", text)) == 1

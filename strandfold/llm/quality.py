@@ -120,7 +120,9 @@ def judged(docs: DataFrame, labels: DataFrame, host: str, path: str, label: str)
         F.struct("*").alias("row"), F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"),
         F.coalesce("text", F.lit("")).alias("_text"),
     ))
-    return found.select("row", "host", "path", (1 / (1 + F.exp(-log_odds(F.col("_x"), model)))).alias("p_text"))
+    # Never null, and said to be so: a condition on it is not tested beforehand by scoring the text once more.
+    p_text = F.coalesce(1 / (1 + F.exp(-log_odds(F.col("_x"), model))), F.lit(0.5))
+    return found.select("row", "host", "path", p_text.alias("p_text"))
 
 
 def with_sites(found: DataFrame, rates: DataFrame, prior: float) -> DataFrame:

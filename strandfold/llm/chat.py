@@ -33,7 +33,8 @@ def perspectives(turns: DataFrame, speaker: str = "role") -> DataFrame:
     ordered by turn number, speaker and text, null numbers first. Null or empty speakers are ``unknown``; null texts
     are empty turns; repeated turns appear as often as they are there; a null conv_id is a
     conversation. A part of more than ROWS rows, which takes repeated turn numbers, is cut into pieces by the hash
-    of what is said. An empty table gives an empty result; extra columns are ignored.
+    of what is said. The result has a row per part and participant, as asked for: many participants of one
+    conversation make it large. An empty table gives an empty result; extra columns are ignored.
     """
     name = F.coalesce(F.nullif(F.trim(_plain(F.col(speaker))), F.lit("")), F.lit(NOBODY))
     said = turns.select("conv_id", F.coalesce(F.floor(F.col("turn") / TURNS), F.lit(-1)).cast("long").alias("part"), F.col("turn").cast("long").alias("turn"), name.alias("speaker"), _plain(F.col("text")).alias("said"))

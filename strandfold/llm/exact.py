@@ -90,8 +90,8 @@ def duplicates(docs: DataFrame, primes: tuple[int, int] = PRIMES) -> DataFrame:
 
     Texts are equal if they are after every run of blanks became one space; null counts as
     empty. keep_id is the smallest doc_id with an equal text, and the row that has it is
-    kept; rows that repeat that doc_id and text are one text once, and only one of them
-    is kept by ``keep_one``. A text without any doc_id has a null keep_id and is kept. An empty
+    kept; rows that repeat that doc_id with an equal text are all kept, for nothing tells them apart.
+    Rows without a doc_id go if an equal text has one, else keep_id is null and they stay. An empty
     table gives an empty result; extra columns are ignored.
     """
     prints = stored(fingerprints(docs, primes), "fingerprints")
@@ -130,7 +130,7 @@ def _differing(docs: DataFrame, prints: DataFrame, groups: DataFrame) -> DataFra
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: of equal texts, the row with the smallest doc_id, once."""
+    """The rows of ``docs`` that stay: of equal texts, the row with the smallest doc_id."""
     found = duplicates(docs)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (text_key("text") == F.col("_gone_key"))

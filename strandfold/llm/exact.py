@@ -78,9 +78,8 @@ def fingerprints(docs: DataFrame, primes: tuple[int, int] = PRIMES) -> DataFrame
     return rows.mapInPandas(run, "doc_id long, text_key long, fp long, n_bytes long, text_sha256 string")
 
 
-def chunks(text: Column) -> Column:
-    """The normalised text in chunks of CHUNK characters, as (part, piece)."""
-    plain = F.regexp_replace(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+", " ")
+def chunks(plain: Column) -> Column:
+    """A column of normalised text in chunks of CHUNK characters, as (part, piece)."""
     last = F.greatest(F.ceil(F.char_length(plain) / CHUNK).cast("int") - 1, F.lit(0))
     return F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(i.alias("part"), F.substring(plain, i * CHUNK + 1, F.lit(CHUNK)).alias("piece")))
 
@@ -118,9 +117,10 @@ def _differing(docs: DataFrame, prints: DataFrame, groups: DataFrame) -> DataFra
     """
     first = groups.select("first_id", "first_key", *groups.columns[:2])
     members = prints.join(groups.select("fp", "n_bytes"), ["fp", "n_bytes"]).select("doc_id", "text_key", "fp", "n_bytes", "text_sha256").distinct()
-    texts = docs.select(F.col("doc_id").alias("_id"), text_key("text").alias("_key"), "text")
+    plain = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), "[\\x20\\x09-\\x0D]+", " ")
+    texts = docs.select(F.col("doc_id").alias("_id"), text_key("text").alias("_key"), plain.alias("plain"))
     same_row = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
-    pieces = texts.join(members, same_row).select("fp", "n_bytes", "text_sha256", "doc_id", "text_key", F.inline(chunks(F.col("text"))))
+    pieces = texts.join(members, same_row).select("fp", "n_bytes", "text_sha256", "doc_id", "text_key", F.inline(chunks(F.col("plain"))))
     pieces = stored(pieces, "pieces")
     lead = first.join(pieces, F.col("first_id").eqNullSafe(F.col("doc_id")) & (F.col("first_key") == F.col("text_key")) & (first["fp"] == pieces["fp"]))
     lead = lead.select(pieces["fp"], pieces["n_bytes"], "part", F.col("piece").alias("lead")).dropDuplicates(["fp", "n_bytes", "part"])

@@ -34,6 +34,8 @@ BASE = ("email", "ip", "card", "phone")
 MARK, OTHER = "\x01", "\x02"
 #: Characters of context in front of a candidate.
 CONTEXT = 24
+#: Lengths that are summed up together.
+BLOCK = 256
 
 #: Gazetteers: fixed values.
 DOMAINS = ("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "it", "eu", "ch", "at", "nl")
@@ -85,9 +87,29 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _spans(kind: str, parts: Column) -> Column:
+def with_running_sums(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Adds, for arrays of strings, the array of lengths summed so far, that before the first included.
+
+    Sums within blocks first, then those of the blocks: the work for one text stays near the number of its
+    parts. Every step is a column, so that no lambda works it out again per element.
+    """
+    start = F.array(F.lit(0))
+    summed = lambda values: F.aggregate(values, start, lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + x))
+    rows = rows.select("*", *(F.transform(c, lambda p: F.char_length(p)).alias(f"_{c}_lengths") for c in columns))
+    blocks = lambda c: F.sequence(F.lit(0), F.greatest(F.floor((F.size(c) - 1) / BLOCK), F.lit(0)).cast("int"))
+    rows = rows.select("*", *(F.transform(blocks(c), _block_sum(f"_{c}_lengths", summed)).alias(f"_{c}_blocks") for c in columns))
+    rows = rows.select("*", *(summed(F.transform(f"_{c}_blocks", lambda x: F.element_at(x, -1))).alias(f"_{c}_offsets") for c in columns))
+    shifted = lambda c: F.zip_with(f"_{c}_blocks", F.slice(f"_{c}_offsets", F.lit(1), F.size(f"_{c}_blocks")), lambda x, at: F.transform(F.slice(x, F.lit(2), F.size(x)), lambda v: v + at))
+    rows = rows.select("*", *(F.concat(start, F.flatten(shifted(c))).alias(name) for c, name in columns.items()))
+    return rows.drop(*(f"_{c}_{step}" for c in columns for step in ("lengths", "blocks", "offsets")))
+
+
+def _block_sum(lengths: str, summed: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda b: summed(F.slice(lengths, b * BLOCK + 1, F.lit(BLOCK)))
+
+
+def _spans(kind: str, parts: Column, ends: Column) -> Column:
     """The matches among ``parts``, which alternate: text, match, text, ... Positions are running lengths."""
-    ends = F.aggregate(parts, F.array(F.lit(0)), lambda acc, p: F.array_append(acc, F.element_at(acc, -1) + F.char_length(p)))
     count = F.floor((F.size(parts) - 1) / 2).cast("int")
     return F.when(count < 1, F.array().cast(SPAN)).otherwise(F.transform(
         F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
@@ -108,8 +130,9 @@ def candidates(docs: DataFrame) -> DataFrame:
         F.when(gates.get(kind, digits), F.split(F.regexp_replace("text", F.lit(pattern), F.lit(f"{MARK}$0{MARK}")), MARK)).otherwise(F.array().cast("array<string>")).alias(kind)
         for kind, pattern in PATTERNS
     ))
+    rows = with_running_sums(rows, {kind: f"{kind}_ends" for kind, _ in PATTERNS})
     passing = lambda kind: lambda s: _valid(kind, s["value"])
-    found = F.concat(*(F.filter(_spans(kind, F.col(kind)), passing(kind)) for kind, _ in PATTERNS))
+    found = F.concat(*(F.filter(_spans(kind, F.col(kind), F.col(f"{kind}_ends")), passing(kind)) for kind, _ in PATTERNS))
     return rows.select("doc_id", found.alias("spans"))
 
 

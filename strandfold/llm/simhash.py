@@ -220,7 +220,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     needed = texts.join(dealt.select("node").distinct(), "node", "left_semi").select("node", "first_id")
     found = docs.select(F.col("doc_id").alias("_id"), text_key("text").alias("_node"), "text").join(needed, (F.col("_node") == F.col("node")) & F.col("_id").eqNullSafe(F.col("first_id")))
     sets = stored(shingle_sets(found.select("node", "text"), shingle).dropDuplicates(["node"]), "shingles")
-    return _named(prints, "text_key", links(dealt.join(sets, "node"), distance, 4, similarity)).drop("sketch")
+    return _named(prints, "text_key", links(dealt.join(sets, "node"), distance, 4, similarity))
 
 
 def _named(prints: DataFrame, node: str, found: DataFrame) -> DataFrame:

@@ -10,7 +10,9 @@ the chain; only those that stay within the budget get the full Hamming check.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import islice, repeat
 
 import numpy as np
@@ -30,6 +32,10 @@ BLOCK = 1 << 15
 TILE = 1024
 #: Shingle sets that are verified against one at a time.
 SETS = 256
+#: Share of the pairs right at the similarity that the Hamming check in front of the verification may lose, at most.
+LOSS = 1e-6
+#: Unions of shingles up to this size have the chance of a differing bit worked out; larger ones are below the smallest.
+COUNTED = 64
 
 
 def hashes(data: bytes | None, shingle: int) -> Iterator[np.ndarray]:
@@ -42,19 +48,49 @@ def hashes(data: bytes | None, shingle: int) -> Iterator[np.ndarray]:
             yield block
 
 
+def distinct_hashes(data: bytes | None, shingle: int) -> np.ndarray:
+    """The set of a text's shingle hashes, sorted: eight bytes each."""
+    return np.unique(np.concatenate([np.empty(0, dtype=np.uint64), *hashes(data, shingle)]))
+
+
 def fingerprint(data: bytes | None, shingle: int, sketch: int = 0) -> tuple[int, list[int]]:
     """The fingerprint as a signed long, and the ``sketch`` smallest distinct hashes.
 
-    A bit is set if over half the hashes have it. No words: zero and no hashes.
+    A bit is set if over half the hashes have it. No words: zero and no hashes. With a sketch the
+    fingerprint is that of the distinct shingles, which a Jaccard similarity of sets is about; without, repeats count.
     """
-    ones, total, least = np.zeros(BITS, dtype=np.int64), 0, np.empty(0, dtype=np.uint64)
-    for block in hashes(data, shingle):
+    ones, total = np.zeros(BITS, dtype=np.int64), 0
+    every = distinct_hashes(data, shingle) if sketch else np.empty(0, dtype=np.uint64)
+    for block in (every[at:at + BLOCK] for at in range(0, len(every), BLOCK)) if sketch else hashes(data, shingle):
         ones += np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         total += len(block)
-        if sketch:
-            least = np.unique(np.concatenate([least, block]))[:sketch]
     bits = np.packbits(2 * ones > total, bitorder="little")
-    return int(bits.view(np.int64)[0]), least.view(np.int64).tolist()
+    return int(bits.view(np.int64)[0]), every[:sketch].view(np.int64).tolist()
+
+
+def _flips(shared: int, left: int, right: int) -> float:
+    """The chance that a bit differs between sets with so many shingles in common and on one side only."""
+    pmf = lambda n: np.array([math.comb(n, k) for k in range(n + 1)], dtype=float) / 2.0**n
+    ones = np.arange(shared + 1)[:, None]
+    one, other = ((pmf(n) * (2 * (ones + np.arange(n + 1)) > shared + n)).sum(axis=1) for n in (left, right))
+    return float((pmf(shared) * (one * (1 - other) + other * (1 - one))).sum())
+
+
+@lru_cache
+def bit_budget(similarity: float, loss: float = LOSS) -> int:
+    """Differing bits that at most ``loss`` of the pairs of sets with at least that Jaccard similarity exceed.
+
+    Bits differ independently, each with the angle's chance if the sets are large; small sets, where one
+    shingle can tip a majority or a tie, have more, so the worst chance over all small sets counts.
+    """
+    chance = float(np.arccos(min(1.0, 2 * similarity / (1 + similarity))) / np.pi)
+    for union in range(1, COUNTED + 1):
+        apart = int((1 - similarity) * union + 1e-9)
+        chance = max(chance, *(_flips(union - apart, k, apart - k) for k in range(apart // 2 + 1)), 0.0)
+    tail, bits = 0.0, BITS
+    while bits and (tail := tail + math.comb(BITS, bits) * chance**bits * (1 - chance) ** (BITS - bits)) <= loss:
+        bits -= 1
+    return bits
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, sketch: int = 0) -> DataFrame:
@@ -113,14 +149,19 @@ def similar(one: np.ndarray, many: list[np.ndarray], similarity: float) -> np.nd
 def forest(nodes: np.ndarray, fps: np.ndarray, distance: int, segments: int, sets: list[np.ndarray] | None = None, similarity: float = 0.0) -> Iterator[tuple[int, int]]:
     """(member, root) for the groups among the nodes of one key: a link less than members.
 
-    With ``sets`` a pair within the distance is linked only if its shingle sets are similar enough.
+    With ``sets`` a pair within the distance is linked only if its shingle sets are similar enough, which
+    sets of too different sizes cannot be.
     """
     rest = np.arange(len(nodes))
+    sizes = None if sets is None else np.array([len(x) for x in sets])
     while len(rest) > 1:
         root, rest, queue = rest[0], rest[1:], [rest[0]]
         while queue and len(rest):
             node = queue.pop()
             hits = close(fps[node], fps[rest], distance, segments)
+            if sets is not None:
+                many = sizes[rest[hits]]
+                hits = hits[np.minimum(many, sizes[node]) >= similarity * np.maximum(many, sizes[node]) - 1e-9]
             if sets is not None and len(hits):
                 hits = hits[np.concatenate([similar(sets[node], [sets[i] for i in rest[hits[k:k + SETS]]], similarity) for k in range(0, len(hits), SETS)])]
             if len(hits):
@@ -176,7 +217,7 @@ def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            sets = [np.unique(np.concatenate([np.empty(0, dtype=np.uint64), *hashes(data, shingle)])).tobytes() for data in pdf["data"]]
+            sets = [distinct_hashes(data, shingle).tobytes() for data in pdf["data"]]
             yield pd.DataFrame({"node": pdf["node"], "shingles": sets})
 
     return texts.select("node", F.col("text").cast("binary").alias("data")).mapInPandas(run, "node long, shingles binary")
@@ -207,12 +248,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     At 0.8, fingerprints of 64 bits differ in about ten: segments that such a pair must share are too short to
     tell texts apart. The join keys are therefore each text's ``sketch`` smallest shingle hashes (a pair with
     similarity J shares none of them with a chance of about (1 - J) ** sketch). Among texts that share one, the ring
-    and the Hamming check prune at twice the expected number of differing bits, and what is left is
-    verified on the shingles. Cases as for fingerprint_groups; all texts without words are one group. Texts
+    and the Hamming check prune at ``bit_budget``, on fingerprints of the distinct shingles (at most LOSS of the
+    pairs), and what is left is verified on the shingles. Repeated lines count once throughout. The column ``fp`` is that
+    fingerprint. Cases as for fingerprint_groups; all texts without words are one group. Texts
     are told apart by a hash of 64 bits.
     """
-    expected = BITS * np.arccos(min(1.0, 2 * similarity / (1 + similarity))) / np.pi
-    distance = int(np.ceil(2 * expected))
+    if sketch < 1:
+        raise ValueError("a sketch needs a hash")
+    distance = bit_budget(similarity)
     prints = stored(fingerprints(docs, shingle, sketch), "fingerprints")
     texts = stored(prints.groupBy(F.col("text_key").alias("node")).agg(F.min("doc_id").alias("first_id"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch")), "texts")
     keys = F.when(F.size("sketch") > 0, F.col("sketch")).otherwise(F.array(F.lit(0).cast("long")))

@@ -96,6 +96,30 @@ def test_near_duplicates_by_similarity(spark, docs, no_docs):
     assert simhash.keep_one(no_docs).count() == 0
 
 
+def test_near_duplicates_with_repeated_lines(spark):
+    """The same set of shingles but for a few, with a line repeated: similar sets, whatever the counts."""
+    rows = []
+    for group, (words, times) in enumerate([(60, 40), (300, 30), (300, 100), (1000, 60)] * 3):
+        body, line = prose(700 + group, words), prose(800 + group, 8)
+        rows += [(3 * group, f"{body} {line}"), (3 * group + 1, f"{body}{f' {line}' * times}"), (3 * group + 2, f"{line} {body}{f' {line}' * 3}")]
+    sets = [brute.shingles(t) for _, t in rows]
+    tops = brute.groups(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b) - 1e-9)
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict(enumerate(tops)) and len(set(tops)) == 12
+
+
+def test_bit_budget_holds_for_small_and_large_sets():
+    rng = np.random.default_rng(3)
+    budget = simhash.bit_budget(0.8)
+    assert simhash.bit_budget(1.0) == 0 < simhash.bit_budget(0.9) < budget < 32
+    for shared, left, right in ((4, 0, 1), (12, 1, 2), (40, 0, 10), (160, 20, 20)):
+        ones = rng.integers(0, 2, (2000, 64, shared + left + right))
+        a = 2 * ones[:, :, :shared + left].sum(axis=2) > shared + left
+        b = 2 * (ones[:, :, :shared].sum(axis=2) + ones[:, :, shared + left:].sum(axis=2)) > shared + right
+        differ = a != b
+        assert abs(differ.mean() - simhash._flips(shared, left, right)) < 0.01 and differ.sum(axis=1).max() <= budget
+
+
 def test_components_of_chains(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 102), (101, 102), (200, 200)]
     table = spark.createDataFrame(links, "a long, b long")

@@ -462,3 +462,27 @@ def test_perspectives(spark, monkeypatch):
                     assert pieces == [(text, own)]
     assert not got
     assert chat.perspectives(table.limit(0)).count() == 0
+
+
+def test_pieces_join_to_the_whole_dialogue(spark, monkeypatch):
+    rng = random.Random(11)
+    monkeypatch.setattr(chat, "ROWS", 32)
+    monkeypatch.setattr(chat, "BLOCK", 2)
+    rows = [(1, t, rng.choice(["Ann", "Bob"]), f"says {t}") for t in range(-300, 700, 3)]  # many parts, negative ones too
+    rows += [(1, None, "Bob", f"no number {i}") for i in range(100)] + [(1, 5, "Ann", f"a{i}") for i in range(150)] + [(1, 5, "Bob", "same")] * 90 + [(1, 6, "Bob", "b")] * 3
+    rows += [(None, 3, "Cid", f"c{i % 40}") for i in range(200)] + [(2, 0, "Ann", "hi"), (2, 64, "Bob", "there")]
+    table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(5)
+    got = collections.defaultdict(list)
+    for r in chat.perspectives(table).collect():
+        got[r.conv_id, r.perspective].append((r.part, r.piece, r.start, r.n_turns, r.text, "".join(r.text[m.start:m.end] for m in r.mask)))
+    assert set(got) == {(1, "Ann"), (1, "Bob"), (None, "Cid"), (2, "Ann"), (2, "Bob")}
+    for (conv, who), pieces in got.items():
+        said = sorted((t is not None, t or 0, role, text) for c, t, role, text in rows if c == conv)
+        pieces.sort()
+        assert "".join(p[4] for p in pieces) == "".join(("<|assistant|>\n" if role == who else f"<|user name={role}|>\n") + text + "<|end|>\n" for *_, role, text in said)
+        assert "".join(p[5] for p in pieces) == "".join(text + "<|end|>\n" for *_, role, text in said if role == who)
+        at = 0
+        for _, _, start, n, *_ in pieces:
+            assert start == at and 0 < n <= 32 + 32 * (conv == 2)
+            at += n
+        assert at == len(said)

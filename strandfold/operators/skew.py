@@ -63,7 +63,8 @@ def profile(df: DataFrame, key_sets: Sequence[Sequence[str | Column]], *facts: C
     The sketch is sized by the table: up to ``MOST_ROWS`` rows it finds every key
     with more than ``rows_per_split`` rows and more than a ``MAX_HOT_KEYS``-th of the table.
     """
-    number, items, rows_per_split = _sizes(df, rows_per_split)
+    # A table has fewer rows than bytes, so its size raises the counters and never the rows from which a key is split.
+    number, items, _ = _sizes(df, rows_per_split)
     hashed = df.withColumns({f"_h{i}": F.xxhash64(*keys) for i, keys in enumerate(key_sets)})
     row = hashed.agg(*[
         F.expr(f"approx_top_k(_h{i}, {number}, {items})")
@@ -81,7 +82,7 @@ def profile(df: DataFrame, key_sets: Sequence[Sequence[str | Column]], *facts: C
 
 
 def _sizes(df: DataFrame, rows_per_split: int) -> tuple[int, int, int]:
-    """Keys to report, counters to keep, and rows per split, from the plan's size in bytes.
+    """Keys to report, counters to keep, and the rows that these tell apart for certain if each is a byte, from the plan's size.
 
     A row has at least a byte, so the size bounds the rows without a job.
     """

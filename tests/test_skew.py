@@ -61,6 +61,14 @@ def test_sketch_grows_with_the_table(spark, monkeypatch):
     assert keys == skew.MAX_HOT_KEYS and items > 500_000 and per_split == 10_000_000
 
 
+def test_a_large_size_in_bytes_does_not_raise_the_split(spark, left, monkeypatch):
+    """Wide rows: the plan's bytes are many times the rows."""
+    sizes = skew._sizes
+    monkeypatch.setattr(skew, "_sizes", lambda df, rows_per_split: (*sizes(df, rows_per_split)[:2], 10 * rows_per_split))
+    (hot,) = skew.find_hot_keys(left, ["g", "k"], rows_per_split=500)
+    assert list(hot.splits.values()) == [5]
+
+
 def test_right_joins_cannot_be_split(spark, left):
     with pytest.raises(ValueError):
         skew.split_join(left, left, ["k"], "right", skew.HotKeys({1: 2}))

@@ -10,13 +10,15 @@ document's evidence and its path's posterior add up as log odds.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandfold.llm.common import stored
+from strandfold.llm.common import stored, text_key
 
 #: Labelled documents that the classifier is fitted on: those with the smallest hashes of their ids.
 SAMPLE = 20_000
+#: Different texts of one such id that count: those with the smallest hashes.
+TEXTS = 2
 PENALTY = 1.0
 ROUNDS = 30
 #: Log odds that a document's own evidence is held to, so that a site can matter but not decide alone.
@@ -78,11 +80,17 @@ def fit(rows: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The classifier, from at most SAMPLE labelled documents, which is all that comes to the driver."""
+    """The classifier, from at most SAMPLE labelled ids with TEXTS different texts each, which is all that comes to the driver.
+
+    Every sampled id counts, however often another is repeated, and the rows are the same in every run.
+    """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text")).join(F.broadcast(chosen), "doc_id")
-    rows = with_figures(rows).select("label", "_x").limit(2 * SAMPLE).collect()
+    rows = with_figures(rows).groupBy("doc_id", text_key("_text").alias("_key")).agg(F.max("label").alias("label"), F.min("_x").alias("_x"))
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("_key"))
+    rows = rows.withColumn("_rank", rank).where(F.col("_rank") <= TEXTS).select("doc_id", "_key", "label", "_x").collect()
+    rows.sort(key=lambda r: (r.doc_id, r["_key"]))
     return fit(np.array([r["_x"] for r in rows], dtype=float), np.array([r.label for r in rows], dtype=float))
 
 

@@ -276,6 +276,18 @@ def test_quality_held_out(spark):
     assert {r.doc_id for r in quality.keep(table, labels).collect()} == {i for i, keep in found.items() if keep}
 
 
+def test_every_sampled_id_is_fitted(spark, monkeypatch):
+    """One id with hundreds of texts and copies takes no other id's place, and a second run fits the same rows."""
+    rows = [(0, f"{prose(i, 12)} ### {i}") for i in range(300)] + [(0, "copy " * 9)] * 300 + [(i, prose(i, 30)) for i in range(1, 20)]
+    labels = spark.createDataFrame([(i, int(i > 0)) for i in range(20)], "doc_id long, quality int")
+    monkeypatch.setattr(quality, "SAMPLE", 20)
+    fitted = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: fitted.append((x.tolist(), y.tolist())))
+    for parts in (4, 7):
+        quality.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts), labels)
+    assert fitted[0] == fitted[1] and collections.Counter(fitted[0][1]) == {0.0: quality.TEXTS, 1.0: 19}
+
+
 def test_sparse_sites_are_drawn_to_the_prior(spark):
     rows = [("good", "a", 0.95)] * 400 + [("bad", "a", 0.05)] * 400 + [("good", "b", 0.05)] + [(None, None, 0.05)]
     rates, prior = quality.site_rates(spark.createDataFrame(rows, "host string, path string, p_text double"))

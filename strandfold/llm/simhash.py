@@ -174,9 +174,13 @@ def shared_keys(keyed: DataFrame) -> DataFrame:
     """(slot, key, node, fp, lo, hi) of keys with more than one node: what a task is to compare.
 
     A key with more than TILE nodes is cut into tiles, and every pair of tiles becomes a task's work of its
-    own, so that no group lands in one task, whatever its size.
+    own, so that no group lands in one task, whatever its size. Keys with the same nodes, told by two hashes
+    of 64 bits, would compare the same pairs: one of them stays.
     """
-    counts = stored(keyed.groupBy("slot", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "keys")
+    members = [F.bit_xor(F.xxhash64("node", F.lit(seed))).alias(f"x{seed}") for seed in (1, 2)]
+    counts = keyed.groupBy("slot", "key").agg(F.count(F.lit(1)).alias("n"), *members).where("n > 1")
+    counts = counts.groupBy("n", "x1", "x2").agg(F.min(F.struct("slot", "key")).alias("first"))
+    counts = stored(counts.select("first.slot", "first.key", "n"), "keys")
     tiles = F.ceil(F.col("n") / TILE).cast("int")
     own = F.pmod(F.xxhash64("node", F.lit(7)), tiles).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), tiles - 1), lambda j: F.struct(F.least(own, j).alias("lo"), F.greatest(own, j).alias("hi")))

@@ -120,6 +120,12 @@ def test_bit_budget_holds_for_small_and_large_sets():
         assert abs(differ.mean() - simhash._flips(shared, left, right)) < 0.01 and differ.sum(axis=1).max() <= budget
 
 
+def test_keys_with_the_same_nodes_are_compared_once(spark):
+    rows = [(0, key, node) for key in (5, 6, 7) for node in (1, 2)] + [(1, 5, 1), (1, 5, 2), (0, 8, 1), (0, 8, 2), (0, 8, 3), (0, 9, 4)]
+    keyed = spark.createDataFrame([(*r, r[2]) for r in rows], "slot int, key long, node long, fp long")
+    assert by_row(simhash.shared_keys(keyed), "slot", "key", "node") == [(0, 5, 1), (0, 5, 2), (0, 8, 1), (0, 8, 2), (0, 8, 3)]
+
+
 def test_components_of_chains(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 102), (101, 102), (200, 200)]
     table = spark.createDataFrame(links, "a long, b long")

@@ -1,8 +1,9 @@
 """Exact duplicates by polynomial fingerprints that combine from hashes of chunks.
 
 The hash of bytes b0..bn-1 is the sum of b[i] * BASE ** (n - 1 - i) modulo a prime, so
-H(xy) = H(x) * BASE ** len(y) + H(y): chunks are hashed apart, each is shifted by the length of
-what follows, and the sum is the hash of the whole. Texts whose fingerprints and
+H(xy) = H(x) * BASE ** len(y) + H(y): each chunk's hash is shifted by the length of
+what follows, and the sum is the hash of the whole. The chunks of a document are hashed one after
+another in one call, for its SHA-256, which does not combine, needs the whole text there anyway. Texts whose fingerprints and
 lengths agree are then compared chunk by chunk with the first of their group.
 """
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandfold.llm import chat, credentials, decontaminate, exact, licenses, packing, pii, quality, simhash, warc
+from strandfold.llm import chat, collocations, credentials, decontaminate, exact, licenses, packing, pii, quality, simhash, warc
 from strandfold.llm.common import new_folder
 
 #: The tokenizer that packing counts tokens with.
@@ -67,8 +67,12 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.digest(licenses.scan(_read(spark, folder, "documents")))
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_read(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_simhash, op2_packing, op3_warc, op4_quality, op5_exact_dedup, op6_decontamination, op7_secrets, op8_pii, op9_chat, op10_licenses)
+    found = (op1_simhash, op2_packing, op3_warc, op4_quality, op5_exact_dedup, op6_decontamination, op7_secrets, op8_pii, op9_chat, op10_licenses, op13_collocations)
     return {f.__name__: f for f in found}
 
 
@@ -117,5 +121,24 @@ FROM o GROUP BY conv_id, part, perspective
 """
 
 
+OP13_SQL = """
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+     w AS (SELECT lang, [x for x in regexp_split_to_array(piece, '[\\x20\\x09]+') if x <> ''] AS w FROM p),
+     t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+     g AS (SELECT lang, m, unnest([w[i:i + m - 1] for i in range(1, len(w) - m + 2)]) AS words FROM w, range(1, 6) r(m) WHERE len(w) >= m),
+     f AS (SELECT lang, m, words, array_to_string(words, ' ') AS phrase, count(*) AS f FROM g GROUP BY lang, m, words HAVING count(*) >= 100),
+     inside AS (SELECT c.lang, array_to_string(c.words[i:i + k - 1], ' ') AS phrase, max(f) AS longer
+                FROM f c, range(2, 5) a(k), range(1, 5) b(i) WHERE k < m AND i + k - 1 <= m GROUP BY ALL),
+     c AS (SELECT f.* FROM f LEFT JOIN inside USING (lang, phrase) WHERE m > 1 AND (longer IS NULL OR 100 * longer < 100 * f.f)),
+     cut AS (SELECT c.lang, c.phrase, c.f AS a, l.f AS l, r.f AS r, n, k, ((1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+             FROM c, range(1, 5) k(k), f l, f r, t
+             WHERE k < c.m AND l.lang = c.lang AND r.lang = c.lang AND t.lang = c.lang
+               AND l.phrase = array_to_string(c.words[1:k], ' ') AND r.phrase = array_to_string(c.words[k + 1:], ' ')),
+     best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": OP3_SQL, "op9_chat": OP9_SQL, "op5_exact_dedup": OP5_SQL, "op6_decontamination": OP6_SQL}
+    return {"op3_warc": OP3_SQL, "op9_chat": OP9_SQL, "op5_exact_dedup": OP5_SQL, "op6_decontamination": OP6_SQL, "op13_collocations": OP13_SQL}

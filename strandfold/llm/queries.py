@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandfold.llm import chat, collocations, credentials, decontaminate, exact, licenses, packing, pii, quality, simhash, warc
+from strandfold.llm import chat, collocations, credentials, decontaminate, exact, licenses, negatives, packing, pii, quality, simhash, warc
 from strandfold.llm.common import new_folder
 
 #: The tokenizer that packing counts tokens with.
@@ -67,12 +67,18 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.digest(licenses.scan(_read(spark, folder, "documents")))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _read(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", moved))
+
+
 def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(_read(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_simhash, op2_packing, op3_warc, op4_quality, op5_exact_dedup, op6_decontamination, op7_secrets, op8_pii, op9_chat, op10_licenses, op13_collocations)
+    found = (op1_simhash, op2_packing, op3_warc, op4_quality, op5_exact_dedup, op6_decontamination, op7_secrets, op8_pii, op9_chat, op10_licenses, op12_hard_negatives, op13_collocations)
     return {f.__name__: f for f in found}
 
 
@@ -121,6 +127,20 @@ FROM o GROUP BY conv_id, part, perspective
 """
 
 
+OP12_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) for x in embedding] AS q
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len([x for x in embedding if x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+     s AS (SELECT a.vec_id AS anchor_id, o.vec_id AS id, a.label = o.label AS alike, list_inner_product(a.q, o.q)::BIGINT AS score
+           FROM v a JOIN v o ON a.vec_id % 50 = 0 AND a.vec_id <> o.vec_id),
+     p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE alike
+           QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 OP13_SQL = """
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
      w AS (SELECT lang, [x for x in regexp_split_to_array(piece, '[\\x20\\x09]+') if x <> ''] AS w FROM p),
@@ -141,4 +161,4 @@ FROM best QUALIFY rank <= 2000
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": OP3_SQL, "op9_chat": OP9_SQL, "op5_exact_dedup": OP5_SQL, "op6_decontamination": OP6_SQL, "op13_collocations": OP13_SQL}
+    return {"op3_warc": OP3_SQL, "op9_chat": OP9_SQL, "op5_exact_dedup": OP5_SQL, "op6_decontamination": OP6_SQL, "op12_hard_negatives": OP12_SQL, "op13_collocations": OP13_SQL}

@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from strandfold.llm.bits import Filter, filter_of
 from strandfold.llm.common import stored
 
-#: Letters handled at a time: some 30 bytes of arrays each.
-BLOCK = 1 << 22
+#: Letters handled at a time: some 50 bytes of arrays each.
+BLOCK = 1 << 20
 #: Fingerprints a task gathers before it hands them on.
-GATHERED = 1 << 21
+GATHERED = 1 << 20
 #: Phrases a task gathers before it hands them on.
 PHRASES = 1 << 18
 #: Parts that a language's candidates are ranked in before the last ranking.
@@ -288,6 +288,13 @@ def _joined(words: str, start: Column, length: Column) -> Column:
     return F.array_join(F.slice(words, start, length), " ")
 
 
+def scored_cuts(cuts: DataFrame) -> DataFrame:
+    """The cuts with their score 1000 * a * n / (l * r), rounded down; products are decimals of 38 digits."""
+    wide = {c: F.col(c).cast("decimal(38,0)") for c in ("a", "n", "l", "r")}
+    products = cuts.withColumns({"above": wide["a"] * 1000 * wide["n"], "below": wide["l"] * wide["r"]})
+    return products.withColumn("score", F.expr("above div below")).drop("above", "below")
+
+
 def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int = 2000) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` phrases of two words or more.
 
@@ -309,10 +316,7 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
     part = lambda name, f: counts.where("length > 0").select("lang", F.col("phrase").alias(name), F.col("f").alias(f))
     totals = counts.where("length = 0").select("lang", F.col("f").alias("n"))
     scored = cuts.join(part("first", "l"), ["lang", "first"]).join(part("rest", "r"), ["lang", "rest"]).join(totals, "lang")
-    wide = {c: F.col(c).cast("decimal(38,0)") for c in ("a", "n", "l", "r")}
-    scored = scored.withColumns({"above": wide["a"] * 1000 * wide["n"], "below": wide["l"] * wide["r"]})
-    scored = scored.withColumn("cut", F.struct(F.expr("above div below").alias("score"), "k", "a", "l", "r", "n"))
-    best = scored.groupBy("lang", "phrase").agg(F.min("cut").alias("cut")).select("lang", "phrase", "cut.*").drop("k")
+    best = scored_cuts(scored).withColumn("cut", F.struct("score", "k", "a", "l", "r", "n")).groupBy("lang", "phrase").agg(F.min("cut").alias("cut")).select("lang", "phrase", "cut.*").drop("k")
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     # Ranked in parts first, so that a language's candidates do not all go through one task.
     parts = best.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandfold.llm import chat, collocations, credentials, decontaminate, exact, licenses, negatives, packing, pii, quality, simhash, warc
+from strandfold.llm import chat, collocations, credentials, decontaminate, exact, licenses, negatives, overlap, packing, pii, quality, simhash, warc
 from strandfold.llm.common import new_folder
 
 #: The tokenizer that packing counts tokens with.
@@ -67,6 +67,10 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.digest(licenses.scan(_read(spark, folder, "documents")))
 
 
+def op11_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return overlap.similar_groups(_read(spark, folder, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _read(spark, folder, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -78,7 +82,7 @@ def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_simhash, op2_packing, op3_warc, op4_quality, op5_exact_dedup, op6_decontamination, op7_secrets, op8_pii, op9_chat, op10_licenses, op12_hard_negatives, op13_collocations)
+    found = (op1_simhash, op2_packing, op3_warc, op4_quality, op5_exact_dedup, op6_decontamination, op7_secrets, op8_pii, op9_chat, op10_licenses, op11_ngram_jaccard, op12_hard_negatives, op13_collocations)
     return {f.__name__: f for f in found}
 
 
@@ -127,6 +131,18 @@ FROM o GROUP BY conv_id, part, perspective
 """
 
 
+OP11_SQL = """
+WITH RECURSIVE words AS (
+         SELECT doc_id, [x for x in regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') if x <> ''] AS w FROM documents),
+     s AS (SELECT DISTINCT doc_id, unnest([array_to_string(w[i + 1:i + 5], ' ') for i in range(greatest(len(w) - 4, 1))]) AS shingle FROM words WHERE len(w) > 0),
+     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+     p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+     l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * shared >= 80 * (na.n + nb.n - shared)),
+     reach(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, (SELECT min(b) FROM reach WHERE a = doc_id)) AS component_id
+FROM documents LEFT JOIN n USING (doc_id)
+"""
+
 OP12_SQL = """
 WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) for x in embedding] AS q
            FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
@@ -161,4 +177,4 @@ FROM best QUALIFY rank <= 2000
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": OP3_SQL, "op9_chat": OP9_SQL, "op5_exact_dedup": OP5_SQL, "op6_decontamination": OP6_SQL, "op12_hard_negatives": OP12_SQL, "op13_collocations": OP13_SQL}
+    return {"op3_warc": OP3_SQL, "op9_chat": OP9_SQL, "op5_exact_dedup": OP5_SQL, "op6_decontamination": OP6_SQL, "op11_ngram_jaccard": OP11_SQL, "op12_hard_negatives": OP12_SQL, "op13_collocations": OP13_SQL}

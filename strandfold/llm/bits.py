@@ -37,14 +37,18 @@ def filter_of(keys: DataFrame, key: str = "key", most_bits: int = MOST_BITS) ->
     ``most_bits`` bits. With more keys than that allows the filter lets more through, and the exact step
     behind it has more to do.
     """
-    wanted = keys.select(F.count(F.lit(1)).alias("n")).first().n * PER_KEY
-    size = min(max(1 << max(int(wanted) - 1, 1).bit_length(), LEAST_BITS), most_bits)
-    bit = F.shiftrightunsigned(F.col(key), 65 - size.bit_length())
+    return filters_of(keys.withColumn("level", F.lit(0)), 1, key, most_bits)[0]
+
+
+def filters_of(keys: DataFrame, levels: int, key: str = "key", most_bits: int = MOST_BITS) -> list[Filter]:
+    """A filter for each value from 0 to ``levels`` - 1 of the column ``level``, all of one size and as ``filter_of``."""
+    most = max((r.n for r in keys.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()), default=0)
+    size = min(max(1 << max(int(most) * PER_KEY - 1, 1).bit_length(), LEAST_BITS), most_bits)
     # Spark's bitmap rows count from one; position 1 is bit 0 of row 1.
-    placed = keys.select((bit + 1).alias("bit"))
-    rows = placed.groupBy(F.bitmap_bucket_number("bit").alias("row")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
-    bits = np.zeros(size // 8, dtype=np.uint8)
-    for row in rows.toLocalIterator():
+    placed = keys.select("level", (F.shiftrightunsigned(F.col(key), 65 - size.bit_length()) + 1).alias("bit"))
+    rows = placed.groupBy("level", F.bitmap_bucket_number("bit").alias("row")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    bits = [np.zeros(size // 8, dtype=np.uint8) for _ in range(levels)]
+    for row in rows.collect() if most else ():
         at = (row.row - 1) * (ROW_BITS // 8)
-        bits[at:at + ROW_BITS // 8] = np.frombuffer(bytes(row.bits), dtype=np.uint8)
-    return Filter(bits)
+        bits[row.level][at:at + ROW_BITS // 8] = np.frombuffer(bytes(row.bits), dtype=np.uint8)
+    return [Filter(b) for b in bits]

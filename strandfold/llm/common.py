@@ -49,6 +49,19 @@ def text_key(text: str | Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` but those named by doc_id and text_key in ``gone``, whatever other columns ``docs`` has."""
+    taken = {c.lower() for c in docs.columns}
+    own = {}
+    for name in ("doc_id", "text_key"):
+        own[name] = f"_gone_{name}"
+        while own[name] in taken:
+            own[name] += "_"
+    named = gone.select(*(F.col(name).alias(alias) for name, alias in own.items())).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(own["doc_id"])) & (text_key("text") == F.col(own["text_key"]))
+    return docs.join(named, same, "left_anti")
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text: everything between blanks (space, tab to carriage return)."""
     return F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")

@@ -3,8 +3,9 @@
 Patterns label credentials of three kinds. From a bounded sample of each kind, and one of ordinary
 long words, a prefix tree is built over character classes; states are merged wherever the
 frequencies of what follows are compatible (Hoeffding's bound), which leaves an automaton that
-stands for a format. A candidate is a credential if some format's likelihood exceeds that of ordinary
-words by a margin.
+stands for a format. The labelled strings also tell which characters a credential is made of and how short it may
+be: every run of such characters that is long enough is a candidate, whatever lies inside or around it. A candidate is
+a credential if some format's likelihood exceeds that of ordinary words by a margin.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,11 +28,15 @@ KINDS = (
     ("hex", re.compile(r"[0-9a-f]{16,}"), 0, 16),
 )
 BASE = tuple(kind for kind, *_ in KINDS)
+DIGIT = re.compile("[0-9]")
 FOUND = "format"
-#: Anything that might be a credential.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-#: Distinct labelled strings that each automaton learns from: those with the smallest hashes. Of a longer one, the start.
-SAMPLE, STATES_DEEP = 2000, 64
+#: What labelled values are made of at most, and how short they are at least; fixed values, as those of the kinds.
+VALUE, SHORTEST = "A-Za-z0-9+/_.=-", 12
+LONG_WORD = re.compile(f"[{VALUE}]{{{SHORTEST},}}")
+#: Characters that end a sentence or a word rather than begin or end a credential.
+EDGES = ".-"
+#: Distinct strings that each automaton learns from: those with the smallest hashes, whole ones of at most so many characters.
+SAMPLE, LONGEST = 2000, 4096
 #: Confidence of the merging test, and how much likelier a format must be, per character and altogether.
 ALPHA, MARGIN, TOTAL = 0.01, 0.25, 8.0
 END = ""
@@ -50,15 +56,14 @@ class Automaton:
         self.next: list[dict[str, int]] = [{}]
         for value in values:
             state, string = 0, symbols(value)
-            for c in string[:STATES_DEEP]:
+            for c in string:
                 self.counts[state][c] = self.counts[state].get(c, 0) + 1
                 if c not in self.next[state]:
                     self.next[state][c] = len(self.next)
                     self.counts.append({})
                     self.next.append({})
                 state = self.next[state][c]
-            if len(string) <= STATES_DEEP:
-                self.counts[state][END] = self.counts[state].get(END, 0) + 1
+            self.counts[state][END] = self.counts[state].get(END, 0) + 1
         self._merge()
 
     def _merge(self) -> None:
@@ -122,45 +127,87 @@ def spans(text: str) -> list[tuple[str, int, int, str]]:
     ]
 
 
-def others(text: str, taken: list[tuple[str, int, int, str]]) -> list[tuple[str, int, int, str]]:
-    """Candidates that overlap no labelled credential."""
-    ends, found = sorted((start, end) for _, start, end, _ in taken), []
-    at = furthest = 0
-    for m in CANDIDATE.finditer(text):
-        while at < len(ends) and ends[at][0] < m.end():
-            furthest, at = max(furthest, ends[at][1]), at + 1
-        if furthest <= m.start():
-            found.append((FOUND, m.start(), m.end(), m.group()))
-    return found
+class Grammar:
+    """What a credential looks like: an automaton per kind and one of ordinary words, characters and least length."""
 
+    def __init__(self, automata: dict[str, Automaton], alphabet: str, least: int):
+        self.automata, self.least = automata, least
+        self.runs = re.compile(f"[{re.escape(alphabet)}]{{{least},}}") if alphabet else None
 
-SPANS = "array<struct<kind:string,start:int,end:int,value:string>>"
+    def candidates(self, text: str) -> Iterator[tuple[int, int]]:
+        """Where runs of the alphabet are, without the dots and hyphens at their ends, if long enough."""
+        for m in self.runs.finditer(text) if self.runs else ():
+            run = m.group()
+            start, end = m.start() + len(run) - len(run.lstrip(EDGES)), m.end() - len(run) + len(run.rstrip(EDGES))
+            if end - start >= self.least:
+                yield start, end
 
+    def found(self, text: str, taken: list[tuple[str, int, int, str]]) -> list[tuple[str, int, int, str, float]]:
+        """The likely candidates, but for those that a labelled span or its value is already."""
+        known = {(start, end) for _, start, end, _ in taken} | {(end - len(value), end) for _, _, end, value in taken}
+        out = []
+        for start, end in self.candidates(text):
+            if (start, end) not in known and (gain := likely(text[start:end], self.automata)) >= MARGIN:
+                out.append((FOUND, start, end, text[start:end], gain))
+        return out
 
-def labelled(docs: DataFrame) -> DataFrame:
-    """(doc_id, spans, others) of each row."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            taken = [spans(text) for text in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "spans": taken, "others": [others(text, t) for text, t in zip(pdf["text"], taken)]})
+def _keep(held: dict[str, dict[str, int]], kind: str, value: str, sample: int) -> None:
+    """Keep a value, if it is among the kind's ``sample`` smallest hashes so far or soon may be."""
+    if len(value) <= LONGEST:
+        values = held.setdefault(kind, {})
+        values[value] = xxhash.xxh64_intdigest(value, seed=42) - (1 << 63)
+        if len(values) > 4 * sample:
+            held[kind] = dict(_first(values, sample))
+
+
+def _first(values: dict[str, int], sample: int) -> list[tuple[str, int]]:
+    return sorted(values.items(), key=lambda x: (x[1], x[0]))[:sample]
 
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, f"doc_id long, spans {SPANS}, others {SPANS}")
 
+def learn(docs: DataFrame, sample: int = SAMPLE) -> Grammar:
+    """The grammar of the labelled credentials of the table's whole texts.
 
-def learn(found: DataFrame, sample: int = SAMPLE) -> dict[str, Automaton]:
-    """An automaton per kind and one of ordinary words, from at most ``sample`` distinct strings each."""
+    The alphabet and the least length are of all labelled values, each automaton is of the ``sample`` distinct strings with
+    the smallest hashes. Ordinary words are long ones without digits outside the labelled spans: what has digits may be
+    what is looked for. Tasks keep no more strings than the sample, so nothing unbounded is gathered.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[str, dict[str, int]] = {}
+        alphabet: set[str] = set()
+        least = None
+        for pdf in batches:
+            for text in pdf["text"]:
+                taken = spans(text)
+                for kind, _, _, value in taken:
+                    alphabet.update(value)
+                    least = min(least or len(value), len(value))
+                    _keep(held, kind, value, sample)
+                ends, at, furthest = sorted((start, end) for _, start, end, _ in taken), 0, 0
+                for m in LONG_WORD.finditer(text):
+                    while at < len(ends) and ends[at][0] < m.end():
+                        furthest, at = max(furthest, ends[at][1]), at + 1
+                    word = m.group().strip(EDGES)
+                    if furthest <= m.start() and len(word) >= SHORTEST and not DIGIT.search(word):
+                        _keep(held, FOUND, word, sample)
+        rows = [(kind, value, h, 0) for kind, values in held.items() for value, h in _first(values, sample)]
+        rows += [("alphabet", c, 0, least) for c in sorted(alphabet)]
+        if rows:
+            yield pd.DataFrame(rows, columns=["kind", "value", "hash", "least"])
+
+    gathered = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, "kind string, value string, hash long, least int")
+    gathered = stored(gathered.groupBy("kind", "value", "hash").agg(F.min("least").alias("least")), "strings")
+    letters = gathered.where("kind = 'alphabet'").collect()  # at most as many as VALUE has
+    alphabet, least = "".join(sorted(r.value for r in letters)), min((r.least for r in letters), default=SHORTEST)
     automata = {}
-    values = found.select(F.explode(F.concat("spans", "others")).alias("s")).select("s.kind", "s.value").distinct()
-    values = stored(values, "values")
     for kind in (*BASE, FOUND):
-        rows = values.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(sample).collect()
-        strings = [r["value"] for r in rows]
-        if kind == FOUND:  # ordinary words have no digits among letters; what has may be what is looked for
-            strings = [s for s in strings if not re.search("[0-9]", s)]
+        strings = [r.value for r in gathered.where(F.col("kind") == kind).orderBy("hash", "value").limit(sample).collect()]
+        if kind == FOUND:
+            strings = [part for s in strings for part in re.findall(f"[{re.escape(alphabet)}]{{{least},}}" if alphabet else ".+", s)]
         if strings:
             automata[kind] = Automaton(strings)
-    return automata
+    return Grammar(automata, alphabet, least)
 
 
 def likely(value: str, automata: dict[str, Automaton]) -> float:
@@ -177,25 +224,25 @@ def find(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, spans) of each row: spans are (kind, start, end, value, score), by start.
 
     Positions are code points, the end exclusive. Labelled credentials are all there, with score 1 and the
-    kind of their pattern; other candidates, of kind ``format``, if the automata find them likely, with
-    the gain per character. Null texts count as empty; rows that repeat a doc_id or a text each get
-    their row; without labelled credentials nothing is added; an empty table gives an empty result;
-    extra columns are ignored.
+    kind of their pattern; beside them all candidates, of kind ``format``, that the automata find likely, with
+    the gain per character, also those that overlap a labelled one but are not the same. Null texts count as empty; rows
+    that repeat a doc_id or a text each get their row; without labelled credentials nothing is added; an empty table
+    gives an empty result; extra columns are ignored.
     """
-    found = stored(labelled(docs), "labelled")
-    automata = learn(found, sample)
+    grammar = learn(docs, sample)
     rank = {kind: i for i, kind in enumerate((*BASE, FOUND))}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for taken, rest in zip(pdf["spans"], pdf["others"]):
-                row = [(s["kind"], s["start"], s["end"], s["value"], 1.0) for s in taken]
-                row += [(s["kind"], s["start"], s["end"], s["value"], gain) for s in rest if (gain := likely(s["value"], automata)) >= MARGIN]
-                rows.append(sorted(row, key=lambda s: (s[1], rank[s[0]])))
+            for text in pdf["text"]:
+                taken = spans(text)
+                row = [(*s, 1.0) for s in taken] + grammar.found(text, taken)
+                rows.append(sorted(row, key=lambda s: (s[1], rank[s[0]], s[2])))
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "spans": rows})
 
-    return found.mapInPandas(run, "doc_id long, spans array<struct<kind:string,start:int,end:int,value:string,score:double>>")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return texts.mapInPandas(run, "doc_id long, spans array<struct<kind:string,start:int,end:int,value:string,score:double>>")
 
 
 def digest(found: DataFrame) -> DataFrame:

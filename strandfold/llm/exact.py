@@ -1,15 +1,14 @@
 """Exact duplicates by polynomial fingerprints that combine from hashes of chunks.
 
 The hash of bytes b0..bn-1 is the sum of b[i] * BASE ** (n - 1 - i) modulo a prime, so
-H(xy) = H(x) * BASE ** len(y) + H(y): each chunk's hash is shifted by the length of
-what follows, and the sum is the hash of the whole. The chunks of a document are hashed one after
-another in one call, for its SHA-256, which does not combine, needs the whole text there anyway. Texts whose fingerprints and
-lengths agree are then compared chunk by chunk with the first of their group.
+H(xy) = H(x) * BASE ** len(y) + H(y): the hash of what came before is shifted by a chunk's length and the
+chunk's own hash is added. Every chunk is a row, hashed by itself; those of huge documents are dealt out to all tasks
+first. A grouped aggregate folds a document's chunk hashes, 40 bytes each, into the hash of the whole.
+Texts whose fingerprints and lengths agree are then compared chunk by chunk with the first of their group.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,23 +16,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandfold.llm.common import stored, text_key
+from strandfold.llm.common import stored, text_key, without
 
 #: Two primes below 2 ** 31: a byte times a power, summed over a chunk, fits 64 bits.
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_000_003, 998_244_353)
-#: Bytes hashed or compared at a time.
-CHUNK = 1 << 16
-BLANKS = bytes([32, *range(9, 14)])
-
-
-def normalised(data: bytes | None) -> bytes:
-    """Every run of blanks as one space."""
-    data = data or b""
-    inner = b" ".join(data.split())
-    if not inner:
-        return b" " if data else b""
-    return b" " * (data[0] in BLANKS) + inner + b" " * (data[-1] in BLANKS)
+#: Characters of a chunk, and the bytes these take at most.
+CHUNK, WIDEST = 1 << 16, 4
+#: Characters from which a document's chunks are dealt out.
+HUGE = 1 << 22
 
 
 class Polynomial:
@@ -42,47 +33,78 @@ class Polynomial:
     def __init__(self, prime: int, base: int):
         self.prime, self.base = prime, base
         powers = [1]
-        for _ in range(CHUNK - 1):
+        for _ in range(CHUNK * WIDEST):
             powers.append(powers[-1] * base % prime)
         self.powers = np.array(powers[::-1], dtype=np.uint64)
 
-    def chunk(self, data: np.ndarray) -> int:
-        return int(np.dot(data, self.powers[CHUNK - len(data):])) % self.prime
+    def chunk(self, data: bytes) -> int:
+        values = np.frombuffer(data, dtype=np.uint8).astype(np.uint64)
+        return int(np.dot(values, self.powers[len(self.powers) - len(values):])) % self.prime
 
-    def joined(self, left: int, right: int, right_length: int) -> int:
-        return (left * pow(self.base, right_length, self.prime) + right) % self.prime
+    def shift(self, length: int) -> int:
+        """What the hash of all before is multiplied by."""
+        return int(self.powers[len(self.powers) - 1 - length])
 
-    def whole(self, data: np.ndarray) -> int:
-        total = 0
-        for at in range(0, len(data), CHUNK):
-            part = data[at:at + CHUNK]
-            total = self.joined(total, self.chunk(part), len(part))
-        return total
 
+def plain(text: Column) -> Column:
+    """Every run of blanks as one space; null as empty."""
+    return F.regexp_replace(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+", " ")
 
-def fingerprints(docs: DataFrame, primes: tuple[int, int] = PRIMES) -> DataFrame:
-    """(doc_id, text_key, fp, n_bytes, text_sha256) of each row, of its normalised text."""
+
+def pieces(text: Column) -> Column:
+    """The text in chunks of CHUNK characters, in one pass over it; an empty text is one empty chunk."""
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    return F.when(text == "", F.array(F.lit(""))).otherwise(cut)
+
+
+def chunk_hashes(docs: DataFrame, primes: tuple[int, int] = PRIMES) -> DataFrame:
+    """(doc_id, text_key, text_sha256, part, hash_0, shift_0, hash_1, shift_1, n_bytes): each chunk of each row, hashed by itself."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first, second = (Polynomial(p, b) for p, b in zip(primes, BASES))
+        kinds = [Polynomial(p, b) for p, b in zip(primes, BASES)]
         for pdf in batches:
-            fps, sizes, digests = [], [], []
-            for data in pdf["data"]:
-                data = normalised(data)
-                values = np.frombuffer(data, dtype=np.uint8).astype(np.uint64)
-                fps.append(first.whole(values) << 31 | second.whole(values))
-                sizes.append(len(data))
-                digests.append(hashlib.sha256(data).hexdigest())
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "text_key": pdf["text_key"], "fp": fps, "n_bytes": sizes, "text_sha256": digests})
+            data = list(pdf["piece"])
+            out = pdf.drop(columns="piece")
+            for k, kind in enumerate(kinds):
+                out[f"hash_{k}"] = [kind.chunk(x) for x in data]
+                out[f"shift_{k}"] = [kind.shift(len(x)) for x in data]
+            out["n_bytes"] = [len(x) for x in data]
+            yield out
+
+    texts = docs.select("doc_id", text_key("text").alias("text_key"), plain(F.col("text")).alias("plain"))
+    texts = texts.withColumn("text_sha256", F.sha2(F.col("plain").cast("binary"), 256))
 
-    rows = docs.select("doc_id", text_key("text").alias("text_key"), F.col("text").cast("binary").alias("data"))
-    return rows.mapInPandas(run, "doc_id long, text_key long, fp long, n_bytes long, text_sha256 string")
+    def cut(rows: DataFrame) -> DataFrame:
+        parts = rows.select("doc_id", "text_key", "text_sha256", F.posexplode(pieces(F.col("plain"))).alias("part", "piece"))
+        return parts.withColumn("piece", F.col("piece").cast("binary"))
+
+    huge = F.char_length("plain") > HUGE
+    dealt = cut(texts.where(huge)).repartition(F.col("text_key"), F.col("part"))
+    hashes = "part int, hash_0 long, shift_0 long, hash_1 long, shift_1 long, n_bytes long"
+    schema = f"doc_id long, text_key long, text_sha256 string, {hashes}"
+    return cut(texts.where(~huge)).mapInPandas(run, schema).union(dealt.mapInPandas(run, schema))
+
+
+def fingerprints(docs: DataFrame, primes: tuple[int, int] = PRIMES) -> DataFrame:
+    """(doc_id, text_key, fp, n_bytes, text_sha256) of each row, of its normalised text.
+
+    The chunks of rows that repeat an id and a text are the same, so each counts once; how often there is
+    a first one says how many rows there are.
+    """
+    chunk = F.struct("part", "hash_0", "shift_0", "hash_1", "shift_1", "n_bytes")
+    rows = chunk_hashes(docs, primes).groupBy("doc_id", "text_key", "text_sha256").agg(
+        F.array_sort(F.collect_set(chunk)).alias("chunks"), F.count_if(F.col("part") == 0).alias("copies"))
 
+    def joined(acc: Column, c: Column, k: int) -> Column:
+        return ((acc[f"hash_{k}"] * c[f"shift_{k}"] + c[f"hash_{k}"]) % F.lit(primes[k])).alias(f"hash_{k}")
 
-def chunks(plain: Column) -> Column:
-    """A column of normalised text in chunks of CHUNK characters, as (part, piece)."""
-    last = F.greatest(F.ceil(F.char_length(plain) / CHUNK).cast("int") - 1, F.lit(0))
-    return F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(i.alias("part"), F.substring(plain, i * CHUNK + 1, F.lit(CHUNK)).alias("piece")))
+    zero = F.lit(0).cast("long")
+    start = F.struct(zero.alias("hash_0"), zero.alias("hash_1"), zero.alias("n_bytes"))
+    whole = F.aggregate("chunks", start, lambda acc, c: F.struct(joined(acc, c, 0), joined(acc, c, 1), (acc["n_bytes"] + c["n_bytes"]).alias("n_bytes")))
+    rows = rows.select("doc_id", "text_key", "text_sha256", "copies", whole.alias("whole"))
+    fp = F.shiftleft("whole.hash_0", 31).bitwiseOR(F.col("whole.hash_1"))
+    each = rows.select("doc_id", "text_key", fp.alias("fp"), F.col("whole.n_bytes").alias("n_bytes"), "text_sha256", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    return each.drop("copy")
 
 
 def duplicates(docs: DataFrame, primes: tuple[int, int] = PRIMES) -> DataFrame:
@@ -118,21 +140,17 @@ def _differing(docs: DataFrame, prints: DataFrame, groups: DataFrame) -> DataFra
     """
     first = groups.select("first_id", "first_key", *groups.columns[:2])
     members = prints.join(groups.select("fp", "n_bytes"), ["fp", "n_bytes"]).select("doc_id", "text_key", "fp", "n_bytes", "text_sha256").distinct()
-    plain = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), "[\\x20\\x09-\\x0D]+", " ")
-    texts = docs.select(F.col("doc_id").alias("_id"), text_key("text").alias("_key"), plain.alias("plain"))
+    texts = docs.select(F.col("doc_id").alias("_id"), text_key("text").alias("_key"), plain(F.col("text")).alias("plain"))
     same_row = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
-    pieces = texts.join(members, same_row).select("fp", "n_bytes", "text_sha256", "doc_id", "text_key", F.inline(chunks(F.col("plain"))))
-    pieces = stored(pieces, "pieces")
-    lead = first.join(pieces, F.col("first_id").eqNullSafe(F.col("doc_id")) & (F.col("first_key") == F.col("text_key")) & (first["fp"] == pieces["fp"]))
-    lead = lead.select(pieces["fp"], pieces["n_bytes"], "part", F.col("piece").alias("lead")).dropDuplicates(["fp", "n_bytes", "part"])
+    parts = texts.join(members, same_row).select("fp", "n_bytes", "text_sha256", "doc_id", "text_key", F.posexplode(pieces(F.col("plain"))).alias("part", "piece"))
+    parts = stored(parts, "pieces")
+    lead = first.join(parts, F.col("first_id").eqNullSafe(F.col("doc_id")) & (F.col("first_key") == F.col("text_key")) & (first["fp"] == parts["fp"]))
+    lead = lead.select(parts["fp"], parts["n_bytes"], "part", F.col("piece").alias("lead")).dropDuplicates(["fp", "n_bytes", "part"])
     lead = stored(lead, "leads")
-    met = pieces.join(lead, ["fp", "n_bytes", "part"], "left").where("lead is null or piece <> lead")
+    met = parts.join(lead, ["fp", "n_bytes", "part"], "left").where("lead is null or piece <> lead")
     return met.select("fp", "n_bytes", "text_sha256").distinct().withColumn("differs", F.lit(True))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: of equal texts, the row with the smallest doc_id."""
-    found = duplicates(docs)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (text_key("text") == F.col("_gone_key"))
-    return docs.join(gone, same, "left_anti")
+    return without(docs, duplicates(docs).where(~F.col("kept")))

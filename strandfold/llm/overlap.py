@@ -6,35 +6,38 @@ Two documents' overlap is counted fragment by fragment, each count by itself, an
 
 Which pairs are counted: two sets as similar as asked share one of the first n - ceil(t * n) + 1 n-grams of each
 (the rarest, in this order), sizes and positions permitting. Groups of copies are not expanded into pairs: of the documents that
-share such an n-gram a few centres are held against the rest, what is linked by then is skipped, and
-four times as many centres follow until the documents of every n-gram are linked or all compared.
+share such an n-gram, and are of about a size, a few centres are held against the rest, what is linked by then is
+skipped, more centres follow, and at last whatever is neither linked nor compared.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandfold.llm.bits import Filter, filter_of
+from strandfold.llm.bits import Filter, filter_of, filters_of
 from strandfold.llm.collocations import LOWER, mixed, runs
 from strandfold.llm.common import stored, text_key
 from strandfold.llm.graph import components
 
 #: Letters hashed at a time.
 BLOCK = 1 << 20
+#: Texts hashed at a time, if they are short.
+ROWS = 256
 #: N-grams among which a task looks for repeated ones.
-GATHERED = 1 << 21
-#: Repeats from which an n-gram counts as common, and as very common.
-COMMON = (32, 1024)
+GATHERED = 1 << 22
+#: Repeats from which an n-gram counts as common, more common, and so on.
+COMMON = tuple(4 ** k for k in range(2, 12))
 #: Fragments of the n-grams that are not common; each common class is a fragment of its own.
 FRAGMENTS = 8
-#: Centres of the first round, and factor of each further one; beyond MOST_CENTRES all pairs left are compared.
-FACTOR, MOST_CENTRES = 4, 256
+#: Centres of each n-gram in the rounds after the first, which has one; what is left then is compared with all.
+CENTRES = (32,)
 
 BLANK = np.zeros(256, dtype=bool)
 BLANK[[32, *range(9, 14)]] = True
@@ -60,6 +63,34 @@ def hashed(data: bytes, shingle: int) -> np.ndarray:
     return np.unique(mixed(np.concatenate(found))) if found else np.empty(0, dtype=np.uint64)
 
 
+def hashed_many(texts: list[bytes], shingle: int) -> Iterator[np.ndarray]:
+    """``hashed`` of each text, short ones many at a time."""
+    at = 0
+    while at < len(texts):
+        end, size = at + 1, len(texts[at])
+        while end < len(texts) and size + len(texts[end]) < BLOCK:
+            size, end = size + len(texts[end]), end + 1
+        group, at = texts[at:end], end
+        if len(group) == 1:
+            yield hashed(group[0], shingle)
+            continue
+        text = LOWER[np.frombuffer(b"\n".join(group), dtype=np.uint8)]
+        edges = np.diff(np.r_[np.int8(0), (~BLANK[text]).view(np.int8), np.int8(0)])
+        starts = np.flatnonzero(edges == 1)
+        values = mixed(runs(text.astype(np.uint64) + np.uint64(1), starts, np.flatnonzero(edges == -1)))
+        begins = np.cumsum([0, *(len(x) + 1 for x in group)])
+        words = np.searchsorted(starts, begins)
+        first = np.arange(max(len(values) - shingle + 1, 0))
+        grams = mixed(runs(values, first, first + shingle))
+        for lo, hi in zip(words.tolist(), words[1:].tolist()):
+            if hi - lo >= shingle:
+                yield np.unique(grams[lo:hi - shingle + 1])
+            elif hi > lo:
+                yield mixed(runs(values[lo:hi], np.array([0]), np.array([hi - lo])) + np.uint64(shingle - (hi - lo)))
+            else:
+                yield np.empty(0, dtype=np.uint64)
+
+
 def prefix_length(n: int, percent: int) -> int:
     """N-grams of which two similar sets share one for certain."""
     return n - -(-percent * n // 100) + 1 if n else 0
@@ -74,8 +105,8 @@ class Order:
     def ordered(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hashes in the global order, and the class of each."""
         kind = np.zeros(len(found), dtype=np.int64)
-        for known in self.common:
-            kind += known.has(found)
+        for level, known in enumerate(self.common):
+            kind[known.has(found)] = level + 1
         order = np.argsort(kind, kind="stable")
         return found[order], kind[order]
 
@@ -89,6 +120,7 @@ def repeated(docs: DataFrame, shingle: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []
+        size = 0
 
         def counts() -> pd.DataFrame:
             keys, n = np.unique(np.concatenate(held), return_counts=True)
@@ -96,14 +128,18 @@ def repeated(docs: DataFrame, shingle: int) -> DataFrame:
             return pd.DataFrame({"key": keys[n > 1].view(np.int64), "count": n[n > 1].astype(np.int64)})
 
         for pdf in batches:
-            for data in pdf["data"]:
-                held.append(hashed(data, shingle))
-                if sum(map(len, held[-1:])) and sum(map(len, held)) > GATHERED:
+            for grams in hashed_many(list(pdf["data"]), shingle):
+                held.append(grams)
+                size += len(grams)
+                if size > GATHERED:
                     yield counts()
+                    size = 0
         if held:
             yield counts()
 
-    return _texts(docs).mapInPandas(run, "key long, count long").groupBy("key").agg(F.sum("count").alias("count"))
+    # As few tasks as there are cores: the more documents a task has, the more it sees repeated.
+    few = _texts(docs).coalesce(docs.sparkSession.sparkContext.defaultParallelism)
+    return few.mapInPandas(run, "key long, count long").groupBy("key").agg(F.sum("count").alias("count"))
 
 
 def prefixes(docs: DataFrame, order: Order, shingle: int, percent: int) -> DataFrame:
@@ -111,57 +147,61 @@ def prefixes(docs: DataFrame, order: Order, shingle: int, percent: int) -> DataF
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for at in range(0, len(pdf), 256):
-                part = pdf.iloc[at:at + 256]
-                found = [order.ordered(hashed(data, shingle))[0] for data in part["data"]]
+            for at in range(0, len(pdf), ROWS):
+                part = pdf.iloc[at:at + ROWS]
+                found = [order.ordered(grams)[0] for grams in hashed_many(list(part["data"]), shingle)]
                 found = [keys[:prefix_length(len(keys), percent)] for keys in found]
                 yield pd.DataFrame({"key": np.concatenate(found).view(np.int64), "node": np.repeat(part["node"].to_numpy(), [len(k) for k in found])})
 
     return _texts(docs).mapInPandas(run, "key long, node long")
 
 
-def records(docs: DataFrame, order: Order, shared: Filter, shingle: int, percent: int) -> DataFrame:
-    """(doc_id, node, n, keys, places, grams) of each row.
+def records(docs: DataFrame, order: Order, shared: Filter, shingle: int, percent: int, fingerprint: Callable[[np.ndarray], int] | None = None) -> DataFrame:
+    """(doc_id, node, n, fp, keys, places) of each row.
 
-    keys are the first n-grams that another document may have among its first, places where they stand; a text without
-    any has no partner, and neither these nor its n-grams are written, nor are those of a copy met before by the same task.
+    fp is what ``fingerprint`` makes of the n-grams, zero without it; keys are the first n-grams that another document may have among its first, places where they stand; null if
+    there are none, or where the same task has met a copy.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         for pdf in batches:
-            for at in range(0, len(pdf), 256):
-                part, rows = pdf.iloc[at:at + 256], []
-                for node, data in zip(part["node"], part["data"]):
-                    grams, _ = order.ordered(hashed(data, shingle))
+            for at in range(0, len(pdf), ROWS):
+                part, rows = pdf.iloc[at:at + ROWS], []
+                for node, found in zip(part["node"].tolist(), hashed_many(list(part["data"]), shingle)):
+                    grams, _ = order.ordered(found)
                     first = grams[:prefix_length(len(grams), percent)]
                     places = np.flatnonzero(shared.has(first))
-                    if len(places) and node not in seen:
+                    new = len(places) and node not in seen
+                    fp = fingerprint(found) if fingerprint else 0
+                    rows.append((len(grams), fp, first[places].view(np.int64) if new else None, places.astype(np.int32) if new else None))
+                    if new:
                         seen.add(node)
-                        rows.append((len(grams), first[places].view(np.int64), places.astype(np.int32), grams.tobytes()))
-                    else:
-                        rows.append((len(grams), None, None, None))
-                n, keys, places, grams = zip(*rows)
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(dtype=object), "node": part["node"].to_numpy(), "n": n, "keys": keys, "places": places, "grams": grams})
+                n, fp, keys, places = zip(*rows)
+                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(dtype=object), "node": part["node"].to_numpy(), "n": n, "fp": fp, "keys": keys, "places": places})
 
-    return _texts(docs).mapInPandas(run, "doc_id long, node long, n long, keys array<long>, places array<int>, grams binary")
+    return _texts(docs).mapInPandas(run, "doc_id long, node long, n long, fp long, keys array<long>, places array<int>")
 
 
-def segments(live: DataFrame, order: Order) -> DataFrame:
-    """(node, fragment, grams): each document's n-grams, cut where the global order is cut."""
+def segments(docs: DataFrame, nodes: Filter, order: Order, shingle: int) -> DataFrame:
+    """(node, fragment, grams) of the texts that ``nodes`` lets through: their n-grams, cut where the global order is cut."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[int] = set()
         for pdf in batches:
-            for at in range(0, len(pdf), 256):
+            pdf = pdf[nodes.has(pdf["node"].to_numpy().view(np.uint64))]
+            pdf = pdf[~pdf["node"].isin(seen)].drop_duplicates("node")
+            seen.update(pdf["node"].tolist())
+            for at in range(0, len(pdf), ROWS):
                 rows = []
-                for node, data in zip(pdf["node"].iloc[at:at + 256], pdf["grams"].iloc[at:at + 256]):
-                    grams, kind = order.ordered(np.sort(np.frombuffer(data, dtype=np.uint64)))
+                for node, found in zip(pdf["node"].iloc[at:at + ROWS], hashed_many(list(pdf["data"].iloc[at:at + ROWS]), shingle)):
+                    grams, kind = order.ordered(found)
                     fragment = np.where(kind == 0, (grams >> np.uint64(61)).astype(np.int64) * FRAGMENTS // 8, FRAGMENTS - 1 + kind)
                     cuts = [0, *(np.flatnonzero(np.diff(fragment)) + 1).tolist(), len(grams)]
-                    rows += [(node, int(fragment[lo]), grams[lo:hi].view(np.int64)) for lo, hi in zip(cuts, cuts[1:])]
+                    rows += [(node, int(fragment[lo]), grams[lo:hi].view(np.int64)) for lo, hi in zip(cuts, cuts[1:]) if hi > lo]
                 yield pd.DataFrame(rows, columns=["node", "fragment", "grams"])
 
-    return live.select("node", "grams").mapInPandas(run, "node long, fragment int, grams array<long>")
+    return _texts(docs).mapInPandas(run, "node long, fragment int, grams array<long>").dropDuplicates(["node", "fragment"])
 
 
 def similar_pairs(pairs: DataFrame, pieces: DataFrame, percent: int) -> DataFrame:
@@ -173,42 +213,122 @@ def similar_pairs(pairs: DataFrame, pieces: DataFrame, percent: int) -> DataFram
     return summed.where(100 * F.col("overlap") >= percent * (F.col("n_a") + F.col("n_b") - F.col("overlap"))).select("a", "b")
 
 
-def _may_link(percent: int) -> str:
-    """Sizes and the places of a shared n-gram leave room for enough overlap."""
-    room = "least(a.place, b.place) + 1 + least(a.n - 1 - a.place, b.n - 1 - b.place)"
-    return f"100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n) and {100 + percent} * ({room}) >= {percent} * (a.n + b.n)"
-
-
-def links(live: DataFrame, order: Order, percent: int) -> DataFrame | None:
-    """Links (a, b) that connect all that similar pairs connect; None if there are none."""
-    entries = live.select("node", "n", F.explode(F.arrays_zip("keys", "places")).alias("e"))
-    # Which document is a centre first is the same for all n-grams, so that copies meet the same ones.
-    entries = entries.select(F.col("e.keys").alias("key"), "node", "n", F.col("e.places").alias("place"), F.xxhash64("node", F.lit(11)).alias("turn"))
-    left, found, tested, centres = stored(entries.withColumn("root", F.col("node")), "entries"), None, None, 1
-    while True:
-        open_keys = left.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-        left = stored(left.join(open_keys, "key", "left_semi"), "open")
-        if left.isEmpty():
-            return found
-        if centres > MOST_CENTRES:
-            chosen = left
-        else:
-            ranked = left.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("turn", "node")))
-            chosen = stored(ranked.where(F.col("nth") <= centres).drop("nth"), "centres")
-        met = chosen.alias("a").join(left.alias("b"), F.expr(f"a.key = b.key and a.root <> b.root and (a.turn < b.turn or a.turn = b.turn and a.node < b.node) and {_may_link(percent)}"))
-        pairs = met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b")).distinct()
+def may_be_similar(pairs: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose first n-grams, counted as a fragment of their own, leave room for enough overlap.
+
+    Of the two documents, the one whose first n-grams end earlier in the order has all else it can share behind them.
+    """
+    both = pairs.join(firsts.select(F.col("node").alias("a"), F.col("keys").alias("keys_a")), "a")
+    both = both.join(firsts.select(F.col("node").alias("b"), F.col("keys").alias("keys_b")), "b")
+    behind = F.floor((percent * F.greatest("n_a", "n_b") + 99) / 100) - 1
+    room = F.size(F.array_intersect("keys_a", "keys_b")) + behind
+    return both.where((100 + percent) * room >= percent * (F.col("n_a") + F.col("n_b"))).select(*pairs.columns)
+
+
+def _may_link(percent: int, n_a: str, place_a: str, n_b: str, place_b: str) -> str:
+    """Sizes allow it, and a shared n-gram may be the first: enough for the overlap stand from it on, in both."""
+    first = " and ".join(f"{100 + percent} * ({n} - {place}) >= {percent} * ({n_a} + {n_b})" for n, place in ((n_a, place_a), (n_b, place_b)))
+    return f"100 * least({n_a}, {n_b}) >= {percent} * greatest({n_a}, {n_b}) and {first}"
+
+
+def global_order(docs: DataFrame, shingle: int) -> Order:
+    """The order of all n-grams of the table: those seen little first."""
+    often = stored(repeated(docs, shingle).where(F.col("count") >= COMMON[0]), "common")
+    # An n-gram is in the filter of the highest class it reaches.
+    level = sum(((F.col("count") >= least).cast("int") for least in COMMON), F.lit(-1))
+    return Order(filters_of(often.select("key", level.alias("level")), len(COMMON)))
+
+
+def stored_records(docs: DataFrame, order: Order, shingle: int, percent: int, fingerprint: Callable[[np.ndarray], int] | None = None) -> DataFrame:
+    """``records`` as a table, once it is known which n-grams several documents have among their first."""
+    ends = prefixes(docs, order, shingle, percent).groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+    shared = filter_of(stored(ends.where("lo <> hi").select("key"), "shared"))
+    return stored(records(docs, order, shared, shingle, percent, fingerprint), "records")
+
+
+def entries(firsts: DataFrame, percent: int) -> DataFrame:
+    """(key, node, n, place, turn): a document under each of its first n-grams and sizes that a partner may have.
+
+    Sizes are cut into steps of the largest allowed ratio; a document is entered for its own step and the next, so
+    that two of allowed sizes meet under the same key, for the next with the n-grams that can be the first in common with
+    a partner of at least the own step's size. turn says who is a centre first, the same for all n-grams, so that copies
+    meet the same ones: the document with the fewest first n-grams of its own, as an original has among its copies.
+    """
+    ratio = 100 / percent * 1.0001
+    step = F.floor(F.log("n") / math.log(ratio)) if percent < 100 else F.col("n")
+    least = F.floor(F.pow(F.lit(ratio), F.col("own"))) - 1 if percent < 100 else F.col("n")
+    length = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1
+    own = F.floor(1000 * (1 - F.size("keys") / length)).cast("long")
+    turn = F.shiftleft(own, 48) + F.shiftrightunsigned(F.xxhash64("node", F.lit(11)), 16)
+    each = firsts.select("node", F.col("n").cast("int").alias("n"), turn.alias("turn"), F.explode(F.arrays_zip("keys", "places")).alias("e"), step.alias("own"))
+    each = each.select("node", "n", "turn", F.col("e.keys").alias("gram"), F.col("e.places").alias("place"), "own", F.explode(F.array(F.lit(0), F.lit(1))).alias("up"))
+    each = each.where((F.col("up") == 0) | ((100 + percent) * (F.col("n") - F.col("place")) >= percent * (F.col("n") + least)))
+    return each.select(F.xxhash64("gram", F.col("own") + F.col("up")).alias("key"), "node", "n", "place", "turn")
+
+
+def _rows_of(docs: DataFrame, wanted: DataFrame, order: Order, shingle: int) -> DataFrame:
+    """The segments of the documents in a stored table of nodes."""
+    cut = segments(docs, filter_of(wanted, "node"), order, shingle)
+    return stored(cut.join(wanted, "node", "left_semi"), "segments")
+
+
+def links(docs: DataFrame, rows: DataFrame, order: Order, shingle: int, percent: int, prune: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame | None:
+    """Links (a, b) that connect all that similar pairs connect; None if there are none.
+
+    ``prune`` may drop candidate pairs before their n-grams are counted.
+    """
+    firsts = stored(rows.where("keys is not null").select("node", "n", "keys", "places").dropDuplicates(["node"]), "firsts")
+    entered = entries(firsts, percent)
+    # The first centre of each n-gram comes out of the aggregate that finds the n-grams with several documents.
+    centre = F.min(F.struct("turn", "node", "n", "place")).alias("c")
+    met = entered.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), centre).where("rows > 1")
+    met = met.select("key", "rows", F.col("c.node").alias("a"), F.col("c.n").alias("n_a"), F.col("c.place").alias("place_a"))
+    linkable = F.expr(_may_link(percent, "n_a", "place_a", "n", "place"))
+    left = entered.join(met, "key").where("node <> a").withColumn("linkable", linkable).where("linkable or rows > 2")
+    left = stored(left, "first")
+    pairs = left.where("linkable").select("a", F.col("node").alias("b"), "n_a", F.col("n").alias("n_b")).distinct()
+    left, roots = left.where("rows > 2").select("key", "node", "n", "place", "turn"), None
+    found = tested = have = pieces = None
+    for centres in (*CENTRES, None, 0):
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        new = similar_pairs(pairs, segments(live.join(needed, "node", "left_semi"), order), percent)
-        new = stored(new, "links")
+        likely = may_be_similar(pairs, firsts, percent)
+        likely = stored(prune(likely) if prune else likely, "likely")
+        needed = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+        needed = stored(needed if have is None else needed.join(have, "node", "left_anti"), "needed")
+        cut = _rows_of(docs, needed, order, shingle)
+        new = stored(similar_pairs(likely, cut if pieces is None else pieces.union(cut), percent), "links")
+        if centres == 0:
+            break
+        # What is left: n-grams with documents that are neither linked nor all compared.
+        roots = _centres_of(new) if found is None else components(found.union(new), "a", "b")
+        rooted = left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        still = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+        rooted = stored(rooted.join(still, "key", "left_semi"), "open")
+        if rooted.isEmpty():
+            break
+        have, pieces = (needed, cut) if have is None else (have.union(needed), pieces.union(cut))
         found = new if found is None else found.union(new)
-        if centres > MOST_CENTRES:
-            return found
         tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
-        roots = components(found, "a", "b")
-        rooted = left.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        left = rooted.join(chosen.select("key", "node"), ["key", "node"], "left_anti")
-        centres *= FACTOR
+        chosen = rooted
+        if centres:
+            ranked = rooted.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("turn", "node")))
+            chosen = stored(ranked.where(F.col("nth") <= centres).drop("nth"), "centres")
+            left = rooted.drop("root").join(chosen.select("key", "node"), ["key", "node"], "left_anti")
+        pairs = _candidates(chosen, rooted, percent)
+    return new if found is None else found.union(new)
+
+
+def _centres_of(stars: DataFrame) -> DataFrame:
+    """(node, root) as the first round's links have it: a centre's documents are together, whatever else links them."""
+    return stars.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
+
+
+def _candidates(chosen: DataFrame, rooted: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, n_a, n_b) of a chosen document and one after it that it is not linked with, under a common key."""
+    later = "(a.turn < b.turn or a.turn = b.turn and a.node < b.node)"
+    link = _may_link(percent, "a.n", "a.place", "b.n", "b.place")
+    met = chosen.alias("a").join(rooted.alias("b"), F.expr(f"a.key = b.key and a.root <> b.root and {later} and {link}"))
+    return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b")).distinct()
 
 
 def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -220,13 +340,9 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     get their row. A null doc_id becomes a component_id only where a group has no other. An empty table gives
     an empty result; extra columns are ignored. N-grams and texts are told apart by hashes of 64 bits.
     """
-    often = stored(repeated(docs, shingle).where(F.col("count") >= COMMON[0]), "common")
-    order = Order([filter_of(often.where(F.col("count") >= least)) for least in COMMON])
-    ends = prefixes(docs, order, shingle, percent).groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-    shared = filter_of(stored(ends.where("lo <> hi").select("key"), "shared"))
-    rows = stored(records(docs, order, shared, shingle, percent), "records")
-    live = stored(rows.where("keys is not null").dropDuplicates(["node"]).select("node", "n", "keys", "places", "grams"), "live")
-    found = links(live, order, percent)
+    order = global_order(docs, shingle)
+    rows = stored_records(docs, order, shingle, percent)
+    found = links(docs, rows, order, shingle, percent)
     least = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"))
     if found is not None:
         least = least.join(components(found, "a", "b"), "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -99,10 +99,12 @@ WITH words AS (
          SELECT 'd' AS side, doc_id AS id, [x for x in regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') if x <> ''] AS w FROM documents
          UNION ALL
          SELECT 'i', item_id, [x for x in regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') if x <> ''] FROM benchmark),
-     s AS (SELECT DISTINCT side, id, unnest([array_to_string(w[i + 1:i + 5], ' ') for i in range(greatest(len(w) - 4, 1))]) AS shingle FROM words WHERE len(w) > 0),
+     widths AS (SELECT DISTINCT least(len(w), 5) AS k FROM words WHERE side = 'i' AND len(w) > 0),
+     s AS (SELECT DISTINCT side, id, k, unnest([array_to_string(w[i + 1:i + k], ' ') for i in range(len(w) - k + 1)]) AS shingle
+           FROM words, widths WHERE len(w) >= k AND (side = 'd' OR k = least(len(w), 5))),
      n AS (SELECT id, count(*) AS n_shingles FROM s WHERE side = 'i' GROUP BY id)
 SELECT d.id AS doc_id, i.id AS item_id, n_shingles, count(*) AS n_shared, count(*) / n_shingles AS containment
-FROM s d JOIN s i ON d.shingle = i.shingle AND d.side = 'd' AND i.side = 'i' JOIN n ON n.id = i.id
+FROM s d JOIN s i ON d.shingle = i.shingle AND d.k = i.k AND d.side = 'd' AND i.side = 'i' JOIN n ON n.id = i.id
 GROUP BY d.id, i.id, n_shingles HAVING count(*) >= ceil(0.8 * n_shingles - 1e-9)
 """
 

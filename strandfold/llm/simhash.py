@@ -11,7 +11,7 @@ the chain; only those that stay within the budget get the full Hamming check.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import islice, repeat
 
@@ -21,7 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandfold.llm.common import stored, text_key
+from strandfold.llm import overlap
+from strandfold.llm.common import stored, text_key, without
 from strandfold.llm.graph import components
 
 BITS = 64
@@ -30,8 +31,6 @@ SEED = 42
 BLOCK = 1 << 15
 #: Rows of one key that a task compares; a key with more is cut into pairs of tiles.
 TILE = 1024
-#: Shingle sets that are verified against one at a time.
-SETS = 256
 #: Share of the pairs right at the similarity that the Hamming check in front of the verification may lose, at most.
 LOSS = 1e-6
 #: Unions of shingles up to this size have the chance of a differing bit worked out; larger ones are below the smallest.
@@ -48,24 +47,23 @@ def hashes(data: bytes | None, shingle: int) -> Iterator[np.ndarray]:
             yield block
 
 
-def distinct_hashes(data: bytes | None, shingle: int) -> np.ndarray:
-    """The set of a text's shingle hashes, sorted: eight bytes each."""
-    return np.unique(np.concatenate([np.empty(0, dtype=np.uint64), *hashes(data, shingle)]))
-
-
-def fingerprint(data: bytes | None, shingle: int, sketch: int = 0) -> tuple[int, list[int]]:
-    """The fingerprint as a signed long, and the ``sketch`` smallest distinct hashes.
-
-    A bit is set if over half the hashes have it. No words: zero and no hashes. With a sketch the
-    fingerprint is that of the distinct shingles, which a Jaccard similarity of sets is about; without, repeats count.
-    """
+def majority(blocks: Iterable[np.ndarray]) -> int:
+    """The bits that over half of the hashes have, as a signed long; zero without hashes."""
     ones, total = np.zeros(BITS, dtype=np.int64), 0
-    every = distinct_hashes(data, shingle) if sketch else np.empty(0, dtype=np.uint64)
-    for block in (every[at:at + BLOCK] for at in range(0, len(every), BLOCK)) if sketch else hashes(data, shingle):
+    for block in blocks:
         ones += np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         total += len(block)
-    bits = np.packbits(2 * ones > total, bitorder="little")
-    return int(bits.view(np.int64)[0]), every[:sketch].view(np.int64).tolist()
+    return int(np.packbits(2 * ones > total, bitorder="little").view(np.int64)[0])
+
+
+def fingerprint(data: bytes | None, shingle: int) -> int:
+    """The fingerprint of a text's word shingles, repeats included."""
+    return majority(hashes(data, shingle))
+
+
+def set_fingerprint(grams: np.ndarray) -> int:
+    """The fingerprint of a set of hashes."""
+    return majority(grams[at:at + BLOCK] for at in range(0, len(grams), BLOCK))
 
 
 def _flips(shared: int, left: int, right: int) -> float:
@@ -93,19 +91,16 @@ def bit_budget(similarity: float, loss: float = LOSS) -> int:
     return bits
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, sketch: int = 0) -> DataFrame:
-    """(doc_id, text_key, fp, sketch) of each row; a null text counts as empty."""
+def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """(doc_id, text_key, fp) of each row; a null text counts as empty."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [fingerprint(data, shingle, sketch) for data in pdf["data"]]
-            yield pd.DataFrame({
-                "doc_id": pdf["doc_id"], "text_key": pdf["text_key"],
-                "fp": np.array([f for f, _ in found], dtype=np.int64), "sketch": [s for _, s in found],
-            })
+            found = np.array([fingerprint(data, shingle) for data in pdf["data"]], dtype=np.int64)
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "text_key": pdf["text_key"], "fp": found})
 
     rows = docs.select("doc_id", text_key("text").alias("text_key"), F.col("text").cast("binary").alias("data"))
-    return rows.mapInPandas(run, "doc_id long, text_key long, fp long, sketch array<long>")
+    return rows.mapInPandas(run, "doc_id long, text_key long, fp long")
 
 
 def ring_masks(segments: int, length: int) -> list[int]:
@@ -133,37 +128,14 @@ def close(one: np.uint64, many: np.ndarray, distance: int, segments: int) -> np.
     return left[np.bitwise_count(diff[left]) <= distance]
 
 
-def similar(one: np.ndarray, many: list[np.ndarray], similarity: float) -> np.ndarray:
-    """Which of several sets of shingles have at least that Jaccard similarity with one; sets are sorted arrays."""
-    sizes = np.array([len(x) for x in many])
-    shared = np.zeros(len(many), dtype=np.int64)
-    every = np.concatenate(many)
-    if len(every) and len(one):
-        at = np.minimum(np.searchsorted(one, every), len(one) - 1)
-        owner = np.repeat(np.arange(len(many)), sizes)
-        shared = np.bincount(owner[one[at] == every], minlength=len(many))
-    either = sizes + len(one) - shared
-    return (either == 0) | (shared >= similarity * either - 1e-9)
-
-
-def forest(nodes: np.ndarray, fps: np.ndarray, distance: int, segments: int, sets: list[np.ndarray] | None = None, similarity: float = 0.0) -> Iterator[tuple[int, int]]:
-    """(member, root) for the groups among the nodes of one key: a link less than members.
-
-    With ``sets`` a pair within the distance is linked only if its shingle sets are similar enough, which
-    sets of too different sizes cannot be.
-    """
+def forest(nodes: np.ndarray, fps: np.ndarray, distance: int, segments: int) -> Iterator[tuple[int, int]]:
+    """(member, root) for the groups among the nodes of one key: a link less than members."""
     rest = np.arange(len(nodes))
-    sizes = None if sets is None else np.array([len(x) for x in sets])
     while len(rest) > 1:
         root, rest, queue = rest[0], rest[1:], [rest[0]]
         while queue and len(rest):
             node = queue.pop()
             hits = close(fps[node], fps[rest], distance, segments)
-            if sets is not None:
-                many = sizes[rest[hits]]
-                hits = hits[np.minimum(many, sizes[node]) >= similarity * np.maximum(many, sizes[node]) - 1e-9]
-            if sets is not None and len(hits):
-                hits = hits[np.concatenate([similar(sets[node], [sets[i] for i in rest[hits[k:k + SETS]]], similarity) for k in range(0, len(hits), SETS)])]
             if len(hits):
                 yield from ((int(nodes[i]), int(nodes[root])) for i in rest[hits])
                 queue.extend(rest[hits])
@@ -187,13 +159,9 @@ def shared_keys(keyed: DataFrame) -> DataFrame:
     return keyed.join(counts, ["slot", "key"]).select("slot", "key", "node", "fp", F.inline(pairs))
 
 
-def links(dealt: DataFrame, distance: int, segments: int, similarity: float = 0.0) -> DataFrame:
-    """Links (a, b) between the nodes that share a key; each task writes spanning forests, never all pairs.
-
-    A column ``shingles``, if there is one, has each node's sorted 64-bit shingle hashes as bytes.
-    """
+def links(dealt: DataFrame, distance: int, segments: int) -> DataFrame:
+    """Links (a, b) between the nodes that share a key; each task writes spanning forests, never all pairs."""
     names = ["slot", "key", "lo", "hi"]
-    verified = "shingles" in dealt.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -209,22 +177,24 @@ def links(dealt: DataFrame, distance: int, segments: int, similarity: float = 0.
     def grouped(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
         nodes, fps, found = pdf["node"].to_numpy(), pdf["fp"].to_numpy().view(np.uint64), []
         for lo, hi in zip(starts[:-1], starts[1:]):
-            sets = [np.frombuffer(x, dtype=np.uint64) for x in pdf["shingles"].iloc[lo:hi]] if verified else None
-            found += forest(nodes[lo:hi], fps[lo:hi], distance, segments, sets, similarity)
+            found += forest(nodes[lo:hi], fps[lo:hi], distance, segments)
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     return dealt.repartition(*names).sortWithinPartitions(*names, "node").mapInPandas(run, "a long, b long").distinct()
 
 
-def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
-    """(node, shingles) of (node, text)."""
+def close_pairs(pairs: DataFrame, prints: DataFrame, distance: int, segments: int) -> DataFrame:
+    """The pairs (a, b) whose fingerprints pass the ring and then the Hamming check."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            sets = [distinct_hashes(data, shingle).tobytes() for data in pdf["data"]]
-            yield pd.DataFrame({"node": pdf["node"], "shingles": sets})
+            diff = (pdf["fp_a"] ^ pdf["fp_b"]).to_numpy().view(np.uint64)
+            left = np.flatnonzero(chained(diff, distance, segments))
+            yield pdf.iloc[left[np.bitwise_count(diff[left]) <= distance]].drop(columns=["fp_a", "fp_b"])
 
-    return texts.select("node", F.col("text").cast("binary").alias("data")).mapInPandas(run, "node long, shingles binary")
+    both = pairs.join(prints.select(F.col("node").alias("a"), F.col("fp").alias("fp_a")), "a")
+    both = both.join(prints.select(F.col("node").alias("b"), F.col("fp").alias("fp_b")), "b")
+    return both.select(*pairs.columns, "fp_a", "fp_b").mapInPandas(run, pairs.schema)
 
 
 def fingerprint_groups(docs: DataFrame, shingle: int = 3, distance: int = 2, segments: int = 7) -> DataFrame:
@@ -239,54 +209,53 @@ def fingerprint_groups(docs: DataFrame, shingle: int = 3, distance: int = 2, seg
     exact = (segments - 1) // distance if distance else segments
     if exact < 1:
         raise ValueError("more segments than differing bits are needed")
-    prints = stored(fingerprints(docs, shingle).drop("sketch"), "fingerprints")
+    prints = stored(fingerprints(docs, shingle), "fingerprints")
     signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in ring_masks(segments, exact)]
     slots = F.array(*(F.struct(F.lit(i).alias("slot"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed)))
     keyed = prints.select("fp").distinct().select(F.col("fp").alias("node"), "fp", F.inline(slots))
     return _named(prints, "fp", links(shared_keys(keyed), distance, segments))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, sketch: int = 6) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, text_key, fp, component_id): groups of rows linked by their shingles' Jaccard similarity.
 
     At 0.8, fingerprints of 64 bits differ in about ten: segments that such a pair must share are too short to
-    tell texts apart. The join keys are therefore each text's ``sketch`` smallest shingle hashes (a pair with
-    similarity J shares none of them with a chance of about (1 - J) ** sketch). Among texts that share one, the ring
-    and the Hamming check prune at ``bit_budget``, on fingerprints of the distinct shingles (at most LOSS of the
-    pairs), and what is left is verified on the shingles. Repeated lines count once throughout. The column ``fp`` is that
-    fingerprint. Cases as for fingerprint_groups; all texts without words are one group. Texts
-    are told apart by a hash of 64 bits.
+    tell texts apart. Candidates are therefore texts that share one of their rarest shingles, of which
+    similar sets share one for certain, held against a few centres at a time (see ``overlap.links``). The ring and the
+    Hamming check prune them at ``bit_budget``, on fingerprints of the distinct shingles (at most LOSS of the
+    pairs), and what is left is verified on the shingles: only these pairs' sets are ever moved. A passage that
+    many texts share is not rare, so it brings no texts together that are not alike. Repeated lines count once
+    throughout. The similarity is taken in hundredths. Cases as for fingerprint_groups; all texts without words are
+    one group. Texts and shingles are told apart by hashes of 64 bits.
     """
-    if sketch < 1:
-        raise ValueError("a sketch needs a hash")
+    percent = round(100 * similarity)
     distance = bit_budget(similarity)
-    prints = stored(fingerprints(docs, shingle, sketch), "fingerprints")
-    texts = stored(prints.groupBy(F.col("text_key").alias("node")).agg(F.min("doc_id").alias("first_id"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch")), "texts")
-    keys = F.when(F.size("sketch") > 0, F.col("sketch")).otherwise(F.array(F.lit(0).cast("long")))
-    dealt = stored(shared_keys(texts.select("node", "fp", F.lit(0).alias("slot"), F.explode(keys).alias("key"))), "shared")
-    needed = texts.join(dealt.select("node").distinct(), "node", "left_semi").select("node", "first_id")
-    found = docs.select(F.col("doc_id").alias("_id"), text_key("text").alias("_node"), "text").join(needed, (F.col("_node") == F.col("node")) & F.col("_id").eqNullSafe(F.col("first_id")))
-    sets = stored(shingle_sets(found.select("node", "text"), shingle).dropDuplicates(["node"]), "shingles")
-    return _named(prints, "text_key", links(dealt.join(sets, "node"), distance, 4, similarity))
+    order = overlap.global_order(docs, shingle)
+    rows = overlap.stored_records(docs, order, shingle, percent, set_fingerprint)
+    prints = stored(rows.where("keys is not null").select("node", "fp").dropDuplicates(["node"]), "fingerprints")
+    found = overlap.links(docs, rows, order, shingle, percent, lambda pairs: close_pairs(pairs, prints, distance, 4))
+    rows = rows.select("doc_id", F.col("node").alias("text_key"), "fp", F.when(F.col("n") == 0, 0).otherwise(F.col("node")).alias("group"))
+    return _named(rows, "group", found)
 
 
-def _named(prints: DataFrame, node: str, found: DataFrame) -> DataFrame:
+def _named(prints: DataFrame, node: str, found: DataFrame | None) -> DataFrame:
     """The rows with the smallest doc_id of what their node is linked to."""
-    roots = components(stored(found, "links"), "a", "b")
     first = prints.groupBy(F.col(node).alias("node")).agg(F.min("doc_id").alias("first_id"))
-    rooted = stored(first.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root")), "roots")
+    rooted = first.withColumn("root", F.col("node"))
+    if found is not None:
+        roots = components(stored(found, "links"), "a", "b")
+        rooted = first.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
+    rooted = stored(rooted, "roots")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = stored(rooted.join(least, "root").select(F.col("node").alias(node), "component_id"), "components")
     return prints.join(named, node).select("doc_id", "text_key", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, sketch: int = 6) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs``, one of each group of near duplicates: that with the smallest doc_id.
 
-    Rows that repeat the smallest doc_id, or have no doc_id in a group without any, all stay.
+    Rows that repeat the smallest doc_id, or have no doc_id in a group without any, all stay. ``docs`` may have
+    columns of any name beside its own.
     """
-    groups = near_duplicates(docs, shingle, similarity, sketch)
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (text_key("text") == F.col("_gone_key"))
-    return docs.join(gone, same, "left_anti")
+    groups = near_duplicates(docs, shingle, similarity)
+    return without(docs, groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))

@@ -6,6 +6,7 @@ import collections
 import gzip
 import hashlib
 import json
+import math
 import random
 import re
 import zlib
@@ -15,7 +16,9 @@ import numpy as np
 import pytest
 from brute import prose, texts
 
-from strandfold.llm import chat, credentials, decontaminate, exact, licenses, packing, pii, quality, queries, simhash, warc
+from pyspark.sql import functions as F
+
+from strandfold.llm import chat, credentials, decontaminate, exact, licenses, overlap, packing, pii, quality, queries, simhash, warc
 from strandfold.llm.common import new_folder
 from strandfold.llm.graph import components
 
@@ -53,8 +56,8 @@ def test_fingerprint_groups_of_close_bits(spark, monkeypatch):
             values.append(centre ^ sum(1 << f for f in flips))
     values = sorted(set(values))
     monkeypatch.setattr(simhash, "TILE", 4)
-    rows = [(i, i, v if v < 1 << 63 else v - (1 << 64), []) for i, v in enumerate(values)]
-    monkeypatch.setattr(simhash, "fingerprints", lambda *_: spark.createDataFrame(rows, "doc_id long, text_key long, fp long, sketch array<long>"))
+    rows = [(i, i, v if v < 1 << 63 else v - (1 << 64)) for i, v in enumerate(values)]
+    monkeypatch.setattr(simhash, "fingerprints", lambda *_: spark.createDataFrame(rows, "doc_id long, text_key long, fp long"))
     tops = brute.groups(values, lambda a, b: (a ^ b).bit_count() <= 2)
     got = {r.doc_id: r.component_id for r in simhash.fingerprint_groups(None).collect()}
     assert got == dict(enumerate(tops))
@@ -108,6 +111,42 @@ def test_near_duplicates_with_repeated_lines(spark):
     assert got == dict(enumerate(tops)) and len(set(tops)) == 12
 
 
+def test_near_duplicates_in_a_crowd(spark):
+    """20,000 different texts that share one footer: no pairs of the crowd, and the copies in it are found."""
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(5000)]
+    footer = " ".join(rng.choices(words, k=12))
+    rows = [(i, " ".join(rng.choices(words, k=40)) + " " + footer) for i in range(20_000)]
+    copies = [(20_000 + i, rows[100 * i][1].replace(" ", " other ", 1)) for i in range(50)]
+    made = []
+    real = overlap.similar_pairs
+
+    def counted(pairs, pieces, percent):
+        made.append(pairs.count())
+        return real(pairs, pieces, percent)
+
+    overlap.similar_pairs = counted
+    try:
+        table = spark.createDataFrame(rows + copies, "doc_id long, text string").repartition(8)
+        got = {r.doc_id: r.component_id for r in simhash.near_duplicates(table).collect()}
+    finally:
+        overlap.similar_pairs = real
+    assert got == {i: i for i in range(20_000)} | {20_000 + i: 100 * i for i in range(50)}
+    assert sum(made) < 2000
+
+
+def test_removal_whatever_the_columns_are_called(spark):
+    rows = [(i, t) for i, t in ROWS if t] + [(800, "x " + prose(7, 60)), (801, "x " + prose(7, 60))]
+    plain = spark.createDataFrame(rows, "doc_id long, text string")
+    names = ["_gone_doc_id", "_gone_text_key", "_GONE_doc_id_", "_gone_id", "_hit_id", "_id", "_key", "group", "n", "keys", "part", "sketch"]
+    clashing = plain.select("*", *[F.lit("clash").alias(c) for c in names])
+    items = spark.createDataFrame([(1, " ".join(prose(7, 60).split(" ")[:30]))], "item_id long, text string")
+    for remove in (simhash.keep_one, exact.keep_one, lambda d: decontaminate.clean(d, items)):
+        kept = remove(clashing)
+        assert kept.columns == clashing.columns
+        assert by_row(kept, "doc_id", "text") == by_row(remove(plain), "doc_id", "text")
+
+
 def test_bit_budget_holds_for_small_and_large_sets():
     rng = np.random.default_rng(3)
     budget = simhash.bit_budget(0.8)
@@ -157,15 +196,33 @@ def test_exact_keep_one(docs, no_docs):
 
 
 def test_polynomial_hashes_combine():
-    data = np.frombuffer(random.Random(3).randbytes(5 * exact.CHUNK // 2), dtype=np.uint8).astype(np.uint64)
+    data = random.Random(3).randbytes(3000)
     for prime, base in zip(exact.PRIMES, exact.BASES):
-        p = exact.Polynomial(prime, base)
-        slow = 0
-        for b in data.tolist():
-            slow = (slow * base + b) % prime
-        assert p.whole(data) == slow
-        left, right = data[:1000], data[1000:2000]
-        assert p.joined(p.whole(left), p.whole(right), len(right)) == p.whole(data[:2000])
+        p, whole = exact.Polynomial(prime, base), 0
+        for b in data:
+            whole = (whole * base + b) % prime
+        assert p.chunk(data) == whole
+        assert (p.chunk(data[:1000]) * p.shift(2000) + p.chunk(data[1000:])) % prime == whole
+
+
+def test_chunks_are_hashed_apart_and_folded(spark, monkeypatch):
+    """Texts of many chunks, some dealt out, have the fingerprints of their whole, and their chunks lie in several tasks."""
+    monkeypatch.setattr(exact, "CHUNK", 64)
+    monkeypatch.setattr(exact, "HUGE", 1000)
+    rows = [(i, t) for i, t in ROWS if len(t or "") < 30_000] + [(900, "é😀x " * 3000), (901, "é😀x  " * 3000), (900, "é😀x " * 3000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = by_row(exact.fingerprints(table), "doc_id", "fp", "n_bytes", "text_sha256")
+    want = []
+    for i, text in rows:
+        data = re.sub("[\x20\x09-\x0d]+", " ", text or "").encode()
+        fps = [0, 0]
+        for k, (prime, base) in enumerate(zip(exact.PRIMES, exact.BASES)):
+            for b in data:
+                fps[k] = (fps[k] * base + b) % prime
+        want.append((i, fps[0] << 31 | fps[1], len(data), hashlib.sha256(data).hexdigest()))
+    assert got == sorted(want, key=str)
+    tasks = exact.chunk_hashes(table.where("doc_id = 900")).withColumn("task", F.spark_partition_id()).where("part > 0").select("task").distinct()
+    assert tasks.count() > 1
 
 
 # --- packing --------------------------------------------------------------------------------------------
@@ -317,7 +374,7 @@ def test_quality_odd_cases(docs, no_docs, spark):
 def test_contained_items(spark, docs, no_docs):
     passage = prose(50, 40)
     words = passage.split(" ")
-    items = [(1, passage), (2, prose(51, 60)), (3, "One two"), (4, None), (5, ""), (6, passage), (None, "nobody's text here"), (7, " ".join(words[:12])), (7, prose(52, 9))]
+    items = [(1, passage), (2, prose(51, 60)), (3, "One two"), (8, " ".join(words[3:6])), (9, words[30]), (10, "one\ttwo THREE"), (4, None), (5, ""), (6, passage), (None, "nobody's text here"), (7, " ".join(words[:12])), (7, prose(52, 9))]
     changed = lambda k: " ".join(w if i % 20 else f"c{k}" for i, w in enumerate(words))
     rows = ROWS + [(200, prose(60, 3000) + "\n" + passage.upper() + " " + prose(61, 3000)), (201, changed(1)), (202, " ".join(words[10:])), (203, prose(62, 20) + " " + prose(52, 9)), (203, "other")]
     ascii_upper = str.maketrans("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
@@ -325,7 +382,9 @@ def test_contained_items(spark, docs, no_docs):
     want = set()
     for i, text in rows:
         for item, needle in items:
-            a, b = brute.shingles(text), brute.shingles(needle)
+            b = brute.shingles(needle)
+            width = len(next(iter(b), ""))
+            a = {x for x in brute.shingles(text, max(width, 1)) if len(x) == width}
             if b and len(a & b) >= 0.8 * len(b) - 1e-9:
                 want.add((i, item, len(b), len(a & b)))
     table = spark.createDataFrame([(*r, "clash", "clash") for r in rows], "doc_id long, text string, words string, item_id string")
@@ -336,12 +395,46 @@ def test_contained_items(spark, docs, no_docs):
         decontaminate.BROADCAST_ROWS = kept
         assert sorted(((r.doc_id, r.item_id, r.n_shingles, r.n_shared) for r in got), key=str) == sorted(want, key=str)
     assert (200, 1, 36, 36) in want and any(w[0] == 203 for w in want)
+    assert {(200, 8, 1, 1), (5, 10, 1, 1), (6, 3, 1, 1)} <= want  # short items inside longer texts
     clean = decontaminate.clean(table, tested)
     assert clean.columns == table.columns
     assert sorted((r.doc_id, r.text or "") for r in clean.where("doc_id >= 200").collect()) == [(i, t) for i, t in sorted(rows[len(ROWS):]) if not any(w[0] == i for w in want) or t == "other"]
     assert decontaminate.contained(no_docs, tested).count() == decontaminate.contained(docs, tested.limit(0)).count() == 0
 
 
+def test_a_stock_phrase_brings_no_candidates(spark, monkeypatch):
+    """10,000 items begin alike and most documents hold that phrase: it is nobody's probe."""
+    stock = prose(70, 12)
+    items = [(i, f"{stock} {prose(20_000 + i, 9)}") for i in range(10_000)]
+    rows = [(i, f"{prose(70_000 + i, 30)} {stock} {prose(80_000 + i, 20)}") for i in range(300)] + [(900, f"see {items[77][1]} there")]
+    seen, real = [], decontaminate.stored
+
+    def counted(df, name):
+        out = real(df, name)
+        if name == "candidates":
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(decontaminate, "stored", counted)
+    found = decontaminate.contained(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert [(r.doc_id, r.item_id) for r in found.collect()] == [(900, 77)] and seen[0] < 100
+
+
+def test_sketches_by_size_partition(spark):
+    """One length per partition, and every document with enough of an item has some of its sketch."""
+    rng = random.Random(3)
+    items = [(i, prose(i, rng.randint(1, 90))) for i in range(200)]
+    tested = decontaminate.tested_items(spark.createDataFrame(items, "item_id long, text string"), 5)
+    rows = decontaminate.sketches(tested, [1, 2, 3, 4, 5], 0.8).collect()
+    lengths = collections.defaultdict(set)
+    for r in rows:
+        q, largest = r.n_shingles, (2 << r.size_class) - 1
+        assert q < 2 << r.size_class <= 2 * q
+        assert len(r.sketch) == min(q, largest - math.ceil(0.8 * largest - 1e-9) + 1) >= q - math.ceil(0.8 * q - 1e-9) + 1
+        lengths[r.size_class].add(len(r.sketch))
+    assert len(rows) == 200 and all(len(x) == 1 for c, x in lengths.items() if c > 2)
+
+
 # --- secrets ------------------------------------------------------------------------------------------------
 
 
@@ -373,6 +466,73 @@ def test_grammars_tell_formats_from_words(spark):
     assert found[900] == [credentials.FOUND] and found[901] == []
 
 
+def plain_candidates(text, alphabet, least):
+    """Longest runs of the alphabet, character by character, without the dots and hyphens at their ends."""
+    out, at = [], 0
+    while at < len(text):
+        end = at
+        while end < len(text) and text[end] in alphabet:
+            end += 1
+        start, stop = at, end
+        while start < stop and text[start] in credentials.EDGES:
+            start += 1
+        while stop > start and text[stop - 1] in credentials.EDGES:
+            stop -= 1
+        if stop - start >= least and end - at >= least:
+            out.append((start, stop))
+        at = max(end, at + 1)
+    return out
+
+
+def secret_rows():
+    rng = random.Random(14)
+    letters = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz0123456789"
+    token = lambda n: "".join(rng.choices(letters, k=n))
+    word = lambda i: "".join(prose(i, 9).split())
+    rows = [(i, f"{prose(i, 40)} {word(i)}. token={token(12 + i % 20)} and {token(40).lower()}. {'AKIA' + token(16).upper()} {word(i + 500)}") for i in range(200)]
+    rows += [(300, f"key ghp_{'Zk0123456789abcdef01QwErTyUi'} here"), (301, "see Zk9Qw3ErTy12 there"), (302, prose(3, 300)), (303, "id " + "0123456789" * 900), (304, None)]
+    return rows
+
+
+def test_every_candidate_is_scored(spark):
+    """Added spans against a plain version, with the grammar of the table: overlapping, short and very long ones."""
+    rows = secret_rows()
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    grammar = credentials.learn(table)
+    values = [v for _, t in rows for *_, v in credentials.spans(t or "")]
+    assert grammar.least == min(map(len, values)) == 12
+    alphabet = set("".join(values))
+    found = {r.doc_id: r.spans for r in credentials.find(table).collect()}
+    for i, text in rows:
+        taken = brute.secrets(text)
+        inner = {(e - len(v), e) for *_, e, v in credentials.spans(text or "")} | {(a, b) for _, a, b in taken}
+        want = [(credentials.FOUND, a, b) for a, b in plain_candidates(text or "", alphabet, 12)
+                if (a, b) not in inner and credentials.likely(text[a:b], grammar.automata) >= credentials.MARGIN]
+        got = [(s.kind, s.start, s.end) for s in found[i]]
+        assert sorted(got) == sorted(taken + want)
+    assert [s.value for s in found[300]] == ["ghp_Zk0123456789abcdef01QwErTyUi", "0123456789abcdef01"]
+    assert [s.value for s in found[301]] == ["Zk9Qw3ErTy12"] and not found[302] and not found[304]
+
+
+def test_automata_learn_whole_strings():
+    """What comes after the first characters of long strings counts too."""
+    rng = random.Random(2)
+    long = ["".join(rng.choices("0123456789", k=80)) + "".join(rng.choices("ABCDEF", k=40)) for _ in range(300)]
+    automaton = credentials.Automaton(long)
+    good, bad = long[0], long[0][:80] + "z" * 40
+    assert automaton.log_likelihood(good) > automaton.log_likelihood(bad) + 40
+    assert automaton.log_likelihood(long[1]) > automaton.log_likelihood(long[1][:60])
+
+
+def test_sample_is_the_same_however_the_table_is_dealt(spark):
+    rows = secret_rows()
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    one, other = (credentials.learn(table.repartition(n), sample=30) for n in (1, 7))
+    assert one.least == other.least and one.runs == other.runs and one.automata.keys() == other.automata.keys()
+    for kind, automaton in one.automata.items():
+        assert automaton.counts == other.automata[kind].counts
+
+
 def test_merging_keeps_probabilities():
     automaton = credentials.Automaton(["a1" * 4, "a1" * 5, "a1" * 6] * 50)
     total = sum(sum(c.values()) for c in automaton.counts)

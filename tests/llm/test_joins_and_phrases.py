@@ -33,6 +33,10 @@ def test_filter_never_says_no_wrongly(spark, most):
     others = rng.integers(-(1 << 63), 1 << 63, 20_000).view(np.uint64)
     assert most < 1 << 20 or found.has(others).mean() < 0.1
     assert not bits.filter_of(table.limit(0)).has(others).any()
+    two = bits.filters_of(table.selectExpr("key", "CAST(abs(key) % 2 AS int) AS level"), 3, most_bits=most)
+    for level in (0, 1):
+        assert two[level].has(keys[np.abs(keys) % 2 == level].view(np.uint64)).all()
+    assert len(two) == 3 and not two[2].has(others).any()
 
 
 # --- n-gram Jaccard join -----------------------------------------------------------------------------
@@ -50,11 +54,11 @@ def test_similar_groups(docs, no_docs):
     assert overlap.similar_groups(no_docs).count() == 0
 
 
-@pytest.mark.parametrize("common, most", (((32, 1024), 256), ((2, 4), 1), ((2, 8), 0)))
-def test_similar_groups_of_many_copies(spark, monkeypatch, common, most):
+@pytest.mark.parametrize("common, centres", (((16, 1024), (32,)), ((2, 4), ()), ((2, 8, 20), (1, 2))))
+def test_similar_groups_of_many_copies(spark, monkeypatch, common, centres):
     """Chains and stars of near copies, passages that many share, one text over several blocks, few and many centres."""
     monkeypatch.setattr(overlap, "COMMON", common)
-    monkeypatch.setattr(overlap, "MOST_CENTRES", most)
+    monkeypatch.setattr(overlap, "CENTRES", centres)
     monkeypatch.setattr(overlap, "BLOCK", 1 << 10)
     rng, rows = random.Random(4), []
     footer = prose(900, 30)
@@ -77,15 +81,22 @@ def test_similar_groups_of_many_copies(spark, monkeypatch, common, most):
     assert by_row(got, "doc_id", "n_shingles", "component_id") == jaccard_groups(rows)
 
 
+def test_many_at_a_time_is_one_by_one(monkeypatch):
+    monkeypatch.setattr(overlap, "BLOCK", 1 << 12)
+    data = [(t or "").encode() for _, t in ROWS]
+    for one, other in zip((overlap.hashed(d, 5) for d in data), overlap.hashed_many(data, 5), strict=True):
+        assert one.tolist() == sorted(other.tolist())
+    assert [len(x) for x in overlap.hashed_many(data, 5)] == [len(brute.shingles(t)) for _, t in ROWS]
+
+
 def test_segments_are_the_sets(spark, docs):
     order = overlap.Order([bits.filter_of(spark.createDataFrame([(int(k),) for k in overlap.hashed(prose(1, 120).encode(), 5)[:50].view(np.int64)], "key long"))])
     everything = bits.Filter(np.full(8192, 255, dtype=np.uint8))
-    rows = overlap.records(docs, order, everything, 5, 80).where("grams is not null").dropDuplicates(["node"])
-    pieces = overlap.segments(rows, order).collect()
-    whole = {r.node: sorted(np.frombuffer(r.grams, dtype=np.int64).tolist()) for r in rows.collect()}
+    pieces = overlap.segments(docs, everything, order, 5).collect()
     assert len({(p.node, p.fragment) for p in pieces}) == len(pieces) and {p.fragment for p in pieces} > {0, 7, 8}
-    for node, grams in whole.items():
-        assert sorted(g for p in pieces if p.node == node for g in p.grams) == grams
+    for row in overlap._texts(docs).dropDuplicates(["node"]).collect():
+        want = sorted(overlap.hashed(bytes(row.data), 5).view(np.int64).tolist())
+        assert sorted(g for p in pieces if p.node == row.node for g in p.grams) == want
 
 
 # --- hard negatives ----------------------------------------------------------------------------------

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from strandfold.llm.common import stored
 
-#: Turn numbers in a part, and rows of a part that a task renders together.
+#: Turn numbers in a part, and rows of a part that a task renders together, unless said otherwise.
 TURNS, ROWS = 64, 4096
 #: Parts of a conversation whose running counts a task works out together.
 BLOCK = 4096
@@ -28,7 +28,7 @@ def _plain(text: Column) -> Column:
     return F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit(OPEN), F.lit("< |")), F.lit(CLOSE), F.lit("| >"))
 
 
-def perspectives(turns: DataFrame, speaker: str = "role") -> DataFrame:
+def perspectives(turns: DataFrame, speaker: str = "role", turns_per_part: int = TURNS, rows_per_piece: int = ROWS) -> DataFrame:
     """One row per conversation, part, piece and participant, in this order the dialogue as that participant's.
 
     (conv_id, part, piece, start, perspective, n_turns, text, mask): ``text`` has every turn as a header, the words and a
@@ -36,32 +36,33 @@ def perspectives(turns: DataFrame, speaker: str = "role") -> DataFrame:
     Every participant of the whole conversation gets all its parts, so masks may be empty. Turns are
     ordered by turn number, speaker and text, null numbers first. Null or empty speakers are ``unknown``; null texts
     are empty turns; repeated turns appear as often as they are there; a null conv_id is a
-    conversation. A dialogue is cut into parts of TURNS turn numbers, and a part of more than ROWS rows, which takes
-    repeated turn numbers, into pieces of ROWS rows in that order; the last has the rest. So the texts of one
+    conversation. A dialogue is cut into parts of ``turns_per_part`` turn numbers, and a part of more than
+    ``rows_per_piece`` rows, which takes repeated turn numbers, into pieces of so many rows in that order; the last has the
+    rest. Both may be as large as a task's memory allows: a dialogue within them is one text. So the texts of one
     participant, joined by part and piece, are the whole dialogue; ``start`` is how many of its turns come before. Null
     numbers are a part of their own, -1 or one below the lowest. The result has a row per part and participant, as
     asked for: many participants of one
     conversation make it large. An empty table gives an empty result; extra columns are ignored.
     """
     name = F.coalesce(F.nullif(F.trim(_plain(F.col(speaker))), F.lit("")), F.lit(NOBODY))
-    said = turns.select("conv_id", F.floor(F.col("turn") / TURNS).cast("long").alias("part"), F.col("turn").cast("long").alias("turn"), name.alias("speaker"), _plain(F.col("text")).alias("said"))
+    said = turns.select("conv_id", F.floor(F.col("turn") / turns_per_part).cast("long").alias("part"), F.col("turn").cast("long").alias("turn"), name.alias("speaker"), _plain(F.col("text")).alias("said"))
     sizes = said.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n"), F.collect_set("speaker").alias("speakers"))
     sizes = stored(sizes, "parts")
     cast = sizes.select("conv_id", F.explode("speakers").alias("perspective")).distinct()
     same = F.col("conv_id").eqNullSafe(F.col("_conv")) & F.col("part").eqNullSafe(F.col("_part"))
-    large = sizes.where(F.col("n") > ROWS).select(F.col("conv_id").alias("_conv"), F.col("part").alias("_part"))
+    large = sizes.where(F.col("n") > rows_per_piece).select(F.col("conv_id").alias("_conv"), F.col("part").alias("_part"))
     turn = F.struct("turn", "speaker", "said")
     small = said.join(large, same, "left_anti").select("conv_id", "part", F.lit(0).cast("long").alias("piece"), turn.alias("t"), F.lit(1).alias("times"))
-    dealt = small.union(_cut(said.join(large, same, "left_semi")).select("conv_id", "part", "piece", turn.alias("t"), "times"))
+    dealt = small.union(_cut(said.join(large, same, "left_semi"), rows_per_piece).select("conv_id", "part", "piece", turn.alias("t"), "times"))
     listed = F.array_sort(F.collect_list(F.struct("t.turn", "t.speaker", "t.said", "times")))
     pieces = dealt.groupBy("conv_id", "part", "piece").agg(F.flatten(F.transform(listed, lambda t: F.array_repeat(t, t["times"]))).alias("turns"))
-    placed = pieces.join(_starts(sizes), same).withColumns({"part": F.col("number"), "start": F.col("before") + F.col("piece") * ROWS})
+    placed = pieces.join(_starts(sizes), same).withColumns({"part": F.col("number"), "start": F.col("before") + F.col("piece") * rows_per_piece})
     seen = placed.select("conv_id", "part", "piece", "start", "turns").join(cast.withColumnRenamed("conv_id", "_id"), F.col("conv_id").eqNullSafe(F.col("_id")))
     seen = seen.select("conv_id", "part", "piece", "start", "perspective", F.size("turns").alias("n_turns"), rendered(F.col("turns"), F.col("perspective")).alias("r"))
     return seen.select("conv_id", "part", "piece", "start", "perspective", "n_turns", "r.text", "r.mask")
 
 
-def _cut(said: DataFrame) -> DataFrame:
+def _cut(said: DataFrame, rows: int) -> DataFrame:
     """(conv_id, part, turn, speaker, said, piece, times): rows of large parts, dealt to pieces by their position.
 
     Repeated turns are counted before they move. A sort by ranges puts the rest in order; each range adds up
@@ -79,8 +80,8 @@ def _cut(said: DataFrame) -> DataFrame:
     met = F.col("conv_id").eqNullSafe(F.col("_conv")) & F.col("part").eqNullSafe(F.col("_part")) & (F.col("range") == F.col("_range"))
     at = F.col("before") + F.col("within")
     placed = placed.join(sums, met).select("conv_id", "part", *place, at.alias("at"), (at + F.col("n")).alias("to"))
-    placed = placed.select("*", F.explode(F.sequence(F.floor(F.col("at") / ROWS), F.floor((F.col("to") - 1) / ROWS))).alias("piece"))
-    times = F.least("to", (F.col("piece") + 1) * ROWS) - F.greatest("at", F.col("piece") * ROWS)
+    placed = placed.select("*", F.explode(F.sequence(F.floor(F.col("at") / rows), F.floor((F.col("to") - 1) / rows))).alias("piece"))
+    times = F.least("to", (F.col("piece") + 1) * rows) - F.greatest("at", F.col("piece") * rows)
     return placed.select("conv_id", "part", *place, F.col("piece").cast("long").alias("piece"), times.cast("int").alias("times"))
 
 
@@ -122,4 +123,4 @@ def rendered(turns: Column, perspective: Column) -> Column:
 def digest(found: DataFrame) -> DataFrame:
     """The columns of the registered query: masks as start:end, comma-joined."""
     spans = F.array_join(F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string"))), ",")
-    return found.select("conv_id", "part", "piece", "perspective", F.col("n_turns").cast("long").alias("n_turns"), "text", spans.alias("mask"))
+    return found.select("conv_id", "part", "piece", "start", "perspective", F.col("n_turns").cast("long").alias("n_turns"), "text", spans.alias("mask"))

@@ -9,6 +9,8 @@ document's evidence and its path's posterior add up as log odds.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -104,21 +106,36 @@ def log_odds(x: Column, model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Col
     return F.greatest(F.least(total, F.lit(EVIDENCE)), F.lit(-EVIDENCE))
 
 
-def site_rates(judged: DataFrame) -> tuple[DataFrame, float]:
-    """(host, path, host_rate, path_rate), and the corpus rate, of (host, path, p_text).
+class Sites(NamedTuple):
+    """Sums of the judged documents by path and host, and what the priors count for.
+
+    ``sums`` has host, path, n, good, host_n, host_good: documents, and the sum of their p_text.
+    """
+
+    sums: DataFrame
+    prior: float
+    host_pull: float
+    path_pull: float
+
+
+def _drawn(n: Column, good: Column, mean: Column | float, pull: float) -> Column:
+    """The posterior rate of a site: its documents, and ``pull`` more at the mean above it."""
+    return (good + F.lit(pull) * mean) / (n + F.lit(pull))
+
+
+def site_sums(judged: DataFrame) -> Sites:
+    """The sites of (host, path, p_text).
 
     Sums by path are partly added up before the shuffle; all that follows has a row per path or host.
     """
     paths = stored(judged.groupBy("host", "path").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("p_text").alias("good")), "paths")
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("good").alias("host_good"))
+    hosts = paths.groupBy(F.col("host").alias("_host")).agg(F.sum("n").alias("host_n"), F.sum("good").alias("host_good"))
     whole = hosts.agg(F.sum("host_n").alias("n"), F.sum("host_good").alias("good")).collect()[0]
     prior = (whole.good + 0.5) / (whole.n + 1) if whole.n else 0.5
     host_pull = _pull(hosts.select(F.col("host_n").alias("n"), F.col("host_good").alias("good"), F.lit(prior).alias("mean")))
-    hosts = hosts.withColumn("host_rate", (F.col("host_good") + host_pull * prior) / (F.col("host_n") + host_pull)).select(F.col("host").alias("_host"), "host_rate")
-    both = paths.join(hosts, F.col("host").eqNullSafe(F.col("_host"))).drop("_host")
-    path_pull = _pull(both.select("n", "good", F.col("host_rate").alias("mean")))
-    both = both.withColumn("path_rate", (F.col("good") + path_pull * F.col("host_rate")) / (F.col("n") + path_pull))
-    return stored(both.select("host", "path", "host_rate", "path_rate"), "rates"), prior
+    both = stored(paths.join(hosts, F.col("host").eqNullSafe(F.col("_host"))).drop("_host"), "sites")
+    path_pull = _pull(both.select("n", "good", _drawn(F.col("host_n"), F.col("host_good"), F.lit(prior), host_pull).alias("mean")))
+    return Sites(both, prior, host_pull, path_pull)
 
 
 def judged(docs: DataFrame, labels: DataFrame, host: str, path: str, label: str) -> DataFrame:
@@ -133,26 +150,34 @@ def judged(docs: DataFrame, labels: DataFrame, host: str, path: str, label: str)
     return found.select("row", "host", "path", p_text.alias("p_text"))
 
 
-def with_sites(found: DataFrame, rates: DataFrame, prior: float) -> DataFrame:
-    """Adds the rates of host and path and p_quality. The sites are few next to the rows that they are joined to."""
-    rates = rates.select(F.col("host").alias("_host"), F.col("path").alias("_path"), "host_rate", "path_rate")
-    met = found.join(rates, F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path"))).drop("_host", "_path")
+def with_sites(found: DataFrame, sites: Sites) -> DataFrame:
+    """Adds the rates of host and path, without the document itself, and p_quality.
+
+    A document's own text is evidence once: its site says what the others there are like. The only document of a
+    path has its host's rate, the only one of a host the corpus rate. The sites are few next to the rows that
+    they are joined to.
+    """
+    sums = sites.sums.withColumnsRenamed({"host": "_host", "path": "_path"})
+    met = found.join(sums, F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path"))).drop("_host", "_path")
+    own = F.col("p_text")
+    met = met.withColumn("host_rate", _drawn(F.col("host_n") - 1, F.col("host_good") - own, F.lit(sites.prior), sites.host_pull))
+    met = met.withColumn("path_rate", _drawn(F.col("n") - 1, F.col("good") - own, F.col("host_rate"), sites.path_pull))
     odds = lambda p: F.log(p / (1 - p))
-    total = odds(F.col("p_text")) + odds(F.greatest(F.least("path_rate", F.lit(0.999)), F.lit(0.001))) - float(np.log(prior / (1 - prior)))
-    return met.withColumn("p_quality", 1 / (1 + F.exp(-total)))
+    total = odds(own) + odds(F.greatest(F.least("path_rate", F.lit(0.999)), F.lit(0.001))) - float(np.log(sites.prior / (1 - sites.prior)))
+    return met.withColumn("p_quality", 1 / (1 + F.exp(-total))).drop("n", "good", "host_n", "host_good")
 
 
 def scores(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", label: str = "quality") -> DataFrame:
     """One row per row: doc_id, host, path, p_text, host_rate, path_rate, p_quality, keep.
 
-    ``keep`` is p_quality of at least one half. A path belongs to its host. Null hosts and paths are sites
+    ``keep`` is p_quality of at least one half. A path belongs to its host; the rates are those of the site's other documents. Null hosts and paths are sites
     of their own; null texts count as empty; rows that repeat a doc_id or a text are scored each.
     Without usable labels every document has the same evidence and is kept. An empty
     table gives an empty result; extra columns are ignored.
     """
     found = judged(docs.select("doc_id", "text", host, path), labels, host, path, label)
     found = stored(found.select(F.col("row.doc_id").alias("doc_id"), "host", "path", "p_text"), "judged")
-    met = with_sites(found, *site_rates(found))
+    met = with_sites(found, site_sums(found))
     return met.select("doc_id", "host", "path", "p_text", "host_rate", "path_rate", "p_quality", (F.col("p_quality") >= 0.5).alias("keep"))
 
 
@@ -162,7 +187,7 @@ def keep(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "
     Texts are scored where they are read, once for the sums and once for the result, and never shuffled.
     """
     found = judged(docs, labels, host, path, label)
-    met = with_sites(found, *site_rates(found.select("host", "path", "p_text")))
+    met = with_sites(found, site_sums(found.select("host", "path", "p_text")))
     return met.where("p_quality >= 0.5").select("row.*")
 
 

@@ -351,11 +351,57 @@ def test_every_sampled_id_is_fitted(spark, monkeypatch):
     assert fitted[0] == fitted[1] and collections.Counter(fitted[0][1]) == {0.0: quality.TEXTS, 1.0: 19}
 
 
+def plain_posteriors(judged, prior, host_pull, path_pull):
+    """(host_rate, path_rate, p_quality) of each (host, path, p_text), from the others of its site, one by one."""
+    out = []
+    for i, (host, path, p) in enumerate(judged):
+        others = [x for j, x in enumerate(judged) if j != i]
+        on_host = [q for h, _, q in others if h == host]
+        on_path = [q for h, r, q in others if (h, r) == (host, path)]
+        host_rate = (sum(on_host) + host_pull * prior) / (len(on_host) + host_pull)
+        path_rate = (sum(on_path) + path_pull * host_rate) / (len(on_path) + path_pull)
+        odds = lambda x: math.log(x / (1 - x))
+        out.append((host_rate, path_rate, 1 / (1 + math.exp(-odds(p) - odds(min(max(path_rate, 0.001), 0.999)) + odds(prior)))))
+    return out
+
+
+def plain_pull(sites):
+    """Of (documents, sum, mean) per site: what the prior counts for."""
+    some = [(n, good, mean) for n, good, mean in sites if n > 1]
+    seen = sum((good / n - mean) ** 2 for n, good, mean in some) / len(some)
+    chance = sum(mean * (1 - mean) / n for n, _, mean in some) / len(some)
+    spread = sum(mean * (1 - mean) for _, _, mean in some) / len(some)
+    return min(max(spread / max(seen - chance, 1e-6 * spread) - 1, 1.0), 1e6)
+
+
+def test_posteriors_equal_plain_numbers(spark):
+    """Priors, pulls and rates against loops, with single documents, null sites and a path of the same name on two hosts."""
+    rng = random.Random(5)
+    judged = [(f"h{i % 7}" if i % 11 else None, f"p{i % 3}" if i % 5 else None, round(min(max(rng.gauss(0.2 + 0.1 * (i % 7), 0.2), 0.01), 0.99), 6)) for i in range(300)]
+    judged += [("alone", "p0", 0.02), ("h0", "single", 0.98)]
+    sites = quality.site_sums(spark.createDataFrame(judged, "host string, path string, p_text double").repartition(3))
+    prior = (sum(p for *_, p in judged) + 0.5) / (len(judged) + 1)
+    hosts, paths = collections.defaultdict(list), collections.defaultdict(list)
+    for host, path, p in judged:
+        hosts[host].append(p)
+        paths[host, path].append(p)
+    host_pull = plain_pull([(len(x), sum(x), prior) for x in hosts.values()])
+    means = {h: (sum(x) + host_pull * prior) / (len(x) + host_pull) for h, x in hosts.items()}
+    path_pull = plain_pull([(len(x), sum(x), means[h]) for (h, _), x in paths.items()])
+    assert (sites.prior, sites.host_pull, sites.path_pull) == pytest.approx((prior, host_pull, path_pull))
+    rows = spark.createDataFrame([(i, *x) for i, x in enumerate(judged)], "i int, host string, path string, p_text double")
+    got = {r.i: (r.host_rate, r.path_rate, r.p_quality) for r in quality.with_sites(rows, sites).collect()}
+    for i, want in enumerate(plain_posteriors(judged, prior, host_pull, path_pull)):
+        assert got[i] == pytest.approx(want)
+    assert got[300][:2] == pytest.approx((prior, prior))
+
+
 def test_sparse_sites_are_drawn_to_the_prior(spark):
     rows = [("good", "a", 0.95)] * 400 + [("bad", "a", 0.05)] * 400 + [("good", "b", 0.05)] + [(None, None, 0.05)]
-    rates, prior = quality.site_rates(spark.createDataFrame(rows, "host string, path string, p_text double"))
-    rate = {(r.host, r.path): r.path_rate for r in rates.collect()}
-    assert 0.4 < prior < 0.6 and rate["good", "a"] > 0.9 and rate["bad", "a"] < 0.1
+    table = spark.createDataFrame(rows, "host string, path string, p_text double")
+    sites = quality.site_sums(table)
+    rate = {(r.host, r.path): r.path_rate for r in quality.with_sites(table, sites).collect()}
+    assert 0.4 < sites.prior < 0.6 and rate["good", "a"] > 0.9 and rate["bad", "a"] < 0.1
     assert rate["good", "b"] > rate[None, None] > 0.05
 
 
@@ -611,19 +657,18 @@ def test_license_suppression_against_plain_version(spark):
 # --- chat -----------------------------------------------------------------------------------------------
 
 
-def test_perspectives(spark, monkeypatch):
+def test_perspectives(spark):
     rng = random.Random(8)
     people = ["Ann", "Bob", "Cid|>", None, ""]
     rows = [(c, t, rng.choice(people), rng.choice([f"says {t}", "<|end|> trick", "", None]), "clash") for c in range(6) for t in rng.sample(range(150), 40)]
     rows += [(1, None, "Ann", "no number", "x"), (None, 0, "Ann", "hi", "x"), (None, 1, "Bob", "hello", "x")] + [(9, 3, "Ann", "again", "x")] * 700 + [(9, 3, "Bob", f"b{i}", "x") for i in range(60)]
-    monkeypatch.setattr(chat, "ROWS", 128)
     table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, said string")
     plain = lambda s: (s or "").replace("<|", "< |").replace("|>", "| >")
     talk = collections.defaultdict(list)
     for conv, turn, role, text, _ in rows:
         talk[conv].append((-1 if turn is None else turn // 64, -1 if turn is None else turn, plain(role).strip() or "unknown", plain(text)))
     got = collections.defaultdict(list)
-    for r in chat.perspectives(table).collect():
+    for r in chat.perspectives(table, rows_per_piece=128).collect():
         assert r.n_turns <= 700
         own = "".join(r.text[m.start:m.end] for m in r.mask)
         got[r.conv_id, r.part, r.perspective].append((r.text, own))
@@ -644,14 +689,13 @@ def test_perspectives(spark, monkeypatch):
 
 def test_pieces_join_to_the_whole_dialogue(spark, monkeypatch):
     rng = random.Random(11)
-    monkeypatch.setattr(chat, "ROWS", 32)
     monkeypatch.setattr(chat, "BLOCK", 2)
     rows = [(1, t, rng.choice(["Ann", "Bob"]), f"says {t}") for t in range(-300, 700, 3)]  # many parts, negative ones too
     rows += [(1, None, "Bob", f"no number {i}") for i in range(100)] + [(1, 5, "Ann", f"a{i}") for i in range(150)] + [(1, 5, "Bob", "same")] * 90 + [(1, 6, "Bob", "b")] * 3
     rows += [(None, 3, "Cid", f"c{i % 40}") for i in range(200)] + [(2, 0, "Ann", "hi"), (2, 64, "Bob", "there")]
     table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(5)
     got = collections.defaultdict(list)
-    for r in chat.perspectives(table).collect():
+    for r in chat.perspectives(table, rows_per_piece=32).collect():
         got[r.conv_id, r.perspective].append((r.part, r.piece, r.start, r.n_turns, r.text, "".join(r.text[m.start:m.end] for m in r.mask)))
     assert set(got) == {(1, "Ann"), (1, "Bob"), (None, "Cid"), (2, "Ann"), (2, "Bob")}
     for (conv, who), pieces in got.items():
@@ -664,3 +708,29 @@ def test_pieces_join_to_the_whole_dialogue(spark, monkeypatch):
             assert start == at and 0 < n <= 32 + 32 * (conv == 2)
             at += n
         assert at == len(said)
+
+
+def test_a_long_dialogue_can_be_one_text(spark):
+    rows = [(1, t, "Ann" if t % 2 else "Bob", f"says {t}") for t in range(500)]
+    table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    whole = chat.perspectives(table, turns_per_part=1000).collect()
+    assert {(r.perspective, r.part, r.piece, r.n_turns) for r in whole} == {("Ann", 0, 0, 500), ("Bob", 0, 0, 500)}
+    parts = {r.perspective: [] for r in whole}
+    for r in chat.perspectives(table).orderBy("part").collect():
+        parts[r.perspective].append(r.text)
+    assert all("".join(parts[r.perspective]) == r.text for r in whole) and len(parts["Ann"]) == 8
+
+
+def test_chat_sql_cuts_pieces_too(spark, tmp_path):
+    """A part of more rows than a piece takes, through the registered query and its SQL."""
+    import duckdb
+
+    rows = [(1, i % 7, "Ann" if i % 3 else "Bob", f"line {i % 1500}") for i in range(9000)] + [(1, 70, "Bob", "late"), (2, 0, "Cid", "hi")]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    found = db.execute(queries.oracle_sql()["op9_chat"])
+    names = [d[0] for d in found.description]
+    got = queries.op9_chat(spark, str(tmp_path))
+    assert sorted(got.columns) == sorted(names)
+    assert by_row(got, *names) == sorted(found.fetchall(), key=str) and got.where("piece = 2").count() == 2

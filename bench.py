@@ -29,7 +29,7 @@ def main() -> None:
     cores = os.environ.get("BENCH_CPUS") or "*"
     spark = local_session(cores, shuffle_partitions=16 if cores == "*" else 2 * int(cores))
     tables = catalog.Tables.of(spark, folder)
-    for name in ("context_raw", "sam_raw", "vcf_raw", "excluded_raw"):
+    for name in ("context_raw", "sam_raw", "aligned_raw", "vcf_raw", "excluded_raw"):
         tables.raw(name)
     queries, seconds = catalog.queries(), {}
     for name in HEADLINES:

@@ -12,6 +12,8 @@ CALL_TAG = "XM:Z:"
 CIGAR_LETTERS = "[M|D|I]"
 CIGAR_NUMBERS = "[0-9]+"
 CIGAR_STEP = "[0-9]+[MIDNSHP=X]"
+LEADING_CLIPS = "^(([0-9]+[SH])+)"
+TRAILING_CLIPS = "(([0-9]+[SH])+)$"
 RS_ID = "%rs%"
 
 
@@ -111,6 +113,22 @@ def reference_span(cigar: Column) -> Column:
     )
 
 
+def clipped_bases(cigar: Column, clips: str) -> Column:
+    """Bases clipped off at one end, soft or hard; ``clips`` is LEADING_CLIPS or TRAILING_CLIPS."""
+    numbers = F.regexp_extract_all(F.regexp_extract(cigar, clips, 1), F.lit(CIGAR_NUMBERS), F.lit(0))
+    total = F.aggregate(numbers, F.lit(0).cast("bigint"), lambda acc, n: acc + n.cast("bigint"))
+    return F.when(F.contains(cigar, F.lit("S")) | F.contains(cigar, F.lit("H")), total).otherwise(0)
+
+
+def unclipped_five_prime(start: Column, cigar: Column, is_reversed: Column) -> Column:
+    """Where the first sequenced base of a read would lie had no base been clipped.
+
+    A forward read's clips before its start are added back, a reverse read's behind its end.
+    """
+    end = start + reference_span(cigar) - 1 + clipped_bases(cigar, TRAILING_CLIPS)
+    return F.when(is_reversed, end).otherwise(start - clipped_bases(cigar, LEADING_CLIPS))
+
+
 def char_at(text: Column, index: Column) -> Column:
     """One character, counted from the end below zero; further left, the first one."""
     return F.substring(text, F.greatest(index, -F.length(text)).cast("int"), 1)

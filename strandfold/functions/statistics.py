@@ -138,3 +138,34 @@ def rank_sum_score(n_ref: Column, n_alt: Column, twice_rank_sum: Column,
     ties = 1 - F.try_divide(tie_sum, n * n * n - n)
     deviation = F.sqrt(ties * n1 * n2 * (n + 1) / 12)
     return F.abs(F.try_divide(u - n1 * n2 / 2 - 0.5, deviation))
+
+
+def rank_sum_ways(smaller: Column, larger: Column) -> Column:
+    """In how many ways two samples without ties give each Mann-Whitney U from 0 to half of the largest.
+
+    These are the coefficients of a Gaussian binomial, the product over i of (1 - q^(larger + i)) / (1 - q^i) up to
+    ``smaller``, as power series cut off in the middle, for they read the same from both ends. One factor at a
+    time, in decimals, so that the counts are exact. The sizes should be plain columns.
+    """
+    kind = "array<decimal(38,0)>"
+    zero = F.lit(0).cast("decimal(38,0)")
+    start = F.transform(F.sequence(F.lit(0), F.floor(smaller * larger / 2).cast("int")), lambda u: F.when(u == 0, 1).otherwise(0)).cast(kind)
+
+    def times(ways: Column, power: Column) -> Column:
+        return F.transform(ways, lambda x, u: x - F.when(u >= power, F.get(ways, u - power)).otherwise(zero))
+
+    def divided(ways: Column, power: Column) -> Column:
+        return F.transform(ways, lambda x, u: F.aggregate(
+            F.sequence(F.lit(0), F.floor(u / power).cast("int")), zero,
+            lambda total, k: (total + F.get(ways, u - k * power)).cast("decimal(38,0)")))
+
+    def factor(ways: Column, step: Column) -> Column:
+        i = F.floor((step + 1) / 2).cast("int")
+        return F.when(step % 2 == 1, times(ways, larger + i)).otherwise(divided(ways, i)).cast(kind)
+
+    return F.aggregate(F.sequence(F.lit(1), 2 * smaller), start, factor)
+
+
+def ways_in_all(smaller: Column, larger: Column) -> Column:
+    """The number of ways to pick the smaller sample's ranks."""
+    return F.aggregate(F.sequence(F.lit(1), smaller), F.lit(1.0), lambda total, i: total * (larger + i) / i)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandfold.operators.skew import HotKeys, find_hot_keys, split_join
+from strandfold.operators.skew import HotKeys, split_join
 
 SITE = ["sample_id", "chr", "pos"]
 
@@ -43,7 +43,5 @@ def coverage_filter(coverage: DataFrame, min_cov: int) -> DataFrame:
 def covered_context(context: DataFrame, covered: DataFrame,
                     hot: HotKeys | None = None) -> DataFrame:
     """Calls at the given CpGs; these are unique, so a semi join keeps each call once."""
-    if hot is None:
-        (hot,) = find_hot_keys(context, SITE)
     sites = covered.select("sample_id", "chr", F.col("pos_start").alias("pos"))
-    return split_join(context, sites, SITE, "left_semi", hot)
+    return split_join(context, sites, SITE, "left_semi", hot or HotKeys())

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from strandfold.functions.statistics import round_array, with_fisher_pvalue
 from strandfold.operators.context import SITE
-from strandfold.operators.skew import HotKeys, find_hot_keys, split_join
+from strandfold.operators.skew import HotKeys, split_join
 
+READ_KEYS = ["sample_id", "read_id"]
 CPG_SNP = ["sample_id", "chr", "pos", "snp_id"]
 READ_COLUMNS = ["sample_id", "chr", "pos", "meth", "cov", "snp_id", "snp_pos", "allele", "read_id"]
 COUNTS = ["ref_cov", "ref_meth", "alt_cov", "alt_meth"]
@@ -34,26 +35,21 @@ def exclude_snp_cpgs(context: DataFrame, exclusion: DataFrame,
     One anti join against both kinds of hit; calls without a position never
     match a CpG and go as well.
     """
-    if hot is None:
-        (hot,) = find_hot_keys(context, SITE)
     placed = context.filter(F.col("chr").isNotNull() & F.col("pos").isNotNull())
     return split_join(
-        placed, destroyed_sites(exclusion), SITE, "left_anti", hot
+        placed, destroyed_sites(exclusion), SITE, "left_anti", hot or HotKeys()
     ).select("sample_id", "chr", "pos", "meth", "cov", "read_id")
 
 
 def link_alleles(context: DataFrame, genotype: DataFrame,
                  hot: HotKeys | None = None) -> DataFrame:
     """A read's calls with the alleles it carries, repeated calls kept."""
-    keys = ["sample_id", "read_id"]
-    if hot is None:
-        (hot,) = find_hot_keys(context, keys)
     alleles = genotype.select(
         "sample_id", "read_id", "snp_id", F.col("pos").alias("snp_pos"), "allele"
     ).dropDuplicates()
     return split_join(
         context.select("sample_id", "read_id", "chr", "pos", "meth", "cov"),
-        alleles, keys, "inner", hot,
+        alleles, READ_KEYS, "inner", hot or HotKeys(),
     ).select(*READ_COLUMNS)
 
 
@@ -96,11 +92,9 @@ def allele_coverage_filter(counts: DataFrame, min_cov: int) -> DataFrame:
 
 def fisher_exact(counts: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Fisher p-value per row, worked out once per distinct table of counts."""
-    if hot is None:
-        (hot,) = find_hot_keys(counts, COUNTS)
     tables = with_fisher_pvalue(counts.select(*COUNTS).distinct(), "_p").select(
         *COUNTS, round_array(F.col("_p"), 5).alias("fisher_pvalue")
     )
-    return split_join(counts, tables, COUNTS, "inner", hot).select(
+    return split_join(counts, tables, COUNTS, "inner", hot or HotKeys()).select(
         *counts.columns, "fisher_pvalue"
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strandfold.functions import genome
 from strandfold.operators.intervals import point_interval_join
-from strandfold.operators.skew import HotKeys, find_hot_keys, split_join
+from strandfold.operators.skew import HotKeys, split_join
 
 VCF_READS = ["sample_id", "chr", "snp_id", "pos", "ref", "alt", "CT_strand", "GA_strand",
              "seq_CT_strand", "seq_GA_strand", "read_start", "read_end", "cigar",
@@ -55,9 +55,7 @@ def overlap_rejoin(reads: DataFrame, pairs: DataFrame, hot: HotKeys | None = Non
     renamed = reads.withColumnsRenamed(
         {"CT_strand": "seq_CT_strand", "GA_strand": "seq_GA_strand"}
     )
-    if hot is None:
-        (hot,) = find_hot_keys(renamed, keys)
-    return split_join(renamed, pairs, keys, "inner", hot).select(*VCF_READS)
+    return split_join(renamed, pairs, keys, "inner", hot or HotKeys()).select(*VCF_READS)
 
 
 def cigar_split(pairs: DataFrame) -> DataFrame:
@@ -129,6 +127,15 @@ def snp_score_filter(bases: DataFrame, min_score: int) -> DataFrame:
     )
 
 
+def informative_reads_only(bases: DataFrame) -> DataFrame:
+    """Bases on reads of a strand on which the SNP's alleles stay apart after conversion.
+
+    Not part of the published method, which tries every read.
+    """
+    return bases.filter(
+        (F.col("seq_CT_strand") & F.col("CT_strand")) | (F.col("seq_GA_strand") & F.col("GA_strand")))
+
+
 def tag_allele(bases: DataFrame) -> DataFrame:
     """REF or ALT per read and SNP; reads showing neither are dropped."""
     allele = genome.allele_of(
@@ -153,10 +160,8 @@ def count_alleles(tagged: DataFrame) -> DataFrame:
 def drop_conflicting_reads(tagged: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Tagged rows of the reads that show one allele only, repeats kept."""
     keys = ["sample_id", "snp_id", "read_id"]
-    if hot is None:
-        (hot,) = find_hot_keys(tagged, keys)
     agreed = count_alleles(tagged).filter("nb_alleles = 1").select(*keys)
-    return split_join(tagged, agreed, keys, "left_semi", hot).select(
+    return split_join(tagged, agreed, keys, "left_semi", hot or HotKeys()).select(
         "sample_id", "snp_id", "pos", "allele", "read_id"
     )
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandfold.operators.skew import HotKeys, profile, split_join
+from strandfold.operators.skew import HotKeys, split_join
 
 BIN_WIDTH = 256
 _GROWTH = 16
@@ -29,9 +29,9 @@ def point_interval_join(intervals: DataFrame, points: DataFrame, on: Sequence[st
     An interval is given one bin only: that of its start, on the lowest level
     whose bins are at least as wide as the interval (widths grow 16-fold from
     ``base_width``). It can then only reach into that bin and the next, so a
-    point is offered to its own bin and the one before on each level in use.
-    The interval side, usually wide and large, is never repeated, and each
-    pair meets once.
+    point is offered to its own bin and the one before on each of the seven levels.
+    The interval side, usually wide and large, is never repeated nor read ahead, and each
+    pair meets once. Bins with very many intervals are left to the adaptive skew join unless ``hot`` names them.
     """
     width = F.col(end) - F.col(start) + 1
     level = F.lit(_LEVELS - 1)
@@ -43,17 +43,15 @@ def point_interval_join(intervals: DataFrame, points: DataFrame, on: Sequence[st
         .withColumn("_bin", _bin(F.col(start), F.col("_level"), base_width))
     )
     keys = [*on, "_level", "_bin"]
-    found, (levels,) = profile(binned, [keys], F.collect_set("_level"))
-    hot = found[0] if hot is None else hot
 
     home = _bin(F.col(point), F.col("_level"), base_width)
     offered = (
         points.filter(F.col(point).isNotNull())
-        .withColumn("_level", F.explode(F.array(*[F.lit(i) for i in levels or [0]])))
+        .withColumn("_level", F.explode(F.array(*[F.lit(i) for i in range(_LEVELS)])))
         .withColumn("_bin", F.explode(F.array(home, home - 1)))
     )
     return (
-        split_join(binned, offered, keys, "inner", hot)
+        split_join(binned, offered, keys, "inner", hot or HotKeys())
         .filter((F.col(point) >= F.col(start)) & (F.col(point) <= F.col(end)))
         .drop("_level", "_bin")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandfold.operators.cpg import CPG_SNP
-from strandfold.operators.skew import HotKeys, find_hot_keys, split_join
+from strandfold.operators.skew import HotKeys, split_join
 
 SNP = ["sample_id", "snp_id"]
 # A SNP's CpGs are folded in stretches of this many positions, so that no
@@ -141,10 +141,8 @@ def snp_cpg_array(cpg_asm: DataFrame) -> DataFrame:
 def well_covered_cpg_reads(reads: DataFrame, cpg_asm: DataFrame,
                            hot: HotKeys | None = None) -> DataFrame:
     """Read calls at CpGs that were tested for the same SNP."""
-    if hot is None:
-        (hot,) = find_hot_keys(reads, CPG_SNP)
     return split_join(
-        reads, cpg_asm.select(*CPG_SNP).dropDuplicates(), CPG_SNP, "left_semi", hot
+        reads, cpg_asm.select(*CPG_SNP).dropDuplicates(), CPG_SNP, "left_semi", hot or HotKeys()
     ).select("sample_id", "chr", "pos", "meth", "cov", "snp_id", "allele", "read_id").dropDuplicates()
 
 
@@ -155,15 +153,13 @@ def region_cpgs(sites: DataFrame, summary: DataFrame, hot: HotKeys | None = None
     when none is significant.
     """
     keys = ["sample_id", "snp_id", "chr"]
-    if hot is None:
-        (hot,) = find_hot_keys(sites, keys)
     bounds = summary.select(
         *keys, "snp_pos",
         F.coalesce("asm_region_inf", "min_cpg").alias("_from"),
         F.coalesce("asm_region_sup", "max_cpg").alias("_to"),
     )
     return (
-        split_join(sites.select(*CPG_SNP), bounds, keys, "inner", hot)
+        split_join(sites.select(*CPG_SNP), bounds, keys, "inner", hot or HotKeys())
         .filter(F.col("pos").between(F.col("_from"), F.col("_to")))
         .select(*CPG_SNP, "snp_pos")
         .dropDuplicates()
@@ -176,10 +172,8 @@ def region_reads(reads: DataFrame, cpgs: DataFrame, hot: HotKeys | None = None)
     The bounds were applied to the CpGs, far fewer than the calls, so one
     equi-join does what would be two joins and a range filter.
     """
-    if hot is None:
-        (hot,) = find_hot_keys(reads, CPG_SNP)
     calls = reads.select("sample_id", "chr", "pos", "meth", "cov", "snp_id", "allele", "read_id")
-    return split_join(calls, cpgs, CPG_SNP, "inner", hot).dropDuplicates()
+    return split_join(calls, cpgs, CPG_SNP, "inner", hot or HotKeys()).dropDuplicates()
 
 
 def read_methylation(region: DataFrame) -> DataFrame:

@@ -5,17 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandfold.functions.statistics import rank_sum_score, round_array, two_sided_normal
+from strandfold.functions.statistics import rank_sum_score, rank_sum_ways, round_array, two_sided_normal, ways_in_all
 from strandfold.operators.region import FRACTION_SCALE, SNP
-from strandfold.operators.skew import HotKeys, find_hot_keys, split_join
+from strandfold.operators.skew import HotKeys, split_join
 from strandfold.params import AsmParams
 
 P_SCALE = 100_000
+# Largest product of the two sizes whose rank sums are counted out, and the smaller size up to which "auto" does so.
+EXACT_PAIRS = 2048
+AUTO_READS = 8
 
 
-def region_tests(counts: DataFrame) -> DataFrame:
+def region_tests(counts: DataFrame, method: str = "asymptotic") -> DataFrame:
     """Reads per allele, effect and two-sided rank test per SNP, in one pass.
 
+    ``method`` "asymptotic" is the published test. "exact" takes the exact distribution for SNPs without tied
+    fractions while the sizes' product is at most ``EXACT_PAIRS``, "auto" moreover only if one allele has at most
+    ``AUTO_READS`` reads, as newer versions of the called library do; other SNPs have the approximation.
+
     Works on the counts per read fraction, for SNPs with reads on both
     alleles. The effect is the difference of the alleles' mean fractions; its
     sums are integers, so row order does not matter. Reads of equal fraction
@@ -38,7 +45,10 @@ def region_tests(counts: DataFrame) -> DataFrame:
     ).filter("ref_reads > 0 and alt_reads > 0")
     z = rank_sum_score(*[F.col(c) for c in ("ref_reads", "alt_reads", "_ranks", "_ties")])
     p = F.when(F.col("_z").isNull(), F.lit(1.0)).otherwise(two_sided_normal(F.col("_z")))
-    return sums.withColumn("_z", z).withColumn("_p", p).select(
+    tested = sums.withColumn("_z", z).withColumn("_p", p)
+    if method != "asymptotic":
+        tested = _with_exact_pvalue(tested, {"exact": EXACT_PAIRS, "auto": AUTO_READS}[method])
+    return tested.select(
         *SNP, "ref_reads", "alt_reads",
         F.round(
             F.col("_alt") / F.col("alt_reads") / FRACTION_SCALE
@@ -48,12 +58,31 @@ def region_tests(counts: DataFrame) -> DataFrame:
     )
 
 
+def _with_exact_pvalue(sums: DataFrame, most_reads: int) -> DataFrame:
+    """``_p`` replaced by the exact p-value where that is asked for and known.
+
+    The distribution is worked out once per distinct pair of sizes; a SNP adds up its lower tail.
+    """
+    pairs = F.col("ref_reads") * F.col("alt_reads")
+    sized = sums.withColumns({
+        "_few": F.least("ref_reads", "alt_reads").cast("int"), "_many": F.greatest("ref_reads", "alt_reads").cast("int"),
+        "_u": (F.col("_ranks") - F.col("ref_reads") * (F.col("ref_reads") + 1)) / 2,
+    }).withColumn("_u", F.least(F.col("_u"), pairs - F.col("_u")).cast("int"))
+    small = (F.col("_ties") == 0) & (pairs <= EXACT_PAIRS) & (F.col("_few") <= most_reads)
+    sized = sized.withColumns({c: F.when(small, F.col(c)) for c in ("_few", "_many")})
+    tables = sized.filter("_few is not null").select("_few", "_many").distinct().select(
+        "_few", "_many", rank_sum_ways(F.col("_few"), F.col("_many")).alias("_ways"), ways_in_all(F.col("_few"), F.col("_many")).alias("_all"))
+    tail = F.aggregate(F.slice("_ways", F.lit(1), F.col("_u") + 1), F.lit(0.0), lambda total, ways: total + ways.cast("double"))
+    exact = F.least(F.lit(1.0), 2 * tail / F.col("_all"))
+    return sized.join(tables, ["_few", "_many"], "left").withColumn("_p", F.when(F.col("_all").isNull(), F.col("_p")).otherwise(exact))
+
+
 def region_effect(counts: DataFrame) -> DataFrame:
     return region_tests(counts).drop("wilcoxon_pvalue")
 
 
-def mann_whitney(counts: DataFrame) -> DataFrame:
-    return region_tests(counts).select(*SNP, "wilcoxon_pvalue")
+def mann_whitney(counts: DataFrame, method: str = "asymptotic") -> DataFrame:
+    return region_tests(counts, method).select(*SNP, "wilcoxon_pvalue")
 
 
 def benjamini_hochberg(tests: DataFrame, p: str = "wilcoxon_pvalue",
@@ -67,8 +96,6 @@ def benjamini_hochberg(tests: DataFrame, p: str = "wilcoxon_pvalue",
     """
     keys = [*by, "_p"]
     coded = tests.withColumn("_p", F.round(F.col(p) * P_SCALE).cast("bigint"))
-    if hot is None:
-        (hot,) = find_hot_keys(coded, keys)
     tally = coded.filter("_p is not null").groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     group = Window.partitionBy(*by)
     upto = group.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -80,7 +107,7 @@ def benjamini_hochberg(tests: DataFrame, p: str = "wilcoxon_pvalue",
         .withColumn(corrected, round_array(F.least(F.lit(1.0), F.min("_raw").over(onward)), 5))
         .select(*keys, corrected)
     )
-    return split_join(coded, table, keys, "left", hot).select(*tests.columns, corrected)
+    return split_join(coded, table, keys, "left", hot or HotKeys()).select(*tests.columns, corrected)
 
 
 def asm_decision(regions: DataFrame, params: AsmParams) -> DataFrame:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Rows of one key a single task should join.
@@ -21,6 +22,8 @@ MOST_ROWS = 10**12
 LITERAL_KEYS = 128
 
 SALT = "_salt"
+# What a frequent-items sketch over hashes is, as a column.
+SKETCH_DDL = "sketch binary, maxItemsTracked int, itemDataType bigint, itemDataTypeDDL string"
 
 
 @dataclass(frozen=True)
@@ -47,38 +50,66 @@ class HotKeys:
         return found.withColumn("_splits", F.coalesce("_splits", F.lit(1))).drop("_hash")
 
 
-def find_hot_keys(df: DataFrame, *key_sets: Sequence[str | Column],
-                  rows_per_split: int = ROWS_PER_SPLIT) -> list[HotKeys]:
-    """Frequent keys of a table, one pass for all key sets; see ``profile``."""
-    return profile(df, key_sets, rows_per_split=rows_per_split)[0]
+def watched(df: DataFrame, key_sets: Mapping[str, Sequence[str]]) -> tuple[DataFrame, Observation]:
+    """The table, and sketches of its frequent keys that fill while something else reads it.
+
+    Each task keeps a sketch of bounded size over the hashed keys, and only the sketches are
+    merged: neither keys nor rows are shuffled, and no job runs for it. Once an action has gone over the
+    table the observation has a sketch per key set, as JSON. The sketch is sized
+    by the table: up to ``MOST_ROWS`` rows it finds every key with more than ROWS_PER_SPLIT rows
+    and more than a ``MAX_HOT_KEYS``-th of the table. Rows read twice, by a retry for instance, count twice;
+    that decides how work is spread, never what is joined.
+    """
+    # A table has fewer rows than bytes, so its size raises the counters and never the rows from which a key is split.
+    _, items, _ = _sizes(df, ROWS_PER_SPLIT)
+    observation = Observation()
+    sketches = [
+        F.expr(f"to_json(approx_top_k_accumulate({_hash(keys)}, {items}))").alias(name) for name, keys in key_sets.items()
+    ]
+    return df.observe(observation, *sketches), observation
+
+
+def gathered(observation: Observation) -> dict[str, str]:
+    """The sketches of a finished observation; none if the optimizer left the table out as empty."""
+    try:
+        return observation.get
+    except Py4JError:
+        return {}
+
 
+def hot_keys(spark: SparkSession, sketches: Sequence[str], rows_per_split: int = ROWS_PER_SPLIT) -> HotKeys:
+    """The frequent keys of the tables, or parts of one, that the sketches were taken of."""
+    if not sketches:
+        return HotKeys()
+    # Combined, a sketch keeps its counters; a key that is frequent overall is so in some part.
+    found = spark.sql(
+        f"""SELECT approx_top_k_estimate(approx_top_k_combine(from_json(s, '{SKETCH_DDL}'), {MAX_ITEMS}), {MAX_HOT_KEYS}) AS top
+        FROM (SELECT explode(:sketches) AS s)""", args={"sketches": F.array(*[F.lit(s) for s in sketches])}).first()
+    return _split_hot(found.top, rows_per_split)
 
-def profile(df: DataFrame, key_sets: Sequence[Sequence[str | Column]], *facts: Column,
-            rows_per_split: int = ROWS_PER_SPLIT) -> tuple[list[HotKeys], tuple]:
-    """Frequent keys and aggregate facts of a table in one pass.
 
-    Each task keeps a frequent-items sketch of bounded size over the hashed
-    keys and only the sketches are merged, so neither the keys nor the rows
-    are shuffled. The choice decides how work is spread, never what is joined.
-    The sketch is sized by the table: up to ``MOST_ROWS`` rows it finds every key
-    with more than ``rows_per_split`` rows and more than a ``MAX_HOT_KEYS``-th of the table.
+def find_hot_keys(df: DataFrame, *key_sets: Sequence[str | Column],
+                  rows_per_split: int = ROWS_PER_SPLIT) -> list[HotKeys]:
+    """Frequent keys of a table, in one pass over it for all key sets.
+
+    For a table that nobody has watched while it was written; see ``watched`` for what is found.
     """
-    # A table has fewer rows than bytes, so its size raises the counters and never the rows from which a key is split.
     number, items, _ = _sizes(df, rows_per_split)
-    hashed = df.withColumns({f"_h{i}": F.xxhash64(*keys) for i, keys in enumerate(key_sets)})
-    row = hashed.agg(*[
-        F.expr(f"approx_top_k(_h{i}, {number}, {items})")
-        for i in range(len(key_sets))
-    ], *facts).first()
-    sketches, found = row[: len(key_sets)], row[len(key_sets):]
-    return [
-        HotKeys({
-            r["item"]: math.ceil(r["count"] / rows_per_split)
-            for r in (sketch or [])
-            if r["item"] is not None and r["count"] > rows_per_split
-        })
-        for sketch in sketches
-    ], tuple(found)
+    hashed = df.select(*[F.xxhash64(*keys).alias(f"_h{i}") for i, keys in enumerate(key_sets)])
+    row = hashed.agg(*[F.expr(f"approx_top_k(_h{i}, {number}, {items})") for i in range(len(key_sets))]).first()
+    return [_split_hot(sketch, rows_per_split) for sketch in row]
+
+
+def _split_hot(top, rows_per_split: int) -> HotKeys:
+    return HotKeys({
+        r["item"]: math.ceil(r["count"] / rows_per_split)
+        for r in (top or [])
+        if r["item"] is not None and r["count"] > rows_per_split
+    })
+
+
+def _hash(keys: Sequence[str]) -> str:
+    return f"xxhash64({', '.join(f'`{k}`' for k in keys)})"
 
 
 def _sizes(df: DataFrame, rows_per_split: int) -> tuple[int, int, int]:
@@ -98,18 +129,18 @@ def split_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
                hot: HotKeys) -> DataFrame:
     """Equi-join in which each hot key of ``left`` is spread over several tasks.
 
-    A left row of a hot key goes to one split, chosen by the input partition
-    it was read from, so that even identical rows part and a retried task
-    chooses the same. The right rows of that key are repeated per split. Only
-    kinds that keep rows of the left side once are allowed.
+    A left row of a hot key goes to one split, chosen by a hash of the input partition
+    it was read from and of its other columns, so that identical rows part, neighbouring partitions do not
+    take turns with the splits, and a retried task chooses the same. The right rows of that
+    key are repeated per split. Only kinds that keep rows of the left side once are allowed.
     """
     if how not in ("inner", "left_semi", "left_anti", "left"):
         raise ValueError(f"cannot split a {how} join")
     if not hot:
         return left.join(right, list(keys), how)
     splits = F.col("_splits")
-    left = hot.attach(left, keys).withColumn(
-        SALT, F.when(splits > 1, F.pmod(F.spark_partition_id(), splits)).otherwise(0)
-    ).drop("_splits")
+    others = [F.col(f.name) for f in left.schema if f.name not in keys and f.dataType.typeName() not in ("map", "variant")]
+    salted = F.pmod(F.xxhash64(F.spark_partition_id(), *others), splits).cast("int")
+    left = hot.attach(left, keys).withColumn(SALT, F.when(splits > 1, salted).otherwise(0)).drop("_splits")
     right = hot.attach(right, keys).withColumn(SALT, F.explode(F.sequence(F.lit(0), splits - 1))).drop("_splits")
     return left.join(right, [*keys, SALT], how).drop(SALT)

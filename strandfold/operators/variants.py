@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandfold.functions import genome
+from strandfold.params import AsmParams
 
 # The forms of a frequency and of a chromosome suffix.
 FREQUENCY = r"[0-9]*\.?[0-9]+"
@@ -69,3 +72,40 @@ def chromosome_overlap(left: DataFrame, right: DataFrame, left_chr: str = "chr",
         left.select(F.col(left_chr).alias("chr")).distinct()
         .join(right.select(F.col(right_chr).alias("chr")).distinct(), "chr", "left_semi")
     )
+
+
+def multi_locus_ids(snps: DataFrame) -> DataFrame:
+    """Ids that stand at more than one place, with how many and the first and last.
+
+    Genotypes and regions are keyed by the id alone, so the reads of such an id's places are blended.
+    """
+    place = F.struct("chr", "pos")
+    return snps.select("sample_id", "snp_id", "chr", "pos").dropDuplicates().groupBy("sample_id", "snp_id").agg(
+        F.count(F.lit(1)).alias("places"), F.min(place).alias("_first"), F.max(place).alias("_last")
+    ).filter("places > 1").select(
+        "sample_id", "snp_id", "places", F.col("_first.chr").alias("first_chr"), F.col("_first.pos").alias("first_pos"),
+        F.col("_last.chr").alias("last_chr"), F.col("_last.pos").alias("last_pos"),
+    )
+
+
+def exclusion_set(params: AsmParams, common: DataFrame | None = None, raw: DataFrame | None = None,
+                  filtered: DataFrame | None = None) -> DataFrame:
+    """The SNPs that destroy CpGs, from the source that ``params.snps_for_cpg`` names.
+
+    ``common_snp`` takes the common-variant dump, ``raw.vcf`` and ``filtered.vcf`` the sample's own calls.
+    """
+    given = {"common_snp": common, "raw.vcf": raw, "filtered.vcf": filtered}
+    if params.snps_for_cpg not in given:
+        raise ValueError(f"snps_for_cpg is one of {', '.join(given)}, not {params.snps_for_cpg}")
+    source = given[params.snps_for_cpg]
+    if source is None:
+        raise ValueError(f"snps_for_cpg is {params.snps_for_cpg}, but that table is not given")
+    return common_snp_exclusion(source, params.snp_freq) if params.snps_for_cpg == "common_snp" else vcf_exclusion(source)
+
+
+def warn_of_apart_names(sites: DataFrame, exclusion: DataFrame) -> bool:
+    """Whether no chromosome name of the exclusion set occurs among the CpGs, so that nothing is excluded; warns then."""
+    apart = not exclusion.isEmpty() and chromosome_overlap(sites, exclusion).isEmpty()
+    if apart:
+        warnings.warn("the exclusion SNPs and the CpGs have no chromosome name in common: no CpG is excluded", stacklevel=2)
+    return apart

@@ -85,8 +85,15 @@ class Tables:
 
     @cached_property
     def calls(self) -> DataFrame:
-        return self.stages.write("calls", lambda: asm.allele_calls(
-            self.context, genotype.distinct_genotypes(self.tagged), self.exclusion, PARAMS))
+        return self.stages.write("calls", lambda: asm.allele_calls(self.context, self.genotypes, self.usable))
+
+    @cached_property
+    def genotypes(self) -> DataFrame:
+        return self.stages.write("genotypes", lambda: genotype.distinct_genotypes(self.tagged))
+
+    @property
+    def usable(self) -> DataFrame:
+        return asm.usable_cpgs(self.context, self.exclusion, PARAMS.pooled_cov)
 
     @cached_property
     def counts(self) -> DataFrame:
@@ -191,6 +198,27 @@ def _rejected(t: Tables) -> DataFrame:
     return readers.append_chromosomes(*counts)
 
 
+def _line_counts(t: Tables) -> DataFrame:
+    """Lines read and rejected per sample, counted by the pass that stores the good ones."""
+    odd = t.raw("vcf_raw")
+    short = odd.select("sample_id", F.concat_ws("\t", "snp_id", "chr", "pos").alias("value"))
+    junk = odd.select("sample_id", *[F.lit("oops" if c == "pos" else "1").alias(c) for c in schemas.CPG_CONTEXT])
+    calls = t.stages.path("text_counted_context")
+    t.raw("context_raw").select("sample_id", *[F.col(c).cast("string").alias(c) for c in schemas.CPG_CONTEXT]).unionByName(
+        junk).write.mode("overwrite").partitionBy("sample_id").csv(calls, sep="\t", header=True)
+    counted = []
+    for layout, path, scan in (("sam", t.lines("counted_sam", t.raw("sam_raw"), short), readers.scan_sam),
+                               ("cpg_context", calls, readers.scan_cpg_context)):
+        for sample in SAMPLES:
+            count = readers.LineCount()
+            good = t.stages.write(f"good_{layout}_{sample}", lambda: scan(
+                t.spark, f"{path}/sample_id={sample}", sample, strict=False, count=count))
+            counted.append(good.agg(F.count(F.lit(1)).alias("kept")).select(
+                F.lit(layout).alias("layout"), F.lit(sample).alias("sample_id"), "kept",
+                F.lit(count.lines).alias("lines"), F.lit(count.rejected).alias("rejected")))
+    return readers.append_chromosomes(*counted)
+
+
 def _scan_vcf(t: Tables, name: str) -> DataFrame:
     head = t.headers("##fileformat=VCFv4.1", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tx")
     return t.per_sample(t.lines(name, t.raw(name), head), readers.scan_vcf)
@@ -296,6 +324,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "scan_region_pvalue": _scan_region,
     "append_chromosomes": _append,
     "rejected_lines": _rejected,
+    "line_counts": _line_counts,
     # sinks
     "write_bedgraph": _bedgraph,
     "write_csv": lambda t: _write_csv(t, True),
@@ -331,8 +360,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "overlap_rejoin": lambda t: genotype.overlap_rejoin(
         t.reads, genotype.overlap_pairs(t.reads, t.snps)),
     "exclude_snp_cpgs": lambda t: cpg.exclude_snp_cpgs(t.context, t.exclusion),
-    "cpg_read_genotype": lambda t: asm.allele_calls(
-        t.context, genotype.distinct_genotypes(t.tagged), t.exclusion, PARAMS),
+    "cpg_read_genotype": lambda t: asm.allele_calls(t.context, t.genotypes, t.usable),
     "pair_alleles": lambda t: cpg.cpg_genotype(t.calls),
     "drop_conflicting_reads": lambda t: genotype.drop_conflicting_reads(t.tagged),
     "well_covered_cpg_reads": lambda t: region.well_covered_cpg_reads(t.calls, t.cpg_asm),
@@ -379,10 +407,15 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "asm_decision": lambda t: significance.asm_decision(
         significance.benjamini_hochberg(t.regions), PARAMS),
     "asm_snp_table": _asm_snp,
+    "exact_rank_test": lambda t: significance.mann_whitney(
+        t.fraction_counts.filter("n_ref + n_alt = 1"), "exact"),
+    "multi_locus_ids": lambda t: variants.multi_locus_ids(t.snps),
+    "informative_reads": lambda t: genotype.tag_allele(genotype.informative_reads_only(
+        genotype.snp_score_filter(t.bases, PARAMS.snp_score))),
     # reads before calling
     "extract_methylation": lambda t: alignment.extract_methylation(t.raw("sam_raw"), PARAMS),
     "remove_duplicates": lambda t: alignment.remove_duplicates(
-        t.raw("sam_raw"), "score_before_recal").select(
+        t.raw("aligned_raw"), "score_before_recal").select(
             "sample_id", "chr", "read_id", "flag", "read_start", "mate_read_start", "cigar"),
     "layout_by_chromosome": _layout,
     "variant_depth_cap": lambda t: alignment.variant_depth_cap(t.reads, t.snps, SHALLOW_DEPTH),

@@ -104,6 +104,18 @@ def _sam_raw(d: str) -> str:
           WHERE mate = 1 OR (mate = 2 AND o % 19 <> 0) OR (mate = 3 AND o % 31 = 0)) a) b) c"""
 
 
+def _aligned_raw(_: str) -> str:
+    # Reads as they come from the aligner: some clipped at the end that is sequenced first, some fragments unmapped.
+    return """
+    SELECT sample_id, read_id, flag + CASE WHEN lost THEN 12 ELSE 0 END AS flag,
+      CASE WHEN NOT lost THEN chr WHEN mapq = 25 THEN '*' END AS chr,
+      CASE WHEN lost THEN 0 WHEN cut AND flag & 16 = 0 THEN read_start + 2 ELSE read_start END AS read_start,
+      CASE WHEN lost THEN '*' WHEN cut AND flag & 16 = 0 THEN '2S98M' WHEN cut THEN '97M1S2H' ELSE cigar END AS cigar,
+      CASE WHEN lost THEN '*' ELSE rnext END AS rnext, CASE WHEN lost THEN 0 ELSE mate_read_start END AS mate_read_start,
+      score_before_recal, genome_strand
+    FROM (SELECT *, mapq IN (25, 38) AS lost, cigar = '100M' AND ascii(substring(read_id, 2, 1)) % 2 = 1 AS cut FROM sam_raw) r"""
+
+
 def _vcf_raw(d: str) -> str:
     # Five sites per supplier and sample, and one row cleaning has to deal with:
     # a repeat, or the same id at another position, an indel, an id of "." or of another kind, or a bad position.
@@ -157,6 +169,7 @@ TABLES: dict[str, Callable[[str], str]] = {
     "placed": _placed,
     "context_raw": _context_raw,
     "sam_raw": _sam_raw,
+    "aligned_raw": _aligned_raw,
     "vcf_raw": _vcf_raw,
     "excluded_raw": _excluded_raw,
     "common_raw": _common_raw,
@@ -168,7 +181,7 @@ def spark_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "supplier", "part")
     }
     needed = {"placed": ["fragments"], "context_raw": ["fragments", "placed"],
-              "sam_raw": ["fragments", "placed"]}.get(name, [])
+              "sam_raw": ["fragments", "placed"], "aligned_raw": ["fragments", "placed", "sam_raw"]}.get(name, [])
     ctes = ", ".join(f"{t} AS ({TABLES[t](SPARK)})" for t in needed)
     text = (f"WITH {ctes} " if ctes else "") + f"SELECT * FROM ({TABLES[name](SPARK)}) q"
     for t in given:

@@ -236,6 +236,10 @@ STEPS: dict[str, str] = {
           asm_region_effect, wilcoxon_corr_pvalue, nb_cpg, nb_sig_cpg, pos_sig_cpg AS nb_pos_sig_cpg,
           neg_sig_cpg AS nb_neg_sig_cpg, nb_consec_pos_sig_asm, nb_consec_neg_sig_asm
         FROM regions""",
+    "rank_ways": """
+        SELECT 0 AS r, 0 AS c, 0 AS s, 1::HUGEINT AS ways UNION ALL
+        SELECT r + 1, c + d, s + d * (r + 1), sum(ways)::HUGEINT FROM rank_ways, (VALUES (0), (1)) x(d)
+        WHERE r < 40 GROUP BY ALL""",
     "fraction_lists": """
         SELECT sample_id, snp_id,
           string_agg(cast(fraction AS varchar), ',' ORDER BY fraction) FILTER (allele = 'REF') AS ref,
@@ -262,19 +266,26 @@ STEPS: dict[str, str] = {
         SELECT sample_id, read_id, chr, read_start AS span_from,
           read_start + CASE cigar WHEN '20M2D80M' THEN 102 WHEN '20M1I79M' THEN 99 ELSE 100 END - 1 AS span_to
         FROM sam_raw WHERE read_strand LIKE '%CT%'""",
+    # Unclipped places of the first base, spelled out for the CIGARs in use; unmapped rows have none.
     "ends": """
-        SELECT sample_id, read_id, concat(chr, ' ', lpad(cast(read_start AS varchar), 12, '0'), ' ', flag & 16 > 0) AS e FROM sam_raw
-        UNION ALL
-        SELECT sample_id, read_id, concat(CASE WHEN rnext = '=' THEN chr ELSE rnext END, ' ',
-          lpad(cast(mate_read_start AS varchar), 12, '0'), ' ', flag & 32 > 0) FROM sam_raw WHERE rnext <> '*'""",
-    "both_ends": "SELECT sample_id, read_id, min(e) AS lo, max(e) AS hi FROM ends GROUP BY sample_id, read_id",
+        SELECT sample_id, read_id, flag & 192 AS mate, CASE WHEN flag & 4 = 0 AND chr <> '*' AND read_start > 0
+            THEN {'chr': chr, 'place': CASE WHEN flag & 16 = 0 THEN read_start - CASE cigar WHEN '2S98M' THEN 2 ELSE 0 END
+              ELSE read_start + CASE cigar WHEN '20M2D80M' THEN 101 WHEN '20M1I79M' THEN 98 ELSE 99 END END,
+              'reversed': flag & 16 > 0, 'seen': true} END AS own,
+          CASE WHEN flag & 8 = 0 AND rnext <> '*' AND mate_read_start > 0
+            THEN {'chr': CASE WHEN rnext = '=' THEN chr ELSE rnext END, 'place': mate_read_start,
+              'reversed': flag & 32 > 0, 'seen': false} END AS told FROM aligned_raw""",
+    "both_ends": """
+        SELECT sample_id, read_id, min(own) AS lo, CASE WHEN bit_or(mate) = 192 OR max(told) IS NULL OR max(own) > max(told)
+            THEN max(own) ELSE max(told) END AS hi, CASE WHEN min(own) IS NULL THEN read_id END AS apart
+        FROM ends GROUP BY sample_id, read_id""",
     "fragment_scores": """
         SELECT sample_id, read_id, count(*) AS n, min(genome_strand) AS strand,
           sum(list_sum(list_transform(string_split(score_before_recal, ''), lambda c: ascii(c) - 33))) AS q
-        FROM sam_raw GROUP BY sample_id, read_id""",
+        FROM aligned_raw GROUP BY sample_id, read_id""",
     "best_fragments": """
         SELECT sample_id, read_id FROM (SELECT f.*, row_number() OVER (
-            PARTITION BY f.sample_id, lo, hi, n, strand ORDER BY q DESC, f.read_id) AS nth
+            PARTITION BY f.sample_id, lo, hi, n, strand, apart ORDER BY q DESC, f.read_id) AS nth
           FROM fragment_scores f JOIN both_ends USING (sample_id, read_id)) x WHERE nth = 1""",
 }
 
@@ -386,6 +397,35 @@ FINAL: dict[str, str] = {
     "sort_by_chr": "SELECT sample_id, chr, snp_id, snp_pos FROM regions ORDER BY chr DESC",
     "fisher_exact": f"SELECT {_CPG9}, fisher_pvalue FROM cpg_asm",
     "mann_whitney": "SELECT * FROM mann_whitney",
+    # Ways to reach a rank sum with so many of the first r ranks, one rank at a time.
+    "exact_rank_test": """
+        SELECT sample_id, snp_id, round_even(100000 * least(1.0, 2.0 * cast(sum(ways) FILTER (
+            s - n1 * (n1 + 1) / 2 <= least(r1 - n1 * (n1 + 1) / 2, n1 * n2 - r1 + n1 * (n1 + 1) / 2)) AS double) / cast(sum(ways) AS double)), 0) / 100000 AS wilcoxon_pvalue
+        FROM (SELECT sample_id, snp_id, count(*) FILTER (allele = 'REF') AS n1, count(*) FILTER (allele = 'ALT') AS n2,
+                sum(nth) FILTER (allele = 'REF') AS r1
+              FROM (SELECT *, row_number() OVER (PARTITION BY sample_id, snp_id ORDER BY fraction) AS nth
+                    FROM (SELECT * FROM coded QUALIFY count(*) OVER (PARTITION BY sample_id, snp_id, fraction) = 1) u) v
+              GROUP BY sample_id, snp_id) x
+        JOIN rank_ways w ON w.r = n1 + n2 AND w.c = n1
+        WHERE n1 > 0 AND n2 > 0 GROUP BY sample_id, snp_id""",
+    "multi_locus_ids": """
+        SELECT sample_id, snp_id, count(*) AS places, min({'c': chr, 'p': pos}).c AS first_chr, min({'c': chr, 'p': pos}).p AS first_pos,
+          max({'c': chr, 'p': pos}).c AS last_chr, max({'c': chr, 'p': pos}).p AS last_pos
+        FROM (SELECT DISTINCT sample_id, snp_id, chr, pos FROM clean_vcf) v GROUP BY sample_id, snp_id HAVING count(*) > 1""",
+    "informative_reads": f"""
+        SELECT * FROM (SELECT sample_id, snp_id, chr, pos, read_id,
+            CASE WHEN {_allele('ref')} THEN 'REF' WHEN {_allele('alt')} THEN 'ALT' ELSE 'bad' END AS allele
+          FROM bases WHERE length(snp_in_read) = 1 AND ascii(snp_score) >= {P.snp_score}
+            AND ((seq_CT_strand AND CT_strand) OR (seq_GA_strand AND GA_strand))) b
+        WHERE allele <> 'bad'""",
+    "line_counts": """
+        SELECT 'sam' AS layout, sample_id, good AS kept, good + bad AS lines, bad AS rejected
+        FROM (SELECT sample_id, count(*) AS good FROM sam_raw GROUP BY sample_id) g
+        JOIN (SELECT sample_id, count(*) AS bad FROM vcf_raw GROUP BY sample_id) b USING (sample_id)
+        UNION ALL
+        SELECT 'cpg_context', sample_id, good, good + bad, bad
+        FROM (SELECT sample_id, count(*) AS good FROM context_raw GROUP BY sample_id) g
+        JOIN (SELECT sample_id, count(*) AS bad FROM vcf_raw GROUP BY sample_id) b USING (sample_id)""",
     "benjamini_hochberg": """
         SELECT sample_id, snp_id, wilcoxon_pvalue, wilcoxon_corr_pvalue FROM corrected""",
     "cpg_streaks": "SELECT * FROM streaks",
@@ -399,7 +439,7 @@ FINAL: dict[str, str] = {
             AND b.chr = s.chr AND b.pos BETWEEN span_from AND span_to)""",
     "remove_duplicates": """
         SELECT r.sample_id, r.chr, r.read_id, flag, read_start, mate_read_start, cigar
-        FROM sam_raw r JOIN best_fragments b
+        FROM aligned_raw r JOIN best_fragments b
         ON r.sample_id = b.sample_id AND r.read_id = b.read_id""",
     "layout_by_chromosome": "SELECT sample_id, chr, read_id, flag, read_start, cigar FROM sam_raw",
     "variant_depth_cap": f"""
@@ -413,4 +453,4 @@ FINAL: dict[str, str] = {
 def oracle_sql() -> dict[str, str]:
     steps = ",\n".join([derived.duckdb_ctes(), *[
         f"{n} AS {'MATERIALIZED ' if n in _FIXED else ''}({sql})" for n, sql in STEPS.items()]])
-    return {name: f"WITH {steps}\n{final}" for name, final in FINAL.items()}
+    return {name: f"WITH RECURSIVE {steps}\n{final}" for name, final in FINAL.items()}

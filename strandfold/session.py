@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +26,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def configured(spark: SparkSession) -> Iterator[SparkSession]:
+    """The settings for the time of a run; the caller's come back afterwards."""
+    before = {key: spark.conf.get(key, None) for key in RUNTIME_CONF}
+    try:
+        yield configure(spark)
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   memory: str = "12g") -> SparkSession:
     """A session for tests and the local benchmark; clusters bring their own."""

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strandfold import __version__
+from strandfold.operators import skew
 from strandfold.session import shared_folder
 
 
@@ -55,16 +58,47 @@ def write_partitioned(df: DataFrame, path: str, replace: bool = True) -> str:
     return path
 
 
-def inputs_key(params: object, *inputs: DataFrame) -> str:
-    """What tells a run from another: parameters, and the inputs' files with sizes and times."""
+# Column that stage tables kept per sample are cut by.
+SAMPLE_FOLDER = "_sample"
+
+# Leaves of a plan whose rows no file or parameter tells, and functions whose code is not in the plan.
+_UNKNOWN = ("LogicalRDD", "ExternalRDD", "InMemoryRelation", "PythonUDF", "ScalaUDF")
+
+
+def _plan_text(df: DataFrame) -> str:
+    """The optimised plan with names and ids made equal, all columns and conditions spelled out."""
+    spark, setting = df.sparkSession, "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(1 << 30))
+    try:
+        return df._jdf.queryExecution().optimizedPlan().canonicalized().toString()
+    finally:
+        spark.conf.set(setting, before)
+
+
+def inputs_key(params: object, *inputs: DataFrame, sample: str | None = None) -> str:
+    """What tells a run from another: parameters, how each input is made, and its files with sizes and times.
+
+    Inputs whose rows cannot be told, such as tables in memory, give a new key each time. With ``sample``, the key
+    of that sample: scans and partition folders of others do not count. Where one file holds several samples, it does.
+    """
+    if sample is not None:
+        inputs = tuple(df.filter(F.col("sample_id") == sample) for df in inputs)
     seen = [repr(params)]
     for df in inputs:
-        spark, files = df.sparkSession, set(df.inputFiles())
+        spark, plan = df.sparkSession, _plan_text(df)
+        files = {f for f in df.inputFiles() if sample is None or f"/sample_id={sample}/" in unquote(f) or "/sample_id=" not in f}
+        names = {unquote(f.rpartition("/")[2]) for f in files}
         for folder in sorted({f.rpartition("/")[0] for f in files}):
             where = spark._jvm.org.apache.hadoop.fs.Path(folder)
             for f in where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where):
-                seen.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
-        seen.append(f"{len(files)} files, {df.schema.simpleString()}")
+                if f.getPath().getName() in names:
+                    seen.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+        seen += [f"{len(files)} files, {df.schema.simpleString()}", plan]
+        if "LocalRelation" in plan:
+            seen.append(str(df.semanticHash()))
+        if any(kind in plan for kind in _UNKNOWN):
+            seen.append(uuid.uuid4().hex)
     return hashlib.sha256("\n".join(seen).encode()).hexdigest()
 
 
@@ -74,7 +108,8 @@ class Stages:
     A written table cuts the lineage: losing executors later costs no more
     than re-reading it. ``reuse`` takes up a finished stage of an earlier run
     under the same ``name``, if that was written with the same ``key`` after the same stages;
-    the first that differs is built anew, and so are all that follow it.
+    the first that differs is built anew, and so are all that follow it. Frequent keys of what a stage reads or
+    writes can be watched on the way; their sketches lie beside the stage and are taken up with it.
     """
 
     def __init__(self, spark: SparkSession, name: str | None = None, reuse: bool = False, key: str = ""):
@@ -83,10 +118,19 @@ class Stages:
         self.reuse = reuse
         self.key = key
         self._written: list[str] = []
+        self._watched: dict[str, list[Observation]] = {}
 
     def path(self, stage: str) -> str:
         return f"{self.root}/{stage}"
 
+    def _path(self, name: str):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
+
+    def _exists(self, folder: str) -> bool:
+        system, where = self._path(folder)
+        return system.exists(where)
+
     def fingerprint(self, stage: str) -> str:
         """Of the code's version, the run's key, the stages so far and this one."""
         before = [s for s in self._written if s != stage]
@@ -97,23 +141,46 @@ class Stages:
         return self._marked(stage) is not None
 
     def _marked(self, stage: str) -> str | None:
-        try:
-            row = self.spark.read.schema("mark string").parquet(self.path(stage) + ".finished").first()
-        except AnalysisException:
+        if not self._exists(self.path(stage) + ".finished"):
             return None
+        row = self.spark.read.schema("mark string").parquet(self.path(stage) + ".finished").first()
         return row and row.mark
 
     def _mark(self, stage: str, *marks: str) -> None:
         rows = self.spark.range(len(marks)).select(F.lit(marks[0] if marks else "").alias("mark"))
         rows.write.mode("overwrite").parquet(self.path(stage) + ".finished")
 
-    def write(self, stage: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """Write a stage, or take the finished one, and return it as a scan."""
+    def watch(self, stage: str, df: DataFrame, **key_sets: Sequence[str]) -> DataFrame:
+        """The table, with sketches of its frequent keys taken while ``stage`` is written from it."""
+        df, observation = skew.watched(df, key_sets)
+        self._watched.setdefault(stage, []).append(observation)
+        return df
+
+    def hot_keys(self, stage: str, name: str) -> skew.HotKeys:
+        """The frequent keys of a key set that was watched while the stage was written."""
+        if not self._exists(self.path(stage) + ".sketches"):  # nothing was watched
+            return skew.HotKeys()
+        rows = self.spark.read.schema("name string, sketch string").parquet(self.path(stage) + ".sketches")
+        return skew.hot_keys(self.spark, [r.sketch for r in rows.filter(F.col("name") == name).collect()])
+
+    def _keep_sketches(self, stage: str) -> None:
+        found = [(name, sketch) for o in self._watched.pop(stage, []) for name, sketch in skew.gathered(o).items()]
+        if found:
+            rows = self.spark.createDataFrame(found, "name string, sketch string").coalesce(1)
+            rows.write.mode("overwrite").parquet(self.path(stage) + ".sketches")
+
+    def write(self, stage: str, build: Callable[[], DataFrame],
+              watch: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+        """Write a stage, or take the finished one, and return it as a scan; ``watch`` names key sets of its rows."""
         wanted, found = self.fingerprint(stage), self._marked(stage)
         if not (self.reuse and found == wanted):
             if found is not None:  # a broken rewrite must not pass for the old table
                 self._mark(stage)
-            build().write.mode("overwrite").parquet(self.path(stage))
+            df = build()
+            if watch:
+                df = self.watch(stage, df, **watch)
+            df.write.mode("overwrite").parquet(self.path(stage))
+            self._keep_sketches(stage)
             self._mark(stage, wanted)
         self._written.append(stage)
         return self.read(stage)
@@ -125,3 +192,77 @@ class Stages:
         """Remove the tables of a run whose results have been taken elsewhere."""
         where = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+class SampleStages(Stages):
+    """Stages kept per sample, so that one more sample builds that sample's part only.
+
+    ``keys`` has each sample's ``inputs_key``. A stage is a folder per sample; those whose sample was
+    finished with the same key after the same stages are taken up, all others are built together in one go
+    and replaced one by one. ``build`` gives the rows of all samples; the filter on those
+    that are wanted reaches down to the inputs, for the sample is part of every key.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, keys: Mapping[str, str]):
+        super().__init__(spark, name, reuse=True)
+        self.keys = dict(keys)
+
+    def _folder(self, stage: str, sample: str) -> str:
+        return f"{self.path(stage)}/{SAMPLE_FOLDER}={hashlib.sha256(sample.encode()).hexdigest()[:32]}"
+
+    def _fingerprint_of(self, stage: str, sample: str) -> str:
+        return hashlib.sha256(f"{self.fingerprint(stage)} {self.keys[sample]}".encode()).hexdigest()
+
+    def pending(self, stage: str) -> list[str]:
+        """Samples whose part of the stage is missing or was made otherwise."""
+        there = self._exists(self.path(stage) + ".samples")
+        rows = self.spark.read.schema("sample string, mark string").parquet(self.path(stage) + ".samples").collect() if there else []
+        marks = {(r["sample"], r["mark"]) for r in rows}
+        return [s for s in self.keys if (s, self._fingerprint_of(stage, s)) not in marks]
+
+    def finished(self, stage: str) -> bool:
+        return not self.pending(stage)
+
+    def write(self, stage: str, build: Callable[[], DataFrame],
+              watch: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+        todo = self.pending(stage)
+        if todo:
+            df = build()
+            df = df.filter(F.col("sample_id").isin(todo))
+            if watch:
+                df = self.watch(stage, df, **watch)
+            done = {s: self._fingerprint_of(stage, s) for s in self.keys if s not in todo}
+            self._mark_samples(stage, done, df.schema)  # a broken rewrite must not pass for the old parts
+            for sample in todo:  # a sample without rows leaves no folder to replace
+                self._remove(self._folder(stage, sample))
+            own = F.left(F.sha2(F.col("sample_id"), 256), F.lit(32))
+            df.withColumn(SAMPLE_FOLDER, own).write.partitionBy(SAMPLE_FOLDER).mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic").parquet(self.path(stage))
+            self._keep_sketches(stage)
+            self._mark_samples(stage, {s: self._fingerprint_of(stage, s) for s in self.keys}, df.schema)
+        else:
+            self._watched.pop(stage, None)
+        self._written.append(stage)
+        return self.read(stage)
+
+    def read(self, stage: str) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(self.spark.read.text(self.path(stage) + ".schema").first().value))
+        there = [f for f in (self._folder(stage, s) for s in self.keys) if self._exists(f)]
+        if not there:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*there)
+
+    def _keep_sketches(self, stage: str) -> None:
+        found = [(name, sketch) for o in self._watched.pop(stage, []) for name, sketch in skew.gathered(o).items()]
+        if found:  # of the samples built now; those of the others are there
+            rows = self.spark.createDataFrame(found, "name string, sketch string").coalesce(1)
+            rows.write.mode("append").parquet(self.path(stage) + ".sketches")
+
+    def _mark_samples(self, stage: str, marks: Mapping[str, str], schema: T.StructType) -> None:
+        rows = self.spark.createDataFrame(list(marks.items()), "sample string, mark string").coalesce(1)
+        rows.write.mode("overwrite").parquet(self.path(stage) + ".samples")
+        self.spark.range(1).select(F.lit(schema.json()).alias("value")).write.mode("overwrite").text(self.path(stage) + ".schema")
+
+    def _remove(self, folder: str) -> None:
+        system, where = self._path(folder)
+        system.delete(where, True)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strandfold.operators import alignment, cpg, genotype, reads, region, significance, variants
+from strandfold.operators import alignment, cpg, genotype, reads, region, significance, skew, variants
 from strandfold.operators import context as ctx
 from strandfold.operators.skew import HotKeys
 from strandfold.params import AsmParams
@@ -238,6 +238,66 @@ def test_strict_readers_name_the_file(spark, tmp_path):
     assert readers.rejected_lines(spark, str(tmp_path / "c.txt"), "cpg_context").count() == 1
 
 
+def test_lines_are_counted_by_the_pass_that_reads_them(spark, tmp_path):
+    good = "\t".join(["r1", "99", "chr1", "10", "30", "4M", "=", "20", "5", "ACGT", 'II"I', *"abcdefgh"])
+    (tmp_path / "s.sam").write_text("\n".join([good, "too\tfew", good, good.replace("\t99\t", "\tx\t")]) + "\n")
+    (tmp_path / "c.txt").write_text("head\nr1\t+\t1\t5\tZ\nr2\t+\t1\tfive\tZ\nr3\t+\t1\t6\tz\n")
+    (tmp_path / "v.vcf").write_text("#CHROM\nchr1\t5\trs1\tA\tC\t3\tPASS\ti\tf\td\nshort\n")
+    (tmp_path / "r.json").write_text('{"snp_id": "rs1"}\n{broken\n')
+    for scan, name, kept, rejected, lines in (
+        (readers.scan_sam, "s.sam", 2, 2, 4), (readers.scan_cpg_context, "c.txt", 2, 1, 3),
+        (readers.scan_vcf, "v.vcf", 1, 1, 3), (readers.scan_region_pvalue, "r.json", 1, 1, 2),
+    ):
+        count = readers.LineCount()
+        table = scan(spark, str(tmp_path / name), "s", strict=False, count=count)
+        table.write.parquet(str(tmp_path / f"{name}.out"))
+        assert (count.rejected, count.lines) == (rejected, lines), name
+        assert spark.read.parquet(str(tmp_path / f"{name}.out")).count() == kept
+        assert table.columns == scan(spark, str(tmp_path / name), "s", strict=False).columns
+    count = readers.LineCount()
+    readers.scan_vcf(spark, str(tmp_path / "v.vcf"), "s", strict=False, count=count).select("snp_id").collect()
+    assert count.rejected == 1
+
+
+def test_exclusion_set_by_parameter(spark):
+    vcf = spark.createDataFrame([("s", "chr1", "7", "rs1", "A", "C"), ("s", "chr1", "9", "rs2", "AT", "C")],
+                                "sample_id string, chr string, pos string, snp_id string, ref string, alt string")
+    common = spark.createDataFrame([("s", "chr1", 7, "rs1", "0.5,0.5,"), ("s", "chr2", 8, "rs3", "0.99,0.01,")],
+                                   "sample_id string, chr string, pos bigint, snp_id string, alleleFreqs string")
+    ids = lambda df: [r.snp_id for r in df.collect()]
+    assert ids(variants.exclusion_set(AsmParams(), common=common, raw=vcf)) == ["rs1"]
+    assert ids(variants.exclusion_set(AsmParams(snp_freq=0.0), common=common)) == ["rs1", "rs3"]
+    for source in ("raw", "filtered"):
+        assert ids(variants.exclusion_set(AsmParams(snps_for_cpg=f"{source}.vcf"), **{source: vcf})) == ["rs1"]
+    with pytest.raises(ValueError, match="not given"):
+        variants.exclusion_set(AsmParams(), raw=vcf)
+    with pytest.raises(ValueError, match="one of"):
+        variants.exclusion_set(AsmParams(snps_for_cpg="dbsnp"), raw=vcf)
+    assert readers.common_snp_path("/data/", AsmParams(genome="hg38")) == "/data/hg38/database/snp151Common.txt*"
+
+
+def test_names_that_never_meet_are_told(spark):
+    sites = spark.createDataFrame([("s", "chr1", 5)], "sample_id string, chr string, pos bigint")
+    bare = spark.createDataFrame([("s", "1", 5)], "sample_id string, chr_snp string, pos_snp bigint")
+    with pytest.warns(UserWarning, match="no chromosome name in common"):
+        assert variants.warn_of_apart_names(sites, bare)
+    assert not variants.warn_of_apart_names(sites, bare.withColumn("chr_snp", F.lit("chr1")))
+    assert not variants.warn_of_apart_names(sites, bare.limit(0))
+
+
+def test_ids_at_several_places(spark):
+    rows = [("s", "rs1", "1", 5), ("s", "rs1", "1", 5), ("s", "rs2", "1", 5), ("s", "rs2", "2", 3), ("s", "rs2", "1", 9), ("t", "rs1", "2", 5), ("s", "rs3", "1", None)]
+    out = variants.multi_locus_ids(spark.createDataFrame(rows, "sample_id string, snp_id string, chr string, pos bigint")).collect()
+    assert [tuple(r) for r in out] == [("s", "rs2", 3, "1", 5, "2", 3)]
+
+
+def test_only_informative_reads(spark):
+    ddl = "snp string, CT_strand boolean, GA_strand boolean, seq_CT_strand boolean, seq_GA_strand boolean"
+    rows = [(f"{snp}-{read}", snp != "CT", snp != "GA", read == "CT", read == "GA") for snp in ("CT", "GA", "AC") for read in ("CT", "GA")]
+    kept = genotype.informative_reads_only(spark.createDataFrame(rows, ddl)).collect()
+    assert sorted(r.snp for r in kept) == ["AC-CT", "AC-GA", "CT-GA", "GA-CT"]
+
+
 def test_reads_and_snps_of_different_naming(spark):
     pair = spark.createDataFrame([("s", "1", "r", 5, 20), ("s", "chr1", "q", 5, 20)], "sample_id string, chr string, read_id string, read_start bigint, read_end bigint")
     wide = pair.withColumns({c: F.lit(True) for c in ("CT_strand", "GA_strand")}).withColumns(
@@ -247,17 +307,18 @@ def test_reads_and_snps_of_different_naming(spark):
     out = genotype.reads_overlap_snp(wide, snps, NONE).collect()
     assert sorted((r.chr, r.read_id, r.snp_id) for r in out) == [("1", "r", "rs1"), ("1", "r", "rs2"), ("chr1", "q", "rs1"), ("chr1", "q", "rs2")]
     assert genotype.overlap_pairs(wide, snps, NONE).count() == 4
-    assert alignment.variant_depth_cap(wide, snps, 1, NONE).count() == 0
-    assert alignment.variant_depth_cap(wide, snps, 2, NONE).count() == 2
+    assert alignment.variant_depth_cap(wide, snps, 1).count() == 0
+    assert alignment.variant_depth_cap(wide, snps, 2).count() == 2
 
 
 def test_changed_parameters_rebuild_stages(spark, tmp_path):
+    name = f"restart-{tmp_path.parent.name}"
     spark.range(3).write.parquet(str(tmp_path / "in"))
     table = spark.read.parquet(str(tmp_path / "in"))
     runs = []
 
     def run(key):
-        stages = writers.Stages(spark, "restart-test", reuse=True, key=key)
+        stages = writers.Stages(spark, name, reuse=True, key=key)
         stages.write("a", lambda: runs.append("a") or spark.range(1))
         stages.write("b", lambda: runs.append("b") or spark.range(2))
         return stages
@@ -272,6 +333,76 @@ def test_changed_parameters_rebuild_stages(spark, tmp_path):
     assert not stages.finished("a")
 
 
+def test_differently_filtered_inputs_rebuild_stages(spark, tmp_path):
+    run = f"filters-{tmp_path.parent.name}"
+    spark.range(10).selectExpr("id", "id % 3 AS a", "id AS b").write.parquet(str(tmp_path / "in"))
+    read = lambda: spark.read.parquet(str(tmp_path / "in"))
+    makes = [lambda: read(), lambda: read().filter("a > 1"), lambda: read().filter("a > 2"), lambda: read().filter("b > 1"),
+             lambda: read().withColumn("b", F.col("a")), lambda: read().limit(3), lambda: read().union(read()).select("id", "a", "b")]
+    keys = [writers.inputs_key(AsmParams(), make()) for make in makes]
+    assert len(set(keys)) == len(makes) and keys == [writers.inputs_key(AsmParams(), make()) for make in makes]
+    in_memory = spark.createDataFrame([(1,)], "a int")
+    assert writers.inputs_key(AsmParams(), in_memory) != writers.inputs_key(AsmParams(), in_memory)
+    runs = []
+    for make in (makes[1], makes[1], makes[2]):
+        stages = writers.Stages(spark, run, reuse=True, key=writers.inputs_key(AsmParams(), make()))
+        runs.append(sorted(r.id for r in stages.write("x", make).collect()))
+    assert runs == [[2, 5, 8], [2, 5, 8], []]
+    stages.delete()
+
+
+def test_stage_keeps_sketches_of_its_keys(spark, tmp_path):
+    run = f"sketches-{tmp_path.parent.name}"
+    table = spark.range(9000).select(F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id")).alias("k"))
+    stages = writers.Stages(spark, run, reuse=True)
+    stages.write("out", lambda: stages.watch("out", table, source=["k"]).groupBy("k").count(), watch={"result": ["k"]})
+    again = writers.Stages(spark, run, reuse=True)
+    again.write("out", lambda: pytest.fail("a finished stage was built again"))
+    for s in (stages, again):
+        assert not s.hot_keys("out", "source") and not s.hot_keys("out", "result") and not s.hot_keys("none", "x")
+    found = [r.sketch for r in spark.read.parquet(stages.path("out") + ".sketches").filter("name = 'source'").collect()]
+    assert list(skew.hot_keys(spark, found, 1000).splits.values()) == [5]
+    stages.delete()
+
+
+def test_samples_are_added_without_touching_others(spark, tmp_path):
+    import os
+    import pathlib
+
+    def put(sample, n):
+        spark.range(n).select(F.lit(sample).alias("sample_id"), "id").write.mode("overwrite").parquet(str(tmp_path / sample))
+
+    def rows(*samples):
+        tables = [spark.read.parquet(str(tmp_path / s)).withColumn("sample_id", F.lit(s)) for s in samples]
+        return readers.append_chromosomes(*tables)
+
+    built = []
+
+    def run(*samples):
+        table = rows(*samples)
+        keys = {s: writers.inputs_key(AsmParams(), table, sample=s) for s in samples}
+        stages = writers.SampleStages(spark, f"samples-{tmp_path.name}-{tmp_path.parent.name}", keys)
+        built.append({stage: stages.pending(stage) for stage in ("one",)})
+        one = stages.write("one", lambda: table, watch={"by_id": ["id"]})
+        out = stages.write("two", lambda: one.groupBy("sample_id").count())
+        return {r.sample_id: r["count"] for r in out.collect()}, stages
+
+    def files():
+        return {p: os.stat(p).st_mtime_ns for p in pathlib.Path(stages.root.removeprefix("file:")).rglob("*.parquet") if "_sample=" in str(p)}
+
+    put("01", 4), put("b", 6), put("empty", 0)
+    got, stages = run("01")
+    first = files()
+    assert got == {"01": 4} and first
+    got, stages = run("01", "b", "empty")
+    assert got == {"01": 4, "b": 6} and first.items() <= files().items()
+    assert run("b")[0] == {"b": 6}
+    put("b", 9)
+    assert run("01", "b")[0] == {"01": 4, "b": 9} and first.items() <= files().items()
+    assert built == [{"one": ["01"]}, {"one": ["b", "empty"]}, {"one": []}, {"one": ["b"]}]
+    stages.delete()
+
+
 def test_stage_restart(spark):
     stages = writers.Stages(spark, reuse=True)
     first = stages.write("x", lambda: spark.range(5))
@@ -328,6 +459,65 @@ def test_fragments_over_two_chromosomes_stay_or_go_whole(spark):
     assert sorted(r.read_id for r in kept) == ["a", "a", "b", "b", "d", "e"]
 
 
+def test_unmapped_reads_all_stay(spark):
+    def row(read, chromosome, start, flag=4, rnext="*", mate_start=0, cigar="*"):
+        return ("s", read, flag, chromosome, start, rnext, mate_start, cigar, "XG:Z:CT", "m", "I", "XR:Z:CT")
+    rows = [*(row(f"a{i}", "*", 0) for i in range(5)), *(row(f"b{i}", None, 0) for i in range(5)), row("c", "1", 50), row("d", "1", 50),
+            row("e", None, None, 0), row("f", None, None, None), row("g", "*", 7, 0, "*", 7), row("h", "*", 7, 0, "=", 7),
+            # one end mapped, the other not: compared by the mapped end
+            row("i", "1", 100, 73, "=", 100, "10M"), row("i", "1", 100, 133, "=", 100), row("j", "1", 100, 73, "=", 100, "10M"), row("j", "1", 100, 133, "=", 100)]
+    kept = sorted(r.read_id for r in alignment.remove_duplicates(spark.createDataFrame(rows, SAM_DDL)).collect())
+    assert kept == sorted([f"{x}{i}" for x in "ab" for i in range(5)] + list("cdefghii"))
+
+
+def test_duplicates_by_unclipped_ends(spark):
+    def kept(*reads):  # (id, start, cigar, reversed)
+        rows = [("s", x, 16 * turned, "1", start, "*", 0, cigar, "XG:Z:CT", "m", "I", "XR:Z:CT") for x, start, cigar, turned in reads]
+        return "".join(sorted(r.read_id for r in alignment.remove_duplicates(spark.createDataFrame(rows, SAM_DDL)).collect()))
+    assert kept(("a", 100, "4M", 0), ("b", 100, "2S2M", 0)) == "ab"
+    assert kept(("a", 100, "4M", 0), ("b", 102, "2S2M", 0), ("c", 103, "1H2S1M", 0), ("d", 100, "2M2S", 0)) == "a"
+    assert kept(("a", 100, "4M", 1), ("b", 100, "2M2S", 1), ("c", 98, "4M2D", 1), ("d", 100, "3M1S", 0), ("e", 102, "2S2M", 1)) == "ad"
+    assert kept(("a", 100, "2M1I1M", 1), ("b", 100, "3M", 1), ("c", 99, "1M1D1M1N2H", 1)) == "ac"
+
+
+def test_many_copies_of_one_fragment(spark):
+    """A hot start is met by partial minima, and the plan has no join of fragments with their copies."""
+    sam = spark.range(50_000).select(
+        F.lit("s").alias("sample_id"), F.concat(F.lit("r"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("read_id"), F.lit(0).cast("bigint").alias("flag"),
+        F.lit("1").alias("chr"), (100 + F.col("id") % 2).alias("read_start"), F.lit("*").alias("rnext"), F.lit(0).cast("bigint").alias("mate_read_start"),
+        F.lit("4M").alias("cigar"), F.lit("XG:Z:CT").alias("genome_strand"), F.lit("m").alias("meth"), F.when(F.col("id") == 777, "K").otherwise("I").alias("score"), F.lit("XR:Z:CT").alias("read_strand"))
+    out = alignment.remove_duplicates(sam)
+    assert sorted(r.read_id for r in out.collect()) == ["r000000", "r000777"]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+def test_depth_by_sweep_equals_counting(spark):
+    import random
+    rng, width = random.Random(3), alignment.SWEEP_BIN
+    reads = [("s", rng.choice(["1", "chr1", "2"]), f"r{i}", start, start + rng.choice([0, 9, 99, 3 * width]) - rng.choice([0, 1])) for i in range(800)
+             for start in [rng.choice([5, width - 50, width, 2 * width - 1, rng.randrange(1, 5 * width)])]]
+    reads += [("t", "1", "q", 1, 10), (None, "1", "q", 1, 10), ("s", None, "q", 1, 10), ("s", "1", "q", None, 10), ("s", "1", "q", 1, None)]
+    snps = [(rng.choice("st"), rng.choice(["chr1", "2", "3"]), f"rs{i}", rng.choice([5, 14, width - 1, width, 4 * width, 9 * width, rng.randrange(1, 5 * width)]), "A", "C", True, True) for i in range(300)]
+    snps += [("s", "1", "rsX", None, "A", "C", True, True), (None, "1", "rsY", 5, "A", "C", True, True), ("s", None, "rsZ", 5, "A", "C", True, True)]
+    bare = lambda c: c and c.removeprefix("chr")
+
+    def depth(s):
+        return sum(r[0] is not None and r[1] is not None and r[0] == s[0] and bare(r[1]) == bare(s[1]) and None not in (r[3], r[4], s[3]) and r[3] <= s[3] <= r[4] for r in reads)
+
+    table = spark.createDataFrame(reads, "sample_id string, chr string, read_id string, read_start bigint, read_end bigint")
+    points = spark.createDataFrame(snps, "sample_id string, chr string, snp_id string, pos bigint, ref string, alt string, CT_strand boolean, GA_strand boolean")
+    out = alignment.snp_depths(table, points)
+    assert sorted((r.snp_id, r._depth) for r in out.collect()) == sorted((s[2], depth(s)) for s in snps)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.snp_id for r in alignment.variant_depth_cap(table, points, 3).collect()} == {s[2] for s in snps if depth(s) <= 3}
+
+
+def test_depth_of_a_million(spark):
+    reads = spark.range(1_000_000).select(F.lit("s").alias("sample_id"), F.lit("1").alias("chr"), F.lit("r").alias("read_id"), (F.col("id") % 3 + 1).alias("read_start"), F.lit(100).cast("bigint").alias("read_end"))
+    snps = spark.createDataFrame([("s", "1", f"rs{p}", p, "A", "C", True, True) for p in (1, 2, 3, 100, 101)], "sample_id string, chr string, snp_id string, pos bigint, ref string, alt string, CT_strand boolean, GA_strand boolean")
+    assert {r.pos: r._depth for r in alignment.snp_depths(reads, snps).collect()} == {1: 333_334, 2: 666_667, 3: 1_000_000, 100: 1_000_000, 101: 0}
+
+
 def test_second_mate_between_two_alignments_of_the_first(spark):
     rows = [("s", "r", 99, "1", 100, "=", 5000, "10M", "XG:Z:CT", "XM:Z:" + "." * 10, "I", "XR:Z:CT"),
             ("s", "r", 2147, "1", 9000, "=", 5000, "10M", "XG:Z:CT", "XM:Z:" + "." * 10, "I", "XR:Z:CT"),

@@ -1,13 +1,15 @@
 """The whole chain, its stages, and the shape of the plans."""
 
 import re
+import uuid
 
 import pytest
 
 from strandfold import schemas
 from strandfold.operators import context as ctx
-from strandfold.operators import cpg, genotype, region, significance
+from strandfold.operators import cpg, genotype, prefilter, region, significance
 from strandfold.operators.skew import HotKeys, find_hot_keys
+from strandfold.params import AsmParams
 from strandfold.plans import asm, catalog, oracle
 
 SF = "/root/testdata/sf0.001"
@@ -36,12 +38,12 @@ def test_final_table(tables):
 
 def test_fused_order_equals_step_by_step(tables):
     """Reads first and sites last gives the rows of the step-by-step chain."""
-    params, none = catalog.PARAMS, HotKeys()
+    none = HotKeys()
     context = ctx.covered_context(tables.context, tables.covered, none)
     context = cpg.exclude_snp_cpgs(context, tables.exclusion, none)
     kept = genotype.drop_conflicting_reads(tables.tagged, none)
     steps = cpg.cpg_read_genotype(context, kept, none)
-    fused = asm.allele_calls(tables.context, genotype.distinct_genotypes(tables.tagged), tables.exclusion, params)
+    fused = asm.allele_calls(tables.context, tables.genotypes, tables.usable)
     assert steps.count() == fused.count() == steps.select(*fused.columns).intersect(fused).count()
 
 
@@ -57,7 +59,7 @@ def test_plans_stay_in_the_jvm_and_join_on_keys(tables):
     none = HotKeys()
     plans = [
         genotype.reads_overlap_snp(tables.reads, tables.snps, none),
-        asm.allele_calls(tables.context, tables.tagged, tables.exclusion, catalog.PARAMS),
+        asm.allele_calls(tables.context, tables.genotypes, tables.usable),
         cpg.fisher_exact(tables.counts, none),
         region.snp_summary(tables.cpg_asm, 0.05),
         asm.region_table(tables.calls, tables.summary, tables.cpg_asm),
@@ -91,3 +93,71 @@ def test_join_by_read_needs_no_shuffle_for_the_distinct(tables):
 def test_distinct_genotypes_take_one_shuffle(tables):
     text = plan_of(genotype.distinct_genotypes(tables.tagged))
     assert len(re.findall(r"\+- (?:\* )?Exchange", text)) == 1
+
+
+def jobs_of(spark, act):
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        result = act()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_joins_start_no_job_of_their_own(tables):
+    """No pass over a table looks for frequent keys before a join."""
+    made = [
+        lambda: ctx.covered_context(tables.context, tables.covered),
+        lambda: genotype.reads_overlap_snp(tables.reads, tables.snps),
+        lambda: genotype.overlap_rejoin(tables.reads, genotype.overlap_pairs(tables.reads, tables.snps)),
+        lambda: cpg.fisher_exact(tables.counts),
+        lambda: region.region_reads(tables.calls, tables.cpg_asm),
+        lambda: significance.benjamini_hochberg(tables.regions),
+    ]
+    _ = tables.pairs, tables.counts, tables.calls, tables.cpg_asm, tables.regions
+    for make in made:
+        assert jobs_of(tables.spark, make)[1] == 0
+
+
+def test_few_calls_are_shuffled_by_read(tables):
+    """The bitmap keeps the calls of reads without a genotype out of the shuffle, and the rows are the same."""
+    some = tables.genotypes.filter("abs(hash(read_id)) % 10 = 0")
+    kept = prefilter.may_match(tables.context, some, cpg.READ_KEYS, some.count())
+    linked = tables.context.join(some, cpg.READ_KEYS, "left_semi").count()
+    assert linked <= kept.count() <= linked + 0.2 * tables.context.count()
+    with_bitmap, without = cpg.link_alleles(kept, some), cpg.link_alleles(tables.context, some)
+    assert with_bitmap.exceptAll(without).isEmpty() and without.exceptAll(with_bitmap).isEmpty()
+
+
+def test_settings_of_the_session_come_back(tables):
+    spark, name = tables.spark, "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        asm.call_asm(tables.strand("OB"), tables.strand("OT"), tables.raw("sam_raw"), tables.raw("vcf_raw"), tables.exclusion)
+        assert spark.conf.get(name) == "false"
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_one_more_sample_gives_the_rows_of_a_full_run(tables, tmp_path):
+    name = f"samples-asm-{tmp_path.parent.name}"
+    inputs = (tables.strand("OB"), tables.strand("OT"), tables.raw("sam_raw"), tables.raw("vcf_raw"), tables.exclusion)
+    first = asm.call_samples(["s1"], *inputs, name=name).collect()
+    both, jobs = jobs_of(tables.spark, lambda: asm.call_samples(["s1", "s2"], *inputs, name=name))
+    again, fewer = jobs_of(tables.spark, lambda: asm.call_samples(["s1", "s2"], *inputs, name=name))
+    full = asm.call_asm(*inputs)
+    assert {r.sample_id for r in first} == {"s1"}
+    for run in (both, again):
+        assert sorted(map(str, run.collect())) == sorted(map(str, full.collect()))
+    assert fewer < jobs
+
+
+def test_raw_variants_are_capped_in_the_chain(tables):
+    params = AsmParams(variants="raw.vcf", max_snp_depth=catalog.SHALLOW_DEPTH)
+    capped = asm.genotype_reads(tables.raw("sam_raw"), tables.raw("vcf_raw"), params).select("sample_id", "snp_id", "pos").distinct()
+    shallow = catalog.queries()["variant_depth_cap"](tables.spark, SF)
+    every = asm.genotype_reads(tables.raw("sam_raw"), tables.raw("vcf_raw"), AsmParams()).select("sample_id", "snp_id", "pos").distinct()
+    assert capped.join(shallow, ["sample_id", "snp_id", "pos"], "left_anti").isEmpty()
+    assert capped.count() == every.join(shallow, ["sample_id", "snp_id", "pos"], "left_semi").count()

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from strandfold.operators import skew
+from strandfold.operators import prefilter, skew
 from strandfold.operators.intervals import point_interval_join
 
 
@@ -35,11 +35,53 @@ def test_split_join_keeps_every_row(spark, left, how):
     assert sorted(split.collect()) == sorted(plain.collect())
 
 
-def test_split_rows_spread_over_tasks(spark, left):
-    (hot,) = skew.find_hot_keys(left, ["g", "k"], rows_per_split=300)
-    splits = hot.splits_of([F.col("g"), F.col("k")])
-    used = left.filter("k = 7").select(F.pmod(F.spark_partition_id(), splits).alias("s")).distinct()
-    assert used.count() == 6
+def test_split_rows_spread_over_tasks(spark):
+    """Hot rows in every second partition only, as position-sorted input has them, and all alike."""
+    left = spark.range(6000, numPartitions=12).select(
+        F.when(F.spark_partition_id() % 2 == 0, 7).otherwise(F.col("id") % 50).alias("k"), F.lit("a").alias("g"), (F.col("id") % 40).alias("v"))
+    (hot,) = skew.find_hot_keys(left, ["g", "k"], rows_per_split=600)
+    assert list(hot.splits.values()) == [6]
+    right = spark.createDataFrame([("a", 7)], "g string, k bigint")
+    salted = skew.split_join(left, right, ["g", "k"], "left_semi", hot)._jdf.queryExecution().optimizedPlan().toString()
+    assert skew.SALT in salted
+    rows = left.filter("k = 7").withColumn("s", F.pmod(F.xxhash64(F.spark_partition_id(), "v"), F.lit(6))).groupBy("s").count().collect()
+    assert len(rows) == 6 and max(r["count"] for r in rows) < 900
+
+
+def test_keys_are_watched_while_a_table_is_written(spark, left):
+    df, observation = skew.watched(left, {"by_key": ["g", "k"], "by_value": ["v"]})
+    df.write.format("noop").mode("overwrite").save()
+    sketches = skew.gathered(observation)
+    assert skew.hot_keys(spark, [sketches["by_key"]], 500) == skew.find_hot_keys(left, ["g", "k"], rows_per_split=500)[0]
+    twice = skew.hot_keys(spark, [sketches["by_key"]] * 2, 500)
+    assert list(twice.splits.values()) == [9] and len(skew.hot_keys(spark, [sketches["by_value"]], 500).splits) == 4
+    assert not skew.hot_keys(spark, [], 1) and not skew.hot_keys(spark, [sketches["by_key"]])
+
+
+def test_an_empty_table_has_no_sketch(spark, left):
+    df, observation = skew.watched(left.filter("false"), {"by_key": ["g", "k"]})
+    df.write.format("noop").mode("overwrite").save()
+    found = skew.gathered(observation)
+    assert not skew.hot_keys(spark, list(found.values()), 1)
+
+
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 22])
+def test_bitmap_never_drops_a_match(spark, monkeypatch, bits):
+    monkeypatch.setattr(prefilter, "bits_for", lambda keys: bits)
+    keyed = spark.range(0, 3000, 3).select(F.lit("s").alias("a"), F.col("id").cast("string").alias("b"))
+    rows = spark.range(60_000).select(F.lit("s").alias("a"), F.col("id").cast("string").alias("b"), F.lit(1).alias("v"))
+    rows = rows.union(spark.createDataFrame([("s", None, 1), (None, "3", 1)], rows.schema))
+    kept = prefilter.may_match(rows, keyed, ["a", "b"], 1000)
+    assert kept.columns == rows.columns and kept.join(keyed, ["a", "b"], "left_semi").count() == 1000
+    assert kept.count() <= (4500 if bits == 1 << 15 else 1030)
+    assert prefilter.may_match(rows, keyed.limit(0), ["a", "b"], 0).count() == 0
+
+
+def test_bitmap_is_bounded(spark):
+    assert prefilter.bits_for(1) == prefilter.MIN_BITS and prefilter.bits_for(1 << 26) == prefilter.MAX_BITS
+    assert prefilter.bits_for((1 << 26) + 1) == 0
+    rows = spark.range(10)
+    assert prefilter.may_match(rows, rows, ["id"], 1 << 40) is rows
 
 
 def test_a_thousand_hot_keys_are_all_split(spark):

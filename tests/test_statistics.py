@@ -1,5 +1,6 @@
 """Fisher, rank test and correction against plain loops, and their properties."""
 
+import itertools
 import math
 import random
 from itertools import product
@@ -7,7 +8,7 @@ from itertools import product
 import pytest
 from pyspark.sql import functions as F
 
-from strandfold.functions.statistics import two_sided_normal
+from strandfold.functions.statistics import rank_sum_ways, two_sided_normal, ways_in_all
 from strandfold.operators.cpg import fisher_exact
 from strandfold.operators.region import FRACTION_SCALE
 from strandfold.operators.significance import benjamini_hochberg, region_tests
@@ -112,6 +113,51 @@ def test_rank_test_matches_loop(spark):
     assert out[("s1", "mean")].wilcoxon_pvalue < 1.0
 
 
+def exact_by_enumeration(ref, alt):
+    """Two-sided p over all ways to pick the ranks of one sample."""
+    both = sorted(ref + alt)
+    n1, n2 = len(ref), len(alt)
+    u = sum(both.index(v) + 1 for v in ref) - n1 * (n1 + 1) // 2
+    u = min(u, n1 * n2 - u)
+    all_u = [sum(c) + n1 - n1 * (n1 + 1) // 2 for c in itertools.combinations(range(n1 + n2), n1)]
+    return min(1.0, 2 * sum(x <= u for x in all_u) / len(all_u))
+
+
+def test_exact_rank_test_equals_enumeration(spark):
+    rng, groups = random.Random(6), {}
+    for n1 in range(1, 9):
+        for n2 in range(1, 9):
+            values = rng.sample(range(100_001), n1 + n2)
+            groups[("s", f"{n1}x{n2}")] = ([v / FRACTION_SCALE for v in values[:n1]], [v / FRACTION_SCALE for v in values[n1:]])
+    groups[("s", "apart")] = ([i / 100 for i in range(8)], [0.5 + i / 100 for i in range(8)])
+    groups[("s", "tied")] = ([0.1, 0.2], [0.2, 0.3])
+    counts = fraction_counts(spark, groups)
+    for method in ("exact", "auto"):
+        out = {r.snp_id: r.wilcoxon_pvalue for r in region_tests(counts, method).collect()}
+        for (_, snp), (ref, alt) in groups.items():
+            want = rank_test_by_loop(ref, alt) if snp == "tied" else exact_by_enumeration(ref, alt)
+            assert out[snp] == pytest.approx(want, abs=6e-6), (method, snp)
+    default = {r.snp_id: r.wilcoxon_pvalue for r in region_tests(counts).collect()}
+    assert default["8x8"] == pytest.approx(rank_test_by_loop(*groups["s", "8x8"]), abs=6e-6)
+
+
+def test_exact_rank_test_of_larger_samples(spark):
+    """Sizes beyond "auto" and beyond the exact limit; counted ways add up to all ways."""
+    rng = random.Random(7)
+    groups = {}
+    for n1, n2 in ((9, 20), (40, 51), (60, 60)):
+        values = rng.sample(range(100_001), n1 + n2)
+        groups["s", f"{n1}x{n2}"] = ([v / FRACTION_SCALE for v in values[:n1]], [v / FRACTION_SCALE for v in values[n1:]])
+    counts = fraction_counts(spark, groups)
+    plain, auto, exact = ({r.snp_id: r.wilcoxon_pvalue for r in region_tests(counts, m).collect()} for m in ("asymptotic", "auto", "exact"))
+    assert plain == auto and plain["60x60"] == exact["60x60"] and plain["9x20"] != exact["9x20"]
+    assert all(abs(plain[k] - exact[k]) < 0.02 for k in plain)
+    sizes = spark.createDataFrame([(n1, n2) for n1 in range(1, 13) for n2 in (n1, n1 + 1, 30)] + [(45, 45), (1, 2048)], "a int, b int")
+    for r in sizes.select("a", "b", rank_sum_ways(F.col("a"), F.col("b")).alias("ways"), ways_in_all(F.col("a"), F.col("b")).alias("all")).collect():
+        middle = r.ways[-1] if r.a * r.b % 2 == 0 else 0  # counted from both ends
+        assert 2 * sum(r.ways) - middle == math.comb(r.a + r.b, r.a) and r["all"] == pytest.approx(math.comb(r.a + r.b, r.a))
+
+
 def test_rank_test_is_symmetric(spark):
     ref, alt = [0.0, 0.2, 0.2, 0.9], [0.2, 0.5, 1.0]
     out = {r.snp_id: r for r in region_tests(fraction_counts(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -81,10 +82,13 @@ def hot_keys(spark: SparkSession, sketches: Sequence[str], rows_per_split: int =
     """The frequent keys of the tables, or parts of one, that the sketches were taken of."""
     if not sketches:
         return HotKeys()
-    # Combined, a sketch keeps its counters; a key that is frequent overall is so in some part.
-    found = spark.sql(
-        f"""SELECT approx_top_k_estimate(approx_top_k_combine(from_json(s, '{SKETCH_DDL}'), {MAX_ITEMS}), {MAX_HOT_KEYS}) AS top
-        FROM (SELECT explode(:sketches) AS s)""", args={"sketches": F.array(*[F.lit(s) for s in sketches])}).first()
+    if len(sketches) == 1:  # worked out while the query is planned
+        number = min(json.loads(sketches[0])["maxItemsTracked"], MAX_HOT_KEYS)
+        top = f"approx_top_k_estimate(from_json(s, '{SKETCH_DDL}'), {number})"
+    else:  # combined, a sketch keeps its counters; a key that is frequent overall is so in some part
+        top = f"approx_top_k_estimate(approx_top_k_combine(from_json(s, '{SKETCH_DDL}'), {MAX_ITEMS}), {MAX_HOT_KEYS})"
+    values = ", ".join(f"(:s{i})" for i in range(len(sketches)))
+    found = spark.sql(f"SELECT {top} AS top FROM VALUES {values} AS t(s)", args={f"s{i}": s for i, s in enumerate(sketches)}).first()
     return _split_hot(found.top, rows_per_split)
 
 

@@ -105,7 +105,7 @@ def exclusion_set(params: AsmParams, common: DataFrame | None = None, raw: DataF
 
 def warn_of_apart_names(sites: DataFrame, exclusion: DataFrame) -> bool:
     """Whether no chromosome name of the exclusion set occurs among the CpGs, so that nothing is excluded; warns then."""
-    apart = not exclusion.isEmpty() and chromosome_overlap(sites, exclusion).isEmpty()
+    apart = chromosome_overlap(sites, exclusion).isEmpty() and not exclusion.isEmpty() and not sites.isEmpty()
     if apart:
         warnings.warn("the exclusion SNPs and the CpGs have no chromosome name in common: no CpG is excluded", stacklevel=2)
     return apart

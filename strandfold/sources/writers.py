@@ -141,14 +141,29 @@ class Stages:
         return self._marked(stage) is not None
 
     def _marked(self, stage: str) -> str | None:
-        if not self._exists(self.path(stage) + ".finished"):
-            return None
-        row = self.spark.read.schema("mark string").parquet(self.path(stage) + ".finished").first()
-        return row and row.mark
-
-    def _mark(self, stage: str, *marks: str) -> None:
-        rows = self.spark.range(len(marks)).select(F.lit(marks[0] if marks else "").alias("mark"))
-        rows.write.mode("overwrite").parquet(self.path(stage) + ".finished")
+        return self._note(stage, "finished") or None
+
+    def _mark(self, stage: str, mark: str = "") -> None:
+        self._put_note(stage, "finished", mark)
+
+    def _note(self, stage: str, kind: str) -> str:
+        """A small text beside a stage's table; empty if there is none."""
+        system, where = self._path(f"{self.path(stage)}.{kind}")
+        if not system.exists(where):
+            return ""
+        stream = system.open(where)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def _put_note(self, stage: str, kind: str, text: str) -> None:
+        system, where = self._path(f"{self.path(stage)}.{kind}")
+        stream = system.create(where, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
 
     def watch(self, stage: str, df: DataFrame, **key_sets: Sequence[str]) -> DataFrame:
         """The table, with sketches of its frequent keys taken while ``stage`` is written from it."""
@@ -158,16 +173,13 @@ class Stages:
 
     def hot_keys(self, stage: str, name: str) -> skew.HotKeys:
         """The frequent keys of a key set that was watched while the stage was written."""
-        if not self._exists(self.path(stage) + ".sketches"):  # nothing was watched
-            return skew.HotKeys()
-        rows = self.spark.read.schema("name string, sketch string").parquet(self.path(stage) + ".sketches")
-        return skew.hot_keys(self.spark, [r.sketch for r in rows.filter(F.col("name") == name).collect()])
+        kept = json.loads(self._note(stage, "sketches") or "[]")
+        return skew.hot_keys(self.spark, [sketch for key_set, sketch in kept if key_set == name])
 
-    def _keep_sketches(self, stage: str) -> None:
+    def _keep_sketches(self, stage: str, others: Sequence[tuple[str, str]] = ()) -> None:
         found = [(name, sketch) for o in self._watched.pop(stage, []) for name, sketch in skew.gathered(o).items()]
         if found:
-            rows = self.spark.createDataFrame(found, "name string, sketch string").coalesce(1)
-            rows.write.mode("overwrite").parquet(self.path(stage) + ".sketches")
+            self._put_note(stage, "sketches", json.dumps([*others, *found]))
 
     def write(self, stage: str, build: Callable[[], DataFrame],
               watch: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
@@ -215,10 +227,8 @@ class SampleStages(Stages):
 
     def pending(self, stage: str) -> list[str]:
         """Samples whose part of the stage is missing or was made otherwise."""
-        there = self._exists(self.path(stage) + ".samples")
-        rows = self.spark.read.schema("sample string, mark string").parquet(self.path(stage) + ".samples").collect() if there else []
-        marks = {(r["sample"], r["mark"]) for r in rows}
-        return [s for s in self.keys if (s, self._fingerprint_of(stage, s)) not in marks]
+        marks = json.loads(self._note(stage, "samples") or "{}")
+        return [s for s in self.keys if marks.get(s) != self._fingerprint_of(stage, s)]
 
     def finished(self, stage: str) -> bool:
         return not self.pending(stage)
@@ -238,7 +248,8 @@ class SampleStages(Stages):
             own = F.left(F.sha2(F.col("sample_id"), 256), F.lit(32))
             df.withColumn(SAMPLE_FOLDER, own).write.partitionBy(SAMPLE_FOLDER).mode("overwrite").option(
                 "partitionOverwriteMode", "dynamic").parquet(self.path(stage))
-            self._keep_sketches(stage)
+            # Of the samples built now; those of the others are there.
+            self._keep_sketches(stage, json.loads(self._note(stage, "sketches") or "[]"))
             self._mark_samples(stage, {s: self._fingerprint_of(stage, s) for s in self.keys}, df.schema)
         else:
             self._watched.pop(stage, None)
@@ -246,22 +257,18 @@ class SampleStages(Stages):
         return self.read(stage)
 
     def read(self, stage: str) -> DataFrame:
-        schema = T.StructType.fromJson(json.loads(self.spark.read.text(self.path(stage) + ".schema").first().value))
+        schema = T.StructType.fromJson(json.loads(self._note(stage, "schema")))
         there = [f for f in (self._folder(stage, s) for s in self.keys) if self._exists(f)]
         if not there:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*there)
 
-    def _keep_sketches(self, stage: str) -> None:
-        found = [(name, sketch) for o in self._watched.pop(stage, []) for name, sketch in skew.gathered(o).items()]
-        if found:  # of the samples built now; those of the others are there
-            rows = self.spark.createDataFrame(found, "name string, sketch string").coalesce(1)
-            rows.write.mode("append").parquet(self.path(stage) + ".sketches")
-
     def _mark_samples(self, stage: str, marks: Mapping[str, str], schema: T.StructType) -> None:
-        rows = self.spark.createDataFrame(list(marks.items()), "sample string, mark string").coalesce(1)
-        rows.write.mode("overwrite").parquet(self.path(stage) + ".samples")
-        self.spark.range(1).select(F.lit(schema.json()).alias("value")).write.mode("overwrite").text(self.path(stage) + ".schema")
+        """Replaces the marks of the samples asked for; those of others stay."""
+        there = json.loads(self._note(stage, "samples") or "{}")
+        there = {s: mark for s, mark in there.items() if s not in self.keys}
+        self._put_note(stage, "samples", json.dumps({**there, **marks}))
+        self._put_note(stage, "schema", schema.json())
 
     def _remove(self, folder: str) -> None:
         system, where = self._path(folder)

@@ -70,7 +70,7 @@ def test_bitmap_never_drops_a_match(spark, monkeypatch, bits):
     monkeypatch.setattr(prefilter, "bits_for", lambda keys: bits)
     keyed = spark.range(0, 3000, 3).select(F.lit("s").alias("a"), F.col("id").cast("string").alias("b"))
     rows = spark.range(60_000).select(F.lit("s").alias("a"), F.col("id").cast("string").alias("b"), F.lit(1).alias("v"))
-    rows = rows.union(spark.createDataFrame([("s", None, 1), (None, "3", 1)], rows.schema))
+    rows = rows.union(spark.createDataFrame([("s", None, 1), (None, "3", 1)], "a string, b string, v int"))
     kept = prefilter.may_match(rows, keyed, ["a", "b"], 1000)
     assert kept.columns == rows.columns and kept.join(keyed, ["a", "b"], "left_semi").count() == 1000
     assert kept.count() <= (4500 if bits == 1 << 15 else 1030)

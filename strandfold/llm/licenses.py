@@ -164,6 +164,106 @@ STATEMENTS = (
     ("internal-only", "for internal use only", "internal", 1),
 )
 
+#: Clauses that licenses are told by when they are not named: label, regular expression, keyword, priority. Fixed values,
+#: written by hand from the published license texts.
+CLAUSES = (
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions", "substantial", 3),
+    ("mit", "to deal in the software without restriction including without limitation the rights to use copy modify merge", "restriction", 3),
+    ("mit", "the software is provided as is without warranty of any kind express or implied", "warranty", 2),
+    ("mit-modern", "this permission notice including the next paragraph shall be included in all copies", "paragraph", 3),
+    ("mit-advertising", "all advertising materials mentioning features or use of this software must display", "advertising", 2),
+    ("bsd-2-clause", "redistributions of source code must retain the above copyright notice this list of conditions", "redistributions", 2),
+    ("bsd-2-clause", "redistributions in binary form must reproduce the above copyright notice", "redistributions", 2),
+    ("bsd-3-clause", "the names? of (?:the )?(?:author|contributors|copyright holders?|[a-z]+) may not be used to endorse or promote products", "endorse", 3),
+    ("bsd-3-clause", "to endorse or promote products derived from this software without specific prior written permission", "endorse", 3),
+    ("bsd-4-clause", "this product includes software developed by", "product", 2),
+    ("bsd-source-code", "redistributions of source code must retain the copyright notice above verbatim", "verbatim", 3),
+    ("bsd-patent", "subject to the terms and conditions of this license each copyright holder and contributor hereby grants to those receiving rights", "holder", 3),
+    ("isc", "provided that the above copyright notice and this permission notice appear in all copies", "appear", 3),
+    ("0bsd", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted the software", "fee", 4),
+    ("apache-2.0", "you may not use this file except in compliance with the license", "compliance", 2),
+    ("apache-2.0", "you may obtain a copy of the license at(?: http| https)? www apache org", "obtain", 4),
+    ("apache-2.0", "unless required by applicable law or agreed to in writing software distributed under the license", "applicable", 3),
+    ("apache-2.0", "licensed to the apache software foundation asf under one or more contributor license agreements", "asf", 4),
+    ("apache-1.1", "the end user documentation included with the redistribution if any must include the following acknowledgment", "acknowledgment", 3),
+    ("gpl", "this program is free software you can redistribute it and or modify", "redistribute", 2),
+    ("gpl", "without even the implied warranty of merchantability or fitness for a particular purpose see the gnu", "merchantability", 2),
+    ("gpl", "you should have received a copy of the gnu general public license", "received", 3),
+    ("gpl", "free software foundation inc 51 franklin (?:st|street) fifth floor", "franklin", 2),
+    ("gpl", "free software foundation inc 59 temple place", "temple", 2),
+    ("gpl", "the licenses for most software are designed to take away your freedom to share and change it", "freedom", 3),
+    ("gpl-3.0", "the gnu general public license is a free copyleft license for software and other kinds of works", "copyleft", 4),
+    ("gpl-3.0", "install modified versions of the software inside them", "install", 2),
+    ("lgpl", "you should have received a copy of the gnu (?:lesser|library) general public license", "received", 4),
+    ("lgpl", "this library is free software you can redistribute it and or modify", "library", 3),
+    ("lgpl", "work that uses the library", "library", 2),
+    ("agpl-3.0", "you should have received a copy of the gnu affero general public license", "affero", 4),
+    ("agpl-3.0", "interacting with it remotely through a computer network", "remotely", 3),
+    ("gpl-classpath-exception", "as a special exception the copyright holders of this library give you permission to link", "exception", 3),
+    ("gpl-font-exception", "if you create a document which uses this font and embed this font", "font", 3),
+    ("gpl-linking-exception", "as a special exception you may use this file as part of a free software library without restriction", "exception", 3),
+    ("gcc-exception-3.1", "gcc runtime library exception", "gcc", 4),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu", "document", 3),
+    ("gfdl", "with no invariant sections(?: with)? no front cover texts", "invariant", 3),
+    ("mpl-1.1", "the contents of this file are subject to the mozilla public license", "contents", 3),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license", "form", 4),
+    ("mpl-2.0", "incompatible with secondary licenses", "secondary", 3),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse", "accompanying", 4),
+    ("cddl", "the contents of this file are subject to the terms of the common development and distribution license", "contents", 4),
+    ("artistic", "the intent of this document is to state the conditions under which a package may be copied", "intent", 3),
+    ("artistic-2.0", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed this license establishes", "establishes", 4),
+    ("bsl-1.0", "boost software license version 1 0 august 17th 2003", "boost", 5),
+    ("zlib", "the origin of this software must not be misrepresented", "misrepresented", 3),
+    ("zlib", "altered source versions must be plainly marked as such", "altered", 3),
+    ("zlib", "this notice may not be removed or altered from any source distribution", "altered", 3),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered", 4),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software", "anyone", 3),
+    ("wtfpl", "you just do what the fuck you want to", "fuck", 4),
+    ("beerware", "if we meet some day and you think this stuff is worth it you can buy me a beer", "beer", 4),
+    ("json", "the software shall be used for good not evil", "evil", 4),
+    ("ofl-1.1", "the fonts and derivatives however cannot be released under any other type of license", "derivatives", 3),
+    ("ofl-1.1", "reserved font name", "font", 2),
+    ("ncsa", "neither the names of name of development group", "neither", 3),
+    ("postgresql", "in no event shall the university of california be liable to any party for direct indirect", "california", 2),
+    ("bsd", "the regents of the university of california", "regents", 2),
+    ("psf-2.0", "psf hereby grants licensee a nonexclusive royalty free world wide license", "licensee", 4),
+    ("php", "products derived from this software may not be called php", "php", 4),
+    ("openssl", "this product includes software developed by the openssl project", "openssl", 4),
+    ("ssleay", "this product includes cryptographic software written by eric young", "cryptographic", 4),
+    ("ijg", "this software is based in part on the work of the independent jpeg group", "jpeg", 4),
+    ("libtiff", "permission to use copy modify distribute and sell this software and its documentation for any purpose", "documentation", 2),
+    ("x11", "except as contained in this notice the name of the x consortium shall not be used in advertising", "consortium", 4),
+    ("curl", "except as contained in this notice the name of a copyright holder shall not be used in advertising", "advertising", 3),
+    ("w3c", "permission to copy modify and distribute this work with or without modification for any purpose and without fee", "work", 2),
+    ("ms-pl", "if you use the software you accept this license if you do not accept the license do not use the software", "accept", 3),
+    ("sspl-1.0", "offering the program as a service", "service", 2),
+    ("busl-1.1", "the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use", "production", 4),
+    ("busl-1.1", "change date", "change", 1),
+    ("elastic-2.0", "you may not provide the software to third parties as a hosted or managed service", "hosted", 3),
+    ("commons-clause", "the license does not grant to you the right to sell the software", "sell", 3),
+    ("commons-clause", "commons clause", "clause", 3),
+    ("polyform", "polyform (?:noncommercial|shield|small business|internal use|perimeter)(?: license)?", "polyform", 4),
+    ("cc-by", "you must give appropriate credit provide a link to the license and indicate if changes were made", "credit", 3),
+    ("cc-by-sa", "if you remix transform or build upon the material you must distribute your contributions under the same license", "remix", 3),
+    ("cc-by-nc", "you may not use the material for commercial purposes", "commercial", 3),
+    ("cc-by-nd", "if you remix transform or build upon the material you may not distribute the modified material", "remix", 3),
+    ("cc0", "to the extent possible under law .{1,60} has waived all copyright and related or neighboring rights", "waived", 4),
+    ("public-domain", "no copyright is claimed", "claimed", 2),
+    ("public-domain", "this work is not subject to copyright", "subject", 2),
+    ("us-government", "work of the (?:united states|u s) government", "government", 2),
+    ("ogl-uk", "contains public sector information licensed under the open government", "sector", 4),
+    ("openrail", "use based restrictions", "restrictions", 2),
+    ("llama", "community license agreement", "agreement", 1),
+    ("research-only", "for (?:academic|non profit|research|educational)(?: and (?:academic|non profit|research|educational))* (?:use|purposes) only", "only", 1),
+    ("no-redistribution", "may not be (?:reproduced|republished|redistributed|copied)(?: in any form)? without (?:the )?(?:prior |express )?(?:written )?permission", "permission", 1),
+    ("no-redistribution", "no part of this (?:publication|book|document|work|site) may be reproduced", "reproduced", 1),
+    ("confidential", "this (?:document|file|information|message) (?:is|contains) (?:strictly )?confidential", "confidential", 1),
+    ("trade-secret", "trade secrets? (?:of|and confidential)", "trade", 1),
+    ("evaluation-only", "for evaluation purposes only", "evaluation", 1),
+    ("personal-use", "for (?:your )?personal use only", "personal", 1),
+    ("eula", "end user licen[cs]e agreement", "agreement", 1),
+)
+
 #: Words too common to gate a rule by, if its name has any other.
 COMMON = ("license", "public", "version", "software", "open", "source", "common", "general")
 
@@ -176,9 +276,10 @@ RULE_TYPE = T.StructType([
 def rules() -> list[tuple[str, str, str, int]]:
     """(label, regular expression, keyword, priority), the most telling first.
 
-    Each named license gives three: its bare name, a grant under it, and an SPDX tag.
+    Statements and clauses are rules as they stand. Each named license gives three: its bare name, a grant under
+    it, and an SPDX tag.
     """
-    found = list(STATEMENTS)
+    found = [*STATEMENTS, *CLAUSES]
     for label, name in NAMED:
         sure = [w for w in re.sub(r"\([^()]*\)\??", " ", name).split() if w.isalnum() and not w.isdigit()]
         keyword = max(sure or ["bsd"], key=lambda w: (w not in COMMON, len(w)))

@@ -33,6 +33,8 @@ FOUND = "format"
 #: What labelled values are made of at most, and how short they are at least; fixed values, as those of the kinds.
 VALUE, SHORTEST = "A-Za-z0-9+/_.=-", 12
 LONG_WORD = re.compile(f"[{VALUE}]{{{SHORTEST},}}")
+#: Marks that join the parts of a credential; candidates may have them whether or not a labelled value has.
+JOINTS = "_-"
 #: Characters that end a sentence or a word rather than begin or end a credential.
 EDGES = ".-"
 #: Distinct strings that each automaton learns from: those with the smallest hashes, whole ones of at most so many characters.
@@ -168,7 +170,7 @@ def _first(values: dict[str, int], sample: int) -> list[tuple[str, int]]:
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Grammar:
     """The grammar of the labelled credentials of the table's whole texts.
 
-    The alphabet and the least length are of all labelled values, each automaton is of the ``sample`` distinct strings with
+    The alphabet (with the JOINTS) and the least length are of all labelled values, each automaton is of the ``sample`` distinct strings with
     the smallest hashes. Ordinary words are long ones without digits outside the labelled spans: what has digits may be
     what is looked for. Tasks keep no more strings than the sample, so nothing unbounded is gathered.
     """
@@ -199,7 +201,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Grammar:
     gathered = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, "kind string, value string, hash long, least int")
     gathered = stored(gathered.groupBy("kind", "value", "hash").agg(F.min("least").alias("least")), "strings")
     letters = gathered.where("kind = 'alphabet'").collect()  # at most as many as VALUE has
-    alphabet, least = "".join(sorted(r.value for r in letters)), min((r.least for r in letters), default=SHORTEST)
+    alphabet, least = "".join(sorted({r.value for r in letters} | set(JOINTS if letters else ""))), min((r.least for r in letters), default=SHORTEST)
     automata = {}
     for kind in (*BASE, FOUND):
         strings = [r.value for r in gathered.where(F.col("kind") == kind).orderBy("hash", "value").limit(sample).collect()]

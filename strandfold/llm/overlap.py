@@ -27,11 +27,11 @@ from strandfold.llm.common import stored, text_key
 from strandfold.llm.graph import components
 
 #: Letters hashed at a time.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Texts hashed at a time, if they are short.
 ROWS = 256
 #: N-grams among which a task looks for repeated ones.
-GATHERED = 1 << 22
+GATHERED = 1 << 20
 #: Repeats from which an n-gram counts as common, more common, and so on.
 COMMON = tuple(4 ** k for k in range(2, 12))
 #: Fragments of the n-grams that are not common; each common class is a fragment of its own.

@@ -547,7 +547,7 @@ def test_every_candidate_is_scored(spark):
     grammar = credentials.learn(table)
     values = [v for _, t in rows for *_, v in credentials.spans(t or "")]
     assert grammar.least == min(map(len, values)) == 12
-    alphabet = set("".join(values))
+    alphabet = set("".join(values) + credentials.JOINTS)
     found = {r.doc_id: r.spans for r in credentials.find(table).collect()}
     for i, text in rows:
         taken = brute.secrets(text)

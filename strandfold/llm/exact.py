@@ -79,7 +79,8 @@ def chunk_hashes(docs: DataFrame, primes: tuple[int, int] = PRIMES) -> DataFrame
         return parts.withColumn("piece", F.col("piece").cast("binary"))
 
     huge = F.char_length("plain") > HUGE
-    dealt = cut(texts.where(huge)).repartition(F.col("text_key"), F.col("part"))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = cut(texts.where(huge)).repartition(tasks, "text_key", "part")
     hashes = "part int, hash_0 long, shift_0 long, hash_1 long, shift_1 long, n_bytes long"
     schema = f"doc_id long, text_key long, text_sha256 string, {hashes}"
     return cut(texts.where(~huge)).mapInPandas(run, schema).union(dealt.mapInPandas(run, schema))

@@ -122,16 +122,16 @@ OP9_SQL = """
 WITH t AS (
          SELECT conv_id, CAST(floor(turn / 64) AS BIGINT) AS part, turn, role,
                 replace(replace(coalesce(text, ''), '<|', '< |'), '|>', '| >') AS said FROM conversations),
-     c AS (SELECT *, row_number() OVER (PARTITION BY conv_id, part ORDER BY turn, role, said) - 1 AS at,
+     c AS (SELECT *, row_number() OVER (PARTITION BY conv_id, part ORDER BY turn, role, said) - 1 AS nth,
                   rank() OVER (PARTITION BY conv_id ORDER BY part) - 1 AS before FROM t),
-     p AS (SELECT *, CAST(at // 4096 AS BIGINT) AS piece, CAST(before + at // 4096 * 4096 AS BIGINT) AS start FROM c),
+     p AS (SELECT *, CAST(nth // 4096 AS BIGINT) AS piece, CAST(before + nth // 4096 * 4096 AS BIGINT) AS start FROM c),
      w AS (SELECT DISTINCT conv_id, role AS perspective FROM t),
      r AS (SELECT p.*, perspective, role = perspective AS own,
                   CASE WHEN role = perspective THEN '<|assistant|>' ELSE '<|user name=' || role || '|>' END || chr(10) AS head,
                   said || '<|end|>' || chr(10) AS tail FROM p JOIN w USING (conv_id)),
-     o AS (SELECT *, sum(length(head) + length(tail)) OVER (PARTITION BY conv_id, part, piece, perspective ORDER BY at) AS reached FROM r)
-SELECT conv_id, part, piece, start, perspective, count(*) AS n_turns, string_agg(head || tail, '' ORDER BY at) AS text,
-       coalesce(string_agg(CASE WHEN own THEN CAST(reached - length(tail) AS BIGINT) || ':' || CAST(reached AS BIGINT) END, ',' ORDER BY at), '') AS mask
+     o AS (SELECT *, sum(length(head) + length(tail)) OVER (PARTITION BY conv_id, part, piece, perspective ORDER BY nth) AS reached FROM r)
+SELECT conv_id, part, piece, start, perspective, count(*) AS n_turns, string_agg(head || tail, '' ORDER BY nth) AS text,
+       coalesce(string_agg(CASE WHEN own THEN CAST(reached - length(tail) AS BIGINT) || ':' || CAST(reached AS BIGINT) END, ',' ORDER BY nth), '') AS mask
 FROM o GROUP BY conv_id, part, piece, start, perspective
 """
 

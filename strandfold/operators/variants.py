@@ -77,10 +77,12 @@ def chromosome_overlap(left: DataFrame, right: DataFrame, left_chr: str = "chr",
 def multi_locus_ids(snps: DataFrame) -> DataFrame:
     """Ids that stand at more than one place, with how many and the first and last.
 
-    Genotypes and regions are keyed by the id alone, so the reads of such an id's places are blended.
+    Genotypes and regions are keyed by the id alone, so the reads of such an id's places are blended. Rows without a
+    chromosome or position are no place.
     """
     place = F.struct("chr", "pos")
-    return snps.select("sample_id", "snp_id", "chr", "pos").dropDuplicates().groupBy("sample_id", "snp_id").agg(
+    known = snps.filter(F.col("chr").isNotNull() & F.col("pos").isNotNull())
+    return known.select("sample_id", "snp_id", "chr", "pos").dropDuplicates().groupBy("sample_id", "snp_id").agg(
         F.count(F.lit(1)).alias("places"), F.min(place).alias("_first"), F.max(place).alias("_last")
     ).filter("places > 1").select(
         "sample_id", "snp_id", "places", F.col("_first.chr").alias("first_chr"), F.col("_first.pos").alias("first_pos"),

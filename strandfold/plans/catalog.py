@@ -312,6 +312,12 @@ def _asm_snp(t: Tables) -> DataFrame:
                         t.exclusion, PARAMS)
 
 
+def _untied(counts: DataFrame) -> DataFrame:
+    """Each fraction once, as that of the allele that shows it more often."""
+    ref = (F.col("n_ref") >= F.col("n_alt")).cast("bigint")
+    return counts.select(*region.SNP, "fraction", ref.alias("n_ref"), (1 - ref).alias("n_alt"))
+
+
 _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # sources
     "scan_cpg_context": _scan_context,
@@ -407,8 +413,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "asm_decision": lambda t: significance.asm_decision(
         significance.benjamini_hochberg(t.regions), PARAMS),
     "asm_snp_table": _asm_snp,
-    "exact_rank_test": lambda t: significance.mann_whitney(
-        t.fraction_counts.filter("n_ref + n_alt = 1"), "exact"),
+    "exact_rank_test": lambda t: significance.mann_whitney(_untied(t.fraction_counts), "exact"),
     "multi_locus_ids": lambda t: variants.multi_locus_ids(t.snps),
     "informative_reads": lambda t: genotype.tag_allele(genotype.informative_reads_only(
         genotype.snp_score_filter(t.bases, PARAMS.snp_score))),

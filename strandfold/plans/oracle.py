@@ -404,14 +404,15 @@ FINAL: dict[str, str] = {
         FROM (SELECT sample_id, snp_id, count(*) FILTER (allele = 'REF') AS n1, count(*) FILTER (allele = 'ALT') AS n2,
                 sum(nth) FILTER (allele = 'REF') AS r1
               FROM (SELECT *, row_number() OVER (PARTITION BY sample_id, snp_id ORDER BY fraction) AS nth
-                    FROM (SELECT * FROM coded QUALIFY count(*) OVER (PARTITION BY sample_id, snp_id, fraction) = 1) u) v
+                    FROM (SELECT sample_id, snp_id, fraction, CASE WHEN count(*) FILTER (allele = 'REF') >= count(*) FILTER (allele = 'ALT')
+                            THEN 'REF' ELSE 'ALT' END AS allele FROM coded GROUP BY sample_id, snp_id, fraction) u) v
               GROUP BY sample_id, snp_id) x
         JOIN rank_ways w ON w.r = n1 + n2 AND w.c = n1
         WHERE n1 > 0 AND n2 > 0 GROUP BY sample_id, snp_id""",
     "multi_locus_ids": """
         SELECT sample_id, snp_id, count(*) AS places, min({'c': chr, 'p': pos}).c AS first_chr, min({'c': chr, 'p': pos}).p AS first_pos,
           max({'c': chr, 'p': pos}).c AS last_chr, max({'c': chr, 'p': pos}).p AS last_pos
-        FROM (SELECT DISTINCT sample_id, snp_id, chr, pos FROM clean_vcf) v GROUP BY sample_id, snp_id HAVING count(*) > 1""",
+        FROM (SELECT DISTINCT sample_id, snp_id, chr, pos FROM clean_vcf WHERE pos IS NOT NULL) v GROUP BY sample_id, snp_id HAVING count(*) > 1""",
     "informative_reads": f"""
         SELECT * FROM (SELECT sample_id, snp_id, chr, pos, read_id,
             CASE WHEN {_allele('ref')} THEN 'REF' WHEN {_allele('alt')} THEN 'ALT' ELSE 'bad' END AS allele

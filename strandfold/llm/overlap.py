@@ -36,8 +36,9 @@ GATHERED = 1 << 20
 COMMON = tuple(4 ** k for k in range(2, 12))
 #: Fragments of the n-grams that are not common; each common class is a fragment of its own.
 FRAGMENTS = 8
-#: Centres of each n-gram in the rounds after the first, which has one; what is left then is compared with all.
-CENTRES = (32,)
+#: Centres of each n-gram in the rounds after the first, which has one; what is left then is compared with all. Few at first: a
+#: group not much larger than their number would be compared in full.
+CENTRES = (4, 32)
 
 BLANK = np.zeros(256, dtype=bool)
 BLANK[[32, *range(9, 14)]] = True

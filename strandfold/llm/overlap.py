@@ -282,7 +282,11 @@ def links(docs: DataFrame, rows: DataFrame, order: Order, shingle: int, percent:
     entered = entries(firsts, percent)
     # The first centre of each n-gram comes out of the aggregate that finds the n-grams with several documents.
     centre = F.min(F.struct("turn", "node", "n", "place")).alias("c")
-    met = entered.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), centre).where("rows > 1")
+    members = [F.bit_xor(F.xxhash64("node", F.lit(seed))).alias(f"x{seed}") for seed in (1, 2)]
+    met = entered.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), centre, *members).where("rows > 1")
+    # Of n-grams with the same documents, told by two hashes, the first in the order stays: it comes first in each of them, and
+    # whatever a pair has in common before it is under another key. A passage is one key so, not one for each n-gram.
+    met = met.groupBy("rows", "x1", "x2").agg(F.min_by(F.struct("key", "c"), F.col("c.place")).alias("m")).select("rows", "m.key", "m.c")
     met = met.select("key", "rows", F.col("c.node").alias("a"), F.col("c.n").alias("n_a"), F.col("c.place").alias("place_a"))
     linkable = F.expr(_may_link(percent, "n_a", "place_a", "n", "place"))
     left = entered.join(met, "key").where("node <> a").withColumn("linkable", linkable).where("linkable or rows > 2")

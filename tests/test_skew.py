@@ -131,3 +131,12 @@ def test_interval_join_equals_brute_force(spark, base):
     want = sorted((s, c, a, b, p) for s, c, a, b in intervals for s2, c2, p in points
                   if (s, c) == (s2, c2) and p is not None and a <= p <= b)
     assert got == want
+
+
+def test_offered_points_are_never_gathered_for_a_broadcast(spark):
+    """Each point stands in fourteen bins, of which the size estimate knows nothing."""
+    intervals = spark.range(50).selectExpr("'s' AS sample_id", "id AS a", "id + 9 AS b")
+    points = spark.range(50).selectExpr("'s' AS sample_id", "id AS p")
+    joined = point_interval_join(intervals, points, ["sample_id"], "a", "b", "p")
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == sum(min(i + 9, 49) - i + 1 for i in range(50))

@@ -29,11 +29,13 @@ from strandfold.llm.bits import Filter, filter_of
 from strandfold.llm.common import stored
 
 #: Letters handled at a time: some 50 bytes of arrays each.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Fingerprints a task gathers before it hands them on.
-GATHERED = 1 << 20
+GATHERED = 1 << 19
 #: Phrases a task gathers before it hands them on.
-PHRASES = 1 << 18
+PHRASES = 1 << 16
+#: Bytes of text that a task cuts into blocks at a time.
+JOINED = 1 << 22
 #: Parts that a language's candidates are ranked in before the last ranking.
 PARTS = 64
 
@@ -138,9 +140,18 @@ def _cut(whole: bytes, end: int, at: int) -> int:
 
 def _by_language(pdf: pd.DataFrame, reach: int) -> Iterator[tuple[str, Words]]:
     for lang, part in pdf.groupby("lang", sort=True):
-        for words in blocks(list(part["data"]), lang, reach):
-            if len(words):
-                yield lang, words
+        texts = part["data"].to_numpy()
+        group = np.cumsum([len(t) for t in texts]) // JOINED
+        for lo, hi in zip(*(x.tolist() for x in _spans(group))):
+            for words in blocks(list(texts[lo:hi]), lang, reach):
+                if len(words):
+                    yield lang, words
+
+
+def _spans(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal values starts and ends."""
+    cuts = np.flatnonzero(np.diff(group)) + 1
+    return np.r_[0, cuts], np.r_[cuts, len(group)]
 
 
 def _texts(docs: DataFrame) -> DataFrame:

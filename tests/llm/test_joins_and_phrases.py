@@ -8,6 +8,7 @@ import re
 
 import brute
 import numpy as np
+import pandas as pd
 import pytest
 from brute import prose, texts
 
@@ -242,3 +243,17 @@ def test_score_is_exact_beyond_64_bits(spark):
     table = spark.createDataFrame(rows, "a long, n long, l long, r long, want long")
     found = collocations.scored_cuts(table)
     assert found.where("score <> want or score is null").count() == 0 and max(r[4] for r in rows) > 1000
+
+
+def test_texts_are_joined_a_bounded_size_at_a_time(monkeypatch):
+    """However large a batch is, a task holds one group of its texts joined; words and their n-grams are the same."""
+    texts = [b"a b c", b"", b"d" * 30, b"e f", b"g. h i", b"", b"j"] * 5
+    pdf = pd.DataFrame({"lang": ["en"] * len(texts), "data": texts})
+
+    def grams():
+        return sorted(int(k) for _, words in collocations._by_language(pdf, 4) for fits, keys in [words.grams(2)] for k in keys[fits & words.own(2)])
+
+    whole, sizes, plain = grams(), [], collocations.blocks
+    monkeypatch.setattr(collocations, "JOINED", 40)
+    monkeypatch.setattr(collocations, "blocks", lambda some, lang, reach: sizes.append(sum(map(len, some))) or plain(some, lang, reach))
+    assert grams() == whole and len(sizes) > 1 and max(sizes) <= 40 + max(map(len, texts))

@@ -14,11 +14,11 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandfold.llm.bits import Filter, filter_of, filters_of
@@ -39,6 +39,8 @@ FRAGMENTS = 8
 #: Centres of each n-gram in the rounds after the first, which has one; what is left then is compared with all. Few at first: a
 #: group not much larger than their number would be compared in full.
 CENTRES = (4, 32)
+#: Keys before an entry, of the same document, that are looked through for one where its pair is met already.
+EARLIER = 64
 
 BLANK = np.zeros(256, dtype=bool)
 BLANK[[32, *range(9, 14)]] = True
@@ -248,11 +250,12 @@ def stored_records(docs: DataFrame, order: Order, shingle: int, percent: int, fi
 
 
 def entries(firsts: DataFrame, percent: int) -> DataFrame:
-    """(key, node, n, place, turn): a document under each of its first n-grams and sizes that a partner may have.
+    """(key, node, n, place, turn, up): a document under each of its first n-grams and sizes that a partner may have.
 
     Sizes are cut into steps of the largest allowed ratio; a document is entered for its own step and the next, so
     that two of allowed sizes meet under the same key, for the next with the n-grams that can be the first in common with
-    a partner of at least the own step's size. turn says who is a centre first, the same for all n-grams, so that copies
+    a partner of at least the own step's size. up is 1 for the next step, 0 for the own: two documents that both stand there for the
+    next step are of one step and meet under its key as well, so only there need they be compared. turn says who is a centre first, the same for all n-grams, so that copies
     meet the same ones: the document with the fewest first n-grams of its own, as an original has among its copies.
     """
     ratio = 100 / percent * 1.0001
@@ -264,7 +267,7 @@ def entries(firsts: DataFrame, percent: int) -> DataFrame:
     each = firsts.select("node", F.col("n").cast("int").alias("n"), turn.alias("turn"), F.explode(F.arrays_zip("keys", "places")).alias("e"), step.alias("own"))
     each = each.select("node", "n", "turn", F.col("e.keys").alias("gram"), F.col("e.places").alias("place"), "own", F.explode(F.array(F.lit(0), F.lit(1))).alias("up"))
     each = each.where((F.col("up") == 0) | ((100 + percent) * (F.col("n") - F.col("place")) >= percent * (F.col("n") + least)))
-    return each.select(F.xxhash64("gram", F.col("own") + F.col("up")).alias("key"), "node", "n", "place", "turn")
+    return each.select(F.xxhash64("gram", F.col("own") + F.col("up")).alias("key"), "node", "n", "place", "turn", "up")
 
 
 def _rows_of(docs: DataFrame, wanted: DataFrame, order: Order, shingle: int) -> DataFrame:
@@ -282,8 +285,8 @@ def links(docs: DataFrame, rows: DataFrame, order: Order, shingle: int, percent:
     entered = entries(firsts, percent)
     # The first centre of each n-gram comes out of the aggregate that finds the n-grams with several documents.
     centre = F.min(F.struct("turn", "node", "n", "place")).alias("c")
-    members = [F.bit_xor(F.xxhash64("node", F.lit(seed))).alias(f"x{seed}") for seed in (1, 2)]
-    met = entered.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), centre, *members).where("rows > 1")
+    members = [F.bit_xor(F.xxhash64("node", "up", F.lit(seed))).alias(f"x{seed}") for seed in (1, 2)]
+    met = entered.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("up").alias("up"), centre, *members).where("rows > 1 and up = 0").drop("up")
     # Of n-grams with the same documents, told by two hashes, the first in the order stays: it comes first in each of them, and
     # whatever a pair has in common before it is under another key. A passage is one key so, not one for each n-gram.
     met = met.groupBy("rows", "x1", "x2").agg(F.min_by(F.struct("key", "c"), F.col("c.place")).alias("m")).select("rows", "m.key", "m.c")
@@ -292,7 +295,7 @@ def links(docs: DataFrame, rows: DataFrame, order: Order, shingle: int, percent:
     left = entered.join(met, "key").where("node <> a").withColumn("linkable", linkable).where("linkable or rows > 2")
     left = stored(left, "first")
     pairs = left.where("linkable").select("a", F.col("node").alias("b"), "n_a", F.col("n").alias("n_b")).distinct()
-    left, roots = left.where("rows > 2").select("key", "node", "n", "place", "turn"), None
+    left, roots = left.where("rows > 2").select("key", "node", "n", "place", "turn", "up"), None
     found = tested = have = pieces = None
     for centres in (*CENTRES, None, 0):
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
@@ -307,7 +310,7 @@ def links(docs: DataFrame, rows: DataFrame, order: Order, shingle: int, percent:
         # What is left: n-grams with documents that are neither linked nor all compared.
         roots = _centres_of(new) if found is None else components(found.union(new), "a", "b")
         rooted = left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        still = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+        still = _open_keys(rooted, members)
         rooted = stored(rooted.join(still, "key", "left_semi"), "open")
         if rooted.isEmpty():
             break
@@ -319,21 +322,38 @@ def links(docs: DataFrame, rows: DataFrame, order: Order, shingle: int, percent:
             ranked = rooted.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("turn", "node")))
             chosen = stored(ranked.where(F.col("nth") <= centres).drop("nth"), "centres")
             left = rooted.drop("root").join(chosen.select("key", "node"), ["key", "node"], "left_anti")
-        pairs = _candidates(chosen, rooted, percent)
+        pairs = _candidates(chosen, rooted, percent).distinct()
     return new if found is None else found.union(new)
 
 
+def _open_keys(rooted: DataFrame, members: Sequence[Column]) -> DataFrame:
+    """Keys with documents to compare that are not linked; of those with the same documents left, the first in the order.
+
+    Centres leave the keys round by round, so ever more keys of one crowd come to hold the same documents.
+    """
+    ends = [F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("up").alias("up"), F.count(F.lit(1)).alias("rows"), F.min(F.struct("node", "place")).alias("c")]
+    found = rooted.groupBy("key").agg(*ends, *members).where("lo <> hi and up = 0")
+    return found.groupBy("rows", "x1", "x2").agg(F.min_by("key", F.col("c.place")).alias("key")).select("key")
+
+
 def _centres_of(stars: DataFrame) -> DataFrame:
     """(node, root) as the first round's links have it: a centre's documents are together, whatever else links them."""
     return stars.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
 
 
 def _candidates(chosen: DataFrame, rooted: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, n_a, n_b) of a chosen document and one after it that it is not linked with, under a common key."""
+    """Pairs (a, b, n_a, n_b) of a chosen document and one after it that it is not linked with, under a common key.
+
+    Documents that share a passage have many keys in common: a pair is taken at the first, where it has the most room. Whoever
+    comes first of the two is chosen wherever the other is, so its chosen keys tell where the pair is met.
+    """
     later = "(a.turn < b.turn or a.turn = b.turn and a.node < b.node)"
     link = _may_link(percent, "a.n", "a.place", "b.n", "b.place")
-    met = chosen.alias("a").join(rooted.alias("b"), F.expr(f"a.key = b.key and a.root <> b.root and {later} and {link}"))
-    return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b")).distinct()
+    before = Window.partitionBy("node").orderBy("place", "up").rowsBetween(-EARLIER, -1)
+    one, other = (df.withColumn("earlier", F.collect_list("key").over(before)) for df in (chosen, rooted))
+    first = "a.up + b.up < 2 and not arrays_overlap(a.earlier, b.earlier)"
+    met = one.alias("a").join(other.alias("b"), F.expr(f"a.key = b.key and a.root <> b.root and {later} and {link} and {first}"))
+    return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b"))
 
 
 def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:

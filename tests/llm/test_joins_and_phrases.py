@@ -82,6 +82,28 @@ def test_similar_groups_of_many_copies(spark, monkeypatch, common, centres):
     assert by_row(got, "doc_id", "n_shingles", "component_id") == jaccard_groups(rows)
 
 
+@pytest.mark.parametrize("earlier", (2, 64))
+def test_a_pair_is_a_candidate_once(spark, monkeypatch, earlier):
+    """However many n-grams a crowd shares, its join makes a row a pair; with fewer keys looked through, more rows and the same groups."""
+    monkeypatch.setattr(overlap, "CENTRES", (2,))
+    monkeypatch.setattr(overlap, "EARLIER", earlier)
+    real, made = overlap._candidates, []
+
+    def counted(*args):
+        pairs = real(*args)
+        made.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(overlap, "_candidates", counted)
+    rng, rows, passage = random.Random(8), [], prose(700, 40).split(" ")
+    for i in range(30):  # from well below the similarity to above it, of sizes a step apart
+        own = prose(710 + i, rng.choice((4, 9, 25, 40))).split(" ")
+        rows.append((i, " ".join(passage[:rng.choice((36, 40))] + own)))
+    got = overlap.similar_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert by_row(got, "doc_id", "n_shingles", "component_id") == jaccard_groups(rows)
+    assert sum(n for _, n in made) and (earlier < 64 or all(rows == pairs for rows, pairs in made))
+
+
 def test_many_at_a_time_is_one_by_one(monkeypatch):
     monkeypatch.setattr(overlap, "BLOCK", 1 << 12)
     data = [(t or "").encode() for _, t in ROWS]

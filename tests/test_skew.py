@@ -140,3 +140,17 @@ def test_offered_points_are_never_gathered_for_a_broadcast(spark):
     joined = point_interval_join(intervals, points, ["sample_id"], "a", "b", "p")
     assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
     assert joined.count() == sum(min(i + 9, 49) - i + 1 for i in range(50))
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("splits", [None, 3])
+def test_a_side_that_grows_is_never_gathered_for_a_broadcast(spark, how, splits):
+    """However small its file looks: compressed, it tells little of the rows that the driver would hold."""
+    left, right = spark.range(60).selectExpr("id % 20 AS k", "id AS v"), spark.range(10).selectExpr("id AS k")
+    hot = skew.HotKeys()
+    if splits:
+        hot = skew.HotKeys({spark.range(7, 8).select(F.xxhash64("id")).first()[0]: splits})
+    joined, free = (skew.split_join(left, right, ["k"], how, hot, *strategy) for strategy in ((), (None,)))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan(joined) and "Broadcast" in plan(free)
+    assert joined.count() == free.count() == {"left": 60}.get(how, 30)

@@ -2,8 +2,10 @@
 
 import re
 import uuid
+from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from strandfold import schemas
 from strandfold.operators import context as ctx
@@ -161,3 +163,59 @@ def test_raw_variants_are_capped_in_the_chain(tables):
     every = asm.genotype_reads(tables.raw("sam_raw"), tables.raw("vcf_raw"), AsmParams()).select("sample_id", "snp_id", "pos").distinct()
     assert capped.join(shallow, ["sample_id", "snp_id", "pos"], "left_anti").isEmpty()
     assert capped.count() == every.join(shallow, ["sample_id", "snp_id", "pos"], "left_semi").count()
+
+
+def small_calls(spark):
+    """Calls of twelve reads of one SNP at four CpGs, as a table whose size the optimizer knows to be tiny."""
+    rows = ", ".join(
+        f"('s1', 'c1', {pos}L, {int(allele == 'ALT') if i % 3 else 1}, 1, 'rs1', 100L, '{allele}', '{allele}{i}')"
+        for pos in (80, 90, 110, 120) for allele in ("REF", "ALT") for i in range(6))
+    names = "sample_id, chr, pos, meth, cov, snp_id, snp_pos, allele, read_id"
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({names})")
+
+
+def test_usable_cpgs_are_not_met_by_a_broadcast(spark):
+    exclusion = spark.sql("SELECT 's1' AS sample_id, 'c1' AS chr_snp, 91L AS pos_snp")
+    usable = asm.usable_cpgs(small_calls(spark), exclusion, 12)
+    assert "Broadcast" not in plan_of(usable)
+    assert sorted(r.pos for r in usable.collect()) == [80, 110, 120]
+
+
+def test_allele_calls_broadcast_the_bitmap_only(spark):
+    calls = small_calls(spark)
+    genotypes = calls.select("sample_id", "snp_id", F.col("snp_pos").alias("pos"), "allele", "read_id").distinct()
+    usable = calls.select(*ctx.SITE).distinct().filter("pos < 120")
+    found = asm.allele_calls(calls.select("sample_id", "read_id", "chr", "pos", "meth", "cov"), genotypes, usable)
+    assert len(re.findall(r"\+- (?:\* )?BroadcastExchange", plan_of(found))) == 1
+    assert found.count() == 36
+
+
+def test_statistics_of_snps_broadcast_nothing(spark):
+    """Counts, summaries and effects grow with the SNPs; only tables of distinct p-values are bounded."""
+    calls = small_calls(spark)
+    cpgs = cpg.fisher_exact(cpg.cpg_genotype(calls))
+    summary = region.snp_summary(cpgs, 0.05)
+    counts = region.read_fraction_counts(region.read_methylation(calls))
+    tables = SimpleNamespace(fraction_counts=counts, summary=summary)
+    tagged = calls.select("sample_id", "snp_id", F.col("snp_pos").alias("pos"), "allele", "read_id")
+    made = {
+        "fisher": (cpgs, 4),
+        "region": (asm.region_table(calls, summary, cpgs), 1),
+        "effect": (catalog._QUERIES["attach_region_effect"](tables), 1),
+        "exact": (significance.mann_whitney(counts, "exact"), 1),
+        "agreed": (genotype.drop_conflicting_reads(tagged), 48),
+        "covered": (region.well_covered_cpg_reads(calls, cpgs), 48),
+    }
+    for name, (df, rows) in made.items():
+        assert "Broadcast" not in plan_of(df), name
+        assert df.count() == rows, name
+
+
+def test_reads_are_joined_back_without_a_broadcast(spark):
+    reads = spark.sql("""SELECT 's1' AS sample_id, 'c1' AS chr, concat('r', id) AS read_id, 'R1' AS r_strand, id AS read_start,
+        id + 9 AS read_end, '10M' AS cigar, 'A' AS seq, 'F' AS score_before_recal, true AS CT_strand, false AS GA_strand FROM range(20)""")
+    snps = spark.sql("""SELECT 's1' AS sample_id, 'c1' AS chr, 'rs1' AS snp_id, 15L AS pos, 'A' AS ref, 'C' AS alt,
+        true AS CT_strand, true AS GA_strand""")
+    joined = genotype.overlap_rejoin(reads, genotype.overlap_pairs(reads, snps))
+    assert "Broadcast" not in plan_of(joined)
+    assert joined.count() == 10

@@ -5,13 +5,15 @@ import math
 import random
 from itertools import product
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from strandfold.functions import statistics
 from strandfold.functions.statistics import rank_sum_ways, two_sided_normal, ways_in_all
 from strandfold.operators.cpg import fisher_exact
 from strandfold.operators.region import FRACTION_SCALE
-from strandfold.operators.significance import benjamini_hochberg, region_tests
+from strandfold.operators.significance import benjamini_hochberg, mann_whitney, region_tests
 from strandfold.operators.skew import HotKeys
 
 COUNT_DDL = ("sample_id string, chr string, pos bigint, snp_id string, snp_pos bigint, "
@@ -158,6 +160,51 @@ def test_exact_rank_test_of_larger_samples(spark):
         assert 2 * sum(r.ways) - middle == math.comb(r.a + r.b, r.a) and r["all"] == pytest.approx(math.comb(r.a + r.b, r.a))
 
 
+def exact_by_counting(n1, n2, u):
+    """Two-sided p by whole numbers: ways to pick n1 of the first ranks, by their sum, a rank at a time."""
+    ways = [{0: 1}] + [{} for _ in range(n1)]
+    for rank in range(1, n1 + n2 + 1):
+        for c in range(min(rank, n1), 0, -1):
+            for s, n in ways[c - 1].items():
+                ways[c][s + rank] = ways[c].get(s + rank, 0) + n
+    least, u = n1 * (n1 + 1) // 2, min(u, n1 * n2 - u)
+    return min(1.0, 2 * sum(n for s, n in ways[n1].items() if s - least <= u) / math.comb(n1 + n2, n1))
+
+
+def test_exact_rank_test_of_any_size(spark):
+    """No size is left to the approximation."""
+    rng, groups, want = random.Random(8), {}, {}
+    for n1, n2, shift in ((45, 46, 0), (60, 60, 0), (60, 60, 12), (3, 900, 0), (70, 75, 20)):
+        values = sorted(rng.sample(range(100_001), n1 + n2))
+        low = set(rng.sample(range(n1 + n2 - shift), n1))
+        ref, alt = [v for i, v in enumerate(values) if i in low], [v for i, v in enumerate(values) if i not in low]
+        groups["s", f"{n1}x{n2}+{shift}"] = ([v / FRACTION_SCALE for v in ref], [v / FRACTION_SCALE for v in alt])
+        want[f"{n1}x{n2}+{shift}"] = exact_by_counting(n1, n2, sum(low) + n1 - n1 * (n1 + 1) // 2)
+    out = {r.snp_id: r.wilcoxon_pvalue for r in mann_whitney(fraction_counts(spark, groups), "exact").collect()}
+    assert out == {k: pytest.approx(p, abs=5.1e-6) for k, p in want.items()}
+    auto = {r.snp_id: r.wilcoxon_pvalue for r in mann_whitney(fraction_counts(spark, groups), "auto").collect()}
+    plain = {r.snp_id: r.wilcoxon_pvalue for r in mann_whitney(fraction_counts(spark, groups)).collect()}
+    assert auto == plain | {"3x900+0": out["3x900+0"]}
+
+
+def test_rank_sum_tails_of_large_samples_are_exact():
+    """By waves as by whole numbers, and for more ways than a double holds near the normal law."""
+    for n1, n2 in ((33, 34), (60, 61), (4, 300)):
+        last = n1 * n2 // 2
+        ways = [1] + [0] * last
+        for i in range(1, n1 + 1):
+            for u in range(last, n2 + i - 1, -1):
+                ways[u] -= ways[u - n2 - i]
+            for u in range(i, last + 1):
+                ways[u] += ways[u - i]
+        want = [n / math.comb(n1 + n2, n1) for n in itertools.accumulate(ways)]
+        assert statistics._tails(n1, n2, np.arange(last + 1)) == pytest.approx(want, abs=1e-12)
+        assert statistics._tails_by_waves(n1, n2, np.arange(last + 1)) == pytest.approx(want, abs=1e-12)
+    far = statistics._tails(500, 560, np.array([130_000, 139_999]))
+    deviation = math.sqrt(500 * 560 * 1061 / 12)
+    assert far == pytest.approx([math.erfc((140_000 - u - 0.5) / deviation / math.sqrt(2)) / 2 for u in (130_000, 139_999)], abs=1e-4)
+
+
 def test_rank_test_is_symmetric(spark):
     ref, alt = [0.0, 0.2, 0.2, 0.9], [0.2, 0.5, 1.0]
     out = {r.snp_id: r for r in region_tests(fraction_counts(

@@ -10,7 +10,7 @@ import pytest
 from strandfold.operators import alignment, cpg, region, sites
 from strandfold.operators.skew import HotKeys, split_join
 from strandfold.plans import asm, catalog
-from strandfold.sources import writers
+from strandfold.sources import readers, writers
 
 CALLS = "sample_id string, chr string, pos bigint, meth int, cov int, snp_id string, snp_pos bigint, allele string, read_id string"
 
@@ -63,7 +63,9 @@ def written(folder, tables):
     ("mann_whitney", {"genotypes", "usable", "calls", "counts", "cpg_asm", "summary", "fraction_counts"}),
     ("region_reads", {"genotypes", "usable", "calls", "counts", "cpg_asm", "summary"}),
     ("covered_context", set()), ("overlap_rejoin", {"overlap_pairs"}), ("remove_duplicates", {"best_fragments"}),
-    ("drop_conflicting_reads", {"tagged"}), ("rejected_lines", {"genotypes", "usable", "calls", "counts", "cpg_asm", "summary", "fraction_counts", "regions"}),
+    ("drop_conflicting_reads", {"tagged"}), ("scan_sam", set()), ("extract_methylation", set()),
+    ("line_counts", {f"good_{layout}_{s}" for layout in ("sam", "cpg_context") for s in ("s1", "s2")}),
+    ("rejected_lines", {"genotypes", "usable", "calls", "counts", "cpg_asm", "summary", "fraction_counts", "regions"}),
 ])
 def test_steps_gone_over_once_are_not_written(spark, folder, monkeypatch, name, kept):
     monkeypatch.setattr(catalog.Tables, "_known", {})
@@ -72,6 +74,14 @@ def test_steps_gone_over_once_are_not_written(spark, folder, monkeypatch, name,
     assert {s for s in written(folder, tables) if not s.startswith("text_")} - {"vcf_raw", "excluded_raw", "common_raw"} == kept
 
 
+def test_a_line_is_split_once(spark, tmp_path):
+    """Not again for each field that the reader looks at before it takes the line."""
+    (tmp_path / "some.sam").write_text("a\tb\n")
+    for df in (readers.scan_sam(spark, str(tmp_path), "s1"), readers.rejected_lines(spark, str(tmp_path), "sam")):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert readers.scan_sam(spark, str(tmp_path), "s1").isEmpty() and readers.rejected_lines(spark, str(tmp_path), "sam").count() == 1
+
+
 def test_duplicates_found_before_are_those_found_within(spark, folder):
     tables = catalog.Tables(spark, folder)
     aligned = tables.raw("aligned_raw")
